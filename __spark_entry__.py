@@ -21,7 +21,7 @@ import oracle_queries as oq
 from refreshguard import MEDICAL, PHARMACY, Context, Thresholds
 from refreshguard.functions import months
 from refreshguard.functions.formats import to_results
-from refreshguard.functions.ratios import percent
+
 from refreshguard.operators import (completeness, consistency, distribution, scan, snapshots,
                                     temporal, uniqueness, validity, volume)
 from refreshguard.operators.topk import share_rows
@@ -250,8 +250,9 @@ def _cohorts(spark, sf):
                        F.round("share", 4).alias("share"))
 
 
-def _demo_check(function):
-    return lambda spark, sf: _rows(function(_all(spark, sf), cv.AGE_AS_OF))
+def _demo_check(part):
+    return lambda spark, sf: _rows(distribution.demo_distribution(
+        _all(spark, sf), only=(part,), as_of=cv.AGE_AS_OF))
 
 
 def _by_month(frame: DataFrame) -> DataFrame:
@@ -351,14 +352,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_entities_exact": _check(consistency.missing_entities, snapshot="exact"),
         "outside_enrollment_pct": _check(consistency.outside_enrollment),
         "outside_enrollment_events": _check(consistency.outside_enrollment_events),
-        "after_death_pct": _check(consistency.after_death),
-        "after_death_count": _check(lambda ctx: consistency.after_death(ctx, strict=True)),
-        "missing_npi_by_column": _check(consistency.missing_providers_by_column),
-        "missing_npi_pooled": _check(consistency.missing_providers_pooled),
+        "after_death_pct": _check(consistency.after_death, metric="_percent"),
+        "after_death_count": _check(consistency.after_death, metric="_count"),
+        "missing_npi_by_column": _check(lambda ctx: consistency.missing_providers(ctx, pooled=False)),
+        "missing_npi_pooled": _check(lambda ctx: consistency.missing_providers(ctx, by_column=False)),
         # distribution
-        "gender_distribution": _check(distribution.gender_distribution),
-        "age_distribution": _demo_check(distribution.age_distribution),
-        "event_demo_distribution": _demo_check(distribution.event_demo_distribution),
+        "gender_distribution": _demo_check("gender"),
+        "age_distribution": _demo_check("age"),
+        "event_demo_distribution": _demo_check("events"),
         "state_distribution": _regions,
         "event_state_distribution": _event_regions,
         "provider_distribution": _providers,
@@ -595,4 +596,4 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-__all__ = ["entry", "oracle_sql", "percent", "queries"]
+__all__ = ["entry", "oracle_sql", "queries"]

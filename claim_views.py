@@ -9,7 +9,9 @@ checks are there to find.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -115,26 +117,43 @@ def oracle_view(name: str) -> str:
     return text.format(**{s: s for s in SOURCES})
 
 
+@lru_cache(maxsize=64)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = VIEWS[name]
-    used = {s: spark.read.parquet(f"{sf_dir}/{s}.parquet") for s in SOURCES if f"{{{s}}}" in text}
+    used = {s: _table(spark, sf_dir, s) for s in SOURCES if f"{{{s}}}" in text}
     return spark.sql(text, **used)
 
 
+class Dimensions(Mapping):
+    """The dimension views, each planned only if a check asks for it."""
+
+    views = {"demo": "patient_demo", "enroll": "patient_enroll", "geo": "patient_geo",
+             "mortality": "patient_mortality", "providers": "providers"}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return view(self._spark, self._sf_dir, self.views[name])
+
+    def __iter__(self):
+        return iter(self.views)
+
+    def __len__(self):
+        return len(self.views)
+
+
 def context(spark: SparkSession, sf_dir: str, profile: TableProfile = MEDICAL,
             **changes) -> Context:
     """The context most queries start from: all refreshes, reference month 1998-03."""
     settings = {"scope": "all", "month": MONTH, "previous": PREVIOUS, "as_of": AS_OF}
     settings.update(changes)
-    return Context(
-        profile=profile,
-        events_table=view(spark, sf_dir, profile.name),
-        dimensions={"demo": view(spark, sf_dir, "patient_demo"),
-                    "enroll": view(spark, sf_dir, "patient_enroll"),
-                    "geo": view(spark, sf_dir, "patient_geo"),
-                    "mortality": view(spark, sf_dir, "patient_mortality"),
-                    "providers": view(spark, sf_dir, "providers")},
-        **settings)
+    return Context(profile=profile, events_table=view(spark, sf_dir, profile.name),
+                   dimensions=Dimensions(spark, sf_dir), **settings)
 
 
 __all__ = ["MEDICAL", "PHARMACY", "context", "oracle_view", "view"]

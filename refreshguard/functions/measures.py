@@ -3,6 +3,7 @@
 A check is a list of ``Measure`` over the columns of an aggregate.  ``to_long``
 turns the (single-row, or one-row-per-month) aggregate into metric rows inside
 the same plan: statuses and texts are computed by Spark, not on the driver.
+All expressions are SQL text.
 """
 
 from __future__ import annotations
@@ -10,10 +11,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from .ratios import change_percent, percent, within
+from .ratios import change_percent, percent, quote, within
 
 METRIC_COLUMNS = ("check_category", "check_name", "metric_name", "num", "den", "value",
                   "metric_value", "status", "details")
@@ -24,92 +24,94 @@ METRIC_SCHEMA = ("check_category string, check_name string, metric_name string,
 
 @dataclass(frozen=True)
 class Measure:
+    """One metric row.  ``metric`` is a name unless ``metric_sql`` is set.
+
+    ``shown`` is the metric value as text, ``keep`` the condition under which
+    the row exists.
+    """
+
     check: str
-    metric: Column | str
-    num: Column | None = None
-    den: Column | None = None
-    value: Column | None = None
-    shown: Column | None = None
-    status: Column | None = None
-    details: Column | None = None
-    keep: Column | None = None
-
-    def as_struct(self, category: str) -> Column:
-        def typed(column, kind, name):
-            return (F.lit(None) if column is None else column).cast(kind).alias(name)
-
-        metric = F.lit(self.metric) if isinstance(self.metric, str) else self.metric
-        row = F.struct(
-            F.lit(category).alias("check_category"),
-            F.lit(self.check).alias("check_name"),
-            metric.alias("metric_name"),
-            typed(self.num, "bigint", "num"),
-            typed(self.den, "bigint", "den"),
-            typed(self.value, "double", "value"),
-            typed(self.shown, "string", "metric_value"),
-            typed(self.status if self.status is not None else F.lit("INFO"), "string", "status"),
-            typed(self.details, "string", "details"),
-        )
-        return row if self.keep is None else F.when(self.keep, row)
-
-
-def flag(bad: Column, severity: str) -> Column:
+    metric: str
+    num: str = "null"
+    den: str = "null"
+    value: str = "null"
+    shown: str = "null"
+    status: str = "'INFO'"
+    details: str = "null"
+    keep: str | None = None
+    metric_sql: str | None = None
+
+    def as_struct(self, category: str) -> str:
+        metric = self.metric_sql or quote(self.metric)
+        row = (f"named_struct('check_category', {quote(category)}, "
+               f"'check_name', {quote(self.check)}, 'metric_name', {metric}, "
+               f"'num', cast({self.num} as bigint), 'den', cast({self.den} as bigint), "
+               f"'value', cast({self.value} as double), "
+               f"'metric_value', cast({self.shown} as string), "
+               f"'status', {self.status}, 'details', cast({self.details} as string))")
+        return row if self.keep is None else f"if({self.keep}, {row}, null)"
+
+
+def flag(bad: str, severity: str) -> str:
     """``severity`` where ``bad`` holds, else PASS."""
-    return F.when(bad, F.lit(severity)).otherwise(F.lit("PASS"))
+    return f"if({bad}, {quote(severity)}, 'PASS')"
 
 
-def counted(num: Column, den: Column, text: str) -> Column:
-    return F.concat(num.cast("string"), F.lit(" of "), den.cast("string"), F.lit(" " + text))
+def counted(num: str, den: str, text: str) -> str:
+    return f"concat(string({num}), ' of ', string({den}), {quote(' ' + text)})"
 
 
-def percent_of(check: str, metric: str, num: Column, den: Column, severity: str,
-               text: str, limit: float = 0.0, below: bool = False,
-               keep: Column | None = None, status: Column | None = None) -> Measure:
+def percent_of(check: str, metric: str, num: str, den: str, severity: str, text: str,
+               limit: float = 0.0, below: bool = False, keep: str | None = None,
+               status: str | None = None) -> Measure:
     """A percentage that turns to ``severity`` above (or below) ``limit``."""
     value = percent(num, den)
     if status is None:
-        status = flag(value < limit if below else value > limit, severity)
+        status = flag(f"{value} {'<' if below else '>'} {limit}D", severity)
     return Measure(check, metric, num, den, value, value, status, counted(num, den, text), keep)
 
 
-def count_of(check: str, metric: str, num: Column, den: Column | None, severity: str | None,
-             text: str, keep: Column | None = None, status: Column | None = None) -> Measure:
+def count_of(check: str, metric: str, num: str, den: str | None, severity: str | None, text: str,
+             keep: str | None = None, status: str | None = None) -> Measure:
     """A count; with a ``severity`` any value above 0 raises it."""
     if status is None:
-        status = F.lit("INFO") if severity is None else flag(num > 0, severity)
-    details = F.lit(text) if den is None else counted(num, den, text)
-    return Measure(check, metric, num, den, num, num, status, details, keep)
+        status = "'INFO'" if severity is None else flag(f"{num} > 0", severity)
+    details = quote(text) if den is None else counted(num, den, text)
+    return Measure(check, metric, num, den or "null", num, num, status, details, keep)
 
 
-def compared(check: str, metric: str, current: Column, previous: Column) -> Measure:
+def compared(check: str, metric: str, current: str, previous: str) -> Measure:
     """A current count with the previous month's count beside it."""
-    return Measure(check, metric, current, previous, current, current, F.lit("INFO"),
-                   F.concat(F.lit("Previous month: "), previous.cast("string")))
+    return Measure(check, metric, current, previous, current, current, "'INFO'",
+                   f"concat('Previous month: ', string({previous}))")
 
 
-def change(check: str, metric: str, current: Column, previous: Column, threshold: float,
-           what: str) -> Measure:
+def change(check: str, metric: str, current: str, previous: str, threshold: float,
+           what: str, counts: bool = True) -> Measure:
     """Month-over-month change; N/A when the previous month had none."""
-    moved = F.when(previous > 0, change_percent(current, previous))
-    moved_text = F.format_string(
-        f"Change: %+.2f%%. Threshold: +/-{threshold * 100:.0f}%%", moved)
+    moved = change_percent(current, previous)
+    limit = f"{threshold * 100:.0f}"
     return Measure(
-        check, metric, current, previous, moved,
-        F.coalesce(moved.cast("string"), F.lit("N/A")),
-        F.when(moved.isNull(), F.lit("INFO")).otherwise(
-            flag(~within(moved, threshold), "WARN")),
-        F.when(moved.isNull(), F.lit(f"Previous month had 0 {what}.")).otherwise(moved_text),
-    )
+        check, metric, current if counts else "null", previous if counts else "null", moved,
+        f"coalesce(string({moved}), 'N/A')",
+        f"case when {moved} is null then 'INFO' when {within(moved, threshold)} then 'PASS' "
+        "else 'WARN' end",
+        f"if({moved} is null, {quote(f'Previous month had 0 {what}.')}, "
+        f"format_string('Change: %+.2f%%. Threshold: +/-{limit}%%', {moved}))")
 
 
 def note(check: str, metric: str, text: str, status: str, details: str,
-         keep: Column | None = None) -> Measure:
+         keep: str | None = None) -> Measure:
     """A row that carries a word (SKIPPED, EMPTY, ...) instead of a number."""
-    return Measure(check, metric, shown=F.lit(text), status=F.lit(status),
-                   details=F.lit(details), keep=keep)
+    return Measure(check, metric, shown=quote(text), status=quote(status),
+                   details=quote(details), keep=keep)
 
 
 def to_long(wide: DataFrame, by: Sequence[str], category: str,
             measures: Iterable[Measure]) -> DataFrame:
-    rows = [m.as_struct(category) for m in measures]
-    return wide.select(*by, F.inline(F.array_compact(F.array(*rows))))
+    return rows_of(wide, by, [m.as_struct(category) for m in measures])
+
+
+def rows_of(wide: DataFrame, by: Sequence[str], structs: Sequence[str]) -> DataFrame:
+    """One row per struct that is not NULL."""
+    return wide.selectExpr(*by, f"inline(array_compact(array({', '.join(structs)})))")

@@ -1,27 +1,39 @@
-"""Percentages and changes, safe on zero denominators under ANSI mode."""
+"""Percentages and changes as SQL expressions, safe on zero denominators.
+
+Expressions are text: a family has well over a hundred of them, and one
+``selectExpr`` is one call into the JVM where column objects are thousands.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+def quote(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def percent(part: Column, whole: Column) -> Column:
+def percent(part: str, whole: str) -> str:
     """``part / whole * 100`` as double; 0 when there is nothing to divide by."""
-    ratio = F.try_divide(part.cast("double"), whole.cast("double")) * 100
-    return F.coalesce(ratio, F.lit(0.0))
+    return f"coalesce(try_divide(double({part}), double({whole})) * 100, 0D)"
 
 
-def change_percent(current: Column, previous: Column) -> Column:
-    """Change against ``previous`` in percent; NULL when previous is 0 or NULL."""
-    return F.try_divide((current - previous).cast("double"), previous.cast("double")) * 100
+def change_percent(current: str, previous: str) -> str:
+    """Change against ``previous`` in percent; NULL unless previous is above 0."""
+    return (f"if({previous} > 0, try_divide(double({current} - {previous}), "
+            f"double({previous})) * 100, null)")
 
 
-def within(change: Column, threshold: float) -> Column:
+def within(change: str, threshold: float) -> str:
     """True up to and including the threshold, which is a fraction."""
-    return F.abs(change / 100) <= F.lit(threshold)
+    return f"abs(({change}) / 100) <= {threshold}D"
+
+
+def share_text(key: str, value: str) -> str:
+    """``key: 12.3%``"""
+    return f"concat(coalesce(string({key}), 'None'), ': ', format_string('%.1f%%', {value}))"
 
 
-def share_text(key: Column, value: Column) -> Column:
-    return F.concat(F.coalesce(key.cast("string"), F.lit("None")), F.lit(": "),
-                    F.format_string("%.1f%%", value))
+def share_list(top: str, total: str) -> str:
+    """The shares of an array of ``(key, n, ...)`` as one text."""
+    item = share_text("x.key", percent("x.n", total))
+    return f"array_join(transform({top}, x -> {item}), ', ')"

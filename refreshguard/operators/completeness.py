@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..context import Context
 from ..functions.measures import Measure, count_of, flag, note, percent_of
+from ..functions.ratios import quote
 from ..functions.rules import missing_with
 from .scan import ROWS, ScanChecks, run_scan
 
 CATEGORY = "completeness"
 
 
-def _nulls(checks: ScanChecks, column: str) -> Column:
-    return checks.count_if(f"null_{column}", F.col(column).isNull())
+def _nulls(checks: ScanChecks, column: str) -> str:
+    return checks.count_if(f"null_{column}", f"{column} is null")
 
 
 def _not_found(check: str, column: str, kind: str) -> Measure:
-    zero = F.lit(0)
-    return Measure(check, f"{column}_not_found", zero, None, zero, zero, F.lit("WARN"),
-                   F.lit(f"{kind} column {column} not found in table"))
+    return Measure(check, f"{column}_not_found", "0", "null", "0", "0", "'WARN'",
+                   quote(f"{kind} column {column} not found in table"))
+
+
+def _skipped_optional(column: str) -> Measure:
+    return note("optional_fields", f"{column}_null_percentage", "SKIPPED", "WARN",
+                f"Optional column {column} not found in table")
 
 
 def required_checks(ctx: Context) -> ScanChecks:
@@ -28,8 +32,8 @@ def required_checks(ctx: Context) -> ScanChecks:
     for column in ctx.profile.required:
         if ctx.has(column):
             checks.add(percent_of(
-                "required_fields", f"{column}_null_percentage", _nulls(checks, column),
-                F.col(ROWS), "FAIL", f"records have a NULL {column} (required)"))
+                "required_fields", f"{column}_null_percentage", _nulls(checks, column), ROWS,
+                "FAIL", f"records have a NULL {column} (required)"))
         else:
             checks.add(_not_found("required_fields", column, "Required"))
     return checks
@@ -41,12 +45,11 @@ def optional_checks(ctx: Context, report_missing: bool = False) -> ScanChecks:
     for column in ctx.profile.optional:
         if ctx.has(column):
             checks.add(percent_of(
-                "optional_fields", f"{column}_null_percentage", _nulls(checks, column),
-                F.col(ROWS), "WARN", f"records have a NULL {column} (optional)",
+                "optional_fields", f"{column}_null_percentage", _nulls(checks, column), ROWS,
+                "WARN", f"records have a NULL {column} (optional)",
                 limit=ctx.thresholds.null_percent))
         elif report_missing:
-            checks.add(note("optional_fields", f"{column}_null_percentage", "SKIPPED", "WARN",
-                            f"Optional column {column} not found in table"))
+            checks.add(_skipped_optional(column))
     return checks
 
 
@@ -57,7 +60,7 @@ def code_type_checks(ctx: Context) -> ScanChecks:
         code, kind = ctx.profile.code_with_type
         found = checks.count_if("code_missing", missing_with(code, kind))
         checks.add(count_of("procedure_code_type_consistency", "inconsistent_count", found,
-                            F.col(ROWS), "WARN", f"records have NULL {code} but a {kind}"))
+                            ROWS, "WARN", f"records have NULL {code} but a {kind}"))
     return checks
 
 
@@ -66,8 +69,8 @@ def required_count_checks(ctx: Context) -> ScanChecks:
     checks = ScanChecks(CATEGORY)
     for column in ctx.present(ctx.profile.required):
         found = _nulls(checks, column)
-        status = F.when(F.col(ROWS) == 0, F.lit("INFO")).otherwise(flag(found > 0, "FAIL"))
-        checks.add(count_of("required_fields", f"{column}_null_count", found, F.col(ROWS), None,
+        status = f"if({ROWS} = 0, 'INFO', {flag(f'{found} > 0', 'FAIL')})"
+        checks.add(count_of("required_fields", f"{column}_null_count", found, ROWS, None,
                             f"records have a NULL {column}", status=status))
     return checks
 
@@ -80,8 +83,7 @@ def missing_column_checks(ctx: Context) -> ScanChecks:
             checks.add(_not_found("required_fields", column, "Required"))
     for column in ctx.profile.optional:
         if not ctx.has(column):
-            checks.add(note("optional_fields", f"{column}_null_percentage", "SKIPPED", "WARN",
-                            f"Optional column {column} not found in table"))
+            checks.add(_skipped_optional(column))
     return checks
 
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..context import Context
 from ..functions import rules
-from ..functions.measures import (Measure, count_of, flag, note, percent_of, to_long)
+from ..functions.measures import count_of, flag, note, percent_of, to_long
 from . import snapshots
 from .intervals import uncovered
 from .joins import sliced_join
 from .scan import ROWS, ScanChecks, run_scan
+from .shared import SharedFrames
 
 CATEGORY = "consistency"
 
@@ -31,14 +32,14 @@ def date_order_checks(ctx: Context) -> ScanChecks:
         found = checks.count_if(
             "filled_early", rules.earlier_than(profile.event_date, profile.written_date))
         text = f"records have {profile.event_date} before {profile.written_date}"
-        checks.add(percent_of("fill_date_order", "invalid_date_percent", found, F.col(ROWS),
-                              "WARN", text))
+        checks.add(percent_of("fill_date_order", "invalid_date_percent", found, ROWS, "WARN",
+                              text))
     if ctx.has(profile.event_date, profile.end_date):
         found = checks.count_if(
             "ends_early", rules.earlier_than(profile.end_date, profile.event_date))
         text = f"records have {profile.event_date} after {profile.end_date}"
-        checks.add(percent_of("service_date_order", "invalid_date_percent", found, F.col(ROWS),
-                              "FAIL", text))
+        checks.add(percent_of("service_date_order", "invalid_date_percent", found, ROWS, "FAIL",
+                              text))
     return checks
 
 
@@ -50,7 +51,7 @@ def date_order(ctx: Context) -> DataFrame:
 
 def missing_keys(ids: DataFrame, known: DataFrame, by: list[str], key: str,
                  group: list[str]) -> DataFrame:
-    """Distinct ids and how many the dimension lacks, per ``group``.
+    """Ids, each once, and how many of them the dimension lacks, per ``group``.
 
     Both sides are distinct, so the join meets each key once; a NULL id meets
     nothing and counts as missing.
@@ -60,137 +61,121 @@ def missing_keys(ids: DataFrame, known: DataFrame, by: list[str], key: str,
         F.count("*").alias("n_ids"), F.count_if(F.col("known").isNull()).alias("n_missing"))
 
 
-def missing_entities(ctx: Context, count_severity: str = "FAIL") -> DataFrame:
+def missing_entities(ctx: Context, shared: SharedFrames | None = None,
+                     count_severity: str = "FAIL") -> DataFrame:
     """Distinct event entities (NULL is one of them) without demographics."""
     entity = ctx.profile.entity
     if not ctx.has(entity):
         return _skipped(ctx, "patient_demographics", f"Column {entity} not found")
-    ids = ctx.events().select(*ctx.by, F.col(entity).alias("entity")).distinct()
+    if shared is None:
+        ids = ctx.events().select(*ctx.by, F.col(entity).alias("entity")).distinct()
+    else:
+        ids = shared.entities.filter("n_events > 0").drop("n_events")
     known = snapshots.known_keys(ctx, "demo", ctx.names.entity).withColumnRenamed(
         ctx.names.entity, "entity")
     wide = ctx.complete(missing_keys(ids, known, ctx.by, "entity", ctx.by))
-    missing, total = F.col("n_missing"), F.col("n_ids")
     text = "entities have no demographics"
     return to_long(wide, ctx.by, CATEGORY, [
-        percent_of("patient_demographics", "missing_patient_percent", missing, total, "WARN", text),
-        count_of("patient_demographics", "missing_patient_count", missing, total,
+        percent_of("patient_demographics", "missing_patient_percent", "n_missing", "n_ids", "WARN",
+                   text),
+        count_of("patient_demographics", "missing_patient_count", "n_missing", "n_ids",
                  count_severity, text)])
 
 
-def _event_providers(ctx: Context) -> DataFrame:
-    """Distinct (column, id) pairs of all provider columns, in one pass."""
-    columns = ctx.present(ctx.profile.id_columns)
-    pairs = F.array(*[F.struct(F.lit(c).alias("id_column"), F.col(c).alias("id"))
-                      for c in columns])
-    return (ctx.events().select(*ctx.by, F.inline(pairs)).filter(F.col("id").isNotNull())
-            .select(*ctx.by, "id_column", "id").distinct())
-
-
-def _known_providers(ctx: Context) -> DataFrame:
-    key = ctx.names.provider
-    return snapshots.known_keys(ctx, "providers", key).withColumnRenamed(key, "id")
-
+def missing_providers(ctx: Context, shared: SharedFrames | None = None,
+                      by_column: bool = True, pooled: bool = True) -> DataFrame:
+    """Distinct provider ids that the provider table lacks.
 
-def missing_providers_by_column(ctx: Context) -> DataFrame:
+    Per column, and for all columns pooled; INFO when there are no ids.
+    """
     columns = ctx.present(ctx.profile.id_columns)
     if not columns:
         return _skipped(ctx, "provider_ids", "No provider column found")
-    marked = _event_providers(ctx).join(
-        _known_providers(ctx).withColumn("known", F.lit(True)), [*ctx.by, "id"], "left")
-    absent = F.col("known").isNull()
-    counts = []
+    ids = (shared or SharedFrames(ctx)).providers
+    key = ctx.names.provider
+    known = (snapshots.known_keys(ctx, "providers", key).withColumnRenamed(key, "id")
+             .withColumn("known", F.lit(True)))
+    counts = ["count(*) as n_ids", "count_if(known is null) as n_missing"]
     for c in columns:
-        mine = F.col("id_column") == c
-        counts += [F.count_if(mine).alias(f"ids_{c}"),
-                   F.count_if(mine & absent).alias(f"missing_{c}")]
-    wide = ctx.complete(marked.groupBy(*ctx.by).agg(*counts))
-    return to_long(wide, ctx.by, CATEGORY, [
-        percent_of(f"{c}_provider", "missing_npi_percent", F.col(f"missing_{c}"),
-                   F.col(f"ids_{c}"), "WARN", f"{c} values are not in the provider table")
-        for c in columns])
-
-
-def missing_providers_pooled(ctx: Context) -> DataFrame:
-    """Ids of all provider columns together; INFO when there are none."""
-    columns = ctx.present(ctx.profile.id_columns)
-    if not columns:
-        return _skipped(ctx, "provider_ids", "No provider column found")
-    ids = _event_providers(ctx).select(*ctx.by, "id").distinct()
-    wide = ctx.complete(missing_keys(ids, _known_providers(ctx), ctx.by, "id", ctx.by))
-    missing, total = F.col("n_missing"), F.col("n_ids")
-    status = F.when(total == 0, F.lit("INFO")).otherwise(flag(missing > 0, "WARN"))
-    return to_long(wide, ctx.by, CATEGORY, [
-        count_of("provider_ids", "missing_npi_count", missing, total, None,
-                 "distinct ids are not in the provider table", status=status)])
+        counts += [f"count_if(n_{c} > 0) as ids_{c}",
+                   f"count_if(n_{c} > 0 and known is null) as missing_{c}"]
+    wide = ctx.complete(ids.join(known, [*ctx.by, "id"], "left").groupBy(*ctx.by)
+                        .agg(*[F.expr(c) for c in counts]))
+    measures = []
+    if by_column:
+        measures += [percent_of(
+            f"{c}_provider", "missing_npi_percent", f"missing_{c}", f"ids_{c}", "WARN",
+            f"{c} values are not in the provider table") for c in columns]
+    if pooled:
+        status = f"if(n_ids = 0, 'INFO', {flag('n_missing > 0', 'WARN')})"
+        measures.append(count_of(
+            "provider_ids", "missing_npi_count", "n_missing", "n_ids", None,
+            "distinct ids are not in the provider table", status=status))
+    return to_long(wide, ctx.by, CATEGORY, measures)
 
 
 # -- intervals and deaths -------------------------------------------------
 
-def outside_enrollment(ctx: Context) -> DataFrame:
+def outside_enrollment(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """Event rows on a day that no enrollment interval of the entity contains."""
     if not ctx.has(ctx.profile.entity):
         return _skipped(ctx, "enrollment_periods", f"Column {ctx.profile.entity} not found")
-    wide = uncovered(ctx, snapshots.enrollment(ctx))
+    days = (shared or SharedFrames(ctx)).days
+    wide = uncovered(ctx, days, snapshots.enrollment(ctx))
     return to_long(wide, ctx.by, CATEGORY, [percent_of(
-        "enrollment_periods", "outside_enrollment_percent", F.col("n_outside"), F.col("n"),
-        "WARN", "events are outside every enrollment period")])
+        "enrollment_periods", "outside_enrollment_percent", "n_outside", "n", "WARN",
+        "events are outside every enrollment period")])
 
 
-def outside_enrollment_events(ctx: Context) -> DataFrame:
+def outside_enrollment_events(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """The same by distinct event id: one outside row makes an event count."""
-    profile = ctx.profile
-    if not ctx.has(profile.entity):
-        return _skipped(ctx, "enrollment_periods", f"Column {profile.entity} not found")
-    events = ctx.events().select(*ctx.by, F.col(profile.entity).alias("entity"),
-                                 F.to_date(profile.event_date).alias("day"),
-                                 F.col(profile.event_id).alias("event_id")).distinct()
-    inside = ((F.col("l.day") >= F.col("r.first_day"))
-              & (F.col("l.day") <= F.col("r.last_day")))
-    outside = sliced_join(events, snapshots.enrollment(ctx).distinct(), [*ctx.by, "entity"],
-                          inside, "left_anti", ["event_id"], ctx.rows_per_slice)
+    if not ctx.has(ctx.profile.entity):
+        return _skipped(ctx, "enrollment_periods", f"Column {ctx.profile.entity} not found")
+    shared = shared or SharedFrames(ctx)
+    inside = F.expr("l.day >= r.first_day and l.day <= r.last_day")
+    outside = sliced_join(
+        shared.events, snapshots.enrollment(ctx).distinct(),
+        shared.entities.withColumnRenamed("n_events", "size"), [*ctx.by, "entity"], inside,
+        "left_anti", "event_id", ctx.rows_per_slice)
     # distinct() keeps a NULL event id, count_distinct() would not.
     ids = outside.select(*ctx.by, "event_id").distinct()
     wide = ctx.complete(ids.groupBy(*ctx.by).agg(F.count("*").alias("n_outside")))
     return to_long(wide, ctx.by, CATEGORY, [count_of(
-        "enrollment_periods", "outside_enrollment_events", F.col("n_outside"), None, "WARN",
+        "enrollment_periods", "outside_enrollment_events", "n_outside", None, "WARN",
         "Distinct events outside every enrollment period")])
 
 
-def after_death(ctx: Context, grace_days: int | None = None, strict: bool = False) -> DataFrame:
+def after_death(ctx: Context, shared: SharedFrames | None = None, grace_days: int | None = None,
+                share: bool = True, strict: bool = True) -> DataFrame:
     """Events after the entity's death.
 
-    With a grace period the value is the share of the events of deceased
-    entities; ``strict`` counts events after the day of death itself.
-    Events are summed per entity and day before the join.
+    ``share`` gives the share of the events of deceased entities later than the
+    grace period, ``strict`` the count after the day of death itself.  Events
+    are summed per entity and day before the join.
     """
-    profile = ctx.profile
-    if not ctx.has(profile.entity):
-        return _skipped(ctx, "mortality_dates", f"Column {profile.entity} not found")
+    if not ctx.has(ctx.profile.entity):
+        return _skipped(ctx, "mortality_dates", f"Column {ctx.profile.entity} not found")
     grace = ctx.thresholds.death_grace_days if grace_days is None else grace_days
-    days = (ctx.events().select(*ctx.by, F.col(profile.entity).alias("entity"),
-                                F.to_date(profile.event_date).alias("day"))
-            .groupBy(*ctx.by, "entity", "day").agg(F.count("*").alias("n")))
     dead = snapshots.deaths(ctx).withColumnRenamed(ctx.names.entity, "entity")
-
-    def events_after(days_after):
-        late = F.col("day") > F.date_add("death", days_after)
-        return F.coalesce(F.sum(F.when(late, F.col("n"))), F.lit(0))
-
-    wide = ctx.complete(days.join(dead, [*ctx.by, "entity"]).groupBy(*ctx.by).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        events_after(grace).alias("n_late"), events_after(0).alias("n_after")))
+    joined = (shared or SharedFrames(ctx)).days.join(dead, [*ctx.by, "entity"], "left")
+    wide = ctx.complete(joined.groupBy(*ctx.by).agg(*[
+        F.expr(f"coalesce(sum(if({condition}, n, 0)), 0) as {name}")
+        for name, condition in (("n", "death is not null"),
+                                ("n_late", f"day > date_add(death, {grace})"),
+                                ("n_after", "day > death"))]))
+    measures = []
+    if share:
+        measures.append(percent_of(
+            "mortality_dates", "after_death_percent", "n_late", "n", "FAIL",
+            f"events of deceased entities are more than {grace} days after the death date"))
     if strict:
-        measure: Measure = count_of(
-            "mortality_dates", "after_death_count", F.col("n_after"), F.col("n"), "FAIL",
-            "events of deceased entities are after the death date")
-    else:
-        measure = percent_of(
-            "mortality_dates", "after_death_percent", F.col("n_late"), F.col("n"), "FAIL",
-            f"events of deceased entities are more than {grace} days after the death date")
-    return to_long(wide, ctx.by, CATEGORY, [measure])
+        measures.append(count_of(
+            "mortality_dates", "after_death_count", "n_after", "n", "FAIL",
+            "events of deceased entities are after the death date"))
+    return to_long(wide, ctx.by, CATEGORY, measures)
 
 
-def demographic_stability(ctx: Context) -> DataFrame:
+def demographic_stability(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """A placeholder row: the check is named but defined nowhere."""
     wide = ctx.complete(ctx.events().groupBy(*ctx.by).agg(F.count("*").alias("n")))
     return to_long(wide, ctx.by, CATEGORY, [note(

@@ -4,205 +4,174 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import Context
-from ..functions.measures import Measure, note, to_long
-from ..functions.ratios import percent, share_text
+from ..functions.measures import Measure, flag, note, to_long
+from ..functions.ratios import percent, quote, share_list, share_text
 from . import snapshots
 from .intervals import region_counts
 from .joins import sliced_join
-from .topk import share_rows, top_k, top_share, top_with_total
+from .shared import SharedFrames
+from .topk import top_share, top_with_total
 
 CATEGORY = "distribution"
-GENDERS = ("F", "M", "other")
 
 
 # -- gender and age -------------------------------------------------------
 
-def _demo_totals(ctx: Context, linked_only: bool, weight_by_events: bool,
-                 as_of: date | None) -> DataFrame:
-    """Counts per gender and age group.
+def _demo_totals(ctx: Context, shared: SharedFrames | None, as_of: date | None) -> DataFrame:
+    """Entities, and events of linked entities, per gender and age group.
 
     Events are counted per entity first, so the join with demographics meets
     every entity once however many events it has.
     """
-    entity = ctx.profile.entity
-    entities = (ctx.events().select(*ctx.by, F.col(entity).alias("entity"))
-                .groupBy(*ctx.by, "entity").agg(F.count("*").alias("n_events")))
     demo = snapshots.demographics(ctx, as_of).withColumnRenamed(ctx.names.entity, "entity")
-    rows = entities.join(demo, [*ctx.by, "entity"], "inner" if linked_only else "left")
-    weight = F.col("n_events") if weight_by_events else F.lit(1)
-
-    def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0)).cast("bigint").alias(name)
-
-    gender = F.col("gender")
-    aggregates = [total(F.lit(True), "total"), total(gender == "F", "gender_F"),
-                  total(gender == "M", "gender_M"),
-                  total(gender.isNull() | ~gender.isin("F", "M"), "gender_other")]
-    aggregates += [total(F.col("age_group") == g, f"age_{g}") for g in snapshots.AGE_GROUPS]
-    return ctx.complete(rows.groupBy(*ctx.by).agg(*aggregates))
-
-
-def _shares(check: str, prefix: str, keys: tuple[str, ...], status: Column, what: str,
-            sort_text: bool = False) -> list[Measure]:
+    if shared is None:
+        entities = (ctx.events().select(*ctx.by, F.col(ctx.profile.entity).alias("entity"))
+                    .groupBy(*ctx.by, "entity").agg(F.count("*").alias("n_events")))
+    else:
+        entities = shared.entities
+    conditions = {"total": "true", "gender_f": "gender = 'F'", "gender_m": "gender = 'M'",
+                  "gender_other": "gender is null or gender not in ('F', 'M')"}
+    conditions |= {f"age_{i}": f"age_group = '{g}'" for i, g in enumerate(snapshots.AGE_GROUPS)}
+    counts = []
+    for name, condition in conditions.items():
+        counts.append(f"count_if({condition}) as {name}")
+        counts.append(f"coalesce(sum(if(linked and ({condition}), n_events, 0)), 0) as ev_{name}")
+    rows = entities.join(demo, [*ctx.by, "entity"], "left")
+    return ctx.complete(rows.groupBy(*ctx.by).agg(*[F.expr(c) for c in counts]))
+
+
+def _shares(check: str, columns: dict[str, str], status: str, what: str,
+            sort_text: bool = False, prefix: str = "") -> list[Measure]:
     """A row per key that occurs, then one row with all of them as text."""
-    total = F.col("total")
     rows, texts = [], []
-    for key in keys:
-        n = F.col(f"`{prefix}_{key}`")
+    total = f"{prefix}total"
+    for key, column in columns.items():
+        n = prefix + column
         share = percent(n, total)
         rows.append(Measure(check, f"share_{key}", n, total, share, share, status,
-                            F.lit(f"Share of {what}"), n > 0))
-        texts.append(F.when(n > 0, share_text(F.lit(key), share)))
-    texts = F.array_compact(F.array(*texts))
-    text = F.array_join(F.array_sort(texts) if sort_text else texts, ", ")
-    rows.append(Measure(check, "distribution", None, total, None, text, status,
-                        F.concat(F.lit("Based on "), total.cast("string"), F.lit(f" {what}")),
-                        total > 0))
+                            quote(f"Share of {what}"), f"{n} > 0"))
+        texts.append(f"if({n} > 0, {share_text(quote(key), share)}, null)")
+    texts = f"array_compact(array({', '.join(texts)}))"
+    text = f"array_join({f'array_sort({texts})' if sort_text else texts}, ', ')"
+    rows.append(Measure(check, "distribution", "null", total, "null", text, status,
+                        f"concat('Based on ', string({total}), {quote(' ' + what)})",
+                        f"{total} > 0"))
     rows.append(note(check, "status", "SKIPPED", "INFO",
-                     "No events could be linked to demographic data", total == 0))
+                     "No events could be linked to demographic data", f"{total} = 0"))
     return rows
 
 
-def _age_status(ctx: Context) -> Column:
-    """WARN if a known group is too small or the unknown group too large."""
-    limits = ctx.thresholds
-    total = F.col("total")
-    share = {g: percent(F.col(f"`age_{g}`"), total) for g in snapshots.AGE_GROUPS}
-    odd = share["Unknown"] > limits.age_unknown_percent
-    for group in snapshots.AGE_GROUPS[:-1]:
-        odd = odd | (share[group] < limits.age_group_percent)
-    return F.when(odd, F.lit("WARN")).otherwise(F.lit("PASS"))
-
-
-def gender_distribution(ctx: Context) -> DataFrame:
-    """Shares of distinct entities; without demographics an entity is 'other'."""
-    wide = _demo_totals(ctx, False, False, None)
-    return to_long(wide, ctx.by, CATEGORY, _shares(
-        "gender_distribution", "gender", GENDERS, F.lit("INFO"), "entities"))
-
+GENDERS = {"F": "gender_f", "M": "gender_m", "other": "gender_other"}
+AGES = {g: f"age_{i}" for i, g in enumerate(snapshots.AGE_GROUPS)}
+DEMO_CHECKS = ("gender", "age", "events")
 
-def age_distribution(ctx: Context, as_of: date | None = None) -> DataFrame:
-    """Shares of distinct entities; one without demographics is in no group."""
-    wide = _demo_totals(ctx, False, False, as_of)
-    return to_long(wide, ctx.by, CATEGORY, _shares(
-        "age_distribution", "age", snapshots.AGE_GROUPS, _age_status(ctx), "entities", True))
 
+def _age_status(ctx: Context) -> str:
+    """WARN if a known group is too small or the unknown group too large."""
+    limits = ctx.thresholds
+    odd = [f"{percent(AGES[g], 'total')} < {limits.age_group_percent}D"
+           for g in snapshots.AGE_GROUPS[:-1]]
+    odd.append(f"{percent(AGES['Unknown'], 'total')} > {limits.age_unknown_percent}D")
+    return flag(" or ".join(odd), "WARN")
 
-def entity_distributions(ctx: Context, as_of: date | None = None) -> DataFrame:
-    """Gender and age shares from one aggregation."""
-    wide = _demo_totals(ctx, False, False, as_of)
-    return to_long(wide, ctx.by, CATEGORY, [
-        *_shares("gender_distribution", "gender", GENDERS, F.lit("INFO"), "entities"),
-        *_shares("age_distribution", "age", snapshots.AGE_GROUPS, _age_status(ctx),
-                 "entities", True)])
 
+def demo_distribution(ctx: Context, shared: SharedFrames | None = None,
+                      only: tuple[str, ...] = DEMO_CHECKS,
+                      as_of: date | None = None) -> DataFrame:
+    """Gender and age shares from one aggregation.
 
-def event_demo_distribution(ctx: Context, as_of: date | None = None) -> DataFrame:
-    """Shares of the events of entities that have demographics."""
-    wide = _demo_totals(ctx, True, True, as_of)
-    info = F.lit("INFO")
-    return to_long(wide, ctx.by, CATEGORY, [
-        *_shares("event_gender_distribution", "gender", GENDERS, info, "linked events"),
-        *_shares("event_age_distribution", "age", snapshots.AGE_GROUPS, info, "linked events",
-                 True)])
+    ``gender`` and ``age`` are shares of distinct entities: one without
+    demographics is of 'other' gender and in no age group.  ``events`` are
+    shares of the events of entities that have demographics.
+    """
+    measures = []
+    if "gender" in only:
+        measures += _shares("gender_distribution", GENDERS, "'INFO'", "entities")
+    if "age" in only:
+        measures += _shares("age_distribution", AGES, _age_status(ctx), "entities", True)
+    if "events" in only:
+        what = "linked events"
+        measures += _shares("event_gender_distribution", GENDERS, "'INFO'", what, False, "ev_")
+        measures += _shares("event_age_distribution", AGES, "'INFO'", what, True, "ev_")
+    return to_long(_demo_totals(ctx, shared, as_of), ctx.by, CATEGORY, measures)
 
 
 # -- top shares -----------------------------------------------------------
 
-def _share_list(top: Column, total: Column) -> Column:
-    return F.array_join(
-        F.transform(top, lambda x: share_text(x["key"], percent(x["n"], total))), ", ")
-
-
-def _summary_measures(check: str, what: str, limit: float | None) -> list[Measure]:
-    total, top = F.col("total"), F.col("top")
-    text = _share_list(top, total)
-    status = F.lit("INFO")
-    if limit is not None:
-        status = F.when(top_share(top, total) > limit, F.lit("WARN")).otherwise(F.lit("PASS"))
+def _summary_measures(check: str, what: str, limit: float | None, total: str = "total",
+                      top: str = "top", text: str | None = None) -> list[Measure]:
+    first = top_share(top, total)
+    status = "'INFO'" if limit is None else flag(f"{first} > {limit}D", "WARN")
     return [
-        Measure(check, "distribution", None, total, top_share(top, total), text, status,
-                F.concat(F.lit("Based on "), total.cast("string"), F.lit(f" {what}")), total > 0),
-        note(check, "status", "SKIPPED", "INFO", f"No {what}", total == 0)]
+        Measure(check, "distribution", "null", total, first, text or share_list(top, total), status,
+                f"concat('Based on ', string({total}), {quote(' ' + what)})", f"{total} > 0"),
+        note(check, "status", "SKIPPED", "INFO", f"No {what}", f"{total} = 0")]
 
 
-def region_summary(ctx: Context) -> DataFrame:
+def region_summary(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """Total and top regions of events in their region intervals.
 
     An event counts once per interval that contains it and in the NULL region
     if none does.
     """
-    counts = region_counts(ctx, snapshots.regions(ctx))
+    days = (shared or SharedFrames(ctx)).days
+    counts = region_counts(ctx, days, snapshots.regions(ctx))
     return ctx.complete(top_with_total(counts, ctx.by, "region", ctx.thresholds.top_shares))
 
 
-def region_distribution(ctx: Context) -> DataFrame:
-    return to_long(region_summary(ctx), ctx.by, CATEGORY, _summary_measures(
+def region_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
+    return to_long(region_summary(ctx, shared), ctx.by, CATEGORY, _summary_measures(
         "state_distribution", "events joined to regions", ctx.thresholds.top_region_percent))
 
 
-def event_region_counts(ctx: Context) -> DataFrame:
+def event_region_counts(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """Distinct event ids per region; unlinked events are left out."""
-    profile = ctx.profile
-    events = ctx.events().select(*ctx.by, F.col(profile.entity).alias("entity"),
-                                 F.to_date(profile.event_date).alias("day"),
-                                 F.col(profile.event_id).alias("event_id"))
-    events = events.dropna(subset=["entity", "day"]).distinct()
-    inside = ((F.col("l.day") >= F.col("r.first_day"))
-              & (F.col("l.day") <= F.col("r.last_day")))
-    pairs = sliced_join(events, snapshots.regions(ctx).distinct(), [*ctx.by, "entity"], inside,
-                        "inner", ["event_id"], ctx.rows_per_slice)
+    shared = shared or SharedFrames(ctx)
+    inside = F.expr("l.day >= r.first_day and l.day <= r.last_day")
+    pairs = sliced_join(
+        shared.events, snapshots.regions(ctx).distinct(),
+        shared.entities.withColumnRenamed("n_events", "size"), [*ctx.by, "entity"], inside,
+        "inner", "event_id", ctx.rows_per_slice)
     by = [F.col(f"l.{b}").alias(b) for b in ctx.by]
     return (pairs.select(*by, "r.region", "l.event_id").distinct()
             .groupBy(*ctx.by, "region").agg(F.count("*").alias("n")))
 
 
-def event_region_summary(ctx: Context) -> DataFrame:
-    return ctx.complete(top_with_total(event_region_counts(ctx), ctx.by, "region",
+def event_region_summary(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
+    return ctx.complete(top_with_total(event_region_counts(ctx, shared), ctx.by, "region",
                                        ctx.thresholds.top_shares))
 
 
-def event_region_distribution(ctx: Context) -> DataFrame:
-    return to_long(event_region_summary(ctx), ctx.by, CATEGORY, _summary_measures(
+def event_region_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
+    return to_long(event_region_summary(ctx, shared), ctx.by, CATEGORY, _summary_measures(
         "event_state_distribution", "distinct event-region pairs", None))
 
 
-def provider_summary(ctx: Context) -> DataFrame:
-    """Total and top ids of each provider column, from one pass."""
+def provider_summary(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
+    """Total and top ids of each provider column."""
+    ids = (shared or SharedFrames(ctx)).providers
     columns = ctx.present(ctx.profile.id_columns)
-    pairs = F.array(*[F.struct(F.lit(c).alias("id_column"), F.col(c).alias("id"))
-                      for c in columns])
-    counts = (ctx.events().select(*ctx.by, F.inline(pairs)).filter(F.col("id").isNotNull())
-              .groupBy(*ctx.by, "id_column", "id").agg(F.count("*").alias("n")))
+    structs = ", ".join(f"named_struct('id_column', '{c}', 'n', n_{c})" for c in columns)
+    counts = ids.selectExpr(*ctx.by, "id", f"inline(array({structs}))").filter("n > 0")
     return top_with_total(counts, [*ctx.by, "id_column"], "id", ctx.thresholds.top_shares)
 
 
-def provider_distribution(ctx: Context) -> DataFrame:
+def provider_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     columns = ctx.present(ctx.profile.id_columns)
-    by_column = provider_summary(ctx)
+    by_column = provider_summary(ctx, shared)
     # One wide row, so that a column without any id still gets its row.
     totals = [F.coalesce(F.max(F.when(F.col("id_column") == c, F.col("total"))), F.lit(0))
               .alias(f"total_{c}") for c in columns]
     tops = [F.max(F.when(F.col("id_column") == c, F.col("top"))).alias(f"top_{c}")
             for c in columns]
     wide = ctx.complete(by_column.groupBy(*ctx.by).agg(*totals, *tops))
-    measures = []
-    for c in columns:
-        total, top = F.col(f"total_{c}"), F.col(f"top_{c}")
-        first = top_share(top, total)
-        text = _share_list(top, total)
-        status = F.when(first > ctx.thresholds.top_provider_percent,
-                        F.lit("WARN")).otherwise(F.lit("PASS"))
-        details = F.concat(F.lit("Based on "), total.cast("string"), F.lit(f" events with {c}"))
-        measures += [
-            Measure(f"{c}_distribution", "distribution", None, total, first, text, status,
-                    details, total > 0),
-            note(f"{c}_distribution", "status", "SKIPPED", "INFO", f"No events with {c}",
-                 total == 0)]
+    measures = [m for c in columns for m in _summary_measures(
+        f"{c}_distribution", f"events with {c}", ctx.thresholds.top_provider_percent,
+        f"total_{c}", f"top_{c}")]
     return to_long(wide, ctx.by, CATEGORY, measures)
 
 
@@ -217,22 +186,9 @@ def cohort_summary(ctx: Context) -> DataFrame:
                                        order_by="n_entities"))
 
 
-def cohort_distribution(ctx: Context) -> DataFrame:
+def cohort_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """The text shows entities; the status looks at the first one's event share."""
-    measures = _summary_measures("cohort_distribution",
-                                 f"events with {ctx.profile.cohort_label}",
-                                 ctx.thresholds.top_cohort_percent)
-    text = F.array_join(F.transform(F.col("top"), lambda x: F.concat(
-        x["key"].cast("string"), F.lit(": "), x["m"].cast("string"), F.lit(" patients"))), ", ")
-    first = measures[0]
-    measures[0] = Measure(first.check, first.metric, first.num, first.den, first.value, text,
-                          first.status, first.details, first.keep)
-    return to_long(cohort_summary(ctx), ctx.by, CATEGORY, measures)
-
-
-__all__ = [
-    "age_distribution", "cohort_distribution", "cohort_summary", "entity_distributions",
-    "event_demo_distribution", "event_region_counts", "event_region_distribution",
-    "event_region_summary", "gender_distribution", "provider_distribution",
-    "provider_summary", "region_distribution", "region_summary", "share_rows", "top_k",
-]
+    text = "array_join(transform(top, x -> concat(x.key, ': ', string(x.m), ' patients')), ', ')"
+    return to_long(cohort_summary(ctx), ctx.by, CATEGORY, _summary_measures(
+        "cohort_distribution", f"events with {ctx.profile.cohort_label}",
+        ctx.thresholds.top_cohort_percent, text=text))

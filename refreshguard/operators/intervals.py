@@ -22,56 +22,48 @@ from pyspark.sql import functions as F
 from ..context import Context
 
 
-def calendar(ctx: Context, intervals: DataFrame) -> DataFrame:
+def calendar(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
     """Day rows with running totals.
 
     Columns: ``is_event``, ``n`` events and ``opened`` intervals of the row
     itself, ``events_before`` and ``covering`` as running totals, and the
     interval's ``region`` if it has one.
     """
-    by = ctx.by
-    has_region = "region" in intervals.columns
-    region = F.col("region") if has_region else F.lit(None).cast("string")
-    events = ctx.events().select(
-        *by, F.col(ctx.profile.entity).alias("entity"),
-        F.to_date(ctx.profile.event_date).alias("day"),
-        F.lit(None).cast("string").alias("region"), F.lit(True).alias("is_event"),
-        F.lit(1).alias("n"), F.lit(0).alias("opened"))
+    keys = [*ctx.by, "entity", "day"]
+    region = ["region"] if "region" in intervals.columns else []
+    events = days.selectExpr(*keys, *(f"cast(null as string) as {r}" for r in region),
+                             "true as is_event", "n", "0L as opened")
     # A reversed interval contains no day.
-    edges = (intervals.filter(F.col("first_day") <= F.col("last_day")).select(
-        *by, "entity", region.alias("region"),
-        F.inline(F.array(
-            F.struct(F.col("first_day").alias("day"), F.lit(1).alias("opened")),
-            F.struct(F.date_add("last_day", 1).alias("day"), F.lit(-1).alias("opened"))))
-    ).select(*by, "entity", "day", "region", F.lit(False).alias("is_event"),
-             F.lit(0).alias("n"), "opened"))
-    days = (events.unionByName(edges)
-            .groupBy(*by, "entity", "day", "region", "is_event")
-            .agg(F.sum("n").alias("n"), F.sum("opened").alias("opened")))
+    edges = (intervals.filter("first_day <= last_day").selectExpr(
+        *ctx.by, "entity", *region,
+        "inline(array(named_struct('day', first_day, 'edge', 1), "
+        "named_struct('day', date_add(last_day, 1), 'edge', -1)))")
+        .groupBy(*keys, *region).agg(F.sum("edge").alias("opened"))
+        .selectExpr(*keys, *region, "false as is_event", "0L as n", "opened"))
     # Edges come before the events of their day: an interval covers its first
     # day and has ended on the day after its last.
-    so_far = (W.partitionBy(*by, "entity").orderBy("day", "is_event")
+    so_far = (W.partitionBy(*ctx.by, "entity").orderBy("day", "is_event")
               .rowsBetween(W.unboundedPreceding, W.currentRow))
-    return (days.withColumn("events_before", F.sum("n").over(so_far))
+    return (events.unionByName(edges)
+            .withColumn("events_before", F.sum("n").over(so_far))
             .withColumn("covering", F.sum("opened").over(so_far)))
 
 
-def uncovered(ctx: Context, intervals: DataFrame) -> DataFrame:
+def uncovered(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
     """``n`` events and ``n_outside`` of them that no interval contains."""
-    days = calendar(ctx, intervals).filter("is_event")
-    outside = F.when(F.col("covering") == 0, F.col("n")).otherwise(0)
-    return ctx.complete(days.groupBy(*ctx.by).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(outside), F.lit(0)).alias("n_outside")))
+    found = calendar(ctx, days, intervals).filter("is_event")
+    return ctx.complete(found.groupBy(*ctx.by).agg(
+        F.expr("coalesce(sum(n), 0) as n"),
+        F.expr("coalesce(sum(if(covering = 0, n, 0)), 0) as n_outside")))
 
 
-def region_counts(ctx: Context, intervals: DataFrame) -> DataFrame:
+def region_counts(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
     """Rows a left join of the events with the intervals would give per region.
 
     An event in several intervals counts once for each; one in none counts for
     the NULL region.
     """
-    rows = (F.when(~F.col("is_event"), -F.col("opened") * F.col("events_before"))
-            .when(F.col("covering") == 0, F.col("n")).otherwise(0))
-    return (calendar(ctx, intervals).groupBy(*ctx.by, "region")
-            .agg(F.sum(rows).alias("n")).filter(F.col("n") > 0))
+    rows = F.expr("sum(case when not is_event then -opened * events_before "
+                  "when covering = 0 then n else 0 end) as n")
+    return (calendar(ctx, days, intervals).groupBy(*ctx.by, "region").agg(rows)
+            .filter("n > 0"))

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import Context
-from ..functions.measures import Measure
+from ..functions.measures import Measure, rows_of
 
 ROWS = "n"
 
@@ -21,13 +21,13 @@ ROWS = "n"
 @dataclass
 class ScanChecks:
     category: str
-    aggregates: dict[str, Column] = field(default_factory=dict)
+    conditions: dict[str, str] = field(default_factory=dict)
     measures: list[Measure] = field(default_factory=list)
 
-    def count_if(self, name: str, condition: Column) -> Column:
+    def count_if(self, name: str, condition: str) -> str:
         """Register a conditional count; the result is its column."""
-        self.aggregates[name] = F.count_if(condition).alias(name)
-        return F.col(name)
+        self.conditions[name] = condition
+        return name
 
     def add(self, measure: Measure) -> None:
         self.measures.append(measure)
@@ -35,9 +35,8 @@ class ScanChecks:
 
 def run_scan(ctx: Context, *groups: ScanChecks) -> DataFrame:
     """All given checks in one aggregation over the events in scope."""
-    aggregates = {ROWS: F.count("*").alias(ROWS)}
-    for group in groups:
-        aggregates.update(group.aggregates)
-    wide = ctx.complete(ctx.events().groupBy(*ctx.by).agg(*aggregates.values()))
-    rows = [m.as_struct(g.category) for g in groups for m in g.measures]
-    return wide.select(*ctx.by, F.inline(F.array_compact(F.array(*rows))))
+    conditions = {name: c for group in groups for name, c in group.conditions.items()}
+    counts = [F.expr(f"count_if({c}) as {name}") for name, c in conditions.items()]
+    wide = ctx.events().groupBy(*ctx.by).agg(F.count("*").alias(ROWS), *counts)
+    structs = [m.as_struct(g.category) for g in groups for m in g.measures]
+    return rows_of(ctx.complete(wide), ctx.by, structs)

@@ -7,125 +7,84 @@ from pyspark.sql import functions as F
 
 from ..context import Context
 from ..functions.measures import Measure, count_of, flag, note, percent_of, to_long
-from ..functions.ratios import change_percent, percent
+from ..functions.ratios import change_percent, percent, quote
+from .pairs import DRUG, entity_totals, of_roles, role_ids
 from .topk import top_k
 
 CATEGORY = "temporal"
 
 
-def entity_months(ctx: Context) -> DataFrame:
-    """Entities with the months they occur in, summed to one row.
-
-    One ``groupBy(entity)`` replaces the full outer, anti and inner joins of
-    the two months.  Columns without ``_any`` ignore the NULL entity; those
-    with it count it as one, and as never seen before.
-    """
-    entity = ctx.profile.entity
-    seen = (ctx.paired().select(*ctx.by, F.col(entity).alias("entity"), "in_cur", "in_prev")
-            .groupBy(*ctx.by, "entity")
-            .agg(F.max("in_cur").alias("cur"), F.max("in_prev").alias("prev")))
-    cur, prev, known = F.col("cur"), F.col("prev"), F.col("entity").isNotNull()
-    return ctx.complete(seen.groupBy(*ctx.by).agg(
-        F.count_if(cur & known).alias("current"),
-        F.count_if(prev & known).alias("previous"),
-        F.count_if(cur & prev & known).alias("both"),
-        F.count_if(cur & ~prev & known).alias("new"),
-        F.count_if(cur).alias("current_any"),
-        F.count_if(prev).alias("previous_any"),
-        F.count_if(cur & (~prev | ~known)).alias("new_any")))
-
-
 def _overlap_measures(ctx: Context) -> list[Measure]:
     limits = ctx.thresholds
-    both, previous = F.col("both"), F.col("previous")
-    new, current = F.col("new"), F.col("current")
-    odd = ((percent(both, previous) < limits.overlap_percent)
-           | (percent(new, current) > limits.new_percent))
-    status = flag(odd, "WARN")
+    status = flag(f"{percent('both', 'entities_prev')} < {limits.overlap_percent}D or "
+                  f"{percent('new', 'entities_cur')} > {limits.new_percent}D", "WARN")
     return [
-        percent_of("patient_overlap", "overlap_percentage", both, previous, "WARN",
+        percent_of("patient_overlap", "overlap_percentage", "both", "entities_prev", "WARN",
                    "entities of the previous month are back", status=status),
-        percent_of("patient_overlap", "new_patients_percentage", new, current, "WARN",
+        percent_of("patient_overlap", "new_patients_percentage", "new", "entities_cur", "WARN",
                    "entities were not in the previous month", status=status)]
 
 
 def _new_measures(ctx: Context) -> list[Measure]:
-    return [percent_of("new_patients", "new_patients_percentage", F.col("new_any"),
-                       F.col("current_any"), "WARN", "entities are new",
-                       limit=ctx.thresholds.new_percent)]
+    return [percent_of("new_patients", "new_patients_percentage", "new_any", "cur_any", "WARN",
+                       "entities are new", limit=ctx.thresholds.new_percent)]
 
 
 def _retention_measures(ctx: Context) -> list[Measure]:
-    return [percent_of("patient_retention", "retention_rate", F.col("both"),
-                       F.col("previous_any"), "WARN", "previous entities are back",
-                       limit=ctx.thresholds.retention_percent, below=True)]
+    return [percent_of("patient_retention", "retention_rate", "both", "prev_any", "WARN",
+                       "previous entities are back", limit=ctx.thresholds.retention_percent,
+                       below=True)]
 
 
 def _count_measures() -> list[Measure]:
     """Plain counts and shares; shares only where both months have entities."""
-    current, previous = F.col("current"), F.col("previous")
-    both, new = F.col("both"), F.col("new")
-    some = (current > 0) & (previous > 0)
-    info = F.lit("INFO")
-    rows = [count_of("patient_count", "current_month", current, None, None,
+    some = "entities_cur > 0 and entities_prev > 0"
+    rows = [count_of("patient_count", "current_month", "entities_cur", None, None,
                      "Distinct entities in the current refresh"),
-            count_of("patient_count", "previous_month", previous, None, None,
+            count_of("patient_count", "previous_month", "entities_prev", None, None,
                      "No entities in the previous refresh; shares are skipped",
-                     keep=(current > 0) & (previous == 0))]
+                     keep="entities_cur > 0 and entities_prev = 0")]
     for check, metric, part, whole in (
-            ("overlapping_patients", "overlap", both, previous),
-            ("appearing_patients", "new", new, current),
-            ("returning_patients", "returning", both, previous)):
+            ("overlapping_patients", "overlap", "both", "entities_prev"),
+            ("appearing_patients", "new", "new", "entities_cur"),
+            ("returning_patients", "returning", "both", "entities_prev")):
         rows += [count_of(check, f"{metric}_count", part, whole, None, "entities", keep=some),
                  percent_of(check, f"{metric}_percentage", part, whole, "WARN", "entities",
-                            keep=some, status=info)]
+                            keep=some, status="'INFO'")]
     return rows
 
 
 def overlap(ctx: Context) -> DataFrame:
-    return to_long(entity_months(ctx), ctx.by, CATEGORY, _overlap_measures(ctx))
+    return to_long(entity_totals(ctx), ctx.by, CATEGORY, _overlap_measures(ctx))
 
 
 def new_entities(ctx: Context) -> DataFrame:
-    return to_long(entity_months(ctx), ctx.by, CATEGORY, _new_measures(ctx))
+    return to_long(entity_totals(ctx), ctx.by, CATEGORY, _new_measures(ctx))
 
 
 def retention(ctx: Context) -> DataFrame:
-    return to_long(entity_months(ctx), ctx.by, CATEGORY, _retention_measures(ctx))
+    return to_long(entity_totals(ctx), ctx.by, CATEGORY, _retention_measures(ctx))
 
 
 def entity_counts(ctx: Context) -> DataFrame:
-    return to_long(entity_months(ctx), ctx.by, CATEGORY, _count_measures())
+    return to_long(entity_totals(ctx), ctx.by, CATEGORY, _count_measures())
 
 
-def entity_family(ctx: Context) -> DataFrame:
-    """All four checks on entities from the same aggregation."""
-    return to_long(entity_months(ctx), ctx.by, CATEGORY, [
-        *_overlap_measures(ctx), *_new_measures(ctx), *_retention_measures(ctx),
-        *_count_measures()])
+def entity_measures(ctx: Context) -> list[Measure]:
+    """All four checks on entities, over ``entity_totals``."""
+    return [*_overlap_measures(ctx), *_new_measures(ctx), *_retention_measures(ctx),
+            *_count_measures()]
 
 
 # -- shifts per code ------------------------------------------------------
 
-def code_changes(ctx: Context) -> DataFrame:
-    """Distinct entities per code in both months, and the change.
-
-    Reduced to (code, entity) pairs first: the pairs spread over all tasks even
-    if one code holds most events, and what is left per code is one count.
-    """
-    profile = ctx.profile
-    pairs = (ctx.paired()
-             .select(*ctx.by, F.col(profile.drug_code).alias("code"),
-                     F.col(profile.entity).alias("entity"), "in_cur", "in_prev")
-             .filter(F.col("code").isNotNull())
-             .groupBy(*ctx.by, "code", "entity")
-             .agg(F.max("in_cur").alias("cur"), F.max("in_prev").alias("prev")))
-    known = F.col("entity").isNotNull()
-    counts = pairs.groupBy(*ctx.by, "code").agg(
-        F.count_if(F.col("cur") & known).alias("current"),
-        F.count_if(F.col("prev") & known).alias("previous"))
-    return (counts.withColumn("change", F.col("current") - F.col("previous"))
-            .withColumn("change_pct", change_percent(F.col("current"), F.col("previous"))))
+def code_changes(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
+    """Distinct entities per drug code in both months, and the change."""
+    ids = role_ids(ctx, [DRUG]) if ids is None else ids
+    return of_roles(ids, [DRUG]).selectExpr(
+        *ctx.by, "id as code", "entities_cur as current", "entities_prev as previous",
+        "entities_cur - entities_prev as change",
+        f"{change_percent('entities_cur', 'entities_prev')} as change_pct")
 
 
 def _change_text() -> Column:
@@ -147,13 +106,11 @@ def _shift_summary(ctx: Context, shifted: DataFrame, order: list[Column], k: int
         .alias("text")))
 
 
-def _shift_measure(found: Column, limits) -> Measure:
-    details = F.concat(
-        found.cast("string"),
-        F.lit(f" codes moved by more than {limits.code_shift_percent:g}%. Top changes: "),
-        F.coalesce("text", F.lit("")))
-    return Measure("medication_changes", "significant_changes_count", found, None, found, found,
-                   flag(found > 0, "WARN"), details)
+def _shift_measure(found: str, limits) -> Measure:
+    text = f" codes moved by more than {limits.code_shift_percent:g}%. Top changes: "
+    return Measure("medication_changes", "significant_changes_count", found, "null", found, found,
+                   flag(f"{found} > 0", "WARN"),
+                   f"concat(string({found}), {quote(text)}, coalesce(text, ''))")
 
 
 def _no_code(ctx: Context) -> DataFrame:
@@ -163,7 +120,7 @@ def _no_code(ctx: Context) -> DataFrame:
         f"Column {ctx.profile.drug_code} not available")])
 
 
-def code_shifts(ctx: Context) -> DataFrame:
+def code_shifts(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     """Codes whose entity count moved by more than the limit.
 
     A code without previous entities has change 0 and is not reported.
@@ -171,23 +128,23 @@ def code_shifts(ctx: Context) -> DataFrame:
     if not ctx.has(ctx.profile.drug_code):
         return _no_code(ctx)
     limits = ctx.thresholds
-    shifted = code_changes(ctx).filter(
+    shifted = code_changes(ctx, ids).filter(
         (F.abs("change_pct") > limits.code_shift_percent)
         & (F.col("current") >= limits.code_shift_minimum))
     summary = _shift_summary(ctx, shifted, [-F.abs("change_pct"), F.col("code")], 5)
-    return to_long(summary, ctx.by, CATEGORY, [_shift_measure(F.col("shifted"), limits)])
+    return to_long(summary, ctx.by, CATEGORY, [_shift_measure("shifted", limits)])
 
 
-def code_shifts_by_count(ctx: Context) -> DataFrame:
+def code_shifts_by_count(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     """Variant: more than the minimum, ranked by count change, reported count capped."""
     if not ctx.has(ctx.profile.drug_code):
         return _no_code(ctx)
     limits = ctx.thresholds
-    shifted = code_changes(ctx).filter(
+    shifted = code_changes(ctx, ids).filter(
         (F.abs("change_pct") > limits.code_shift_percent)
         & (F.col("current") > limits.code_shift_minimum))
     summary = _shift_summary(ctx, shifted, [-F.abs("change"), F.col("code")], 5)
-    capped = F.least(F.col("shifted"), F.lit(limits.code_shift_report))
+    capped = f"least(shifted, {limits.code_shift_report})"
     return to_long(summary, ctx.by, CATEGORY, [_shift_measure(capped, limits)])
 
 
@@ -199,4 +156,6 @@ def skipped_family(ctx: Context) -> DataFrame:
 
 
 def temporal(ctx: Context) -> DataFrame:
-    return entity_family(ctx).unionByName(code_shifts(ctx))
+    ids = role_ids(ctx, [DRUG]) if ctx.has(ctx.profile.drug_code) else None
+    return (to_long(entity_totals(ctx), ctx.by, CATEGORY, entity_measures(ctx))
+            .unionByName(code_shifts(ctx, ids)).unionByName(code_shifts_by_count(ctx, ids)))

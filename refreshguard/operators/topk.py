@@ -49,11 +49,9 @@ def top_with_total(counts: DataFrame, by: Sequence[str], key: str, k: int,
 def share_rows(summary: DataFrame, by: Sequence[str], key: str) -> DataFrame:
     """The top keys as rows ``(key, n, share)``, share in percent."""
     rows = summary.select(*by, "total", F.inline("top"))
-    return rows.select(*by, F.col("key").alias(key), "n", "m",
-                       percent(F.col("n"), F.col("total")).alias("share"))
+    return rows.selectExpr(*by, f"key as {key}", "n", "m", f"{percent('n', 'total')} as share")
 
 
-def top_share(summary_top: Column, total: Column) -> Column:
-    """Share of the first key; 0 without one."""
-    return F.when(F.size(summary_top) > 0,
-                  percent(F.element_at(summary_top, 1)["n"], total)).otherwise(F.lit(0.0))
+def top_share(top: str, total: str) -> str:
+    """Share of the first key, as SQL; 0 without one."""
+    return percent(f"try_element_at({top}, 1).n", total)

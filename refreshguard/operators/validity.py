@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..context import Context
 from ..functions import rules
@@ -15,14 +14,13 @@ from .scan import ROWS, ScanChecks, run_scan
 CATEGORY = "validity"
 
 
-def _rule(checks: ScanChecks, check: str, metric: str, condition: Column, severity: str,
+def _rule(checks: ScanChecks, check: str, metric: str, condition: str, severity: str,
           text: str) -> None:
     """Two rows from one count: the share of all rows, and the count itself."""
     found = checks.count_if(metric, condition)
-    rows = F.col(ROWS)
-    some = rows > 0
-    checks.add(percent_of(check, metric, found, rows, severity, text, keep=some))
-    checks.add(count_of(check, metric.replace("_percent", "_count"), found, rows, severity,
+    some = f"{ROWS} > 0"
+    checks.add(percent_of(check, metric, found, ROWS, severity, text, keep=some))
+    checks.add(count_of(check, metric.replace("_percent", "_count"), found, ROWS, severity,
                         text, keep=some))
 
 
@@ -73,7 +71,7 @@ def rule_set(ctx: Context, only: Sequence[str] | None = None) -> ScanChecks:
 
 def _empty_row():
     return note("overall_validity", "status", "SKIPPED", "INFO", "No events to validate.",
-                keep=F.col(ROWS) == 0)
+                keep=f"{ROWS} = 0")
 
 
 def validity(ctx: Context, only: Sequence[str] | None = None) -> DataFrame:

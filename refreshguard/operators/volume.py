@@ -1,26 +1,20 @@
-"""How much there is of everything, and how it moved since the previous month.
-
-Two frames feed all metrics of the family.  ``entity_totals`` has one row per
-entity on the way (rows, entities, entities per role); ``role_ids`` one row per
-(role, id) with the entities behind it in both months.  A single aggregation
-with a ``count_distinct`` per metric would instead copy every event once per
-distinct expression.
-"""
+"""How much there is of everything, and how it moved since the previous month."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import Context
 from ..functions.measures import Measure, change, compared, count_of, note, to_long
 from ..functions.ratios import change_percent
+from . import pairs
+from .pairs import entity_totals, of_roles, role_ids, role_totals
 from .topk import top_k
 
 CATEGORY = "volume"
-COUNTED_BY_ENTITY = ("provider", "organization", "cohort")
 
 # Check name, count metric, metric of entities with the role,
 # change metric, what is counted.
@@ -39,91 +33,26 @@ ROLES = tuple(ROLE_METRICS)
 
 
 def present_roles(ctx: Context, wanted: Sequence[str] = ROLES) -> list[str]:
-    return [r for r in wanted if ctx.has(ctx.profile.roles.get(r))]
-
-
-# -- the two frames -------------------------------------------------------
-
-def entity_totals(ctx: Context, roles: Sequence[str] = ()) -> DataFrame:
-    """Rows, entities and entities with each role, both months, one wide row."""
-    profile = ctx.profile
-    per_entity = [F.count_if("in_cur").alias("rows_cur"), F.count_if("in_prev").alias("rows_prev"),
-                  F.max("in_cur").alias("cur"), F.max("in_prev").alias("prev")]
-    known = F.col("entity").isNotNull()
-    wide = [F.coalesce(F.sum("rows_cur"), F.lit(0)).alias("records_cur"),
-            F.coalesce(F.sum("rows_prev"), F.lit(0)).alias("records_prev"),
-            F.count_if(F.col("cur") & known).alias("entities_cur"),
-            F.count_if(F.col("prev") & known).alias("entities_prev")]
-    for role in roles:
-        filled = F.col(profile.roles[role]).isNotNull()
-        for month in ("cur", "prev"):
-            name = f"{role}_entities_{month}"
-            per_entity.append(F.max(F.col(f"in_{month}") & filled).alias(name))
-            wide.append(F.count_if(F.col(name) & known).alias(name))
-    rows = ctx.paired().withColumn("entity", F.col(profile.entity))
-    seen = rows.groupBy(*ctx.by, "entity").agg(*per_entity)
-    return ctx.complete(seen.groupBy(*ctx.by).agg(*wide))
-
-
-def role_ids(ctx: Context, roles: Sequence[str],
-             by_entity: Sequence[str] = COUNTED_BY_ENTITY) -> DataFrame:
-    """Ids per role: in which months they occur and how many entities they have.
-
-    Roles outside ``by_entity`` are only counted, so their entity is dropped
-    before the shuffle.  (role, id, entity) triples spread a dominant id over
-    all tasks; the second level sums what is left map-side.
-    """
-    profile = ctx.profile
-    entity = F.col(profile.entity)
-    items = [F.struct(F.lit(r).alias("role"), F.col(profile.roles[r]).cast("string").alias("id"),
-                      (entity if r in by_entity else F.when(F.lit(False), entity)).alias("entity"))
-             for r in roles]
-    triples = (ctx.paired().select(*ctx.by, "in_cur", "in_prev", F.inline(F.array(*items)))
-               .filter(F.col("id").isNotNull())
-               .groupBy(*ctx.by, "role", "id", "entity")
-               .agg(F.max("in_cur").alias("cur"), F.max("in_prev").alias("prev")))
-    known = F.col("entity").isNotNull()
-    return triples.groupBy(*ctx.by, "role", "id").agg(
-        F.max("cur").alias("in_cur"), F.max("prev").alias("in_prev"),
-        F.count_if(F.col("cur") & known).alias("entities_cur"),
-        F.count_if(F.col("prev") & known).alias("entities_prev"))
-
-
-def role_totals(ctx: Context, ids: DataFrame, roles: Sequence[str]) -> DataFrame:
-    """Ids per role and the entities summed over them, one wide row."""
-    wide = []
-    for role in roles:
-        mine = F.col("role") == role
-        for month in ("cur", "prev"):
-            wide.append(F.count_if(mine & F.col(f"in_{month}")).alias(f"{role}_ids_{month}"))
-            entities = F.when(mine, F.col(f"entities_{month}"))
-            wide.append(F.coalesce(F.sum(entities), F.lit(0)).alias(f"{role}_sum_{month}"))
-    return ctx.complete(ids.groupBy(*ctx.by).agg(*wide))
+    return pairs.present_roles(ctx, wanted)
 
 
 # -- measures -------------------------------------------------------------
 
-def _both(name: str) -> tuple[Column, Column]:
-    return F.col(f"{name}_cur"), F.col(f"{name}_prev")
-
-
 def record_measures(ctx: Context) -> list[Measure]:
-    current, previous = _both("records")
-    return [compared("record_count", "current_count_rows", current, previous),
-            change("record_count", "change_percentage", current, previous,
+    return [compared("record_count", "current_count_rows", "records_cur", "records_prev"),
+            change("record_count", "change_percentage", "records_cur", "records_prev",
                    ctx.thresholds.record_change, "records")]
 
 
 def entity_measures(ctx: Context) -> list[Measure]:
-    current, previous = _both("entities")
-    return [compared("patient_count", "current_count_patients", current, previous),
-            change("patient_count", "change_percentage", current, previous,
+    return [compared("patient_count", "current_count_patients", "entities_cur", "entities_prev"),
+            change("patient_count", "change_percentage", "entities_cur", "entities_prev",
                    ctx.thresholds.count_change, "patients")]
 
 
 def id_measures(ctx: Context, role: str) -> list[Measure]:
     check, metric, _, moved, what = ROLE_METRICS[role]
-    current, previous = _both(f"{role}_ids")
+    current, previous = f"{role}_ids_cur", f"{role}_ids_prev"
     return [compared(check, metric, current, previous),
             change(check, moved, current, previous, ctx.thresholds.count_change, what)]
 
@@ -132,7 +61,7 @@ def with_role_measures(ctx: Context, role: str) -> list[Measure]:
     check, _, metric, _, what = ROLE_METRICS[role]
     if metric is None:
         return []
-    current, previous = _both(f"{role}_entities")
+    current, previous = f"{role}_entities_cur", f"{role}_entities_prev"
     rows = [compared(check, metric, current, previous)]
     if role == "cohort":
         rows.append(change(check, "patients_with_cohort_change_percentage", current, previous,
@@ -140,24 +69,21 @@ def with_role_measures(ctx: Context, role: str) -> list[Measure]:
     return rows
 
 
-def _average(role: str, month: str) -> Column:
-    ids, total = F.col(f"{role}_ids_{month}"), F.col(f"{role}_sum_{month}")
-    return F.coalesce(F.try_divide(total.cast("double"), ids.cast("double")), F.lit(0.0))
+def _average(role: str, month: str) -> str:
+    total, ids = f"{role}_sum_{month}", f"{role}_ids_{month}"
+    return f"coalesce(try_divide(double({total}), double({ids})), 0D)"
 
 
 def average_measures(ctx: Context, role: str) -> list[Measure]:
     """Average entities per id, to 2 places, and its change."""
     check = ROLE_METRICS[role][0]
     current, previous = _average(role, "cur"), _average(role, "prev")
-    shown = F.round(current, 2)
-    moved = change(check, "avg_patients_change_percentage", current, previous,
-                   ctx.thresholds.count_change, "average patients")
+    shown = f"round({current}, 2)"
     return [
-        Measure(check, "avg_patients", F.col(f"{role}_sum_cur"), F.col(f"{role}_ids_cur"),
-                shown, shown, F.lit("INFO"),
-                F.concat(F.lit("Previous month: "), F.round(previous, 2).cast("string"))),
-        Measure(moved.check, moved.metric, None, None, moved.value, moved.shown, moved.status,
-                moved.details)]
+        Measure(check, "avg_patients", f"{role}_sum_cur", f"{role}_ids_cur", shown, shown,
+                "'INFO'", f"concat('Previous month: ', string(round({previous}, 2)))"),
+        change(check, "avg_patients_change_percentage", current, previous,
+               ctx.thresholds.count_change, "average patients", counts=False)]
 
 
 def missing_role(role: str) -> Measure:
@@ -186,10 +112,9 @@ def volume_counts(ctx: Context) -> DataFrame:
     def row(metric, value):
         return count_of("volume_counts", metric, value, None, None, "Current month")
 
-    first = [row("record_count", F.col("records_cur")),
-             row("distinct_patient_count", F.col("entities_cur"))]
-    first += [row(f"patients_with_{r}", F.col(f"{r}_entities_cur")) for r in roles if r != "code"]
-    second = [row(f"distinct_{r}_count", F.col(f"{r}_ids_cur")) for r in roles]
+    first = [row("record_count", "records_cur"), row("distinct_patient_count", "entities_cur")]
+    first += [row(f"patients_with_{r}", f"{r}_entities_cur") for r in roles if r != "code"]
+    second = [row(f"distinct_{r}_count", f"{r}_ids_cur") for r in roles]
     return _metrics(ctx, totals, first).unionByName(_metrics(ctx, ids, second))
 
 
@@ -232,30 +157,25 @@ def top_ids(ctx: Context, roles: Sequence[str] = ("provider", "organization"),
     """
     found = present_roles(ctx, roles)
     ids = role_ids(ctx, found) if ids is None else ids
-    current = ids.filter(F.col("in_cur") & F.col("role").isin(list(found)))
+    current = of_roles(ids, found).filter("in_cur")
     best = top_k(current, [*ctx.by, "role"], [F.desc("entities_cur"), F.asc("id")],
                  ctx.thresholds.top_ids)
-    moved = F.when(F.col("entities_prev") > 0,
-                   change_percent(F.col("entities_cur"), F.col("entities_prev")))
-    return best.select(*ctx.by, "role", "id", "entities_cur", "entities_prev",
-                       moved.alias("change_pct"))
+    moved = change_percent("entities_cur", "entities_prev")
+    return best.selectExpr(*ctx.by, "role", "id", "entities_cur", "entities_prev",
+                           f"{moved} as change_pct")
 
 
 def top_id_metrics(ctx: Context, roles: Sequence[str] = ("provider", "organization", "cohort"),
                    ids: DataFrame | None = None) -> DataFrame:
     """One metric row per top id; the previous count is named if there was one."""
     rows = top_ids(ctx, roles, ids)
-    names = F.create_map(*[F.lit(x) for role in ROLES
-                           for x in (role, f"{role}_patient_distribution")])
-    current, previous = F.col("entities_cur"), F.col("entities_prev")
-    details = F.concat(
-        F.lit("Patient count: "), current.cast("string"),
-        F.when(previous > 0, F.format_string(", Previous: %d, Change: %+.2f%%", previous,
-                                             F.col("change_pct"))).otherwise(F.lit("")))
+    details = ("concat('Patient count: ', string(entities_cur), if(entities_prev > 0, "
+               "format_string(', Previous: %d, Change: %+.2f%%', entities_prev, change_pct), ''))")
     long = to_long(rows, [*ctx.by, "role"], CATEGORY, [Measure(
-        "patient_distribution", F.concat("role", F.lit(": "), "id"), current, previous, current,
-        current, F.lit("INFO"), details)])
-    return long.withColumn("check_name", names[F.col("role")]).drop("role")
+        "patient_distribution", "", "entities_cur", "entities_prev", "entities_cur",
+        "entities_cur", "'INFO'", details, metric_sql="concat(role, ': ', id)")])
+    return (long.withColumn("check_name", F.concat("role", F.lit("_"), "check_name"))
+            .drop("role"))
 
 
 # -- cohorts --------------------------------------------------------------
@@ -277,28 +197,27 @@ def cohort_top(ctx: Context) -> DataFrame:
 def cohort_top_summary(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     """The first five cohorts as one text of at most 200 characters."""
     ids = cohort_ids(ctx) if ids is None else ids
-    cohorts = ids.filter((F.col("role") == "cohort") & F.col("in_cur"))
+    cohorts = of_roles(ids, ["cohort"]).filter("in_cur")
     best = top_k(cohorts, ctx.by, [F.desc("entities_cur"), F.asc("id")], 5)
     texts = F.array_sort(F.collect_list(F.struct(
         (-F.col("entities_cur")).alias("position"), "id", "entities_cur")))
     wide = ctx.complete(best.groupBy(*ctx.by).agg(texts.alias("top")))
-    text = F.array_join(F.transform("top", lambda x: F.concat(
-        x["id"], F.lit(": "), x["entities_cur"].cast("string"), F.lit(" patients"))), ", ")
+    text = ("array_join(transform(top, x -> "
+            "concat(x.id, ': ', string(x.entities_cur), ' patients')), ', ')")
     return _metrics(ctx, wide, [Measure(
-        "cohort_patient_distribution", "top_cohorts", shown=F.left(text, F.lit(200)),
-        num=F.size("top"), keep=F.size("top") > 0,
-        details=F.lit("Entities of the largest cohorts"))])
+        "cohort_patient_distribution", "top_cohorts", shown=f"left({text}, 200)",
+        num="size(top)", keep="size(top) > 0",
+        details="'Entities of the largest cohorts'")])
 
 
 def cohort_shift_rows(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     """Every cohort that is new, missing or moved, one row each."""
     ids = cohort_ids(ctx) if ids is None else ids
-    current, previous = F.col("entities_cur"), F.col("entities_prev")
-    moved = F.when(previous > 0, change_percent(current, previous))
+    moved = F.expr(change_percent("entities_cur", "entities_prev"))
     kind = (F.when(F.col("in_cur") & ~F.col("in_prev"), F.lit("new"))
             .when(F.col("in_prev") & ~F.col("in_cur"), F.lit("missing"))
             .when(F.abs(moved) >= ctx.thresholds.cohort_shift_percent, F.lit("changed")))
-    return (ids.filter(F.col("role") == "cohort")
+    return (of_roles(ids, ["cohort"])
             .select(*ctx.by, F.col("id").alias("cohort"), kind.alias("kind"),
                     "in_prev", "entities_cur", "entities_prev", moved.alias("change_pct")))
 
@@ -337,41 +256,35 @@ def _shift_totals(ctx: Context, ids: DataFrame | None) -> DataFrame:
 
 def cohort_shifts(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     """New, missing and moved cohorts as one number; no row when there are none."""
-    total = F.col("n_changed") + F.col("n_new") + F.col("n_missing")
-
-    def part(kind, name):
-        return F.when(F.col(f"n_{kind}") > 0, F.concat(
-            F.lit(f"{name} "), F.col(f"n_{kind}").cast("string"), F.lit(": "),
-            F.col(f"text_{kind}")))
-
-    details = F.concat_ws("; ", part("changed", "Significant changes"),
-                          part("new", "New cohorts"), part("missing", "Missing cohorts"))
+    total = "(n_changed + n_new + n_missing)"
+    parts = ", ".join(
+        f"if(n_{kind} > 0, concat('{name} ', string(n_{kind}), ': ', text_{kind}), null)"
+        for kind, name in (("changed", "Significant changes"), ("new", "New cohorts"),
+                           ("missing", "Missing cohorts")))
     return _metrics(ctx, _shift_totals(ctx, ids), [Measure(
-        "cohort_metrics", "cohort_distribution_changes", total, None, total, total,
-        F.lit("WARN"), details, (F.col("n_previous") > 0) & (total > 0))])
+        "cohort_metrics", "cohort_distribution_changes", total, "null", total, total, "'WARN'",
+        f"concat_ws('; ', {parts})", f"n_previous > 0 and {total} > 0")])
 
 
 def cohort_shifts_by_kind(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     """Variant with a row per kind, compared only where both months have cohorts."""
     limit = ctx.thresholds.cohort_list_warn
-    some = F.col("n_previous") > 0
-    in_current = F.col("n_previous") > F.col("n_missing")
-    some = some & (in_current | (F.col("n_new") > 0))
+    some = "n_previous > 0 and (n_previous > n_missing or n_new > 0)"
 
     def word(count):
-        return F.when(count > limit, F.lit("WARN")).otherwise(F.lit("INFO"))
+        return f"if({count} > {limit}, 'WARN', 'INFO')"
 
-    changed = F.col("n_changed")
-    rows = [Measure("cohort_shifts", "significant_changes", changed, None, changed, word(changed),
-                    F.lit("INFO"), F.left(F.concat(F.lit("Cohorts with significant changes: "),
-                                                   "text_changed"), F.lit(200)),
-                    some & (changed > 0))]
+    rows = [Measure(
+        "cohort_shifts", "significant_changes", "n_changed", "null", "n_changed",
+        word("n_changed"), "'INFO'",
+        "left(concat('Cohorts with significant changes: ', text_changed), 200)",
+        f"{some} and n_changed > 0")]
     for kind in ("new", "missing"):
-        count = F.col(f"n_{kind}")
+        count = f"n_{kind}"
         rows.append(Measure(
-            "cohort_changes", f"{kind}_cohorts", count, None, count, count, word(count),
-            F.left(F.concat(F.lit(f"{kind.capitalize()} cohorts: "), f"text_{kind}"), F.lit(200)),
-            some & (count > 0)))
+            "cohort_changes", f"{kind}_cohorts", count, "null", count, count, word(count),
+            f"left(concat('{kind.capitalize()} cohorts: ', text_{kind}), 200)",
+            f"{some} and {count} > 0"))
     return _metrics(ctx, _shift_totals(ctx, ids), rows)
 
 
@@ -381,7 +294,7 @@ def volume_empty(ctx: Context) -> DataFrame:
     """Rows for input that cannot be counted: no rows, no columns, no roles."""
     wide = ctx.complete(ctx.events().groupBy(*ctx.by).agg(F.count("*").alias("n")))
     rows = [note("data_loading", "source_data", "EMPTY", "WARN", "No rows to count",
-                 F.col("n") == 0)]
+                 "n = 0")]
     essential = (ctx.profile.refresh_date, ctx.profile.entity)
     absent = [c for c in essential if not ctx.has(c)]
     if absent:
@@ -391,27 +304,33 @@ def volume_empty(ctx: Context) -> DataFrame:
     return _metrics(ctx, wide, rows)
 
 
-def volume(ctx: Context) -> DataFrame:
-    """The whole family from the two frames."""
-    if not ctx.has(ctx.profile.refresh_date, ctx.profile.entity):
-        return volume_empty(ctx.with_(scope="all", start=None))
+def total_measures(ctx: Context) -> list[Measure]:
+    """Measures over ``entity_totals`` with the roles present."""
     roles = present_roles(ctx)
-    ids = role_ids(ctx, roles)
-    first = [*record_measures(ctx), *entity_measures(ctx)]
-    second = []
+    rows = [*record_measures(ctx), *entity_measures(ctx)]
     for role in ROLES:
-        if role not in roles:
-            first.append(missing_role(role))
-            continue
-        first += with_role_measures(ctx, role)
-        second += id_measures(ctx, role)
-        if role in ("provider", "organization"):
-            second += average_measures(ctx, role)
-    result = _metrics(ctx, entity_totals(ctx, roles), first)
-    if roles:
-        result = result.unionByName(_metrics(ctx, role_totals(ctx, ids, roles), second))
-        result = result.unionByName(top_id_metrics(ctx, ids=ids))
+        rows += with_role_measures(ctx, role) if role in roles else [missing_role(role)]
+    return rows
+
+
+def id_metrics(ctx: Context, ids: DataFrame) -> DataFrame:
+    """Everything that follows from ``role_ids``."""
+    roles = present_roles(ctx)
+    measures = [m for r in roles for m in id_measures(ctx, r)]
+    measures += [m for r in roles if r in ("provider", "organization")
+                 for m in average_measures(ctx, r)]
+    result = _metrics(ctx, role_totals(ctx, ids, roles), measures)
+    result = result.unionByName(top_id_metrics(ctx, ids=ids))
     if "cohort" in roles:
         for part in (cohort_top_summary, cohort_shifts, cohort_shifts_by_kind):
             result = result.unionByName(part(ctx, ids))
     return result
+
+
+def volume(ctx: Context) -> DataFrame:
+    """The whole family from the two reductions."""
+    if not ctx.has(ctx.profile.refresh_date, ctx.profile.entity):
+        return volume_empty(ctx.with_(scope="all", start=None))
+    roles = present_roles(ctx)
+    result = _metrics(ctx, entity_totals(ctx, roles), total_measures(ctx))
+    return result.unionByName(id_metrics(ctx, role_ids(ctx, roles))) if roles else result

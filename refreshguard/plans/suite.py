@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ..context import Context
 from ..functions.formats import RESULT_SCHEMA, to_results
-from ..functions.measures import METRIC_COLUMNS, METRIC_SCHEMA
-from ..operators import (completeness, consistency, distribution, scan, temporal, uniqueness,
-                         validity, volume)
+from ..functions.measures import METRIC_COLUMNS, METRIC_SCHEMA, rows_of
+from ..operators import (completeness, consistency, distribution, pairs, scan, temporal,
+                         uniqueness, validity, volume)
+from ..operators.shared import SharedFrames
 from ..sources import history
 
 log = logging.getLogger(__name__)
@@ -22,37 +23,25 @@ log = logging.getLogger(__name__)
 Check = Callable[[Context], DataFrame]
 
 
-def _scan_family(make) -> Check:
-    return lambda ctx: scan.run_scan(ctx, *make(ctx))
-
-
-def _scan_consistency(ctx: Context) -> list:
-    return [consistency.date_order_checks(ctx)]
-
-
-# The checks of a family that are plans of their own.  The first entries of
-# completeness, validity and consistency are single-pass and can be fused.
+# Checks that are conditional counts over the events: all of them together are
+# one aggregation.
 SCAN_CHECKS: Mapping[str, Callable[[Context], list]] = {
     "completeness": completeness.family_checks,
     "validity": lambda ctx: [validity.rule_set(ctx)],
-    "consistency": _scan_consistency,
+    "consistency": lambda ctx: [consistency.date_order_checks(ctx)],
 }
-PLAN_CHECKS: Mapping[str, Sequence[Check]] = {
-    "completeness": (),
+# Checks that are plans of their own over shared reductions.
+PLAN_CHECKS: Mapping[str, Sequence[Callable[[Context, SharedFrames], DataFrame]]] = {
     "consistency": (consistency.missing_entities, consistency.outside_enrollment,
                     consistency.outside_enrollment_events, consistency.after_death,
-                    lambda ctx: consistency.after_death(ctx, strict=True),
-                    consistency.missing_providers_by_column,
-                    consistency.missing_providers_pooled, consistency.demographic_stability),
-    "uniqueness": (uniqueness.uniqueness,),
-    "distribution": (distribution.entity_distributions, distribution.event_demo_distribution,
-                     distribution.region_distribution, distribution.event_region_distribution,
-                     distribution.provider_distribution, distribution.cohort_distribution),
-    "temporal": (temporal.temporal, temporal.code_shifts_by_count),
-    "validity": (),
-    "volume": (volume.volume,),
+                    consistency.missing_providers, consistency.demographic_stability),
+    "uniqueness": (lambda ctx, _: uniqueness.uniqueness(ctx),),
+    "distribution": (distribution.demo_distribution, distribution.region_distribution,
+                     distribution.event_region_distribution, distribution.provider_distribution,
+                     lambda ctx, _: _cohorts(ctx)),
 }
-FAMILIES = tuple(PLAN_CHECKS)
+FAMILIES = ("completeness", "consistency", "uniqueness", "distribution", "temporal", "validity",
+            "volume")
 COMPARING = ("temporal", "volume")
 NEEDS = {"consistency": ("demo", "enroll", "mortality", "providers"),
          "distribution": ("demo", "geo")}
@@ -90,8 +79,8 @@ def _check_dimensions(ctx: Context, family: str) -> None:
         raise ValueError(f"{family} needs the dimensions {', '.join(absent)}")
 
 
-def _skips_comparison(ctx: Context, family: str) -> bool:
-    return family in COMPARING and ctx.scope != "range" and ctx.previous is None
+def _skips_comparison(ctx: Context) -> bool:
+    return ctx.scope != "range" and ctx.previous is None
 
 
 def skipped(ctx: Context, families: Iterable[str] = COMPARING) -> DataFrame:
@@ -101,43 +90,75 @@ def skipped(ctx: Context, families: Iterable[str] = COMPARING) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def _cohorts(ctx: Context) -> DataFrame | None:
+    return (distribution.cohort_distribution(ctx) if ctx.has(ctx.profile.cohort_label) else None)
+
+
+def _comparison(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
+    """Temporal and volume metrics from the same two reductions of the months."""
+    if families == ["volume"]:
+        return [volume.volume(ctx)]
+    if families == ["temporal"]:
+        return [temporal.temporal(ctx)]
+    roles = volume.present_roles(ctx)
+    structs = [m.as_struct(temporal.CATEGORY) for m in temporal.entity_measures(ctx)]
+    structs += [m.as_struct(volume.CATEGORY) for m in volume.total_measures(ctx)]
+    ids = pairs.role_ids(ctx, [*roles, *pairs.present_roles(ctx, [pairs.DRUG])])
+    return [rows_of(pairs.entity_totals(ctx, roles), ctx.by, structs),
+            volume.id_metrics(ctx, ids), temporal.code_shifts(ctx, ids),
+            temporal.code_shifts_by_count(ctx, ids)]
+
+
+def _parts(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
+    """The frames of some families; the checks among them share what they can."""
+    groups = [g for f in families if f in SCAN_CHECKS for g in SCAN_CHECKS[f](ctx)]
+    parts = [scan.run_scan(ctx, *groups)] if any(g.measures for g in groups) else []
+    shared = SharedFrames(ctx)
+    for family in families:
+        _check_dimensions(ctx, family)
+        parts += [check(ctx, shared) for check in PLAN_CHECKS.get(family, ())]
+    comparing = [f for f in families if f in COMPARING]
+    if comparing:
+        parts += ([skipped(ctx, comparing)] if _skips_comparison(ctx)
+                  else _comparison(ctx, comparing))
+    return [_plain(ctx, p) for p in parts if p is not None]
+
+
+def _plannable(ctx: Context, families: Sequence[str]) -> tuple[list[str], list[DataFrame]]:
+    """Families that can be planned, and ERROR rows for those that cannot."""
+    good, failed = [], []
+    for family in families:
+        try:
+            _parts(ctx, [family])
+            good.append(family)
+        except Exception as error:  # noqa: BLE001 - any failure becomes a row
+            log.warning("%s could not be planned: %s", family, error)
+            failed.append(_plain(ctx, error_row(ctx, family, error)))
+    return good, failed
+
+
 def family_frame(ctx: Context, family: str) -> DataFrame:
     """All metric rows of one family as one lazy frame."""
-    if _skips_comparison(ctx, family):
-        return _plain(ctx, skipped(ctx, [family]))
-    _check_dimensions(ctx, family)
-    parts = []
-    if family in SCAN_CHECKS:
-        parts.append(_scan_family(SCAN_CHECKS[family])(ctx))
-    parts += [check(ctx) for check in PLAN_CHECKS[family]]
-    return reduce(DataFrame.unionByName, [_plain(ctx, p) for p in parts])
+    return reduce(DataFrame.unionByName, _parts(ctx, select_families([family])))
 
 
 def suite_metrics(ctx: Context, families: Iterable[str] = ("all",),
                   extra: Mapping[str, Check] | None = None) -> DataFrame:
     """Metric rows of the selected families (and own checks) as one lazy frame.
 
-    The single-pass checks of all families share one aggregation.  A family
-    that cannot even be planned becomes an ERROR row; errors at run time are
-    isolated by ``run_suite``.
+    The single-pass checks of all families are one aggregation and the others
+    share their reductions.  A family that cannot even be planned becomes an
+    ERROR row; errors at run time are isolated by ``run_suite``.
     """
     chosen = select_families(families)
-    parts = []
-    shared = [g for f in chosen if f in SCAN_CHECKS for g in SCAN_CHECKS[f](ctx)]
-    if shared:
-        parts.append(scan.run_scan(ctx, *shared))
-    for family in chosen:
-        try:
-            if _skips_comparison(ctx, family):
-                parts.append(skipped(ctx, [family]))
-                continue
-            _check_dimensions(ctx, family)
-            parts += [check(ctx) for check in PLAN_CHECKS[family]]
-        except Exception as error:  # noqa: BLE001 - any failure becomes a row
-            log.warning("%s could not be planned: %s", family, error)
-            parts.append(error_row(ctx, family, error))
-    parts += [check(ctx) for check in (extra or {}).values()]
-    return reduce(DataFrame.unionByName, [_plain(ctx, p) for p in parts])
+    try:
+        parts = _parts(ctx, chosen)
+    except Exception:  # noqa: BLE001 - find out which families fail
+        chosen, parts = _plannable(ctx, chosen)
+        if chosen:
+            parts += _parts(ctx, chosen)
+    parts += [_plain(ctx, check(ctx)) for check in (extra or {}).values()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def suite_results(contexts: Iterable[Context], run_id: str, run_start_time: datetime,
