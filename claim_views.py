@@ -135,10 +135,12 @@ class Dimensions(Mapping):
              "mortality": "patient_mortality", "providers": "providers"}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._sf_dir = spark, sf_dir
+        self._spark, self._sf_dir, self._frames = spark, sf_dir, {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return view(self._spark, self._sf_dir, self.views[name])
+        if name not in self._frames:
+            self._frames[name] = view(self._spark, self._sf_dir, self.views[name])
+        return self._frames[name]
 
     def __iter__(self):
         return iter(self.views)

@@ -138,6 +138,10 @@ class Context:
         return self.spark.range(count, numPartitions=1).select(
             F.add_months(first, F.col("id").cast("int")).alias(MONTH))
 
+    def labels(self) -> DataFrame:
+        """One row per reporting month, for rows that need no data."""
+        return self.spine() if self.by else self.spark.range(1, numPartitions=1)
+
     def complete(self, wide: DataFrame) -> DataFrame:
         """Add the months that have no row; their counts are 0.
 

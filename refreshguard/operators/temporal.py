@@ -114,8 +114,7 @@ def _shift_measure(found: str, limits) -> Measure:
 
 
 def _no_code(ctx: Context) -> DataFrame:
-    wide = ctx.complete(ctx.events().groupBy(*ctx.by).agg(F.count("*").alias("n")))
-    return to_long(wide, ctx.by, CATEGORY, [note(
+    return to_long(ctx.labels(), ctx.by, CATEGORY, [note(
         "medication_changes", "status", "SKIPPED", "INFO",
         f"Column {ctx.profile.drug_code} not available")])
 
@@ -150,8 +149,7 @@ def code_shifts_by_count(ctx: Context, ids: DataFrame | None = None) -> DataFram
 
 def skipped_family(ctx: Context) -> DataFrame:
     """The row that stands for the family when there is no previous month."""
-    wide = ctx.complete(ctx.events().groupBy(*ctx.by).agg(F.count("*").alias("n")))
-    return to_long(wide, ctx.by, CATEGORY, [note(
+    return to_long(ctx.labels(), ctx.by, CATEGORY, [note(
         "execution_status", "status", "SKIPPED", "INFO", "Previous refresh month not provided")])
 
 

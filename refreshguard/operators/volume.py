@@ -97,8 +97,7 @@ def _metrics(ctx: Context, wide: DataFrame, measures: Sequence[Measure]) -> Data
 
 
 def _absent(ctx: Context, roles: Sequence[str]) -> DataFrame:
-    wide = ctx.complete(ctx.events().groupBy(*ctx.by).agg(F.count("*").alias("n")))
-    return _metrics(ctx, wide, [missing_role(r) for r in roles])
+    return _metrics(ctx, ctx.labels(), [missing_role(r) for r in roles])
 
 
 # -- checks ---------------------------------------------------------------
@@ -200,14 +199,15 @@ def cohort_top_summary(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     cohorts = of_roles(ids, ["cohort"]).filter("in_cur")
     best = top_k(cohorts, ctx.by, [F.desc("entities_cur"), F.asc("id")], 5)
     texts = F.array_sort(F.collect_list(F.struct(
-        (-F.col("entities_cur")).alias("position"), "id", "entities_cur")))
+        (-F.col("entities_cur")).alias("position"), "id", "entities_cur", "entities_prev")))
     wide = ctx.complete(best.groupBy(*ctx.by).agg(texts.alias("top")))
     text = ("array_join(transform(top, x -> "
             "concat(x.id, ': ', string(x.entities_cur), ' patients')), ', ')")
     return _metrics(ctx, wide, [Measure(
         "cohort_patient_distribution", "top_cohorts", shown=f"left({text}, 200)",
         num="size(top)", keep="size(top) > 0",
-        details="'Entities of the largest cohorts'")])
+        details="concat('Entities of the largest cohorts. Previous month: ', "
+                "array_join(transform(top, x -> string(x.entities_prev)), ', '))")])
 
 
 def cohort_shift_rows(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
@@ -254,20 +254,18 @@ def _shift_totals(ctx: Context, ids: DataFrame | None) -> DataFrame:
     return ctx.complete(merged)
 
 
-def cohort_shifts(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
-    """New, missing and moved cohorts as one number; no row when there are none."""
+def _shift_measures() -> list[Measure]:
     total = "(n_changed + n_new + n_missing)"
     parts = ", ".join(
         f"if(n_{kind} > 0, concat('{name} ', string(n_{kind}), ': ', text_{kind}), null)"
         for kind, name in (("changed", "Significant changes"), ("new", "New cohorts"),
                            ("missing", "Missing cohorts")))
-    return _metrics(ctx, _shift_totals(ctx, ids), [Measure(
+    return [Measure(
         "cohort_metrics", "cohort_distribution_changes", total, "null", total, total, "'WARN'",
-        f"concat_ws('; ', {parts})", f"n_previous > 0 and {total} > 0")])
+        f"concat_ws('; ', {parts})", f"n_previous > 0 and {total} > 0")]
 
 
-def cohort_shifts_by_kind(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
-    """Variant with a row per kind, compared only where both months have cohorts."""
+def _shift_measures_by_kind(ctx: Context) -> list[Measure]:
     limit = ctx.thresholds.cohort_list_warn
     some = "n_previous > 0 and (n_previous > n_missing or n_new > 0)"
 
@@ -285,7 +283,17 @@ def cohort_shifts_by_kind(ctx: Context, ids: DataFrame | None = None) -> DataFra
             "cohort_changes", f"{kind}_cohorts", count, "null", count, count, word(count),
             f"left(concat('{kind.capitalize()} cohorts: ', text_{kind}), 200)",
             f"{some} and {count} > 0"))
-    return _metrics(ctx, _shift_totals(ctx, ids), rows)
+    return rows
+
+
+def cohort_shifts(ctx: Context) -> DataFrame:
+    """New, missing and moved cohorts as one number; no row when there are none."""
+    return _metrics(ctx, _shift_totals(ctx, None), _shift_measures())
+
+
+def cohort_shifts_by_kind(ctx: Context) -> DataFrame:
+    """Variant with a row per kind, compared only where both months have cohorts."""
+    return _metrics(ctx, _shift_totals(ctx, None), _shift_measures_by_kind(ctx))
 
 
 # -- nothing to count -----------------------------------------------------
@@ -322,8 +330,9 @@ def id_metrics(ctx: Context, ids: DataFrame) -> DataFrame:
     result = _metrics(ctx, role_totals(ctx, ids, roles), measures)
     result = result.unionByName(top_id_metrics(ctx, ids=ids))
     if "cohort" in roles:
-        for part in (cohort_top_summary, cohort_shifts, cohort_shifts_by_kind):
-            result = result.unionByName(part(ctx, ids))
+        shifts = [*_shift_measures(), *_shift_measures_by_kind(ctx)]
+        result = (result.unionByName(cohort_top_summary(ctx, ids))
+                  .unionByName(_metrics(ctx, _shift_totals(ctx, ids), shifts)))
     return result
 
 
