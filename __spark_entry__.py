@@ -191,8 +191,11 @@ def _latest(spark, sf):
 
 
 def _ages(spark, sf):
-    demo = snapshots.demographics(_all(spark, sf), cv.AGE_AS_OF)
-    return demo.groupBy("age_group").agg(F.count("*").alias("n"))
+    ctx = _all(spark, sf)
+    entities = cv.view(spark, sf, "patient_demo").select(
+        F.col("patient_id").alias("entity")).distinct()
+    aged = snapshots.with_demographics(ctx, entities, cv.AGE_AS_OF).filter("linked")
+    return aged.groupBy("age_group").agg(F.count("*").alias("n"))
 
 
 # -- checks ---------------------------------------------------------------
@@ -276,13 +279,6 @@ def _cohort_top(spark, sf):
     return _by_month(volume.cohort_top(_months(spark, sf)))
 
 
-def _volume_change(spark, sf):
-    frame = volume.volume(_months(spark, sf))
-    named = F.col("metric_name").endswith("change_percentage")
-    averages = F.col("metric_name").startswith("avg_")
-    return _rows(frame.filter(named & ~averages))
-
-
 def _role(role, metric=None):
     return _monthly(lambda ctx: volume.role_metrics(ctx, role), metric=metric)
 
@@ -381,7 +377,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "organization_metrics": _role("organization"),
         "payer_metrics": _role("payer"),
         "cohort_metrics": _role("cohort"),
-        "volume_change": _volume_change,
+        "volume_change": _monthly(volume.changes),
         "cohort_patients_change": _role("cohort", "patients_with_cohort_change_percentage"),
         "avg_patients_per_provider": _monthly(volume.averages, metric="avg_patients"),
         "avg_patients_change": _monthly(volume.averages, metric="avg_patients_change_percentage"),

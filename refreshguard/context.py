@@ -23,6 +23,7 @@ from .profile import DimensionColumns, TableProfile, Thresholds
 from .sources.tables import sample
 
 MONTH = "month"
+OWN = "own"
 
 
 @dataclass(frozen=True)
@@ -84,52 +85,77 @@ class Context:
         return (self._source().filter(months.in_months(refresh, self.start, self.month))
                 .withColumn(MONTH, months.month_start(refresh)))
 
-    def paired(self) -> DataFrame:
-        """Event rows marked ``in_cur`` / ``in_prev`` for a month comparison.
+    def compared(self) -> DataFrame:
+        """Event rows of the compared months with their own refresh month ``own``."""
+        refresh = F.col(self.profile.refresh_date)
+        if self.scope == "range":
+            wanted = months.in_months(refresh, months.shift(self.start, -1), self.month)
+        else:
+            wanted = months.in_months(refresh, self.month)
+            if self.previous:
+                wanted = wanted | months.in_months(refresh, self.previous)
+        return self._source().filter(wanted).withColumn(OWN, months.month_start(refresh))
+
+    def pair(self, rows: DataFrame) -> DataFrame:
+        """Mark rows with an ``own`` month ``in_cur`` / ``in_prev`` of a comparison.
 
         In a range each row is the current month's row once and the previous
         month's row of the following month once; a month without data therefore
         compares against nothing, not against the last month that had some.
         """
-        refresh = F.col(self.profile.refresh_date)
+        others = [c for c in rows.columns if c != OWN]
         if self.scope != "range":
-            current = months.in_months(refresh, self.month)
-            previous = (months.in_months(refresh, self.previous) if self.previous
-                        else F.lit(False))
-            return (self._source().filter(current | previous)
-                    .withColumn("in_cur", current).withColumn("in_prev", previous))
-        own = months.month_start(refresh)
-        roles = F.array(
-            F.struct(own.alias(MONTH), F.lit(True).alias("in_cur"), F.lit(False).alias("in_prev")),
-            F.struct(F.add_months(own, 1).alias(MONTH), F.lit(False).alias("in_cur"),
-                     F.lit(True).alias("in_prev")))
-        return (self._source()
-                .filter(months.in_months(refresh, months.shift(self.start, -1), self.month))
-                .select("*", F.inline(roles))
-                .filter(months.in_months(F.col(MONTH), self.start, self.month)))
+            current = F.col(OWN) == F.lit(months.first_day(self.month))
+            previous = (F.col(OWN) == F.lit(months.first_day(self.previous))
+                        if self.previous else F.lit(False))
+            return rows.select(*others, current.alias("in_cur"), previous.alias("in_prev"))
+        sides = rows.selectExpr(*others, (
+            f"inline(array(named_struct('{MONTH}', {OWN}, 'in_cur', true, 'in_prev', false), "
+            f"named_struct('{MONTH}', add_months({OWN}, 1), 'in_cur', false, 'in_prev', true)))"))
+        return sides.filter(months.in_months(F.col(MONTH), self.start, self.month))
+
+    def paired(self) -> DataFrame:
+        """Event rows marked for a month comparison."""
+        return self.pair(self.compared())
+
+    @property
+    def accumulates(self) -> bool:
+        """Whether every month of a range sees all snapshots up to it."""
+        return self.scope == "range" and self.snapshot == "upto"
 
     def dimension(self, name: str, *columns: str) -> DataFrame:
-        """A snapshot dimension as known for the month(s) in scope.
+        """The snapshots of a dimension that the scope can see.
 
         ``exact`` keeps the snapshot of the month itself, ``upto`` every
-        snapshot not later than it.  In a range each row is repeated for the
-        months that can see it, at most the length of the range.
+        snapshot not later than it.  In a range the rows carry a month: their
+        own one, which for ``upto`` is the first month that sees the row.
         """
         refresh_name = self.names.refresh_date
         refresh = F.col(refresh_name)
         table = self.dimensions[name].select(refresh_name, *columns)
+        if self.snapshot == "exact":
+            seen = months.in_months(refresh, self.start or self.month, self.month)
+        else:
+            seen = months.before_month_end(refresh, self.month)
+        table = table.filter(seen)
         if self.scope != "range":
-            if self.snapshot == "exact":
-                return table.filter(months.in_months(refresh, self.month))
-            return table.filter(months.before_month_end(refresh, self.month))
+            return table
         own = months.month_start(refresh)
-        if self.snapshot == "exact":
-            return (table.filter(months.in_months(refresh, self.start, self.month))
-                    .withColumn(MONTH, own))
-        first, last = (F.lit(months.first_day(m)) for m in (self.start, self.month))
-        seen_by = F.sequence(F.greatest(own, first), last, F.expr("interval 1 month"))
-        return (table.filter(months.before_month_end(refresh, self.month))
-                .withColumn(MONTH, F.explode(seen_by)))
+        if self.snapshot == "upto":
+            own = F.greatest(own, F.lit(months.first_day(self.start)))
+        return table.withColumn(MONTH, own)
+
+    def repeat_for_months(self, rows: DataFrame) -> DataFrame:
+        """Rows of ``dimension`` once for every month that sees them.
+
+        Only a range with ``upto`` snapshots repeats anything, each row at most
+        for the length of the range.
+        """
+        if not self.accumulates:
+            return rows
+        last = F.lit(months.first_day(self.month))
+        return rows.withColumn(MONTH, F.explode(F.sequence(
+            F.col(MONTH), last, F.expr("interval 1 month"))))
 
     def spine(self) -> DataFrame:
         """One row per month of the range."""

@@ -10,7 +10,7 @@ from ..functions import rules
 from ..functions.measures import count_of, flag, note, percent_of, to_long
 from . import snapshots
 from .intervals import uncovered
-from .joins import sliced_join
+from .joins import join_intervals
 from .scan import ROWS, ScanChecks, run_scan
 from .shared import SharedFrames
 
@@ -57,16 +57,10 @@ def date_order(ctx: Context) -> DataFrame:
 
 # -- references -----------------------------------------------------------
 
-def missing_keys(ids: DataFrame, known: DataFrame, by: list[str], key: str,
-                 group: list[str]) -> DataFrame:
-    """Ids, each once, and how many of them the dimension lacks, per ``group``.
-
-    Both sides are distinct, so the join meets each key once; a NULL id meets
-    nothing and counts as missing.
-    """
-    marked = ids.join(known.withColumn("known", F.lit(True)), [*by, key], "left")
-    return marked.groupBy(*group).agg(
-        F.count("*").alias("n_ids"), F.count_if(F.col("known").isNull()).alias("n_missing"))
+def count_missing(ctx: Context, marked: DataFrame) -> DataFrame:
+    """Ids, each once, and how many of them are not ``known``."""
+    return marked.groupBy(*ctx.by).agg(
+        F.count("*").alias("n_ids"), F.expr("count_if(not known) as n_missing"))
 
 
 def missing_entities(ctx: Context, shared: SharedFrames | None = None,
@@ -79,9 +73,8 @@ def missing_entities(ctx: Context, shared: SharedFrames | None = None,
         ids = ctx.events().select(*ctx.by, F.col(entity).alias("entity")).distinct()
     else:
         ids = shared.entities.filter("n_events > 0").drop("n_events")
-    known = snapshots.known_keys(ctx, "demo", ctx.names.entity).withColumnRenamed(
-        ctx.names.entity, "entity")
-    wide = ctx.complete(missing_keys(ids, known, ctx.by, "entity", ctx.by))
+    marked = snapshots.mark_known(ctx, ids, "demo", ctx.names.entity, "entity")
+    wide = ctx.complete(count_missing(ctx, marked))
     text = "entities have no demographics"
     return to_long(wide, ctx.by, CATEGORY, [
         percent_of("patient_demographics", "missing_patient_percent", "n_missing", "n_ids", "WARN",
@@ -100,15 +93,12 @@ def missing_providers(ctx: Context, shared: SharedFrames | None = None,
     if not columns:
         return _skipped(ctx, "provider_ids", "No provider column found")
     ids = (shared or SharedFrames(ctx)).providers
-    key = ctx.names.provider
-    known = (snapshots.known_keys(ctx, "providers", key).withColumnRenamed(key, "id")
-             .withColumn("known", F.lit(True)))
-    counts = ["count(*) as n_ids", "count_if(known is null) as n_missing"]
+    marked = snapshots.mark_known(ctx, ids, "providers", ctx.names.provider, "id")
+    counts = ["count(*) as n_ids", "count_if(not known) as n_missing"]
     for c in columns:
         counts += [f"count_if(n_{c} > 0) as ids_{c}",
-                   f"count_if(n_{c} > 0 and known is null) as missing_{c}"]
-    wide = ctx.complete(ids.join(known, [*ctx.by, "id"], "left").groupBy(*ctx.by)
-                        .agg(*[F.expr(c) for c in counts]))
+                   f"count_if(n_{c} > 0 and not known) as missing_{c}"]
+    wide = ctx.complete(marked.groupBy(*ctx.by).agg(*[F.expr(c) for c in counts]))
     measures = []
     if by_column:
         measures += [percent_of(
@@ -129,7 +119,7 @@ def outside_enrollment(ctx: Context, shared: SharedFrames | None = None) -> Data
     if not ctx.has(ctx.profile.entity):
         return _skipped(ctx, "enrollment_periods", f"Column {ctx.profile.entity} not found")
     days = (shared or SharedFrames(ctx)).days
-    wide = uncovered(ctx, days, snapshots.enrollment(ctx))
+    wide = uncovered(ctx, days, ctx.repeat_for_months(snapshots.enrollment(ctx)))
     return to_long(wide, ctx.by, CATEGORY, [percent_of(
         "enrollment_periods", "outside_enrollment_percent", "n_outside", "n", "WARN",
         "events are outside every enrollment period")])
@@ -140,11 +130,7 @@ def outside_enrollment_events(ctx: Context, shared: SharedFrames | None = None)
     if not ctx.has(ctx.profile.entity):
         return _skipped(ctx, "enrollment_periods", f"Column {ctx.profile.entity} not found")
     shared = shared or SharedFrames(ctx)
-    inside = F.expr("l.day >= r.first_day and l.day <= r.last_day")
-    outside = sliced_join(
-        shared.events, snapshots.enrollment(ctx).distinct(),
-        shared.entities.withColumnRenamed("n_events", "size"), [*ctx.by, "entity"], inside,
-        "left_anti", "event_id", ctx.rows_per_slice)
+    outside = join_intervals(ctx, shared, snapshots.enrollment(ctx), "left_anti")
     # distinct() keeps a NULL event id, count_distinct() would not.
     ids = outside.select(*ctx.by, "event_id").distinct()
     wide = ctx.complete(ids.groupBy(*ctx.by).agg(F.count("*").alias("n_outside")))
@@ -164,8 +150,7 @@ def after_death(ctx: Context, shared: SharedFrames | None = None, grace_days: in
     if not ctx.has(ctx.profile.entity):
         return _skipped(ctx, "mortality_dates", f"Column {ctx.profile.entity} not found")
     grace = ctx.thresholds.death_grace_days if grace_days is None else grace_days
-    dead = snapshots.deaths(ctx).withColumnRenamed(ctx.names.entity, "entity")
-    joined = (shared or SharedFrames(ctx)).days.join(dead, [*ctx.by, "entity"], "left")
+    joined = snapshots.with_death(ctx, (shared or SharedFrames(ctx)).days)
     wide = ctx.complete(joined.groupBy(*ctx.by).agg(*[
         F.expr(f"coalesce(sum(if({condition}, n, 0)), 0) as {name}")
         for name, condition in (("n", "death is not null"),

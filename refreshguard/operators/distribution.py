@@ -12,7 +12,7 @@ from ..functions.measures import Measure, flag, note, to_long
 from ..functions.ratios import percent, quote, share_list, share_text
 from . import snapshots
 from .intervals import region_counts
-from .joins import sliced_join
+from .joins import join_intervals
 from .shared import SharedFrames
 from .topk import top_share, top_with_total
 
@@ -27,7 +27,6 @@ def _demo_totals(ctx: Context, shared: SharedFrames | None, as_of: date | None)
     Events are counted per entity first, so the join with demographics meets
     every entity once however many events it has.
     """
-    demo = snapshots.demographics(ctx, as_of).withColumnRenamed(ctx.names.entity, "entity")
     if shared is None:
         entities = (ctx.events().select(*ctx.by, F.col(ctx.profile.entity).alias("entity"))
                     .groupBy(*ctx.by, "entity").agg(F.count("*").alias("n_events")))
@@ -40,7 +39,7 @@ def _demo_totals(ctx: Context, shared: SharedFrames | None, as_of: date | None)
     for name, condition in conditions.items():
         counts.append(f"count_if({condition}) as {name}")
         counts.append(f"coalesce(sum(if(linked and ({condition}), n_events, 0)), 0) as ev_{name}")
-    rows = entities.join(demo, [*ctx.by, "entity"], "left")
+    rows = snapshots.with_demographics(ctx, entities, as_of)
     return ctx.complete(rows.groupBy(*ctx.by).agg(*[F.expr(c) for c in counts]))
 
 
@@ -119,7 +118,7 @@ def region_summary(ctx: Context, shared: SharedFrames | None = None) -> DataFram
     if none does.
     """
     days = (shared or SharedFrames(ctx)).days
-    counts = region_counts(ctx, days, snapshots.regions(ctx))
+    counts = region_counts(ctx, days, ctx.repeat_for_months(snapshots.regions(ctx)))
     return ctx.complete(top_with_total(counts, ctx.by, "region", ctx.thresholds.top_shares))
 
 
@@ -131,11 +130,7 @@ def region_distribution(ctx: Context, shared: SharedFrames | None = None) -> Dat
 def event_region_counts(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """Distinct event ids per region; unlinked events are left out."""
     shared = shared or SharedFrames(ctx)
-    inside = F.expr("l.day >= r.first_day and l.day <= r.last_day")
-    pairs = sliced_join(
-        shared.events, snapshots.regions(ctx).distinct(),
-        shared.entities.withColumnRenamed("n_events", "size"), [*ctx.by, "entity"], inside,
-        "inner", "event_id", ctx.rows_per_slice)
+    pairs = join_intervals(ctx, shared, snapshots.regions(ctx), "inner")
     by = [F.col(f"l.{b}").alias(b) for b in ctx.by]
     return (pairs.select(*by, "r.region", "l.event_id").distinct()
             .groupBy(*ctx.by, "region").agg(F.count("*").alias("n")))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..context import Context
+from ..context import OWN, Context
 
 DRUG = "drug"
 ROLE_NAMES = ("code", "provider", "organization", "payer", "cohort", DRUG)
@@ -62,8 +62,8 @@ def role_ids(ctx: Context, roles: Sequence[str],
     """Ids per role: in which months they occur and how many entities they have.
 
     Roles outside ``by_entity`` are only counted, so their entity is dropped
-    before the shuffle.  (role, id, entity) triples spread a dominant id over
-    all tasks; the second level sums what is left map-side.
+    before the shuffle.  Distinct (month, role, id, entity) rows spread a
+    dominant id over all tasks; the second level sums what is left map-side.
 
     ``role_no`` repeats the role as an aggregate: a filter on it stays above
     the shuffle, which several users can then share.
@@ -72,14 +72,13 @@ def role_ids(ctx: Context, roles: Sequence[str],
     items = ", ".join(
         f"named_struct('role', '{r}', 'id', cast({role_column(ctx, r)} as string), 'entity', "
         f"{entity if r in by_entity else f'if(false, {entity}, null)'})" for r in roles)
-    triples = (ctx.paired().selectExpr(*ctx.by, "in_cur", "in_prev", f"inline(array({items}))")
-               .filter("id is not null").groupBy(*ctx.by, "role", "id", "entity")
-               .agg(F.max("in_cur").alias("cur"), F.max("in_prev").alias("prev")))
+    triples = (ctx.compared().selectExpr(OWN, f"inline(array({items}))")
+               .filter("id is not null").distinct())
     numbers = " ".join(f"when '{r}' then {ROLE_NAMES.index(r)}" for r in roles)
-    return triples.groupBy(*ctx.by, "role", "id").agg(*[F.expr(e) for e in (
-        "max(cur) as in_cur", "max(prev) as in_prev",
-        "count_if(cur and entity is not null) as entities_cur",
-        "count_if(prev and entity is not null) as entities_prev",
+    return ctx.pair(triples).groupBy(*ctx.by, "role", "id").agg(*[F.expr(e) for e in (
+        "max(in_cur) as in_cur", "max(in_prev) as in_prev",
+        "count_if(in_cur and entity is not null) as entities_cur",
+        "count_if(in_prev and entity is not null) as entities_prev",
         f"max(case role {numbers} end) as role_no")])
 
 

@@ -1,14 +1,15 @@
-"""Latest row per key of a snapshot dimension, and ages."""
+"""Snapshot dimensions: known keys, latest rows, intervals, ages."""
 
 from __future__ import annotations
 
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..context import Context
+from ..context import MONTH, Context
 
 
 def latest_per_key(table: DataFrame, keys: list[str], order: str, *payload: str) -> DataFrame:
@@ -23,10 +24,47 @@ def latest_per_key(table: DataFrame, keys: list[str], order: str, *payload: str)
     return table.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
-def known_keys(ctx: Context, name: str, key: str) -> DataFrame:
-    """Distinct keys of a dimension: the latest row's payload is not needed."""
-    return (ctx.dimension(name, key).filter(F.col(key).isNotNull())
-            .select(*ctx.by, key).distinct())
+def mark_known(ctx: Context, ids: DataFrame, name: str, key: str, column: str) -> DataFrame:
+    """Add ``known``: does a visible snapshot of the dimension have the id?
+
+    Each key of the dimension meets the ids once.  Over months that accumulate
+    snapshots a key is known from its first month on, so nothing is repeated
+    per month.  A NULL id is never known.
+    """
+    keys = (ctx.dimension(name, key).filter(F.col(key).isNotNull())
+            .withColumnRenamed(key, column))
+    if ctx.accumulates:
+        since = keys.groupBy(column).agg(F.min(MONTH).alias("since"))
+        return (ids.join(since, column, "left")
+                .withColumn("known", F.coalesce(F.col("since") <= F.col(MONTH), F.lit(False)))
+                .drop("since"))
+    seen = keys.select(*ctx.by, column).distinct().withColumn("seen", F.lit(True))
+    return (ids.join(seen, [*ctx.by, column], "left")
+            .withColumn("known", F.coalesce("seen", F.lit(False))).drop("seen"))
+
+
+def attach_latest(ctx: Context, rows: DataFrame, table: DataFrame, *payload: str) -> DataFrame:
+    """Add the latest visible snapshot of each row's ``entity`` as ``latest``.
+
+    ``table`` comes from ``Context.dimension`` with an ``entity`` column.  Over
+    months that accumulate snapshots this is an as-of join: rows and snapshots
+    lie on one time line per entity and each row takes the last snapshot before
+    it.  Snapshots are reduced to one per entity and month first.
+    """
+    refresh = ctx.names.refresh_date
+    table = table.filter("entity is not null")
+    latest = (table.groupBy(*ctx.by, "entity")
+              .agg(F.max(F.struct(refresh, *payload)).alias("latest")))
+    if not ctx.accumulates:
+        return rows.join(latest, [*ctx.by, "entity"], "left")
+    others = [c for c in rows.columns if c not in (MONTH, "entity")]
+    both = (rows.withColumn("latest", F.lit(None).cast(latest.schema["latest"].dataType))
+            .withColumn("is_row", F.lit(True))
+            .unionByName(latest.withColumn("is_row", F.lit(False)), allowMissingColumns=True))
+    so_far = (W.partitionBy("entity").orderBy(MONTH, "is_row")
+              .rowsBetween(W.unboundedPreceding, W.currentRow))
+    return (both.withColumn("latest", F.last("latest", ignorenulls=True).over(so_far))
+            .filter("is_row").select(MONTH, "entity", *others, "latest"))
 
 
 def birth_year(table: DataFrame, column: str) -> Column:
@@ -45,39 +83,46 @@ def age_group(age: Column) -> Column:
 AGE_GROUPS = ("0-17", "18-44", "45-64", "65+", "Unknown")
 
 
-def demographics(ctx: Context, as_of: date | None = None) -> DataFrame:
-    """Latest gender and age group per entity."""
+def with_demographics(ctx: Context, rows: DataFrame, as_of: date | None = None) -> DataFrame:
+    """Add ``linked``, ``gender`` and ``age_group`` to rows with an ``entity``."""
     n = ctx.names
-    table = ctx.dimension("demo", n.entity, n.gender, n.birth)
-    latest = latest_per_key(table, [*ctx.by, n.entity], n.refresh_date, n.gender, n.birth)
-    age = F.lit((as_of or ctx.as_of).year) - birth_year(table, n.birth)
-    return latest.select(*ctx.by, n.entity, F.upper(n.gender).alias("gender"),
-                         age_group(age).alias("age_group"), F.lit(True).alias("linked"))
-
-
-def deaths(ctx: Context) -> DataFrame:
-    """Latest known death date per entity."""
+    table = ctx.dimension("demo", n.entity, n.gender, n.birth).withColumnRenamed(
+        n.entity, "entity")
+    table = table.withColumn("birth", birth_year(table, n.birth)).withColumn(
+        "gender", F.upper(n.gender))
+    age = F.lit((as_of or ctx.as_of).year) - F.col("latest.birth")
+    return (attach_latest(ctx, rows, table, "gender", "birth")
+            .withColumn("linked", F.col("latest").isNotNull())
+            .withColumn("gender", F.col("latest.gender"))
+            .withColumn("age_group", F.when(F.col("linked"), age_group(age))))
+
+
+def with_death(ctx: Context, rows: DataFrame) -> DataFrame:
+    """Add the latest known ``death`` date to rows with an ``entity``."""
     n = ctx.names
     table = (ctx.dimension("mortality", n.entity, n.death_date)
-             .filter(F.col(n.death_date).isNotNull() & F.col(n.entity).isNotNull()))
-    latest = latest_per_key(table, [*ctx.by, n.entity], n.refresh_date, n.death_date)
-    return latest.select(*ctx.by, n.entity, F.to_date(n.death_date).alias("death"))
+             .withColumnRenamed(n.entity, "entity")
+             .withColumn("death", F.to_date(n.death_date)).filter("death is not null"))
+    return attach_latest(ctx, rows, table, "death").withColumn("death", F.col("latest.death"))
 
 
 def enrollment(ctx: Context) -> DataFrame:
     n = ctx.names
-    return (ctx.dimension("enroll", n.entity, n.enroll_start, n.enroll_end)
-            .select(*ctx.by, F.col(n.entity).alias("entity"),
-                    F.to_date(n.enroll_start).alias("first_day"),
-                    F.to_date(n.enroll_end).alias("last_day"))
-            .dropna(subset=["entity", "first_day", "last_day"]))
+    return _intervals(ctx, "enroll", n.enroll_start, n.enroll_end)
 
 
 def regions(ctx: Context) -> DataFrame:
     n = ctx.names
-    return (ctx.dimension("geo", n.entity, n.region_from, n.region_to, n.region)
-            .select(*ctx.by, F.col(n.entity).alias("entity"),
-                    F.to_date(n.region_from).alias("first_day"),
-                    F.to_date(n.region_to).alias("last_day"),
-                    F.col(n.region).alias("region"))
-            .dropna(subset=["entity", "first_day", "last_day", "region"]))
+    return _intervals(ctx, "geo", n.region_from, n.region_to, n.region)
+
+
+def _intervals(ctx: Context, name: str, first: str, last: str,
+               region: str | None = None) -> DataFrame:
+    """Complete intervals: ``entity``, ``first_day``, ``last_day``, ``region``."""
+    n = ctx.names
+    extra = [region] if region else []
+    columns = ["entity", "first_day", "last_day", *(["region"] if region else [])]
+    return ctx.dimension(name, n.entity, first, last, *extra).select(
+        *ctx.by, F.col(n.entity).alias("entity"), F.to_date(first).alias("first_day"),
+        F.to_date(last).alias("last_day"),
+        *[F.col(c).alias("region") for c in extra]).dropna(subset=columns)

@@ -336,6 +336,20 @@ def id_metrics(ctx: Context, ids: DataFrame) -> DataFrame:
     return result
 
 
+def changes(ctx: Context) -> DataFrame:
+    """Only the changes of the counts against the previous month."""
+    roles = present_roles(ctx)
+    first = [*record_measures(ctx), *entity_measures(ctx)]
+    first += [m for r in roles for m in with_role_measures(ctx, r)]
+    second = [m for r in roles for m in id_measures(ctx, r)]
+    moved = [[m for m in rows if m.metric.endswith("change_percentage")]
+             for rows in (first, second)]
+    with_share = [r for r in roles if r == "cohort"]
+    ids = role_totals(ctx, role_ids(ctx, roles, by_entity=()), roles)
+    return (_metrics(ctx, entity_totals(ctx, with_share), moved[0])
+            .unionByName(_metrics(ctx, ids, moved[1])))
+
+
 def volume(ctx: Context) -> DataFrame:
     """The whole family from the two reductions."""
     if not ctx.has(ctx.profile.refresh_date, ctx.profile.entity):
