@@ -22,6 +22,28 @@ from pyspark.sql import functions as F
 from ..context import Context
 
 
+def edge_days(intervals: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key and day, by how many the number of open intervals changes.
+
+    An interval opens on its first day and closes on the day after its last; a
+    reversed one contains no day and is left out.
+    """
+    edges = intervals.filter("first_day <= last_day").selectExpr(
+        *keys, "inline(array(named_struct('day', first_day, 'edge', 1), "
+        "named_struct('day', date_add(last_day, 1), 'edge', -1)))")
+    return edges.groupBy(*keys, "day").agg(F.sum("edge").alias("opened"))
+
+
+def merge(intervals: DataFrame, keys: list[str]) -> DataFrame:
+    """The same days as disjoint intervals, so that a day is in at most one per key."""
+    line = W.partitionBy(*keys).orderBy("day")
+    open_now = F.sum("opened").over(line.rowsBetween(W.unboundedPreceding, W.currentRow))
+    turns = (edge_days(intervals, keys).filter("opened <> 0").withColumn("open", open_now)
+             .filter("open = 0 or open = opened"))
+    return (turns.withColumn("end", F.lead("day").over(line)).filter("open > 0")
+            .selectExpr(*keys, "day as first_day", "date_sub(end, 1) as last_day"))
+
+
 def calendar(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
     """Day rows with running totals.
 
@@ -33,13 +55,8 @@ def calendar(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
     region = ["region"] if "region" in intervals.columns else []
     events = days.selectExpr(*keys, *(f"cast(null as string) as {r}" for r in region),
                              "true as is_event", "n", "0L as opened")
-    # A reversed interval contains no day.
-    edges = (intervals.filter("first_day <= last_day").selectExpr(
-        *ctx.by, "entity", *region,
-        "inline(array(named_struct('day', first_day, 'edge', 1), "
-        "named_struct('day', date_add(last_day, 1), 'edge', -1)))")
-        .groupBy(*keys, *region).agg(F.sum("edge").alias("opened"))
-        .selectExpr(*keys, *region, "false as is_event", "0L as n", "opened"))
+    edges = edge_days(intervals, [*ctx.by, "entity", *region]).selectExpr(
+        *keys, *region, "false as is_event", "0L as n", "opened")
     # Edges come before the events of their day: an interval covers its first
     # day and has ended on the day after its last.
     so_far = (W.partitionBy(*ctx.by, "entity").orderBy("day", "is_event")
