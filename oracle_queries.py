@@ -509,7 +509,8 @@ def volume_totals(s: Scope) -> list[str]:
     rows = [row(v, "record_count", "current_count_rows", "n", "n_p", "n"),
             _moved("record_count", "change_percentage", "n", 0.5),
             row(v, "patient_count", "current_count_patients", "p", "p_p", "p"),
-            _moved("patient_count", "change_percentage", "p", 0.3)]
+            _moved("patient_count", "change_percentage", "p", 0.3),
+            row(v, "data_loading", "source_data", status="'WARN'", keep="n = 0 and n_p = 0")]
     for r in roles:
         check, count, with_role, change = CHECKS[r]
         rows += [row(v, check, count, f"d_{r}", f"d_{r}_p", f"d_{r}"),

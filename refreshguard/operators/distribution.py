@@ -19,6 +19,11 @@ from .topk import top_share, top_with_total
 CATEGORY = "distribution"
 
 
+def _skipped(ctx: Context, check: str, details: str) -> DataFrame:
+    return to_long(ctx.labels(), ctx.by, CATEGORY,
+                   [note(check, "status", "SKIPPED", "WARN", details)])
+
+
 # -- gender and age -------------------------------------------------------
 
 def _demo_totals(ctx: Context, shared: SharedFrames | None, as_of: date | None) -> DataFrame:
@@ -87,6 +92,8 @@ def demo_distribution(ctx: Context, shared: SharedFrames | None = None,
     demographics is of 'other' gender and in no age group.  ``events`` are
     shares of the events of entities that have demographics.
     """
+    if not ctx.has(ctx.profile.entity):
+        return _skipped(ctx, "demographic_distribution", f"Column {ctx.profile.entity} not found")
     measures = []
     if "gender" in only:
         measures += _shares("gender_distribution", GENDERS, "'INFO'", "entities")
@@ -123,6 +130,8 @@ def region_summary(ctx: Context, shared: SharedFrames | None = None) -> DataFram
 
 
 def region_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
+    if not ctx.has(ctx.profile.entity, ctx.profile.event_date):
+        return _skipped(ctx, "state_distribution", "Entity or event date column not found")
     return to_long(region_summary(ctx, shared), ctx.by, CATEGORY, _summary_measures(
         "state_distribution", "events joined to regions", ctx.thresholds.top_region_percent))
 
@@ -142,6 +151,8 @@ def event_region_summary(ctx: Context, shared: SharedFrames | None = None) -> Da
 
 
 def event_region_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
+    if not ctx.has(ctx.profile.entity, ctx.profile.event_date, ctx.profile.event_id):
+        return _skipped(ctx, "event_state_distribution", "Entity, date or id column not found")
     return to_long(event_region_summary(ctx, shared), ctx.by, CATEGORY, _summary_measures(
         "event_state_distribution", "distinct event-region pairs", None))
 
@@ -157,6 +168,8 @@ def provider_summary(ctx: Context, shared: SharedFrames | None = None) -> DataFr
 
 def provider_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     columns = ctx.present(ctx.profile.id_columns)
+    if not columns:
+        return _skipped(ctx, "provider_distribution", "No provider column found")
     by_column = provider_summary(ctx, shared)
     # One wide row, so that a column without any id still gets its row.
     totals = [F.coalesce(F.max(F.when(F.col("id_column") == c, F.col("total"))), F.lit(0))
@@ -183,6 +196,8 @@ def cohort_summary(ctx: Context) -> DataFrame:
 
 def cohort_distribution(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
     """The text shows entities; the status looks at the first one's event share."""
+    if not ctx.has(ctx.profile.cohort_label, ctx.profile.entity):
+        return _skipped(ctx, "cohort_distribution", "Cohort or entity column not found")
     text = "array_join(transform(top, x -> concat(x.key, ': ', string(x.m), ' patients')), ', ')"
     return to_long(cohort_summary(ctx), ctx.by, CATEGORY, _summary_measures(
         "cohort_distribution", f"events with {ctx.profile.cohort_label}",

@@ -35,6 +35,10 @@ def rule_set(ctx: Context, only: Sequence[str] | None = None) -> ScanChecks:
         _rule(checks, check, metric, condition(column), severity, f"records have {text}")
 
     day = profile.event_date
+    if not ctx.has(day):
+        for check in ("future_dates", "old_dates"):
+            if not only or check in only:
+                checks.add(note(check, "status", "SKIPPED", "WARN", f"Column {day} not found"))
     rule("future_dates", "future_date_percent", day,
          lambda c: rules.after_date(c, ctx.as_of), "FAIL", f"{day} in the future")
     rule("old_dates", "old_date_percent", day,
@@ -58,7 +62,7 @@ def rule_set(ctx: Context, only: Sequence[str] | None = None) -> ScanChecks:
         rule(f"{column}_format", f"invalid_{column}_percent", column,
              lambda c: rules.not_digits(c, limits.id_length), "WARN",
              f"{column} not of {limits.id_length} digits")
-    if ctx.has(profile.written_date):
+    if ctx.has(day, profile.written_date):
         rule("fill_date_order", "invalid_order_percent", day,
              lambda c: rules.earlier_than(c, profile.written_date), "WARN",
              f"{day} before {profile.written_date}")

@@ -86,6 +86,10 @@ def average_measures(ctx: Context, role: str) -> list[Measure]:
                ctx.thresholds.count_change, "average patients", counts=False)]
 
 
+def _empty(condition: str) -> Measure:
+    return note("data_loading", "source_data", "EMPTY", "WARN", "No rows to count", condition)
+
+
 def missing_role(role: str) -> Measure:
     status = "WARN" if role == "code" else "INFO"
     return note(ROLE_METRICS[role][0], "status", "SKIPPED", status,
@@ -301,8 +305,7 @@ def cohort_shifts_by_kind(ctx: Context) -> DataFrame:
 def volume_empty(ctx: Context) -> DataFrame:
     """Rows for input that cannot be counted: no rows, no columns, no roles."""
     wide = ctx.complete(ctx.events().groupBy(*ctx.by).agg(F.count("*").alias("n")))
-    rows = [note("data_loading", "source_data", "EMPTY", "WARN", "No rows to count",
-                 "n = 0")]
+    rows = [_empty("n = 0")]
     essential = (ctx.profile.refresh_date, ctx.profile.entity)
     absent = [c for c in essential if not ctx.has(c)]
     if absent:
@@ -315,7 +318,8 @@ def volume_empty(ctx: Context) -> DataFrame:
 def total_measures(ctx: Context) -> list[Measure]:
     """Measures over ``entity_totals`` with the roles present."""
     roles = present_roles(ctx)
-    rows = [*record_measures(ctx), *entity_measures(ctx)]
+    rows = [*record_measures(ctx), *entity_measures(ctx),
+            _empty("records_cur = 0 and records_prev = 0")]
     for role in ROLES:
         rows += with_role_measures(ctx, role) if role in roles else [missing_role(role)]
     return rows

@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..context import Context
+from ..context import OWN, Context
 from ..functions.formats import RESULT_SCHEMA, to_results
 from ..functions.measures import METRIC_COLUMNS, METRIC_SCHEMA, rows_of
 from ..operators import (completeness, consistency, distribution, pairs, scan, temporal,
@@ -39,7 +40,7 @@ PLAN_CHECKS: Mapping[str, Sequence[Callable[[Context, SharedFrames], DataFrame]]
     "uniqueness": (lambda ctx, _: uniqueness.uniqueness(ctx),),
     "distribution": (distribution.demo_distribution, distribution.region_distribution,
                      distribution.event_region_distribution, distribution.provider_distribution,
-                     lambda ctx, _: _cohorts(ctx)),
+                     distribution.cohort_distribution),
 }
 FAMILIES = ("completeness", "consistency", "uniqueness", "distribution", "temporal", "validity",
             "volume")
@@ -91,10 +92,6 @@ def skipped(ctx: Context, families: Iterable[str] = COMPARING) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def _cohorts(ctx: Context) -> DataFrame | None:
-    return (distribution.cohort_distribution(ctx) if ctx.has(ctx.profile.cohort_label) else None)
-
-
 def _comparison(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
     """Temporal and volume metrics from the same two reductions of the months."""
     if families == ["volume"]:
@@ -122,7 +119,7 @@ def _parts(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
     if comparing:
         parts += ([skipped(ctx, comparing)] if _skips_comparison(ctx)
                   else _comparison(ctx, comparing))
-    return [_plain(ctx, p) for p in parts if p is not None]
+    return [_plain(ctx, p) for p in parts]
 
 
 def _plannable(ctx: Context, families: Sequence[str]) -> tuple[list[str], list[DataFrame]]:
@@ -173,28 +170,43 @@ def suite_results(contexts: Iterable[Context], run_id: str, run_start_time: date
 
 def run_suite(contexts: Iterable[Context], target: str, run_id: str, run_start_time: datetime,
               families: Iterable[str] = ("all",), signed: bool = False,
-              fmt: str = "parquet") -> dict[tuple[str, str], str]:
+              fmt: str = "parquet", persist: bool = False) -> dict[tuple[str, str], str]:
     """Append every family of every table by itself, so that one failure stays one.
 
     A frame is lazy and fails when it is written; the family is then replaced
     by its ERROR row and the run goes on.  Returns the outcome per table and
-    family.
+    family.  ``persist`` keeps the compared months in memory and on disk for
+    the length of the run: worth it if the events are costly to derive, not for
+    a columnar table, of which every family reads just a few columns.
     """
     outcome = {}
+    chosen = select_families(families)
     for ctx in contexts:
-        for family in select_families(families):
-            key = (ctx.profile.name, family)
-            try:
-                rows = to_results(family_frame(ctx, family), run_id, run_start_time,
-                                  ctx.profile.name, ctx.month, signed)
-                history.append(rows, target, fmt)
-                outcome[key] = "done"
-            except Exception as error:  # noqa: BLE001 - any failure becomes a row
-                log.warning("%s failed on %s: %s", family, ctx.profile.name, error)
-                rows = to_results(error_row(ctx, family, error), run_id, run_start_time,
-                                  ctx.profile.name, ctx.month, signed)
-                history.append(rows, target, fmt)
-                outcome[key] = "failed"
+        kept = ctx.compared().drop(OWN).persist(StorageLevel.MEMORY_AND_DISK) if (
+            persist and ctx.scope != "all") else None
+        if kept is not None:
+            ctx = ctx.with_(events_table=kept, sample_rows=0)
+        outcome |= _run_families(ctx, chosen, target, run_id, run_start_time, signed, fmt)
+        if kept is not None:
+            kept.unpersist()
+    return outcome
+
+
+def _run_families(ctx: Context, families: Sequence[str], target: str, run_id: str,
+                  run_start_time: datetime, signed: bool, fmt: str) -> dict[tuple[str, str], str]:
+    outcome = {}
+    for family in families:
+        key = (ctx.profile.name, family)
+        try:
+            rows = family_frame(ctx, family)
+            history.append(to_results(rows, run_id, run_start_time, ctx.profile.name, ctx.month,
+                                      signed), target, fmt)
+            outcome[key] = "done"
+        except Exception as error:  # noqa: BLE001 - any failure becomes a row
+            log.warning("%s failed on %s: %s", family, ctx.profile.name, error)
+            history.append(to_results(error_row(ctx, family, error), run_id, run_start_time,
+                                      ctx.profile.name, ctx.month, signed), target, fmt)
+            outcome[key] = "failed"
     return outcome
 
 

@@ -53,4 +53,7 @@ def resolve_months(events: DataFrame, refresh_date: str) -> tuple[str | None, st
     current = latest_refresh_month(events, refresh_date).first()[0]
     if current is None:
         return None, None
-    return current, previous_month(events, refresh_date, current).first()[0]
+    before = months.shift(current, -1)
+    rows = events.filter(months.in_months(F.col(refresh_date), before)).select(refresh_date)
+    # take(1) starts with one task and stops at the first row.
+    return current, before if rows.take(1) else None

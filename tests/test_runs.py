@@ -119,6 +119,29 @@ def test_a_family_that_fails_at_run_time_is_isolated(several, spark, tmp_path):
     assert any(r.check_category == "uniqueness" for r in rows)
 
 
+def test_persisted_slice_gives_the_same_rows(several, spark, tmp_path):
+    ctx = several(month="2024-02", previous="2024-01")
+    found = []
+    for keep in (False, True):
+        target = str(tmp_path / f"history{keep}")
+        suite.run_suite([ctx], target, "r", START, ["uniqueness", "temporal"], persist=keep)
+        found.append(sorted(map(tuple, history.read_history(spark, target).collect()), key=repr))
+    assert found[0] == found[1]
+
+
+def test_missing_columns_skip(several):
+    ctx = several(month="2024-02", previous="2024-01")
+    bare = ctx.events_table.drop("patient_id", "service_date", "billing_npi", "rendering_npi",
+                                 "referring_npi")
+    rows = suite.suite_metrics(ctx.with_(events_table=bare),
+                               ["distribution", "validity", "consistency"]).collect()
+    skipped = {r.check_name for r in rows if r.metric_value == "SKIPPED"}
+    assert skipped >= {"demographic_distribution", "state_distribution", "provider_distribution",
+                       "event_state_distribution", "cohort_distribution", "future_dates",
+                       "patient_demographics", "provider_ids"}
+    assert not [r for r in rows if r.metric_value == "ERROR"]
+
+
 def test_history(several, spark, tmp_path):
     target = str(tmp_path / "history")
     for run, start in (("r1", START), ("r2", START + timedelta(days=1))):
