@@ -28,17 +28,21 @@ def empty_results(spark: SparkSession) -> DataFrame:
 
 
 def append(results: DataFrame | None, target: str, fmt: str = "parquet") -> bool:
-    """Append results to a table name or to a path, split by refresh month.
+    """Append results to a table name or to a path.
 
-    Returns whether there was anything to write.  Files go through Spark's
+    What is new is split by refresh month; an existing table keeps the layout
+    it has.  Returns whether there was anything to write.  Files go through Spark's
     commit protocol, so a lost executor leaves no half-written rows behind.
     """
     if results is None:
         return False
     rows = results.select(*RESULT_SCHEMA.fieldNames())
+    spark = rows.sparkSession
     writer = rows.write.mode("append").format(fmt).partitionBy("refresh_month")
     if "/" in target:
         writer.save(target)
+    elif spark.catalog.tableExists(target):
+        rows.select(*spark.table(target).columns).write.insertInto(target)
     else:
         writer.saveAsTable(target)
     return True
@@ -46,7 +50,7 @@ def append(results: DataFrame | None, target: str, fmt: str = "parquet") -> bool
 
 def read_history(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
     if "/" not in target:
-        return spark.table(target)
+        return spark.table(target).select(*RESULT_SCHEMA.fieldNames())
     schema = RESULT_SCHEMA
     return spark.read.format(fmt).schema(schema).load(target).select(*schema.fieldNames())
 

@@ -29,7 +29,8 @@ def several(events, context):
         for i in range(60):
             first = day(f"{month}-01") - timedelta(days=rng.randint(0, 90))
             rows.append({
-                "medical_event_id": rng.randint(0, 150), "kh_refresh_date": day(f"{month}-{i % 28 + 1:02d}"),
+                "medical_event_id": rng.randint(0, 150),
+                "kh_refresh_date": day(f"{month}-{i % 28 + 1:02d}"),
                 "patient_id": rng.choice([None, *range(12)]), "service_date": first,
                 "service_to_date": first + timedelta(days=rng.randint(-3, 3)),
                 "procedure_code": rng.choice([None, "P1", "P2"]), "procedure_code_type": "CPT",
@@ -166,6 +167,26 @@ def test_catalog_table(several, spark):
         spark.sql("drop table checks.events")
 
 
+def test_history_in_tables(several, spark):
+    ctx = several(month="2024-02")
+    rows = to_results(suite.family_frame(ctx, "uniqueness"), "r", START, "t", "2024-02")
+    spark.sql("create database if not exists checks")
+    flat = rows.limit(0).write.mode("overwrite")
+    flat.saveAsTable("checks.flat")
+    spark.sql("drop table if exists checks.split")
+    try:
+        for target in ("checks.flat", "checks.split"):
+            for _ in range(2):
+                history.append(rows, target)
+            found = history.read_history(spark, target)
+            assert found.columns == RESULT_SCHEMA.fieldNames()
+            assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+                list(map(tuple, rows.collect())) * 2, key=repr)
+    finally:
+        spark.sql("drop table if exists checks.flat")
+        spark.sql("drop table if exists checks.split")
+
+
 def test_combine_leaves_out_what_does_not_fit(several, spark):
     ctx = several(month="2024-02")
     good = to_results(suite.family_frame(ctx, "uniqueness"), "r", START, "t", "2024-02")
