@@ -7,9 +7,6 @@ table, each against the month before.  ``run_suite`` is the monthly run.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -28,6 +25,16 @@ from refreshguard.operators.topk import share_rows
 from refreshguard.plans import backfill, suite
 from refreshguard.plans.probe import schema_probe
 from refreshguard.sources import history, tables
+from refreshguard.sources.shared import shared_folder
+
+try:
+    import corpus_pipeline
+    from refreshguard.llm import queries as text_queries
+except ModuleNotFoundError as error:
+    # Only the absence of the subpackage or of its pipeline is passed over.
+    if error.name not in ("corpus_pipeline", "refreshguard.llm", "refreshguard.llm.queries"):
+        raise
+    corpus_pipeline = text_queries = None
 
 RUN_ID = "run-1998-03"
 RUN_START = datetime(2024, 1, 1, 12, 0, 0)
@@ -66,21 +73,6 @@ def _shares(frame: DataFrame, key: str) -> DataFrame:
     return frame.select(key, "n", F.round("share", 4).alias("share"))
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session,
-    where driver and executors are one machine, may fall back to a temporary
-    folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        base = tempfile.mkdtemp(prefix="history-")
-    return os.path.join(base, f"results-{uuid.uuid4().hex}")
-
-
 # -- sources, sinks, runs -------------------------------------------------
 
 def _scan(spark, sf):
@@ -140,7 +132,7 @@ def _two_runs(spark, sf) -> list[DataFrame]:
 
 
 def _append(spark, sf):
-    target = _shared_folder(spark)
+    target = shared_folder(spark, "results")
     for run in _two_runs(spark, sf):
         history.append(run, target)
     return _result_columns(history.read_history(spark, target))
@@ -298,8 +290,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return suite.suite_results([ctx], RUN_ID, RUN_START)
 
 
+def _text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries on training text, if their subpackage is there."""
+    if text_queries is None:
+        return {}
+    return text_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _text_oracle_sql() -> dict[str, str]:
+    if text_queries is None:
+        return {}
+    pipeline = corpus_pipeline.ORACLE_SQL
+    return text_queries.ORACLE_SQL | ({} if pipeline is None else {"pipeline": pipeline})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return _text_queries() | {
         # sources, sinks, runs
         "scan": _scan,
         "sample_limit": _sample,
@@ -477,7 +483,7 @@ def oracle_sql() -> dict[str, str]:
     def valid(name, scope=mx):
         return check(scope, oq.validity, name)
 
-    return {
+    return _text_oracle_sql() | {
         "scan": f"select medical_event_id, patient_id, kh_refresh_date, service_date, "
                 f"procedure_code, units from ({events})",
         "sample_limit": f"select {sample} from ({events}) order by {sample_order} "
