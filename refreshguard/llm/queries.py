@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import secrets
+from . import secrets, toxicity
 from .common import table
 
 
@@ -11,8 +11,14 @@ def op2_secret_markov(spark, sf):
     return secrets.secret_report(docs, secrets.train(secrets.labelled_strings(docs)))
 
 
+def op10_toxic_spans(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.toxicity_report(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
 QUERIES = {
     "op2_secret_markov": op2_secret_markov,
+    "op10_toxic_spans": op10_toxic_spans,
 }
 
 ORACLE_SQL: dict[str, str] = {}
