@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import secrets, toxicity
+from . import pii, secrets, toxicity
 from .common import table
 
 
@@ -11,6 +11,11 @@ def op2_secret_markov(spark, sf):
     return secrets.secret_report(docs, secrets.train(secrets.labelled_strings(docs)))
 
 
+def op5_personal_data(spark, sf):
+    docs = table(spark, sf, "documents")
+    return pii.pii_report(docs, pii.train(docs))
+
+
 def op10_toxic_spans(spark, sf):
     docs = table(spark, sf, "documents")
     return toxicity.toxicity_report(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -18,6 +23,7 @@ def op10_toxic_spans(spark, sf):
 
 QUERIES = {
     "op2_secret_markov": op2_secret_markov,
+    "op5_personal_data": op5_personal_data,
     "op10_toxic_spans": op10_toxic_spans,
 }
 
