@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import pii, secrets, toxicity
+from . import jaccard, pii, secrets, toxicity
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op5_personal_data(spark, sf):
     return pii.pii_report(docs, pii.train(docs))
 
 
+def op7_jaccard_prefix_join(spark, sf):
+    return jaccard.jaccard_groups(table(spark, sf, "documents"))
+
+
 def op10_toxic_spans(spark, sf):
     docs = table(spark, sf, "documents")
     return toxicity.toxicity_report(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -24,6 +28,7 @@ def op10_toxic_spans(spark, sf):
 QUERIES = {
     "op2_secret_markov": op2_secret_markov,
     "op5_personal_data": op5_personal_data,
+    "op7_jaccard_prefix_join": op7_jaccard_prefix_join,
     "op10_toxic_spans": op10_toxic_spans,
 }
 
