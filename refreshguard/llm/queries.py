@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import jaccard, pii, secrets, toxicity
+from . import decontam, jaccard, pii, secrets, toxicity
 from .common import table
 
 
+def op1_spaced_seed_decontamination(spark, sf):
+    return decontam.decontamination_report(table(spark, sf, "documents"),
+                                           table(spark, sf, "benchmark"))
+
+
 def op2_secret_markov(spark, sf):
     docs = table(spark, sf, "documents")
     return secrets.secret_report(docs, secrets.train(secrets.labelled_strings(docs)))
@@ -26,6 +31,7 @@ def op10_toxic_spans(spark, sf):
 
 
 QUERIES = {
+    "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
     "op2_secret_markov": op2_secret_markov,
     "op5_personal_data": op5_personal_data,
     "op7_jaccard_prefix_join": op7_jaccard_prefix_join,
