@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, jaccard, pii, secrets, toxicity
+from . import decontam, jaccard, mixing, pii, secrets, toxicity
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op7_jaccard_prefix_join(spark, sf):
     return jaccard.jaccard_groups(table(spark, sf, "documents"))
 
 
+def op9_hypergeometric_mix(spark, sf):
+    return mixing.mix_report(table(spark, sf, "documents"))
+
+
 def op10_toxic_spans(spark, sf):
     docs = table(spark, sf, "documents")
     return toxicity.toxicity_report(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -35,6 +39,7 @@ QUERIES = {
     "op2_secret_markov": op2_secret_markov,
     "op5_personal_data": op5_personal_data,
     "op7_jaccard_prefix_join": op7_jaccard_prefix_join,
+    "op9_hypergeometric_mix": op9_hypergeometric_mix,
     "op10_toxic_spans": op10_toxic_spans,
 }
 
