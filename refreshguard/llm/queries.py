@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, jaccard, mixing, pii, secrets, toxicity
+from . import decontam, jaccard, langid, mixing, pii, secrets, toxicity
 from .common import table
 
 
@@ -21,6 +21,11 @@ def op5_personal_data(spark, sf):
     return pii.pii_report(docs, pii.train(docs))
 
 
+def op6_language_bit_filters(spark, sf):
+    docs = table(spark, sf, "documents")
+    return langid.language_report(docs, langid.train(docs))
+
+
 def op7_jaccard_prefix_join(spark, sf):
     return jaccard.jaccard_groups(table(spark, sf, "documents"))
 
@@ -38,6 +43,7 @@ QUERIES = {
     "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
     "op2_secret_markov": op2_secret_markov,
     "op5_personal_data": op5_personal_data,
+    "op6_language_bit_filters": op6_language_bit_filters,
     "op7_jaccard_prefix_join": op7_jaccard_prefix_join,
     "op9_hypergeometric_mix": op9_hypergeometric_mix,
     "op10_toxic_spans": op10_toxic_spans,
