@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, jaccard, langid, mixing, pii, secrets, toxicity
+from . import decontam, jaccard, langid, mixing, pii, secrets, toxicity, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_secret_markov(spark, sf):
     return secrets.secret_report(docs, secrets.train(secrets.labelled_strings(docs)))
 
 
+def op4_warc_index_merge(spark, sf):
+    return warc.archive_report(table(spark, sf, "pages"))
+
+
 def op5_personal_data(spark, sf):
     docs = table(spark, sf, "documents")
     return pii.pii_report(docs, pii.train(docs))
@@ -42,6 +46,7 @@ def op10_toxic_spans(spark, sf):
 QUERIES = {
     "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
     "op2_secret_markov": op2_secret_markov,
+    "op4_warc_index_merge": op4_warc_index_merge,
     "op5_personal_data": op5_personal_data,
     "op6_language_bit_filters": op6_language_bit_filters,
     "op7_jaccard_prefix_join": op7_jaccard_prefix_join,
