@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, jaccard, langid, mixing, pii, secrets, toxicity, warc
+from . import decontam, hnsw, jaccard, langid, mixing, pii, secrets, toxicity, warc
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op7_jaccard_prefix_join(spark, sf):
     return jaccard.jaccard_groups(table(spark, sf, "documents"))
 
 
+def op8_hnsw_shards(spark, sf):
+    return hnsw.nearest(table(spark, sf, "embeddings"))
+
+
 def op9_hypergeometric_mix(spark, sf):
     return mixing.mix_report(table(spark, sf, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op5_personal_data": op5_personal_data,
     "op6_language_bit_filters": op6_language_bit_filters,
     "op7_jaccard_prefix_join": op7_jaccard_prefix_join,
+    "op8_hnsw_shards": op8_hnsw_shards,
     "op9_hypergeometric_mix": op9_hypergeometric_mix,
     "op10_toxic_spans": op10_toxic_spans,
 }
