@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, hnsw, jaccard, langid, mixing, pii, secrets, toxicity, warc
+from . import decontam, hnsw, htmltext, jaccard, langid, mixing, pii, secrets, toxicity, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_secret_markov(spark, sf):
     return secrets.secret_report(docs, secrets.train(secrets.labelled_strings(docs)))
 
 
+def op3_site_style_tree(spark, sf):
+    return htmltext.extract(table(spark, sf, "pages"))
+
+
 def op4_warc_index_merge(spark, sf):
     return warc.archive_report(table(spark, sf, "pages"))
 
@@ -50,6 +54,7 @@ def op10_toxic_spans(spark, sf):
 QUERIES = {
     "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
     "op2_secret_markov": op2_secret_markov,
+    "op3_site_style_tree": op3_site_style_tree,
     "op4_warc_index_merge": op4_warc_index_merge,
     "op5_personal_data": op5_personal_data,
     "op6_language_bit_filters": op6_language_bit_filters,
