@@ -158,12 +158,10 @@ def _suite(spark, sf, profiles=(MEDICAL, PHARMACY)):
     return out
 
 
-def _skips(spark, sf):
-    """The first month has nothing before it."""
-    ctx = _month(spark, sf, month=cv.FIRST_MONTH)
-    events = ctx.events_table
-    before = tables.previous_month(events, "kh_refresh_date", cv.FIRST_MONTH).first()[0]
-    return _rows(suite.skipped(ctx.with_(previous=before)), category=True)
+def _first_month(spark, sf):
+    """The first month has nothing before it: comparisons are skipped, volume is counted."""
+    ctx = _month(spark, sf, month=cv.FIRST_MONTH, previous=None)
+    return _rows(suite.suite_metrics(ctx, ["temporal", "volume"]), category=True)
 
 
 def _probe(spark, sf):
@@ -316,7 +314,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "previous_month": _previous_month,
         "month_backfill": _backfill,
         "run_suite": _suite,
-        "skip_rows": _skips,
+        "suite_first_month": _first_month,
         "schema_probe": _probe,
         "latest_per_key": _latest,
         "age_bucket": _ages,
@@ -435,6 +433,8 @@ def oracle_sql() -> dict[str, str]:
     ages = oq.Scope(oq.MX, age_year=cv.AGE_AS_OF.year)
     span = oq.Scope(oq.MX, "range")
     month, month_rx = oq.Scope(oq.MX, "month"), oq.Scope(oq.RX, "month")
+    first_month = oq.Scope(oq.MX, "month", f"date '{cv.FIRST_MONTH}-01'")
+    first_volume = oq.suite_body(first_month, ["volume"])
     empty = f"date '{EMPTY_MONTH}-01'"
     first = f"date '{cv.FIRST_MONTH}-01'"
 
@@ -501,11 +501,11 @@ def oracle_sql() -> dict[str, str]:
                           "refresh_month, check_category, check_name, metric_name, num, den, "
                           f"value, status from ({backfill_body})",
         "run_suite": " union all ".join(suite_parts),
-        "skip_rows": f"select c as check_category, 'execution_status' as check_name, 'status' as "
-                     f"metric_name, cast(null as bigint) as num, cast(null as bigint) as den, "
-                     f"cast(null as double) as value, 'INFO' as status from (values ('temporal'), "
-                     f"('volume')) t(c) where not exists (select 1 from ({events}) where "
-                     f"kh_refresh_date < {first})",
+        "suite_first_month": first_month.ctes(first_volume) + "select check_category, check_name, "
+                             f"metric_name, num, den, value, status from ({first_volume}) union all "
+                             f"select 'temporal', 'execution_status', 'status', cast(null as bigint), "
+                             f"cast(null as bigint), cast(null as double), 'INFO' where not exists "
+                             f"(select 1 from ({events}) where kh_refresh_date < {first})",
         "schema_probe": _probe_sql(),
         "latest_per_key": f"select patient_id, kh_refresh_date, patient_gender, patient_yob from "
                           f"(select *, row_number() over (partition by patient_id order by "

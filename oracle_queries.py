@@ -451,20 +451,19 @@ def code_changes() -> str:
             f"on a.m = b.m and a.k = b.k) x on x.m = s.m")
 
 
-def _shifts(condition: str, cap: int | None) -> str:
-    n = "count(*)" if cap is None else f"least(count(*), {cap})"
-    wide = spined(f"select m, {n} as x from ({code_changes()}) where abs(change_pct) > 50 and "
+def _shifts(condition: str, check: str) -> str:
+    wide = spined(f"select m, count(*) as x from ({code_changes()}) where abs(change_pct) > 50 and "
                   f"{condition} group by m", ["x"])
-    return block(wide, [row("temporal", "medication_changes", "significant_changes_count", "x",
+    return block(wide, [row("temporal", check, "significant_changes_count", "x",
                             "null", "x", bad("x > 0", "WARN"))])
 
 
 def shifts(s: Scope) -> list[str]:
-    return [_shifts("cur >= 10", None)]
+    return [_shifts("cur >= 10", "medication_changes")]
 
 
 def shifts_v4(s: Scope) -> list[str]:
-    return [_shifts("cur > 10", 20)]
+    return [_shifts("cur > 10", "medication_changes_by_count")]
 
 
 # -- volume ---------------------------------------------------------------

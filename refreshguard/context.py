@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .functions import months
 from .profile import DimensionColumns, TableProfile, Thresholds
-from .sources.tables import sample
+from .sources.tables import sample_by_hash
 
 MONTH = "month"
 OWN = "own"
@@ -41,7 +41,6 @@ class Context:
     names: DimensionColumns = field(default_factory=DimensionColumns)
     sample_rows: int = 0
     fold_allowed: bool = True
-    rows_per_slice: int = 1_000_000
 
     def __post_init__(self):
         if self.scope not in ("month", "all", "range"):
@@ -72,18 +71,29 @@ class Context:
     def present(self, columns: Iterable[str]) -> list[str]:
         return [c for c in columns if c in self.columns]
 
-    def _source(self) -> DataFrame:
-        return sample(self.events_table, self.sample_rows)
+    def _in_scope(self) -> DataFrame:
+        refresh = F.col(self.profile.refresh_date)
+        if self.scope == "all":
+            return self.events_table
+        return self.events_table.filter(months.in_months(
+            refresh, self.start if self.scope == "range" else self.month, self.month))
+
+    def _sampled(self, rows: DataFrame) -> DataFrame:
+        """The rows of the sample: ``sample_rows`` events in scope, chosen by their id's hash.
+
+        The limit is one number for the whole scope, so every check, and both
+        sides of a comparison, see the same events.
+        """
+        if self.sample_rows <= 0:
+            return rows
+        return sample_by_hash(rows, self._in_scope(), self.profile.event_id, self.sample_rows)
 
     def events(self) -> DataFrame:
         """Event rows in scope, with the month column if the scope needs it."""
-        refresh = F.col(self.profile.refresh_date)
-        if self.scope == "all":
-            return self._source()
-        if self.scope == "month":
-            return self._source().filter(months.in_months(refresh, self.month))
-        return (self._source().filter(months.in_months(refresh, self.start, self.month))
-                .withColumn(MONTH, months.month_start(refresh)))
+        rows = self._sampled(self._in_scope())
+        if self.scope != "range":
+            return rows
+        return rows.withColumn(MONTH, months.month_start(F.col(self.profile.refresh_date)))
 
     def compared(self) -> DataFrame:
         """Event rows of the compared months with their own refresh month ``own``."""
@@ -94,7 +104,8 @@ class Context:
             wanted = months.in_months(refresh, self.month)
             if self.previous:
                 wanted = wanted | months.in_months(refresh, self.previous)
-        return self._source().filter(wanted).withColumn(OWN, months.month_start(refresh))
+        return self._sampled(self.events_table.filter(wanted)).withColumn(
+            OWN, months.month_start(refresh))
 
     def pair(self, rows: DataFrame) -> DataFrame:
         """Mark rows with an ``own`` month ``in_cur`` / ``in_prev`` of a comparison.

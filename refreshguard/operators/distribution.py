@@ -140,8 +140,7 @@ def event_region_counts(ctx: Context, shared: SharedFrames | None = None) -> Dat
     """Distinct event ids per region; unlinked events are left out."""
     shared = shared or SharedFrames(ctx)
     pairs = join_intervals(ctx, shared, snapshots.regions(ctx), "inner")
-    by = [F.col(f"l.{b}").alias(b) for b in ctx.by]
-    return (pairs.select(*by, "r.region", "l.event_id").distinct()
+    return (pairs.select(*ctx.by, "region", "event_id").distinct()
             .groupBy(*ctx.by, "region").agg(F.count("*").alias("n")))
 
 

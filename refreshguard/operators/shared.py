@@ -24,14 +24,6 @@ def entity_days(ctx: Context) -> DataFrame:
             .groupBy(*ctx.by, "entity", "day").agg(F.count("*").alias("n")))
 
 
-def event_days(ctx: Context) -> DataFrame:
-    """Distinct (event id, entity, day)."""
-    profile = ctx.profile
-    return ctx.events().select(*ctx.by, F.col(profile.entity).alias("entity"),
-                               F.to_date(profile.event_date).alias("day"),
-                               F.col(profile.event_id).alias("event_id")).distinct()
-
-
 def provider_ids(ctx: Context) -> DataFrame:
     """Ids of all provider columns with their events per column, in one pass."""
     columns = ctx.present(ctx.profile.id_columns)
@@ -52,10 +44,6 @@ class SharedFrames:
     def days(self) -> DataFrame:
         return entity_days(self._ctx)
 
-    @cached_property
-    def events(self) -> DataFrame:
-        return event_days(self._ctx)
-
     @cached_property
     def providers(self) -> DataFrame:
         return provider_ids(self._ctx)

@@ -88,8 +88,8 @@ def code_changes(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
 
 
 def _change_text() -> Column:
-    return F.format_string("NDC:%s(Prev:%d, Curr:%d, Chg:%+d [%+.1f%%])", "code", "previous",
-                           "current", "change", "change_pct")
+    return F.format_string("%s from %d to %d (%+d, %+.1f%%)", "code", "previous", "current",
+                           "change", "change_pct")
 
 
 def _shift_summary(ctx: Context, shifted: DataFrame, order: list[Column], k: int) -> DataFrame:
@@ -106,16 +106,16 @@ def _shift_summary(ctx: Context, shifted: DataFrame, order: list[Column], k: int
         .alias("text")))
 
 
-def _shift_measure(found: str, limits) -> Measure:
-    text = f" codes moved by more than {limits.code_shift_percent:g}%. Top changes: "
-    return Measure("medication_changes", "significant_changes_count", found, "null", found, found,
+def _shift_measure(found: str, limits, check: str = "medication_changes") -> Measure:
+    text = f" codes with an entity count beyond {limits.code_shift_percent:g}% of change; first: "
+    return Measure(check, "significant_changes_count", found, "null", found, found,
                    flag(f"{found} > 0", "WARN"),
                    f"concat(string({found}), {quote(text)}, coalesce(text, ''))")
 
 
-def _no_code(ctx: Context) -> DataFrame:
+def _no_code(ctx: Context, check: str = "medication_changes") -> DataFrame:
     return to_long(ctx.labels(), ctx.by, CATEGORY, [note(
-        "medication_changes", "status", "SKIPPED", "INFO",
+        check, "status", "SKIPPED", "INFO",
         f"Column {ctx.profile.drug_code} not available")])
 
 
@@ -135,16 +135,16 @@ def code_shifts(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
 
 
 def code_shifts_by_count(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
-    """Variant: more than the minimum, ranked by count change, reported count capped."""
+    """Variant under its own name: more than the minimum, ranked by count change."""
     if not ctx.has(ctx.profile.drug_code):
-        return _no_code(ctx)
+        return _no_code(ctx, "medication_changes_by_count")
     limits = ctx.thresholds
     shifted = code_changes(ctx, ids).filter(
         (F.abs("change_pct") > limits.code_shift_percent)
         & (F.col("current") > limits.code_shift_minimum))
     summary = _shift_summary(ctx, shifted, [-F.abs("change"), F.col("code")], 5)
-    capped = f"least(shifted, {limits.code_shift_report})"
-    return to_long(summary, ctx.by, CATEGORY, [_shift_measure(capped, limits)])
+    return to_long(summary, ctx.by, CATEGORY, [
+        _shift_measure("shifted", limits, "medication_changes_by_count")])
 
 
 def skipped_family(ctx: Context) -> DataFrame:

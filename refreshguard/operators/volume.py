@@ -198,7 +198,7 @@ def cohort_top(ctx: Context) -> DataFrame:
 
 
 def cohort_top_summary(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
-    """The first five cohorts as one text of at most 200 characters."""
+    """The first five cohorts as one text."""
     ids = cohort_ids(ctx) if ids is None else ids
     cohorts = of_roles(ids, ["cohort"]).filter("in_cur")
     best = top_k(cohorts, ctx.by, [F.desc("entities_cur"), F.asc("id")], 5)
@@ -208,7 +208,7 @@ def cohort_top_summary(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
     text = ("array_join(transform(top, x -> "
             "concat(x.id, ': ', string(x.entities_cur), ' patients')), ', ')")
     return _metrics(ctx, wide, [Measure(
-        "cohort_patient_distribution", "top_cohorts", shown=f"left({text}, 200)",
+        "cohort_patient_distribution", "top_cohorts", shown=text,
         num="size(top)", keep="size(top) > 0",
         details="concat('Entities of the largest cohorts. Previous month: ', "
                 "array_join(transform(top, x -> string(x.entities_prev)), ', '))")])
@@ -227,7 +227,7 @@ def cohort_shift_rows(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
 
 
 def _shift_totals(ctx: Context, ids: DataFrame | None) -> DataFrame:
-    """Counts per kind, with up to five examples of each for the texts."""
+    """Counts per kind, with the names of all of them for the texts."""
     rows = cohort_shift_rows(ctx, ids)
     kinds = ("changed", "new", "missing")
     totals = rows.groupBy(*ctx.by).agg(
@@ -237,9 +237,8 @@ def _shift_totals(ctx: Context, ids: DataFrame | None) -> DataFrame:
         "cohort", F.lit(": "), F.format_string("%+.1f%%", "change_pct"))).otherwise(
             F.col("cohort"))
     position = F.coalesce(-F.abs("change_pct"), F.lit(0.0))
-    examples = top_k(rows.filter(F.col("kind").isNotNull())
-                     .withColumn("position", position).withColumn("text", text),
-                     [*ctx.by, "kind"], [F.asc("position"), F.asc("cohort")], 5)
+    examples = (rows.filter(F.col("kind").isNotNull())
+                .withColumn("position", position).withColumn("text", text))
     item = F.struct("position", "cohort", "text")
     listed = examples.groupBy(*ctx.by).agg(*[
         F.array_sort(F.collect_list(F.when(F.col("kind") == k, item))).alias(f"items_{k}")
@@ -262,8 +261,7 @@ def _shift_measures() -> list[Measure]:
     total = "(n_changed + n_new + n_missing)"
     parts = ", ".join(
         f"if(n_{kind} > 0, concat('{name} ', string(n_{kind}), ': ', text_{kind}), null)"
-        for kind, name in (("changed", "Significant changes"), ("new", "New cohorts"),
-                           ("missing", "Missing cohorts")))
+        for kind, name in (("changed", "Moved"), ("new", "Appeared"), ("missing", "Gone")))
     return [Measure(
         "cohort_metrics", "cohort_distribution_changes", total, "null", total, total, "'WARN'",
         f"concat_ws('; ', {parts})", f"n_previous > 0 and {total} > 0")]
@@ -279,13 +277,13 @@ def _shift_measures_by_kind(ctx: Context) -> list[Measure]:
     rows = [Measure(
         "cohort_shifts", "significant_changes", "n_changed", "null", "n_changed",
         word("n_changed"), "'INFO'",
-        "left(concat('Cohorts with significant changes: ', text_changed), 200)",
+        "concat('Moved: ', text_changed)",
         f"{some} and n_changed > 0")]
-    for kind in ("new", "missing"):
+    for kind, month in (("new", "in this month"), ("missing", "in the month before")):
         count = f"n_{kind}"
         rows.append(Measure(
             "cohort_changes", f"{kind}_cohorts", count, "null", count, count, word(count),
-            f"left(concat('{kind.capitalize()} cohorts: ', text_{kind}), 200)",
+            f"concat('Only {month}: ', text_{kind})",
             f"{some} and {count} > 0"))
     return rows
 

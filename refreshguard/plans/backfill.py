@@ -23,8 +23,8 @@ def backfill_metrics(ctx: Context, start: str, end: str,
                      families: Iterable[str] = ("all",)) -> DataFrame:
     """Metric rows of every month, each compared with the month before it.
 
-    Every operator groups by month, so the events are read once for all months
-    and a month without rows still gets its rows.
+    Every operator groups by month, so the events are read once per reduction
+    for all months together, and a month without rows still gets its rows.
     """
     return suite_metrics(over_months(ctx, start, end), families)
 

@@ -62,7 +62,7 @@ def select_families(names: Iterable[str] = ("all",)) -> list[str]:
 
 def error_row(ctx: Context, family: str, error: BaseException) -> DataFrame:
     """A metric row (one per month in a range) that stands for a failed family."""
-    text = f"Error executing check: {str(error)[:500]}"
+    text = f"Error executing check: {error}"
     row = (family, "execution_status", "status", None, None, None, "ERROR", "FAIL", text)
     rows = ctx.spark.createDataFrame([row], METRIC_SCHEMA)
     if not ctx.by:
@@ -85,13 +85,6 @@ def _skips_comparison(ctx: Context) -> bool:
     return ctx.scope != "range" and ctx.previous is None
 
 
-def skipped(ctx: Context, families: Iterable[str] = COMPARING) -> DataFrame:
-    """SKIPPED rows of the families that need a previous month."""
-    rows = [temporal.skipped_family(ctx).withColumn("check_category", F.lit(f))
-            for f in families]
-    return reduce(DataFrame.unionByName, rows)
-
-
 def _comparison(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
     """Temporal and volume metrics from the same two reductions of the months."""
     if families == ["volume"]:
@@ -116,9 +109,12 @@ def _parts(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
         _check_dimensions(ctx, family)
         parts += [check(ctx, shared) for check in PLAN_CHECKS.get(family, ())]
     comparing = [f for f in families if f in COMPARING]
+    if "temporal" in comparing and _skips_comparison(ctx):
+        # Volume goes on: its counts are the month's own, its changes not applicable.
+        parts.append(temporal.skipped_family(ctx))
+        comparing.remove("temporal")
     if comparing:
-        parts += ([skipped(ctx, comparing)] if _skips_comparison(ctx)
-                  else _comparison(ctx, comparing))
+        parts += _comparison(ctx, comparing)
     return [_plain(ctx, p) for p in parts]
 
 
@@ -211,4 +207,4 @@ def _run_families(ctx: Context, families: Sequence[str], target: str, run_id: st
 
 
 __all__ = ["COMPARING", "FAMILIES", "RESULT_SCHEMA", "error_row", "family_frame", "run_suite",
-           "select_families", "skipped", "suite_metrics", "suite_results"]
+           "select_families", "suite_metrics", "suite_results"]

@@ -32,7 +32,6 @@ class Thresholds:
     retention_percent: float = 50.0      # warn below
     code_shift_percent: float = 50.0     # reported above
     code_shift_minimum: int = 10         # current entities needed
-    code_shift_report: int = 20          # cap of the reported count, variant only
     cohort_shift_percent: float = 20.0   # reported from, inclusive
     cohort_list_warn: int = 2            # warn above, variant only
     age_group_percent: float = 5.0       # warn below

@@ -30,11 +30,23 @@ def sample(table: DataFrame, rows: int, order: Sequence[str] | None = None) -> D
     return (table.orderBy(*order) if order else table).limit(rows)
 
 
+def sample_by_hash(table: DataFrame, scope: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of a table whose key's hash is among the ``rows`` least of a scope's rows.
+
+    The greatest of these hashes is a scalar of the plan; the rows of a key stay
+    together and are the same wherever the sample is taken.
+    """
+    hashed = F.xxhash64(F.col(key))
+    last = (scope.select(hashed.alias("h")).orderBy("h").limit(rows)
+            .agg(F.max("h").alias("h")).scalar())
+    return table.filter(hashed <= last)
+
+
 def latest_refresh_month(events: DataFrame, refresh_date: str) -> DataFrame:
     """One row, ``latest_month``; NULL for an empty table.
 
-    ``max`` of the bare column can be answered from parquet footers; the label
-    is made from the result.
+    ``max`` runs over the bare column, the only one that is read; the label is
+    made from the result.
     """
     return (events.agg(F.max(refresh_date).alias("latest"))
             .select(months.label(F.col("latest")).alias("latest_month")))

@@ -146,13 +146,12 @@ def test_interval_bounds_are_inclusive(events, context, metric):
               (1, REFRESH, day("2024-01-10"), day("2024-01-20")),
               (1, REFRESH, day("2024-03-31"), day("2024-03-01")),
               (1, REFRESH, day("2024-02-01"), None), (None, REFRESH, day("2024-01-01"), REFRESH)]
-    for heavy in (1_000_000, 1):
-        ctx = context(events(*rows), dimensions={"enroll": enroll}, rows_per_slice=heavy)
-        share = metric(consistency.outside_enrollment(ctx), "enrollment_periods",
-                       "outside_enrollment_percent")
-        ids = metric(consistency.outside_enrollment_events(ctx), "enrollment_periods",
-                     "outside_enrollment_events")
-        assert (share.num, share.den, ids.num) == (3, 6, 3)
+    ctx = context(events(*rows), dimensions={"enroll": enroll})
+    share = metric(consistency.outside_enrollment(ctx), "enrollment_periods",
+                   "outside_enrollment_percent")
+    ids = metric(consistency.outside_enrollment_events(ctx), "enrollment_periods",
+                 "outside_enrollment_events")
+    assert (share.num, share.den, ids.num) == (3, 6, 3)
 
 
 def test_grace_period(events, context, metric):
@@ -212,16 +211,15 @@ def test_regions_multiply_and_distinct_pairs_do_not(events, context, metric):
     table = events({"medical_event_id": 1}, {"medical_event_id": 1}, {"medical_event_id": 2},
                    {"medical_event_id": 3, "service_date": day("2023-01-01")},
                    {"medical_event_id": 4, "patient_id": None})
-    for heavy in (1_000_000, 1):
-        ctx = context(table, dimensions={"geo": geo}, rows_per_slice=heavy)
-        joined = metric(distribution.region_distribution(ctx), "state_distribution",
-                        "distribution")
-        # A twice for each of 3 rows, B once, 2 rows in no region.
-        assert joined.metric_value == "A: 54.5%, B: 27.3%, None: 18.2%"
-        assert (joined.den, joined.status) == (11, "WARN")
-        pairs = metric(distribution.event_region_distribution(ctx), "event_state_distribution",
-                       "distribution")
-        assert (pairs.metric_value, pairs.den) == ("A: 50.0%, B: 50.0%", 4)
+    ctx = context(table, dimensions={"geo": geo})
+    joined = metric(distribution.region_distribution(ctx), "state_distribution",
+                    "distribution")
+    # A twice for each of 3 rows, B once, 2 rows in no region.
+    assert joined.metric_value == "A: 54.5%, B: 27.3%, None: 18.2%"
+    assert (joined.den, joined.status) == (11, "WARN")
+    pairs = metric(distribution.event_region_distribution(ctx), "event_state_distribution",
+                   "distribution")
+    assert (pairs.metric_value, pairs.den) == ("A: 50.0%, B: 50.0%", 4)
 
 
 def test_ties_are_ordered_by_key(events, context, metric):
@@ -258,14 +256,15 @@ def test_code_shift_minimum(events, context, metric):
     found = temporal.code_shifts(context(events(*rows)))
     row = metric(found, "medication_changes", "significant_changes_count")
     assert (row.num, row.status) == (1, "WARN")
-    assert "NDC:x(Prev:4, Curr:10, Chg:+6 [+150.0%])" in row.details
+    assert "x from 4 to 10 (+6, +150.0%)" in row.details
     variant = temporal.code_shifts_by_count(context(events(*rows)))
-    assert metric(variant, "medication_changes", "significant_changes_count").status == "PASS"
+    assert metric(variant, "medication_changes_by_count",
+                  "significant_changes_count").status == "PASS"
 
 
 def test_no_drug_column(events, context, metric):
     found = temporal.temporal(context(events({}).drop("ndc11")).with_(previous="2024-02"))
-    rows = [r for r in found.collect() if r.check_name == "medication_changes"]
+    rows = [r for r in found.collect() if r.check_name.startswith("medication_changes")]
     assert {r.metric_value for r in rows} == {"SKIPPED"}
 
 

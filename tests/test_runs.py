@@ -7,12 +7,14 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import day
+from pyspark.sql import functions as F
 
 from refreshguard.functions import months
 from refreshguard.functions.formats import RESULT_SCHEMA, new_run, to_results
 from refreshguard.operators import generic
 from refreshguard.operators.intervals import merge
-from refreshguard.operators.joins import heavy_keys, sliced_join
+from refreshguard.operators.joins import join_intervals
+from refreshguard.operators.shared import SharedFrames
 from refreshguard.plans import backfill, suite
 from refreshguard.sources import history, tables
 
@@ -85,11 +87,30 @@ def test_families_add_up_to_the_suite(several):
     assert whole == sorted(parts, key=repr)
 
 
-def test_no_previous_month_skips_the_comparisons(several):
+def test_no_previous_month_skips_only_the_comparison(several):
     ctx = several(month="2024-01", previous=None)
-    rows = suite.suite_metrics(ctx, ["temporal", "volume"]).collect()
-    assert [(r.check_category, r.metric_value) for r in rows] == [
-        ("temporal", "SKIPPED"), ("volume", "SKIPPED")]
+    rows = suite.suite_metrics(ctx, ["temporal", "volume"])
+    assert [r.metric_value for r in rows.filter("check_category = 'temporal'").collect()] == [
+        "SKIPPED"]
+    together = backfill.backfill_metrics(several(), "2024-01", "2024-03", ["volume"])
+    first = together.filter(months.label(together.month) == "2024-01")
+    mine = plain(rows.filter("check_category = 'volume'"))
+    assert mine and mine == plain(first)
+
+
+def test_a_metric_has_one_row(several):
+    """Category, check and metric name a row of a month, but for top ids, which name themselves."""
+    rows = backfill.backfill_metrics(several(), "2024-01", "2024-03")
+    counts = rows.groupBy("month", "check_category", "check_name", "metric_name").count()
+    assert counts.filter("count > 1").collect() == []
+
+
+def test_a_sample_is_the_same_everywhere(several):
+    ctx = several(month="2024-02", previous="2024-01", sample_rows=3)
+    ids = {r[0] for r in ctx.events().select("medical_event_id").collect()}
+    assert len(ids) == 3
+    now = ctx.compared().filter(months.in_months(F.col("kh_refresh_date"), ctx.month))
+    assert {r[0] for r in now.select("medical_event_id").collect()} == ids
 
 
 def test_unknown_family_is_refused():
@@ -242,24 +263,20 @@ def test_own_checks(several, metric):
 
 # -- joins -------------------------------------------------------------------------
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_sliced_join_equals_plain_join(spark, how):
+def test_a_hot_entity_meets_its_intervals(several, spark):
+    """One entity with nearly all events; null entities meet nothing."""
     rng = random.Random(3)
-    left = spark.createDataFrame(
-        [(rng.choice([None, 1, 1, 1, 1, 2, 3]), rng.randint(0, 20), i) for i in range(300)],
-        "k long, x int, id int")
-    right = spark.createDataFrame(
-        [(rng.choice([None, 1, 2, 4]), rng.randint(0, 20)) for _ in range(40)], "k long, y int")
-    sizes = left.groupBy("k").count().withColumnRenamed("count", "size")
-    from pyspark.sql import functions as F
-    joined = sliced_join(left, right, sizes, ["k"], F.expr("l.x <= r.y"), how, "id", 20)
-    plain_join = left.alias("l").join(
-        right.alias("r"), F.expr("l.k = r.k and l.x <= r.y"), how)
-    columns = ["l.k", "l.x", "l.id"] + (["r.y"] if how in ("inner", "left") else [])
-    assert (sorted(map(tuple, joined.select(*columns).collect()), key=repr)
-            == sorted(map(tuple, plain_join.select(*columns).collect()), key=repr))
-    heavy = {r.k: r.slices for r in heavy_keys(sizes.dropna(), ["k"], 20).collect()}
-    assert heavy[1] > 1
+    rows = [(i, rng.choice([None, 1, 1, 1, 1, 2]), day("2024-03-01") + timedelta(days=i % 28))
+            for i in range(300)]
+    events = spark.createDataFrame(rows, "medical_event_id long, patient_id long, service_date date"
+                                   ).withColumn("kh_refresh_date", F.lit(day("2024-03-01")))
+    spans = [(1, day("2024-03-03"), day("2024-03-09")), (1, day("2024-03-05"), day("2024-03-12")),
+             (2, day("2024-03-20"), day("2024-03-19"))]
+    intervals = spark.createDataFrame(spans, "entity long, first_day date, last_day date")
+    ctx = several(month="2024-03", previous=None).with_(events_table=events)
+    out = join_intervals(ctx, SharedFrames(ctx), intervals, "left_anti")
+    inside = {i for i, p, d in rows if any(p == e and a <= d <= b for e, a, b in spans)}
+    assert sorted(r.event_id for r in out.collect()) == sorted({r[0] for r in rows} - inside)
 
 
 def test_merged_intervals_cover_the_same_days(spark):
