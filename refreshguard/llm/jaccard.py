@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import stored
 from .components import components
-from .shingles import set_key, shingle_set
+from .shingles import set_key, shingle_sets
 
 PERCENT = 75
 SKETCH_BITS = 20
@@ -57,23 +57,41 @@ SEEN = 1 << 20  # classes that a task remembers having posted
 
 # -- the order of shingles --------------------------------------------------
 
-def sketch(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
-    """A level for each of 2^bits buckets of shingles: 0 for usual ones, then by the logarithm of the excess.
+def survey(docs: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """One pass over the texts: a row (doc_id, n_shingles, class) for each document, and blocks of counts.
 
-    Each task counts into its own buckets; blocks of buckets are added up.
+    The class is a hash of the set, null for the empty set.  Each task counts
+    shingles in 2^bits buckets and adds the counts as compressed blocks at its
+    end; in these rows ``block`` is not null.
     """
-    def count(batches):
-        counts = np.zeros(1 << bits, dtype=np.int64)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_shingles long, class long, block int, counts binary"
+
+    def scan(batches):
+        counts = np.zeros(1 << bits, dtype=np.uint32)
         for batch in batches:
-            for text in batch["text"]:
-                np.add.at(counts, shingle_set(text) & ((1 << bits) - 1), 1)
-        part = counts.astype(np.uint32).reshape(-1, BLOCK)
+            sizes, keys = [], []
+            for s in shingle_sets(batch["text"]):
+                counts[s & ((1 << bits) - 1)] += 1
+                sizes.append(len(s))
+                keys.append(set_key(s) if len(s) else None)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes,
+                                "class": pd.array(keys, "Int64"), "block": pd.array(
+                [None] * len(sizes), "Int32"), "counts": None})
+        part = counts.reshape(-1, BLOCK)
         used = np.flatnonzero(part.any(1))
         for k in range(0, len(used), 64):
-            yield pd.DataFrame({"block": used[k:k + 64].astype("int32"),
-                                "counts": [zlib.compress(part[i].tobytes(), 1)
-                                           for i in used[k:k + 64]]})
+            some = used[k:k + 64]
+            none = pd.array([None] * len(some), "Int64")
+            yield pd.DataFrame({"doc_id": none, "n_shingles": none, "class": none,
+                                "block": some.astype("int32"),
+                                "counts": [zlib.compress(part[i].tobytes(), 1) for i in some]})
+
+    return docs.select("doc_id", "text").mapInPandas(scan, schema)
 
+
+def order_levels(blocks: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+    """A level for each bucket of shingles: 0 for usual ones, then by the logarithm of the excess."""
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BLOCK, dtype=np.int64)
         for batch in batches:
@@ -82,11 +100,9 @@ def sketch(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
                 total += np.frombuffer(zlib.decompress(c), dtype=np.uint32)
         yield pd.DataFrame({"block": block, "counts": [total.tobytes()]})
 
-    schema = "block int, counts binary"
-    blocks = (docs.select("text").mapInPandas(count, schema)
-              .groupBy("block").applyInPandas(add, schema))
+    summed = blocks.groupBy("block").applyInPandas(add, "block int, counts binary")
     total = np.zeros(1 << bits, dtype=np.int64)
-    for row in blocks.collect():  # at most 2^bits / BLOCK rows
+    for row in summed.collect():  # at most 2^bits / BLOCK rows
         total[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = np.frombuffer(
             row["counts"], dtype=np.int64)
     usual = float(np.median(total))
@@ -110,30 +126,15 @@ def prefix(shingles: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
     return shingles[order[:lengths[best]]], int(matches[best])
 
 
-# -- classes and postings ---------------------------------------------------
-
-def classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, class) of each row; the class, a hash of the set, is null for the empty set."""
-    def summarize(batches):
-        for batch in batches:
-            sets = [shingle_set(t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets],
-                "class": pd.array([set_key(s) if len(s) else None for s in sets], "Int64")})
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        summarize, f"doc_id {kind}, n_shingles long, class long")
-
+# -- postings ---------------------------------------------------------------
 
 def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(shingle, class, n, matches): prefix shingles that more than one class posts."""
+    """(shingle, class, n, at, matches): prefix shingles that more than one class posts."""
     def post(batches):
         seen: set[int] = set()
         for batch in batches:
             parts = []
-            for text in batch["text"]:
-                s = shingle_set(text)
+            for s in shingle_sets(batch["text"]):
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 if len(seen) >= SEEN:  # only spares repeats, which are dropped later anyway
@@ -147,20 +148,23 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                     "shingle": np.concatenate([p[0] for p in parts]),
                     "class": np.repeat([p[1] for p in parts], size),
                     "n": np.repeat([p[2] for p in parts], size).astype("int32"),
+                    "at": np.concatenate([np.arange(k, dtype="int32") for k in size]),
                     "matches": np.repeat([p[3] for p in parts], size).astype("int32")})
 
     rows = docs.select("text").mapInPandas(
-        post, "shingle long, class long, n int, matches int")
+        post, "shingle long, class long, n int, at int, matches int")
     own = Window.partitionBy("shingle")
     return (rows.withColumn("low", F.min("class").over(own))
             .withColumn("high", F.max("class").over(own)).filter("low < high")
-            .select("shingle", "class", "n", "matches").dropDuplicates(["shingle", "class"]))
+            .drop("low", "high").dropDuplicates(["shingle", "class"]))
 
 
-def texts_of(docs: DataFrame, posted: DataFrame, bits: int) -> DataFrame:
-    """(class, packed): one text of each posted class, and of the few others that share its bit."""
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, packed): one text of each wanted class, and of the few others that share its bit."""
+    wanted = wanted.distinct()
+    bits = min(27, max(12, (16 * wanted.count()).bit_length()))
     mask = (1 << bits) - 1
-    words = (posted.select(F.col("class").bitwiseAND(F.lit(mask)).alias("bit")).distinct()
+    words = (wanted.select(F.col("class").bitwiseAND(F.lit(mask)).alias("bit")).distinct()
              .groupBy(F.shiftright("bit", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("set")))
     found = words.toPandas()  # at most 2^bits / 64 rows
@@ -171,8 +175,7 @@ def texts_of(docs: DataFrame, posted: DataFrame, bits: int) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                s = shingle_set(text)
+            for text, s in zip(batch["text"], shingle_sets(batch["text"])):
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 bit = key & mask
@@ -183,7 +186,7 @@ def texts_of(docs: DataFrame, posted: DataFrame, bits: int) -> DataFrame:
                     rows.append((key, zlib.compress(text.encode("utf-8", "surrogatepass"), 1)))
             yield pd.DataFrame(rows, columns=["class", "packed"])
 
-    return docs.select("text").mapInPandas(pack, "class long, packed binary")
+    return docs.select("text").mapInPandas(pack, "class long, packed binary").dropDuplicates(["class"])
 
 
 # -- verification -----------------------------------------------------------
@@ -196,7 +199,8 @@ def similar(texts_a: Iterator, texts_b: Iterator) -> list[bool]:
         if packed not in kept:
             if len(kept) > 256:
                 kept.clear()
-            kept[packed] = shingle_set(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
+            text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
+            kept[packed] = next(shingle_sets([text]))
         return kept[packed]
 
     out = []
@@ -207,8 +211,14 @@ def similar(texts_a: Iterator, texts_b: Iterator) -> list[bool]:
     return out
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the similarity."""
+    pairs = stored(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
+    texts = stored(texts_of(docs, pairs.select(F.col("a").alias("class")).unionByName(
+        pairs.select(F.col("b").alias("class")))), "texts")
+
     @F.pandas_udf("boolean")
     def linked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b in batches:
@@ -220,29 +230,42 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .select("a", "b"))
 
 
+def _possible(shared, x: str, y: str):
+    """Whether two sets can still be similar, by their sizes and where they last met in their prefixes.
+
+    Behind its last common prefix shingle a set has ``n - at - 1`` shingles left.
+    """
+    most = shared + F.least(F.expr(f"{x}n - {x}at - 1"), F.expr(f"{y}n - {y}at - 1"))
+    return most * (100 + PERCENT) >= PERCENT * F.expr(f"{x}n + {y}n")
+
+
 def hub_pairs(posted: DataFrame, turn: int) -> DataFrame:
-    """For each class the hub it shares most posted shingles with, if their sizes allow a link."""
+    """For each class the hub it shares most posted shingles with, if they can be similar."""
     rank = F.xxhash64("class", F.lit(turn))
-    hubs = posted.groupBy("shingle").agg(
-        F.min_by(F.struct("class", "n", "component"), rank).alias("hub"))
-    met = (posted.join(hubs, "shingle")
-           .filter((F.col("hub.component") != F.col("component"))
-                   & (100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n")))
-           .groupBy("class", F.col("hub.class").alias("hub")).count())
-    best = met.groupBy("class").agg(F.max_by("hub", F.struct("count", "hub")).alias("b"))
+    hubs = posted.groupBy("shingle").agg(F.min_by(
+        F.struct("class", "n", "at", "component"), rank).alias("hub"))
+    met = (posted.join(hubs, "shingle").filter(F.col("hub.component") != F.col("component"))
+           .groupBy("class", F.col("hub.class").alias("hub")).agg(
+               F.count("*").alias("shared"), F.first("n").alias("x_n"), F.max("at").alias("x_at"),
+               F.first("hub.n").alias("y_n"), F.max("hub.at").alias("y_at"))
+           .filter(_possible(F.col("shared"), "x_", "y_")))
+    best = met.groupBy("class").agg(F.max_by("hub", F.struct("shared", "hub")).alias("b"))
     return best.select(F.col("class").alias("a"), "b")
 
 
 def remaining_pairs(posted: DataFrame) -> DataFrame:
-    """All pairs of classes in different components that share enough posted shingles."""
+    """All pairs of classes in different components that share enough posted shingles, and can be similar."""
     a, b = posted.alias("x"), posted.alias("y")
     size = (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
     met = a.join(b, (F.col("x.shingle") == F.col("y.shingle")) & size
                  & (F.col("x.component") < F.col("y.component")))
     return (met.groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
             .agg(F.count("*").alias("shared"),
-                 F.first(F.least("x.matches", "y.matches")).alias("needed"))
-            .filter("shared >= needed").select("a", "b"))
+                 F.first(F.least("x.matches", "y.matches")).alias("needed"),
+                 F.first("x.n").alias("x_n"), F.max("x.at").alias("x_at"),
+                 F.first("y.n").alias("y_n"), F.max("y.at").alias("y_at"))
+            .filter((F.col("shared") >= F.col("needed")) & _possible(F.col("shared"), "x_", "y_"))
+            .select("a", "b"))
 
 
 def _still_open(posted: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -258,41 +281,36 @@ def _still_open(posted: DataFrame, found: DataFrame | None) -> DataFrame:
             .drop("low", "high"))
 
 
-def links(docs: DataFrame, summary: DataFrame) -> DataFrame:
+def links(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     """(node, component) of the classes that are linked with another class."""
-    levels = sketch(docs)
     posted = stored(postings(docs, levels), "postings")
-    n = max(1, posted.select("class").distinct().count())
-    bits = min(27, max(12, (16 * n - 1).bit_length()))
-    texts = stored(texts_of(docs, posted, bits).dropDuplicates(["class"]), "texts")
     found, known = None, None
-    for turn in range(HUB_ROUNDS):
+    for turn in range(HUB_ROUNDS + 1):
         rest = stored(_still_open(posted, found), "open")
-        d = rest.groupBy("shingle").count()
-        size = d.agg(F.sum("count").alias("rows"),
-                     F.sum(F.expr("count * (count - 1) div 2")).alias("pairs")).first()
-        if not size["rows"] or turn and size["pairs"] <= 8 * size["rows"]:
+        shared = rest.groupBy("shingle").count().agg(
+            F.sum("count").alias("rows"),
+            F.sum(F.expr("count * (count - 1) div 2")).alias("pairs")).first()
+        if not shared["rows"]:
             break
-        new = stored(verified(hub_pairs(rest, turn), texts), "verified")
-        if new.isEmpty():
+        last = turn == HUB_ROUNDS or turn and shared["pairs"] <= 8 * shared["rows"]
+        pairs = remaining_pairs(rest) if last else hub_pairs(rest, turn)
+        new = stored(verified(pairs, docs), "verified")
+        if not new.isEmpty():
+            known = new if known is None else known.unionByName(new)
+            found = components(known)
+        if last:
             break
-        known = new if known is None else known.unionByName(new)
-        found = components(known)
-    else:
-        rest = stored(_still_open(posted, found), "open")
-    new = stored(verified(remaining_pairs(rest), texts), "verified")
-    if not new.isEmpty():
-        known = new if known is None else known.unionByName(new)
-        found = components(known)
     if found is None:
-        found = summary.sparkSession.createDataFrame([], "node long, component long")
+        found = docs.sparkSession.createDataFrame([], "node long, component long")
     return found
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id): the least ids of a document's component and class."""
-    summary = stored(classes(docs), "classes")
-    found = links(docs, summary)
+    scanned = stored(survey(docs), "survey")
+    levels = order_levels(scanned.filter("block is not null").select("block", "counts"))
+    summary = scanned.filter("block is null").select("doc_id", "n_shingles", "class")
+    found = links(docs, levels)
     least = summary.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"))
     grouped = least.join(found.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "class_id", F.coalesce("component", "class").alias("component"))
