@@ -10,13 +10,13 @@ as the smaller k of the two.
 
 Steps, each a job over rows that Spark partitions:
 
-1. a sketch of shingle frequencies, of fixed size (``sketch_bits``), gives the
-   order; it only steers the work, any order gives right results;
+1. a sketch of shingle frequencies, of bounded size, gives the order; it only
+   steers the work, any order gives right results;
 2. documents with equal sets form a class; classes post their prefix shingles;
    shingles that only one class posts are dropped in the same pass;
-3. every class is verified against one hub, the class of least rank among those
-   that share its shingles.  Groups of near copies fall together here, at one
-   pair a member.  Further hubs follow while that leaves many pairs;
+3. every class is verified against one hub, the most typical of the classes that
+   share its shingles.  Groups of near copies fall together here, at one pair a
+   member;
 4. all remaining pairs of classes in different components that share enough
    prefix shingles are verified;
 5. components of the links.
@@ -47,25 +47,26 @@ from .components import components
 from .shingles import set_key, shingle_sets
 
 PERCENT = 75
-SKETCH_BITS = 20
+LEAST_BITS, MOST_BITS = 16, 24  # of the sketch: buckets for 16 times the documents, within bounds
 BLOCK = 1 << 12
 MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
 POSTING_COST = 1.0  # of one more shingle in a prefix, in verified pairs' worth of estimated meetings
-HUB_ROUNDS = 4
+KEYS = 1_000_000  # documents to drop that are broadcast, by two numbers each; beyond it they are joined
 SEEN = 1 << 20  # classes that a task remembers having posted
 
 
 # -- the order of shingles --------------------------------------------------
 
-def survey(docs: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
-    """One pass over the texts: a row (doc_id, n_shingles, class) for each document, and blocks of counts.
+def survey(docs: DataFrame, bits: int) -> DataFrame:
+    """One pass over the texts: a row for each document, and blocks of counts.
 
-    The class is a hash of the set, null for the empty set.  Each task counts
+    A document has doc_id, text_hash, n_shingles and class.  The class is a hash of the set, null for the empty set.  Each task counts
     shingles in 2^bits buckets and adds the counts as compressed blocks at its
     end; in these rows ``block`` is not null.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles long, class long, block int, counts binary"
+    schema = (f"doc_id {kind}, text_hash long, n_shingles long, class long, block int, "
+              "counts binary")
 
     def scan(batches):
         counts = np.zeros(1 << bits, dtype=np.uint32)
@@ -75,22 +76,26 @@ def survey(docs: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
                 counts[s & ((1 << bits) - 1)] += 1
                 sizes.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes,
-                                "class": pd.array(keys, "Int64"), "block": pd.array(
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"],
+                                "n_shingles": sizes, "class": pd.array(keys, "Int64"), "block": pd.array(
                 [None] * len(sizes), "Int32"), "counts": None})
         part = counts.reshape(-1, BLOCK)
         used = np.flatnonzero(part.any(1))
         for k in range(0, len(used), 64):
             some = used[k:k + 64]
             none = pd.array([None] * len(some), "Int64")
-            yield pd.DataFrame({"doc_id": none, "n_shingles": none, "class": none,
-                                "block": some.astype("int32"),
+            yield pd.DataFrame({"doc_id": none, "text_hash": none, "n_shingles": none,
+                                "class": none, "block": some.astype("int32"),
                                 "counts": [zlib.compress(part[i].tobytes(), 1) for i in some]})
 
-    return docs.select("doc_id", "text").mapInPandas(scan, schema)
+    return docs.select("doc_id", "text", _text_hash().alias("text_hash")).mapInPandas(scan, schema)
 
 
-def order_levels(blocks: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def order_levels(blocks: DataFrame, bits: int) -> np.ndarray:
     """A level for each bucket of shingles: 0 for usual ones, then by the logarithm of the excess."""
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BLOCK, dtype=np.int64)
@@ -129,7 +134,9 @@ def prefix(shingles: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
 # -- postings ---------------------------------------------------------------
 
 def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(shingle, class, n, at, matches): prefix shingles that more than one class posts."""
+    """(shingle, class, n, at, matches, met): prefix shingles that ``met`` > 1 classes post."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)  # at most 2^MOST_BITS bytes
+
     def post(batches):
         seen: set[int] = set()
         for batch in batches:
@@ -140,7 +147,7 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 if len(seen) >= SEEN:  # only spares repeats, which are dropped later anyway
                     seen.clear()
                 seen.add(key)
-                first, matches = prefix(s, levels)
+                first, matches = prefix(s, shared.value)
                 parts.append((first, key, len(s), matches))
             if parts:
                 size = [len(p[0]) for p in parts]
@@ -155,7 +162,8 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
         post, "shingle long, class long, n int, at int, matches int")
     own = Window.partitionBy("shingle")
     return (rows.withColumn("low", F.min("class").over(own))
-            .withColumn("high", F.max("class").over(own)).filter("low < high")
+            .withColumn("high", F.max("class").over(own))
+            .withColumn("met", F.count("*").over(own)).filter("low < high")
             .drop("low", "high").dropDuplicates(["shingle", "class"]))
 
 
@@ -239,12 +247,17 @@ def _possible(shared, x: str, y: str):
     return most * (100 + PERCENT) >= PERCENT * F.expr(f"{x}n + {y}n")
 
 
-def hub_pairs(posted: DataFrame, turn: int) -> DataFrame:
-    """For each class the hub it shares most posted shingles with, if they can be similar."""
-    rank = F.xxhash64("class", F.lit(turn))
-    hubs = posted.groupBy("shingle").agg(F.min_by(
-        F.struct("class", "n", "at", "component"), rank).alias("hub"))
-    met = (posted.join(hubs, "shingle").filter(F.col("hub.component") != F.col("component"))
+def hub_pairs(posted: DataFrame) -> DataFrame:
+    """For each class the hub it shares most posted shingles with, if they can be similar.
+
+    The hub of a shingle is the poster whose own shingles are met most often: of
+    a group of near copies the one that the others differ from least.
+    """
+    weight = posted.groupBy("class").agg(F.sum("met").alias("weight"))
+    rows = posted.join(weight, "class")
+    hubs = rows.groupBy("shingle").agg(F.max_by(
+        F.struct("class", "n", "at"), F.struct("weight", "class")).alias("hub"))
+    met = (posted.join(hubs, "shingle").filter(F.col("hub.class") != F.col("class"))
            .groupBy("class", F.col("hub.class").alias("hub")).agg(
                F.count("*").alias("shared"), F.first("n").alias("x_n"), F.max("at").alias("x_at"),
                F.first("hub.n").alias("y_n"), F.max("hub.at").alias("y_at"))
@@ -268,13 +281,10 @@ def remaining_pairs(posted: DataFrame) -> DataFrame:
             .select("a", "b"))
 
 
-def _still_open(posted: DataFrame, found: DataFrame | None) -> DataFrame:
+def _still_open(posted: DataFrame, found: DataFrame) -> DataFrame:
     """The postings with their component, of shingles that lead to more than one component."""
-    if found is None:
-        rows = posted.withColumn("component", F.col("class"))
-    else:
-        rows = posted.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-            *posted.columns, F.coalesce("component", "class").alias("component"))
+    rows = posted.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        *posted.columns, F.coalesce("component", "class").alias("component"))
     own = Window.partitionBy("shingle")
     return (rows.withColumn("low", F.min("component").over(own))
             .withColumn("high", F.max("component").over(own)).filter("low < high")
@@ -284,42 +294,58 @@ def _still_open(posted: DataFrame, found: DataFrame | None) -> DataFrame:
 def links(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     """(node, component) of the classes that are linked with another class."""
     posted = stored(postings(docs, levels), "postings")
-    found, known = None, None
-    for turn in range(HUB_ROUNDS + 1):
-        rest = stored(_still_open(posted, found), "open")
-        shared = rest.groupBy("shingle").count().agg(
-            F.sum("count").alias("rows"),
-            F.sum(F.expr("count * (count - 1) div 2")).alias("pairs")).first()
-        if not shared["rows"]:
-            break
-        last = turn == HUB_ROUNDS or turn and shared["pairs"] <= 8 * shared["rows"]
-        pairs = remaining_pairs(rest) if last else hub_pairs(rest, turn)
-        new = stored(verified(pairs, docs), "verified")
-        if not new.isEmpty():
-            known = new if known is None else known.unionByName(new)
-            found = components(known)
-        if last:
-            break
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], "node long, component long")
-    return found
+    first = stored(verified(hub_pairs(posted), docs), "verified")
+    rest = stored(_still_open(posted, components(first)), "open")
+    more = stored(verified(remaining_pairs(rest), docs), "verified")
+    return components(first.unionByName(more))
 
 
-def jaccard_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id): the least ids of a document's component and class."""
-    scanned = stored(survey(docs), "survey")
-    levels = order_levels(scanned.filter("block is not null").select("block", "counts"))
-    summary = scanned.filter("block is null").select("doc_id", "n_shingles", "class")
-    found = links(docs, levels)
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, group, component_id, class_id) of each row.
+
+    ``group`` names a component also where ids are null; the empty set has none.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * docs.count()).bit_length()))
+    scanned = stored(survey(docs, bits), "survey")
+    levels = order_levels(scanned.filter("block is not null").select("block", "counts"), bits)
+    summary = scanned.filter("block is null").select("doc_id", "text_hash", "n_shingles", "class")
+    found = links(docs, levels).withColumnRenamed("node", "class")
     least = summary.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"))
-    grouped = least.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-        "class", "class_id", F.coalesce("component", "class").alias("component"))
-    grouped = stored(grouped, "groups")
-    roots = grouped.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    named = grouped.join(roots, "component").select("class", "class_id", "component_id")
+    parts = stored(least.join(found, "class", "left").select(
+        "class", "class_id", F.coalesce("component", "class").alias("group")), "groups")
+    roots = parts.groupBy("group").agg(F.min("class_id").alias("component_id"))
+    named = parts.join(roots, "group").select("class", "class_id", "group", "component_id")
+    own = F.col("class").isNull()
     return summary.join(named, "class", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-        .alias("component_id"),
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-        .alias("class_id"))
+        "doc_id", "text_hash", "n_shingles", "group",
+        F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+
+
+def jaccard_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id): the least ids of a document's component and class."""
+    return grouped(docs).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The documents, with their own columns: one of each component (its least id) and all without words."""
+    rows = stored(grouped(docs).filter("group is not null").select(
+        "group", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+        .alias("key")), "members")
+    kept = rows.groupBy("group").agg(F.min("key").alias("kept"))
+    # One row a distinct key: whether it stays, and how many rows have it.
+    keys = rows.join(kept, "group").groupBy("key").agg(
+        F.count("*").alias("rows"), F.max(F.col("key") == F.col("kept")).alias("stays"))
+    odd = stored(keys.filter("not stays or rows > 1").select(
+        F.col("key.doc_id").alias("odd_id"), F.col("key.text_hash").alias("odd_hash"), "stays"),
+        "dropped")
+    if odd.count() <= KEYS:
+        odd = F.broadcast(odd)
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
+                        docs["doc_id"].alias("doc_id"),
+                        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("text_hash"))
+    met = whole.join(odd, F.col("doc_id").eqNullSafe(F.col("odd_id"))
+                     & (F.col("text_hash") == F.col("odd_hash")), "left")
+    single = met.filter(F.col("odd_hash").isNull())
+    repeated = met.filter("stays").dropDuplicates(["doc_id", "text_hash"])
+    return single.unionByName(repeated).select("doc.*")
