@@ -37,6 +37,7 @@ BLOCKS = 128
 FILLERS = 3  # single documents that follow a cut
 LEVELS = 3  # of the splitting tree: 8 shards
 SEED = 17
+MIX_COLUMNS = ["size", "source_size", "target", "taken", "shards"]
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -234,19 +235,34 @@ def mix_report(docs: DataFrame) -> DataFrame:
                       F.concat_ws(",", F.col("shards").cast("array<string>")).alias("shards"))
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix: one row per take, with its shard and a random place in it.
-
-    Written with ``partitionBy("shard")`` after a sort within partitions by
-    ``shard`` and ``place``, each output shard is locally shuffled.
-    """
+def _with_takes(docs: DataFrame) -> DataFrame:
+    """(doc, size, source_size, target, taken, key, shards): whole rows beside their part in the mix."""
     rows = stored(sized(docs), "sized")
     sources, plan, fillers = plan_blocks(rows)
     key = _key(docs["text"], docs["doc_id"])
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
                         docs["source"].alias("source"), size(docs["text"]).alias("size"),
                         key.alias("key")).withColumn("block", F.pmod("key", F.lit(BLOCKS)))
-    out = _taken(whole, sources, stored(_block_plan(plan, fillers), "takes"))
-    return out.select("doc", "size", "source_size", "target", "taken", "key", F.posexplode(
-        "shards").alias("take", "shard")).withColumn(
-        "place", F.xxhash64("key", "take", "shard", F.lit(SEED)))
+    return _taken(whole, sources, stored(_block_plan(plan, fillers), "takes"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The documents of the mix (those with words) with how often and to which shards they go.
+
+    A column of the mix that a document has already is called ``mix_...``.
+    """
+    own = set(docs.columns)
+    names = [c if c not in own else f"mix_{c}" for c in MIX_COLUMNS]
+    out = _with_takes(docs).filter("taken > 0").withColumn(
+        "shards", F.concat_ws(",", F.col("shards").cast("array<string>")))
+    return out.select("doc.*", *[F.col(c).alias(n) for c, n in zip(MIX_COLUMNS, names)])
+
+
+def write_shards(docs: DataFrame, path: str) -> None:
+    """The mix as one folder a shard, each row once per take, in random order within its files."""
+    rows = _with_takes(docs).select("doc", "key", F.posexplode("shards").alias("take", "shard"))
+    placed = rows.withColumn("place", F.xxhash64("key", "take", "shard", F.lit(SEED)))
+    # A shard spreads over several tasks; the place deals its rows out.
+    dealt = placed.repartition("shard", F.pmod("place", F.lit(BLOCKS))).sortWithinPartitions(
+        "shard", "place")
+    dealt.select("shard", "doc").write.partitionBy("shard").parquet(path)
