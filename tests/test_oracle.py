@@ -16,10 +16,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """But those of the text subpackage, some of which train models; its own tests cover them."""
+    text = set(entry._text_queries())
+    assert set(entry.queries()) - text == set(entry.oracle_sql()) - text
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
 def test_query(spark, name):
     assert check_oracle.compare(spark, DATA, name).startswith("ok")
 
