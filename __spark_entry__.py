@@ -102,7 +102,12 @@ def _previous_month(spark, sf):
 
 def _result_columns(frame: DataFrame) -> DataFrame:
     return frame.select("run_id", "events_table_name", "refresh_month", "check_category",
-                        "check_name", "metric_name", "status")
+                        "check_name", "metric_name", _stored_value(), "status")
+
+
+def _stored_value():
+    """The number that a stored text stands for; words have none."""
+    return F.round(F.expr("try_cast(metric_value as double)"), 4).alias("value")
 
 
 def _two_tables(spark, sf) -> DataFrame:
@@ -131,17 +136,21 @@ def _two_runs(spark, sf) -> list[DataFrame]:
     return runs
 
 
-def _append(spark, sf):
+def _history(spark, sf) -> DataFrame:
+    """Two appended runs, read back."""
     target = shared_folder(spark, "results")
     for run in _two_runs(spark, sf):
         history.append(run, target)
-    return _result_columns(history.read_history(spark, target))
+    return history.read_history(spark, target)
+
+
+def _append(spark, sf):
+    return _result_columns(_history(spark, sf))
 
 
 def _latest_run(spark, sf):
-    first, second = _two_runs(spark, sf)
-    latest = history.latest_run(first.unionByName(second))
-    return latest.select("check_category", "check_name", "metric_name", "status")
+    latest = history.latest_run(_history(spark, sf))
+    return latest.select("check_category", "check_name", "metric_name", _stored_value(), "status")
 
 
 def _backfill(spark, sf):
@@ -400,7 +409,7 @@ def _literal_run(scope: oq.Scope, run_id: str, families: list[str]) -> str:
     body = oq.suite_body(scope, families)
     return (f"select '{run_id}' as run_id, '{scope.table['table']}' as events_table_name, "
             f"strftime(m, '%Y-%m') as refresh_month, check_category, check_name, metric_name, "
-            f"status from ({scope.ctes(body)} {body})")
+            f"value, status from ({scope.ctes(body)} {body})")
 
 
 def _absent_columns() -> str:
@@ -490,7 +499,7 @@ def oracle_sql() -> dict[str, str]:
                         f"limit {SAMPLE_ROWS}",
         "combine_results": both,
         "result_append": runs,
-        "latest_run_view": f"select check_category, check_name, metric_name, status from ({runs}) "
+        "latest_run_view": f"select check_category, check_name, metric_name, value, status from ({runs}) "
                            f"where run_id = '{RUN_ID}'",
         "latest_refresh_month": f"select max(strftime(kh_refresh_date, '%Y-%m')) as latest_month "
                                 f"from ({events})",

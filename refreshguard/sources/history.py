@@ -36,7 +36,8 @@ def append(results: DataFrame | None, target: str, fmt: str = "parquet") -> bool
     """
     if results is None:
         return False
-    rows = results.select(*RESULT_SCHEMA.fieldNames())
+    # The rows are few and come from many branches: one file a month.
+    rows = results.select(*RESULT_SCHEMA.fieldNames()).repartition("refresh_month")
     spark = rows.sparkSession
     writer = rows.write.mode("append").format(fmt).partitionBy("refresh_month")
     if "/" in target:
