@@ -357,6 +357,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # consistency
         "fill_date_order": _check(consistency.date_order, PHARMACY),
         "service_date_order": _check(consistency.date_order),
+        "demographic_stability": _monthly(consistency.demographic_stability),
         "missing_entities": _check(consistency.missing_entities),
         "missing_entities_exact": _check(consistency.missing_entities, snapshot="exact"),
         "outside_enrollment_pct": _check(consistency.outside_enrollment),
@@ -549,6 +550,7 @@ def oracle_sql() -> dict[str, str]:
         "validity_empty": check(oq.Scope(oq.MX, "month", empty), oq.validity, "overall_validity"),
         "fill_date_order": check(rx, oq.date_order),
         "service_date_order": check(mx, oq.date_order),
+        "demographic_stability": check(span, oq.stability),
         "missing_entities": check(mx, oq.missing_entities),
         "missing_entities_exact": check(oq.Scope(oq.MX, exact=True), oq.missing_entities),
         "outside_enrollment_pct": check(mx, oq.outside_enrollment),

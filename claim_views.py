@@ -72,8 +72,10 @@ from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{part}} on l_
 
 PATIENT_DEMO = """
 select c_custkey as patient_id, cast(o_orderdate as date) as kh_refresh_date,
-  case c_nationkey % 3 when 0 then 'f' when 1 then 'M' else null end as patient_gender,
-  case when c_custkey % 40 = 0 then null else 1920 + cast(c_custkey % 100 as int) end as patient_yob
+  case (c_nationkey + case when c_custkey % 7 = 3 then month(o_orderdate) else 0 end) % 3
+    when 0 then 'f' when 1 then 'M' else null end as patient_gender,
+  case when c_custkey % 40 = 0 then null else cast(1920 + c_custkey % 100
+    + case when c_custkey % 9 = 2 then month(o_orderdate) % 2 else 0 end as int) end as patient_yob
 from {customer} join {orders} on c_custkey = o_custkey
 where c_custkey % 20 <> 19"""
 

@@ -288,7 +288,18 @@ def providers_pooled(s: Scope) -> list[str]:
 
 
 def stability(s: Scope) -> list[str]:
-    return [block("select m from spine", [row("consistency", "demographic_stability", "status")])]
+    latest = ("select * from (select cast(date_trunc('month', kh_refresh_date) as date) as own, "
+              "patient_id as p, patient_gender as g, patient_yob as y, row_number() over (partition "
+              "by date_trunc('month', kh_refresh_date), patient_id order by kh_refresh_date desc, "
+              "patient_gender desc nulls last, patient_yob desc nulls last) as rn from "
+              f"({cv.oracle_view('patient_demo')}) where patient_id is not null) where rn = 1")
+    wide = spined(f"select c.own as m, count(*) as n, count(*) filter (where c.g is distinct from "
+                  f"q.g) as gc, count(*) filter (where c.y is distinct from q.y) as yc from ({latest}) "
+                  f"c join ({latest}) q on c.p = q.p and q.own = c.own - interval 1 month "
+                  f"group by c.own", ["n", "gc", "yc"])
+    return [block(wide, [row("consistency", "demographic_stability", f"{c}_changed_percent", x, "n",
+                             pct(x, "n"), bad(f"{x} > 0", "WARN"))
+                         for c, x in (("gender", "gc"), ("birth", "yc"))])]
 
 
 # -- distribution ---------------------------------------------------------

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..context import Context
-from ..functions import rules
+from ..context import OWN, Context
+from ..functions import months, rules
 from ..functions.measures import count_of, flag, note, percent_of, to_long
 from . import snapshots
 from .intervals import uncovered
@@ -43,14 +43,6 @@ def date_order_checks(ctx: Context) -> ScanChecks:
     return checks
 
 
-def stability_checks(ctx: Context) -> ScanChecks:
-    """A placeholder row: the check is named but defined nowhere."""
-    checks = ScanChecks(CATEGORY)
-    checks.add(note("demographic_stability", "status", "NOT IMPLEMENTED", "INFO",
-                    "Requires comparing demographics across refreshes"))
-    return checks
-
-
 def date_order(ctx: Context) -> DataFrame:
     return run_scan(ctx, date_order_checks(ctx))
 
@@ -112,6 +104,34 @@ def missing_providers(ctx: Context, shared: SharedFrames | None = None,
     return to_long(wide, ctx.by, CATEGORY, measures)
 
 
+def demographic_stability(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:
+    """Entities of two months running whose gender or birth differs between their latest rows.
+
+    Both months' latest rows come from one aggregation per entity; NULL is a
+    value like any other.
+    """
+    check, names = "demographic_stability", ctx.names
+    if not ctx.by and ctx.previous is None:
+        return to_long(ctx.labels(), ctx.by, CATEGORY, [note(
+            check, "status", "SKIPPED", "INFO", "Previous refresh month not provided")])
+    refresh = F.col(names.refresh_date)
+    first = months.shift(ctx.start, -1) if ctx.by else min(ctx.previous, ctx.month)
+    rows = ctx.dimensions["demo"].filter(
+        months.in_months(refresh, first, ctx.month) & F.col(names.entity).isNotNull()).select(
+        months.month_start(refresh).alias(OWN), F.col(names.entity).alias("entity"),
+        F.struct(refresh.alias("seen"), F.col(names.gender).alias("gender"),
+                 F.col(names.birth).alias("birth")).alias("latest"))
+    pairs = (ctx.pair(rows).groupBy(*ctx.by, "entity").agg(
+        F.max(F.when(F.col("in_cur"), F.col("latest"))).alias("cur"),
+        F.max(F.when(F.col("in_prev"), F.col("latest"))).alias("prev"))
+        .filter("cur is not null and prev is not null"))
+    wide = ctx.complete(pairs.groupBy(*ctx.by).agg(F.count("*").alias("n_both"), *[
+        F.expr(f"count_if(not (cur.{c} <=> prev.{c})) as n_{c}") for c in ("gender", "birth")]))
+    return to_long(wide, ctx.by, CATEGORY, [percent_of(
+        check, f"{c}_changed_percent", f"n_{c}", "n_both", "WARN",
+        f"entities of both months have another {c} than before") for c in ("gender", "birth")])
+
+
 # -- intervals and deaths -------------------------------------------------
 
 def outside_enrollment(ctx: Context, shared: SharedFrames | None = None) -> DataFrame:

@@ -29,12 +29,12 @@ Check = Callable[[Context], DataFrame]
 SCAN_CHECKS: Mapping[str, Callable[[Context], list]] = {
     "completeness": completeness.family_checks,
     "validity": lambda ctx: [validity.rule_set(ctx)],
-    "consistency": lambda ctx: [consistency.date_order_checks(ctx),
-                                consistency.stability_checks(ctx)],
+    "consistency": lambda ctx: [consistency.date_order_checks(ctx)],
 }
 # Checks that are plans of their own over shared reductions.
 PLAN_CHECKS: Mapping[str, Sequence[Callable[[Context, SharedFrames], DataFrame]]] = {
-    "consistency": (consistency.missing_entities, consistency.outside_enrollment,
+    "consistency": (consistency.demographic_stability, consistency.missing_entities,
+                    consistency.outside_enrollment,
                     consistency.outside_enrollment_events, consistency.after_death,
                     consistency.missing_providers),
     "uniqueness": (lambda ctx, _: uniqueness.uniqueness(ctx),),
