@@ -52,6 +52,7 @@ BLOCK = 1 << 12
 MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
 POSTING_COST = 1.0  # of one more shingle in a prefix, in verified pairs' worth of estimated meetings
 KEYS = 1_000_000  # documents to drop that are broadcast, by two numbers each; beyond it they are joined
+SIGNATURE = 16  # words of 64 bits
 SEEN = 1 << 20  # classes that a task remembers having posted
 
 
@@ -117,8 +118,11 @@ def order_levels(blocks: DataFrame, bits: int) -> np.ndarray:
     return level.astype(np.uint8)
 
 
-def prefix(shingles: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
-    """The prefix of a set in the global order, and how many of it two similar sets must share."""
+def prefix(shingles: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """The prefix of a set in the global order, how many of it two similar sets must share, and its end.
+
+    The end is the place of the last shingle in the global order.
+    """
     n = len(shingles)
     need = -(-PERCENT * n // 100)
     level = levels[shingles & (len(levels) - 1)]
@@ -128,13 +132,15 @@ def prefix(shingles: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
     lengths = n - need + matches
     cost = POSTING_COST * lengths + meets[lengths - 1] / matches
     best = int(cost.argmin())
-    return shingles[order[:lengths[best]]], int(matches[best])
+    last = order[lengths[best] - 1]
+    end = (int(level[last]) << 56) + (int(shingles[last]) >> 9)
+    return shingles[order[:lengths[best]]], int(matches[best]), end
 
 
 # -- postings ---------------------------------------------------------------
 
 def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(shingle, class, n, at, matches, met): prefix shingles that ``met`` > 1 classes post."""
+    """(shingle, class, n, at, matches, end, met): prefix shingles that ``met`` > 1 classes post."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # at most 2^MOST_BITS bytes
 
     def post(batches):
@@ -147,8 +153,8 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 if len(seen) >= SEEN:  # only spares repeats, which are dropped later anyway
                     seen.clear()
                 seen.add(key)
-                first, matches = prefix(s, shared.value)
-                parts.append((first, key, len(s), matches))
+                first, matches, end = prefix(s, shared.value)
+                parts.append((first, key, len(s), matches, end))
             if parts:
                 size = [len(p[0]) for p in parts]
                 yield pd.DataFrame({
@@ -156,10 +162,11 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                     "class": np.repeat([p[1] for p in parts], size),
                     "n": np.repeat([p[2] for p in parts], size).astype("int32"),
                     "at": np.concatenate([np.arange(k, dtype="int32") for k in size]),
-                    "matches": np.repeat([p[3] for p in parts], size).astype("int32")})
+                    "matches": np.repeat([p[3] for p in parts], size).astype("int32"),
+                    "end": np.repeat(np.array([p[4] for p in parts], dtype=np.int64), size)})
 
     rows = docs.select("text").mapInPandas(
-        post, "shingle long, class long, n int, at int, matches int")
+        post, "shingle long, class long, n int, at int, matches int, end long")
     own = Window.partitionBy("shingle")
     return (rows.withColumn("low", F.min("class").over(own))
             .withColumn("high", F.max("class").over(own))
@@ -267,11 +274,37 @@ def hub_pairs(posted: DataFrame) -> DataFrame:
 
 
 def remaining_pairs(posted: DataFrame) -> DataFrame:
-    """All pairs of classes in different components that share enough posted shingles, and can be similar."""
-    a, b = posted.alias("x"), posted.alias("y")
+    """All pairs of classes in different components that share enough posted shingles, and can be similar.
+
+    Three bounds on what two sets have in common hold where they meet, so that a
+    large group of texts that are alike, but not enough, makes few rows: their
+    sizes; what stands before and behind the common shingle in both; and, from a
+    signature of the posted shingles (a bit each), how many of these they can
+    share, with what stands behind the prefix that ends first.  ``crowded`` counts
+    shingles beyond the first of a bit; they may all be common.
+    """
+    need = F.expr(f"ceil(n * {PERCENT} / 100.0)")
+    code = F.pmod(F.shiftright("shingle", 13), F.lit(64 * SIGNATURE))
+    bits = [F.bit_or(F.when(F.floor(code / 64) == k, F.expr(
+        f"shiftleft(1L, cast(pmod(shiftright(shingle, 13), {64 * SIGNATURE}) % 64 as int))"))
+        .otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SIGNATURE)]
+    own = posted.groupBy("class").agg(
+        *bits, F.count("*").alias("posts"), F.first(need - F.col("matches")).alias("behind"))
+    held = " + ".join(f"bit_count(s{k})" for k in range(SIGNATURE))
+    rows = posted.join(own.withColumn("crowded", F.expr(f"posts - ({held})")).drop("posts"), "class")
+    a, b = rows.alias("x"), rows.alias("y")
     size = (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
+    both = F.expr("x.n + y.n") * PERCENT
+    here = F.least("x.at", "y.at") + 1 + F.least(F.expr("x.n - x.at - 1"), F.expr("y.n - y.at - 1"))
+    common = F.expr(" + ".join(f"bit_count(x.s{k} & y.s{k})" for k in range(SIGNATURE))
+                    + " + least(x.crowded, y.crowded)")
+    behind = F.expr("case when x.end < y.end then x.behind when y.end < x.end then y.behind "
+                    "else greatest(x.behind, y.behind) end")
     met = a.join(b, (F.col("x.shingle") == F.col("y.shingle")) & size
-                 & (F.col("x.component") < F.col("y.component")))
+                 & (F.col("x.component") < F.col("y.component"))
+                 & (here * (100 + PERCENT) >= both)
+                 & (common >= F.least("x.matches", "y.matches"))
+                 & ((common + behind) * (100 + PERCENT) >= both))
     return (met.groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
             .agg(F.count("*").alias("shared"),
                  F.first(F.least("x.matches", "y.matches")).alias("needed"),
