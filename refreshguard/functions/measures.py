@@ -96,8 +96,8 @@ def change(check: str, metric: str, current: str, previous: str, threshold: floa
         f"coalesce(string({moved}), 'N/A')",
         f"case when {moved} is null then 'INFO' when {within(moved, threshold)} then 'PASS' "
         "else 'WARN' end",
-        f"if({moved} is null, {quote(f'Previous month had 0 {what}.')}, "
-        f"format_string('Change: %+.2f%%. Threshold: +/-{limit}%%', {moved}))")
+        f"if({moved} is null, {quote(f'no {what} in the month before')}, "
+        f"format_string('moved by %+.2f%%, {limit}%% either way pass', {moved}))")
 
 
 def note(check: str, metric: str, text: str, status: str, details: str,

@@ -65,7 +65,7 @@ def _shares(check: str, columns: dict[str, str], status: str, what: str,
                         f"concat('Based on ', string({total}), {quote(' ' + what)})",
                         f"{total} > 0"))
     rows.append(note(check, "status", "SKIPPED", "INFO",
-                     "No events could be linked to demographic data", f"{total} = 0"))
+                     f"Nothing to share out among: {what}", f"{total} = 0"))
     return rows
 
 

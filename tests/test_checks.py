@@ -288,7 +288,7 @@ def test_change_at_the_threshold_passes(events, context, metric):
 def test_no_previous_rows_is_not_applicable(events, context, metric):
     row = metric(volume.volume(context(events({}))), "record_count", "change_percentage")
     assert (row.metric_value, row.value, row.status) == ("N/A", None, "INFO")
-    assert row.details == "Previous month had 0 records."
+    assert row.details == "no records in the month before"
 
 
 def test_averages_and_top_ids(events, context, metric):
