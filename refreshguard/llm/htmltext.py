@@ -10,8 +10,9 @@ of low importance are removed from each page of the host.
 Two kinds of evidence stand beside the tree, as it needs several pages of a host
 and cannot tell unique adverts from content: what an element is (navigation,
 form, script, ...) or is called (class, id, role), and the ``article`` or
-``main`` element of a page, whose text is kept whatever its importance but for
-the named parts in it.
+``main`` element of a page, whose text is kept but for the named parts in it and
+its branches of an importance below ``REPEATED``.  That cut is stricter, and
+articles that say the same count once: copies of a page repeat nothing.
 
 Spark adds up the nodes (host, path, text hash) with partial sums before they
 are shuffled; the table of unimportant nodes has as many rows as sites have
@@ -40,6 +41,7 @@ from ..sources.shared import stored
 
 PAGES = 5  # of a host, before its tree says anything
 LOW = 0.25  # importance below which a branch goes
+REPEATED = 0.15  # the same within article and main
 FADE = 0.9  # weight of what is in a node, against how it is built
 SMALL = 200_000  # nodes that are broadcast
 
@@ -174,7 +176,7 @@ def main_text(page: str | None, low: set[int]) -> str:
     """The kept blocks of a page, joined by line breaks."""
     found = blocks(page) if page else []
     if any(b.main for b in found):
-        kept = [b for b in found if b.main and not b.noise]
+        kept = [b for b in found if b.main and not b.noise and b.path not in low]
     else:
         kept = [b for b in found if not b.noise and b.path not in low]
     return "\n".join(b.text for b in kept)
@@ -185,46 +187,53 @@ def host(url: Column) -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, importance) of the nodes of each host's tree."""
+    """(host, path, main, importance) of the nodes of each host's tree."""
     def parts(batches):
         for batch in batches:
             rows = set()
             out = []
             for site, page in zip(batch["host"], batch["html"]):
                 rows.clear()
+                article = 0
                 for b in blocks(page) if page else ():
-                    if not b.main:
-                        rows.add((site, b.path, zlib.crc32(b.text.encode("utf-8", "replace")),
-                                  b.shape))
-                out += rows
-            yield pd.DataFrame(out, columns=["host", "path", "content", "shape"])
+                    content = zlib.crc32(b.text.encode("utf-8", "replace"))
+                    rows.add((site, b.path, b.main, content, b.shape))
+                    if b.main and not b.noise:
+                        article = zlib.crc32(content.to_bytes(4), article)
+                out += [(*r, article if r[2] else 0) for r in rows]
+            yield pd.DataFrame(out, columns=["host", "path", "main", "content", "shape", "article"])
 
     rows = pages.select(host(F.col("url")).alias("host"), "html")
     sites = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    found = rows.mapInPandas(parts, "host string, path long, content long, shape long")
+    found = rows.mapInPandas(parts, "host string, path long, main boolean, content long, "
+                                    "shape long, article long")
+    # Within main a page is its article, so copies of it are one; elsewhere each page counts.
+    found = found.groupBy(*found.columns).agg(F.count("*").alias("k")).withColumn(
+        "k", F.when(F.col("main"), 1).otherwise(F.col("k")))
 
     def entropy(of: str) -> DataFrame:
         """Per node its distinct values, its pages and the logarithms of the pages of each value."""
-        return found.groupBy("host", "path", of).agg(F.count("*").alias("k")).groupBy(
-            "host", "path").agg(F.count("*").alias("n"), F.sum("k").alias("m"),
+        return found.groupBy("host", "path", "main", of).agg(F.sum("k").alias("k")).groupBy(
+            "host", "path", "main").agg(F.count("*").alias("n"), F.sum("k").alias("m"),
                                 F.sum(F.log("k")).alias("logs"),
                                 F.sum(F.col("k") * F.log("k")).alias("klogs"))
 
     built = entropy("shape").select(
-        "host", "path", F.when(F.col("m") > 1, (F.log("m") - F.col("klogs") / F.col("m"))
+        "host", "path", "main", F.when(F.col("m") > 1, (F.log("m") - F.col("klogs") / F.col("m"))
                                / F.log("m")).otherwise(1.0).alias("built"))
     said = entropy("content").select(
-        "host", "path", F.col("m").alias("seen"),
+        "host", "path", "main", F.col("m").alias("seen"),
         F.when(F.col("m") > 1, 1 - F.col("logs") / F.col("n") / F.log("m")).otherwise(1.0)
         .alias("said"))
-    return said.join(built, ["host", "path"]).join(F.broadcast(sites), "host").filter(
+    return said.join(built, ["host", "path", "main"]).join(F.broadcast(sites), "host").filter(
         (F.col("pages") >= PAGES) & (F.col("seen") >= PAGES)).select(
-        "host", "path", ((1 - FADE) * F.col("built") + FADE * F.col("said")).alias("importance"))
+        "host", "path", "main", ((1 - FADE) * F.col("built") + FADE * F.col("said")).alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each page."""
-    low = stored(style_tree(pages).filter(F.col("importance") < LOW).select("host", "path"), "nodes")
+    cut = F.when(F.col("main"), REPEATED).otherwise(LOW)
+    low = stored(style_tree(pages).filter(F.col("importance") < cut).select("host", "path"), "nodes")
     by_host = low.groupBy("host").agg(F.collect_list("path").alias("low"))
     if low.count() <= SMALL:
         by_host = F.broadcast(by_host)

@@ -207,6 +207,21 @@ def test_main_text(spark):
     assert text == {k: f"Head {k}\nText of page {k} é x" for k in range(24)}
 
 
+def test_repeated_branches_of_articles(spark):
+    def page(k, site):
+        if site == "copies":
+            return "<article><h1>One head</h1><p>Text of all pages</p></article>"
+        return (f"<article><h1>Head {k}</h1><div class=xa>Write to us</div><p>Text {k}</p>"
+                f"<div class=xb>Note {k}</div></article>")
+    rows = [(10 * k + j, f"http://{site}.org/{k}", page(k, site)) for k in range(12)
+            for j, site in enumerate(("copies", "own"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r["page_id"]: r["text"] for r in htmltext.extract(pages).collect()}
+    assert {text[10 * k] for k in range(12)} == {"One head\nText of all pages"}
+    assert [text[10 * k + 1] for k in range(12)] == [
+        f"Head {k}\nText {k}\nNote {k}" for k in range(12)]
+
+
 def test_archive_round_trip(spark):
     pages = spark.read.parquet(f"{TINY}/pages.parquet")
     rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
