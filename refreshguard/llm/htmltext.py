@@ -63,15 +63,20 @@ NAMES = frozenset(
     "subscribe subscription signup login form search comment comments commentlist reply replies "
     "respond disqus discussion share sharing social related recommended recommendations breadcrumb "
     "breadcrumbs pagination pager widget copyright legal skip toolbar contentinfo complementary "
-    "teaser".split())
+    "teaser topnav mainnav sitenav navmenu mainmenu sitemenu siteheader sitefooter pagefooter "
+    "cookiebanner cookieconsent cookienotice adcontainer adbanner leftsidebar rightsidebar "
+    "sidebarleft sidebarright relatedposts relatedarticles socialshare sharebuttons socialmedia "
+    "newslettersignup searchform searchbox loginform commentform commentsection".split())
+# Whose own name says nothing, as it is the name of what they say.
+SPEAKING = frozenset("html body article main h1 h2 h3 h4 h5 h6 p".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
           "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?",
-                       re.I)
+# Each attribute with its value, so that no name is found within a value or another name.
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 PIECES = re.compile(r"[a-z]+")
 
 
@@ -87,27 +92,28 @@ class _Open(NamedTuple):
     tag: str
     path: int
     main: bool
-    noise: bool
+    noise: bool  # by what it or an element around it is
+    named: bool  # by a name
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """The class and id of an element, without digits, and whether they mark it as no content."""
-    own, noise = [], False
+def _names(attributes: str) -> tuple[str, bool, bool]:
+    """The class and id of an element, without digits, whether one of them (whole, but for its
+    hyphens) is a name of no content, and whether the element is hidden."""
+    own, named, hidden = [], False, False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden":
-            noise |= name == "hidden" or value == "true"
-            continue
-        words = PIECES.findall(value)
-        noise |= not NAMES.isdisjoint(words)
-        own += words
-    return ".".join(own), noise
+            hidden |= name == "hidden" or value == "true"
+        elif name in ("class", "id", "role"):
+            named |= not NAMES.isdisjoint(value.replace("-", "").replace("_", "").split())
+            own += PIECES.findall(value)
+    return ".".join(own), named, hidden
 
 
 def blocks(page: str) -> list[Block]:
     """The texts of a page in their order, each with its place in the tree."""
     out: list[Block] = []
-    stack = [_Open("", 0, False, False)]
+    stack = [_Open("", 0, False, False, False)]
     words: list[str] = []
     shape = at = 0
 
@@ -116,7 +122,7 @@ def blocks(page: str) -> list[Block]:
         words.clear()
         if text:
             top = stack[-1]
-            out.append(Block(top.path, text, top.main, top.noise, shape))
+            out.append(Block(top.path, text, top.main, top.noise or top.named, shape))
 
     for m in _tokens(page):
         if m.start() > at:
@@ -147,14 +153,16 @@ def blocks(page: str) -> list[Block]:
             stack.pop()
         if tag in VOID:
             continue
-        named, noise = _names(m[3] or m[6] or "")
+        own, named, hidden = _names(m[3] or m[6] or "")
         top = stack[-1]
         main = top.main or tag in ("article", "main")
         # A heading's own header, inside the article, is a part of it.
-        noise = top.noise or noise and tag not in ("html", "body", "article", "main") \
+        noise = top.noise or hidden and tag not in ("html", "body", "article", "main") \
             or tag in NOISE and not (tag == "header" and top.main)
-        path = zlib.crc32(f"{tag}.{named}".encode(), top.path)
-        stack.append(_Open(tag, path, main, noise))
+        # The name of a wrapper says nothing of an article in it.
+        named = tag not in ("article", "main") and (top.named or named and tag not in SPEAKING)
+        path = zlib.crc32(f"{tag}.{own}".encode(), top.path)
+        stack.append(_Open(tag, path, main, noise, named))
     words.append(entities.unescape(page[at:]))
     flush()
     return out

@@ -222,6 +222,21 @@ def test_repeated_branches_of_articles(spark):
         f"Head {k}\nText {k}\nNote {k}" for k in range(12)]
 
 
+def test_names_drop_their_own_branch_only():
+    def text(page):
+        return htmltext.main_text(page, set())
+    assert text('<div class="page has-sidebar"><article>a</article></div>') == "a"
+    assert text('<div class="sidebar">x<article>a</article>y</div>') == "a"
+    assert text('<article><h2 id="how-to-search">A</h2><p class=notice>b</p></article>') == "A\nb"
+    assert text('<article><h2 id="search">A</h2><div class="job-search">b</div></article>') == "A\nb"
+    assert text('<div style="overflow:hidden">a</div><div data-visibility="hidden">b</div>'
+                '<div data-class="sidebar">c</div><div title=" hidden ">d</div>') == "a\nb\nc\nd"
+    assert text('<div title="it\'s hidden>a</div>') == "a"
+    assert text('<div hidden>x</div><div aria-hidden=true>x</div><p hidden>x</p><p>a</p>'
+                '<div class="wide sidebar">x</div><div id="cookie-banner">x</div>') == "a"
+    assert text('<article>a<div class="comments"><p>x</p></div></article>') == "a"
+
+
 def test_archive_round_trip(spark):
     pages = spark.read.parquet(f"{TINY}/pages.parquet")
     rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
