@@ -88,6 +88,29 @@ def test_personal_data(documents, texts, spark):
         assert set(spans) <= set(rows[i]["spans"].split(",")) | {""}
 
 
+def test_national_phone_numbers(spark):
+    rng = random.Random(3)
+
+    def number(*sizes):
+        return ["".join(rng.choice("123456789") for _ in range(n)) for n in sizes]
+    docs = {}
+    for k in range(300):
+        a, b, c = number(3, 3, 4)
+        ip = ".".join(str(rng.randint(11, 255)) for _ in range(4))
+        docs[k] = f"on the +1 ({a}) {b}-{c} and {ip} or {''.join(number(9))} end"
+    new = {1000: ("my phone ", "(555) 123-4567", " now"), 1001: ("phone: ", "030 1234567", ", 12 x"),
+           1002: ("please call ", "555-0199", "."), 1003: ("the (office) ", "(555) 123-4567", " is")}
+    docs |= {k: "".join(v) for k, v in new.items()}
+    none = {2000: "at 2024-01-15 10:30 of", 2001: "sum 1,234,567,890 paid", 2002: "item 4711-0815-5555",
+            2003: "call 2024-01-15 10:30", 2004: "years 1999-2001", 2005: "hotel 4711 0815 5555"}
+    frame = spark.createDataFrame(list((docs | none).items()), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"]
+             for r in pii.pii_report(frame, pii.train(frame)).collect()}
+    for k, (before, value, _) in new.items():
+        assert spans[k] == f"phone:{len(before)}:{len(before) + len(value)}", docs[k]
+    assert {spans[k] for k in none} == {""}
+
+
 def test_boosted_trees_learn_a_rule():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 3))
