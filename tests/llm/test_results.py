@@ -111,6 +111,27 @@ def test_national_phone_numbers(spark):
     assert {spans[k] for k in none} == {""}
 
 
+def test_hidden_mail_addresses(spark):
+    rng = random.Random(4)
+
+    def word(n=5):
+        return "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(n))
+    docs = {k: f"it is {word()}.{k % 90 + 10}@mail{k % 7}.{word()}.com or look at {word()} now at {word()}"
+            for k in range(300)}
+    new = {1000: "jane{at}example.com", 1001: "JANE (AT) EXAMPLE.COM", 1002: "jane at example dot com",
+           1003: "j.doe[at]example(dot)org"}
+    none = {2000: "we look at that", 2001: "available at example.com", 2002: "meet (at) noon"}
+    docs |= {k: f"so {v} or" for k, v in new.items()} | none
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"]
+             for r in pii.pii_report(frame, pii.train(frame)).collect()}
+    for k, value in new.items():
+        assert spans[k] == f"email:3:{3 + len(value)}", value
+    assert {spans[k] for k in none} == {""}
+    text = "look at that"
+    assert pii.known(text, pii.candidates(text)[0], pii.NOTHING) == 0
+
+
 def test_boosted_trees_learn_a_rule():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 3))
