@@ -7,11 +7,13 @@ affix features learns these marks.  Forward-backward marginals give the
 probability of each token, spans of tokens above one half, and a document
 score through a logistic curve fitted to labelled documents.
 
-A chain is a window of 64 tokens; the windows of a text follow each other to
-its end, so nothing is cut off and the work grows with the text.
+A text is one chain, worked on in windows of 64 tokens: a matrix per window
+carries the state on to the next ones and back, so the marginals are those of
+the whole text wherever a window ends, and the work grows with the text.
 
 The fit runs on a bounded sample of labelled documents (``TOXIC_ROWS`` and
-``CLEAN_ROWS``); the model is a weight vector of fixed size.  Scoring needs no
+``CLEAN_ROWS``) and of their windows (``WINDOWS`` with a mark and as many
+without), in which every document has its share; the model is a weight vector of fixed size.  Scoring needs no
 shuffle and keeps one batch in memory.
 
 Defined cases: a null or empty text, or one without a letter, has no token and
@@ -39,6 +41,7 @@ from .common import bounded_sample, held_out
 
 #: Bounds of the sample that the model is fitted on.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
+WINDOWS = 6000
 BUCKETS = 1 << 18
 CHAIN = 64
 CUT = 0.7
@@ -71,21 +74,45 @@ class Model:
     prior: float
 
 
-def marginals(odds: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """P(toxic) of each token of each chain (row), from its log odds, by forward-backward."""
+def carried(toxic: np.ndarray, step: np.ndarray, windows: np.ndarray) -> tuple:
+    """What comes into each window (row) from those before and after it, for texts of so many windows."""
+    rows, length = toxic.shape
+    before, after = np.tile([1.0, 0.0], (rows, 1)), np.ones((rows, 2))
+    most = int(windows.max(initial=0))
+    if most < 2:
+        return before, after
+    through = np.tile(np.eye(2), (rows, 1, 1))
+    for t in range(length):
+        through = (through.reshape(-1, 2) @ step).reshape(rows, 2, 2)
+        through[:, :, 1] *= toxic[:, t, None]
+        through /= through.sum((1, 2), keepdims=True)
+    first = np.cumsum(windows) - windows
+    for k in range(1, most):
+        at = first[windows > k] + k
+        state = (before[at - 1][:, :, None] * through[at - 1]).sum(1)
+        before[at] = state / state.sum(1, keepdims=True)
+    for k in range(most - 2, -1, -1):
+        at = first[windows > k + 1] + k
+        state = (through[at + 1] * after[at + 1][:, None, :]).sum(2)
+        after[at] = state / state.sum(1, keepdims=True)
+    return before, after
+
+
+def marginals(odds: np.ndarray, moves: np.ndarray, windows: np.ndarray | None = None) -> np.ndarray:
+    """P(toxic) of each token of each window (row), from its log odds, by forward-backward.
+
+    ``windows`` are the windows of each text; without it, each is a text."""
     rows, length = odds.shape
     toxic = np.exp(np.clip(odds, -30, 30))
     step = np.exp(moves)
     ahead = np.empty((length, rows, 2))
-    state = np.stack([np.full(rows, step[0, 0]), step[0, 1] * toxic[:, 0]], 1)
+    state, back = carried(toxic, step, np.ones(rows, dtype=np.int64) if windows is None else windows)
     for t in range(length):
-        if t:
-            state = state @ step
-            state[:, 1] *= toxic[:, t]
+        state = state @ step
+        state[:, 1] *= toxic[:, t]
         state /= state.sum(1, keepdims=True)
         ahead[t] = state
     out = np.empty((rows, length))
-    back = np.ones((rows, 2))
     for t in range(length - 1, -1, -1):
         both = ahead[t] * back
         out[:, t] = both[:, 1] / both.sum(1)
@@ -104,6 +131,17 @@ def chains(counts: np.ndarray) -> tuple[np.ndarray, int]:
 
 # -- fitting --------------------------------------------------------------
 
+def shares(of: np.ndarray, hashes: np.ndarray, most: int) -> np.ndarray:
+    """Places of at most ``most`` windows: of each document one by hash, then of each a second one, ..."""
+    if len(of) <= most:
+        return np.arange(len(of))
+    order = np.lexsort((hashes, of))
+    own = of[order]
+    turn = np.empty(len(of), dtype=np.int64)
+    turn[order] = np.arange(len(of)) - np.searchsorted(own, own)
+    return np.sort(np.lexsort((hashes, turn))[:most])
+
+
 def offending(words: list[set[str]], toxic: np.ndarray) -> set[str]:
     """Words and prefixes that mark toxic documents.
 
@@ -158,8 +196,11 @@ def fit_chain(words: list[list[str]], toxic: np.ndarray, seed: int = 7) -> tuple
     useful = truth.any(1) | ~row_toxic
     rng = np.random.default_rng(seed)
     plain = np.flatnonzero(useful & ~truth.any(1))
-    kept = np.concatenate([np.flatnonzero(truth.any(1))[:6000],
-                           rng.permutation(plain)[:6000]])
+    marked = np.flatnonzero(truth.any(1))
+    hashes = np.array([zlib.crc32(" ".join(names[t] for t in row if t < len(names)).encode())
+                       for row in token[marked]])
+    of = np.repeat(np.arange(len(counts)), -(-counts // CHAIN))[marked]
+    kept = np.concatenate([marked[shares(of, hashes, WINDOWS)], rng.permutation(plain)[:WINDOWS]])
     token, truth = token[kept], truth[kept].astype(float)
     used, token = np.unique(token, return_inverse=True)
     token = token.reshape(truth.shape)
@@ -271,7 +312,7 @@ def _judged(model: Model, group: list[np.ndarray]) -> tuple[np.ndarray, list]:
     cell, rows = chains(counts)
     padded = np.full(rows * CHAIN, -30.0)
     padded[cell] = np.concatenate(group)
-    p = marginals(padded.reshape(rows, CHAIN), model.moves).ravel()[cell]
+    p = marginals(padded.reshape(rows, CHAIN), model.moves, -(-counts // CHAIN)).ravel()[cell]
     some = np.flatnonzero(counts)
     starts = (np.cumsum(counts) - counts)[some]
     top = np.clip(np.maximum.reduceat(p, starts), 6e-6, 1 - 6e-6)

@@ -168,6 +168,27 @@ def brute_components(texts):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+def test_marginals_do_not_depend_on_windows():
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=toxicity.BUCKETS).astype(np.float32)
+    model = toxicity.Model(weights, np.array([[0.0, -2.0], [0.0, 1.5]]), np.zeros(3), 0.5)
+    texts = [" ".join("".join(rng.choice(list("abcdefg"), 4)) for _ in range(n))
+             for n in (200, 3, 64, 129, 0, 65)]
+    odds = toxicity.Odds(weights)
+    (_, found), = toxicity.judged(model, texts)
+    for text, p in zip(texts, found):
+        whole = np.array([[odds[w] for w in text.split()]])
+        want = toxicity.marginals(whole, model.moves)[0] if text else np.zeros(0)
+        assert np.allclose(p, want, atol=1e-9)
+
+
+def test_every_document_has_its_share_of_windows():
+    of = np.array([0] * 50 + [1] * 3 + [2])
+    kept = toxicity.shares(of, np.arange(len(of))[::-1], 9)
+    assert np.bincount(of[kept]).tolist() == [5, 3, 1]
+    assert toxicity.shares(of, of, 54).tolist() == list(range(54))
+
+
 def test_similar_documents(texts, spark):
     """Real texts, chains of edits, copies of a passage, and exact edges of the similarity."""
     rng = random.Random(5)
