@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (decontam, hnsw, htmltext, jaccard, langid, mixing, oracles, pii, secrets, toxicity,
-               warc)
+from . import (decontam, hnsw, htmltext, jaccard, langid, mixing, oracles, pii, repeats, secrets,
+               toxicity, urlrules, warc, whitening)
 from .common import table
 
 
@@ -53,6 +53,18 @@ def op10_toxic_spans(spark, sf):
     return toxicity.toxicity_report(docs, toxicity.train(docs, table(spark, sf, "labels")))
 
 
+def op11_embedding_whitening(spark, sf):
+    return whitening.whitening_report(table(spark, sf, "embeddings"))
+
+
+def op12_periodic_runs(spark, sf):
+    return repeats.repeat_report(table(spark, sf, "documents"))
+
+
+def op13_redirect_equivalence(spark, sf):
+    return urlrules.judged(table(spark, sf, "pages"), urlrules.rule_table(spark))
+
+
 QUERIES = {
     "op1_spaced_seed_decontamination": op1_spaced_seed_decontamination,
     "op2_secret_markov": op2_secret_markov,
@@ -64,10 +76,14 @@ QUERIES = {
     "op8_hnsw_shards": op8_hnsw_shards,
     "op9_hypergeometric_mix": op9_hypergeometric_mix,
     "op10_toxic_spans": op10_toxic_spans,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_redirect_equivalence": op13_redirect_equivalence,
 }
 
 #: The others depend on trained models, on a random order or on an approximate index.
 ORACLE_SQL: dict[str, str] = {
     "op4_warc_index_merge": oracles.OP4,
     "op7_jaccard_prefix_join": oracles.OP7,
+    "op13_redirect_equivalence": oracles.OP13,
 }
