@@ -30,6 +30,8 @@ ROLE_METRICS = {
                "cohort_count_change_percentage", "cohorts"),
 }
 ROLES = tuple(ROLE_METRICS)
+#: Characters of the names of cohorts in one metric row; more of them make further rows.
+PAGE = 30_000
 
 
 def present_roles(ctx: Context, wanted: Sequence[str] = ROLES) -> list[str]:
@@ -227,33 +229,45 @@ def cohort_shift_rows(ctx: Context, ids: DataFrame | None = None) -> DataFrame:
 
 
 def _shift_totals(ctx: Context, ids: DataFrame | None) -> DataFrame:
-    """Counts per kind, with the names of all of them for the texts."""
-    rows = cohort_shift_rows(ctx, ids)
+    """Counts per kind, with the names of all of them for the texts, on as many pages as these need.
+
+    The rows of page 0 stand for the counts.  Where the names of a month are longer than ``PAGE``
+    characters, cohorts are dealt out to pages by hash, so no row and no group
+    grows with their number; each page lists its cohorts, largest move first.
+    """
     kinds = ("changed", "new", "missing")
-    totals = rows.groupBy(*ctx.by).agg(
-        F.count_if("in_prev").alias("n_previous"),
-        *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in kinds])
     text = F.when(F.col("kind") == "changed", F.concat(
         "cohort", F.lit(": "), F.format_string("%+.1f%%", "change_pct"))).otherwise(
             F.col("cohort"))
+    rows = cohort_shift_rows(ctx, ids).withColumn("text", text)
+    named = F.col("kind").isNotNull()
+    totals = rows.groupBy(*ctx.by).agg(
+        F.count_if("in_prev").alias("n_previous"),
+        *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in kinds],
+        F.ceil(F.coalesce(F.sum(F.when(named, F.length("text") + 2)), F.lit(0)) / PAGE)
+        .cast("int").alias("pages"))
     position = F.coalesce(-F.abs("change_pct"), F.lit(0.0))
-    examples = (rows.filter(F.col("kind").isNotNull())
-                .withColumn("position", position).withColumn("text", text))
+    # One row a month, so it may be sent everywhere; outside a range one row in all.
+    names = ["n_previous", *[f"n_{k}" for k in kinds]]
+    pages = F.broadcast(totals.withColumn("every", F.lit(0)))
+    examples = (rows.filter(named).withColumn("position", position)
+                .withColumn("every", F.lit(0)).join(pages, [*ctx.by, "every"])
+                .withColumn("page", F.when(F.col("pages") > 1, F.pmod(
+                    F.xxhash64("cohort"), F.col("pages")).cast("int")).otherwise(0)))
     item = F.struct("position", "cohort", "text")
-    listed = examples.groupBy(*ctx.by).agg(*[
+    listed = examples.groupBy(*ctx.by, "page").agg(*[F.max(c).alias(c) for c in names], *[
         F.array_sort(F.collect_list(F.when(F.col("kind") == k, item))).alias(f"items_{k}")
         for k in kinds])
-    names = [c for c in totals.columns if c not in ctx.by]
-    empty = {k: f"items_{k}" for k in kinds}
-    both = (totals.select(*ctx.by, *names,
+    lists = {k: f"items_{k}" for k in kinds}
+    both = (totals.select(*ctx.by, F.lit(0).alias("page"), *names,
                           *[F.lit(None).cast(listed.schema[c].dataType).alias(c)
-                            for c in empty.values()])
-            .unionByName(listed.select(*ctx.by, *[F.lit(None).cast("bigint").alias(c)
-                                                  for c in names], *empty.values())))
-    merged = both.groupBy(*ctx.by).agg(
+                            for c in lists.values()])
+            .unionByName(listed.select(*ctx.by, "page", *names, *lists.values())))
+    merged = both.groupBy(*ctx.by, "page").agg(
         *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in names],
+        *[F.coalesce(F.max(F.size(c)), F.lit(0)).alias(f"here_{k}") for k, c in lists.items()],
         *[F.array_join(F.transform(F.max(c), lambda x: x["text"]), ", ").alias(f"text_{k}")
-          for k, c in empty.items()])
+          for k, c in lists.items()])
     return ctx.complete(merged)
 
 
@@ -262,9 +276,23 @@ def _shift_measures() -> list[Measure]:
     parts = ", ".join(
         f"if(n_{kind} > 0, concat('{name} ', string(n_{kind}), ': ', text_{kind}), null)"
         for kind, name in (("changed", "Moved"), ("new", "Appeared"), ("missing", "Gone")))
-    return [Measure(
-        "cohort_metrics", "cohort_distribution_changes", total, "null", total, total, "'WARN'",
-        f"concat_ws('; ', {parts})", f"n_previous > 0 and {total} > 0")]
+    here = "(here_changed + here_new + here_missing)"
+    listed = ", ".join(
+        f"if(here_{kind} > 0, concat('{name}: ', text_{kind}), null)"
+        for kind, name in (("changed", "Moved"), ("new", "Appeared"), ("missing", "Gone")))
+    return [
+        Measure("cohort_metrics", "cohort_distribution_changes", total, "null", total, total,
+                "'WARN'", f"concat_ws('; ', {parts})",
+                f"page = 0 and n_previous > 0 and {total} > 0"),
+        _continued("cohort_metrics", "cohort_distribution_changes", here,
+                   f"concat_ws('; ', {listed})", "n_previous > 0")]
+
+
+def _continued(check: str, metric: str, here: str, details: str, some: str) -> Measure:
+    """The names on a page behind the first one; the first page has the counts."""
+    return Measure(check, "", here, "null", here, here, "'INFO'", details,
+                   f"page > 0 and {some} and {here} > 0",
+                   f"concat('{metric}, part ', string(page + 1))")
 
 
 def _shift_measures_by_kind(ctx: Context) -> list[Measure]:
@@ -278,13 +306,17 @@ def _shift_measures_by_kind(ctx: Context) -> list[Measure]:
         "cohort_shifts", "significant_changes", "n_changed", "null", "n_changed",
         word("n_changed"), "'INFO'",
         "concat('Moved: ', text_changed)",
-        f"{some} and n_changed > 0")]
+        f"page = 0 and {some} and n_changed > 0"),
+        _continued("cohort_shifts", "significant_changes", "here_changed",
+                   "concat('Moved: ', text_changed)", some)]
     for kind, month in (("new", "in this month"), ("missing", "in the month before")):
         count = f"n_{kind}"
         rows.append(Measure(
             "cohort_changes", f"{kind}_cohorts", count, "null", count, count, word(count),
             f"concat('Only {month}: ', text_{kind})",
-            f"{some} and {count} > 0"))
+            f"page = 0 and {some} and {count} > 0"))
+        rows.append(_continued("cohort_changes", f"{kind}_cohorts", f"here_{kind}",
+                               f"concat('Only {month}: ', text_{kind})", some))
     return rows
 
 

@@ -312,13 +312,34 @@ def test_cohort_shifts(events, context, metric):
     rows += [FEB | {"patient_id": i, "cohort_id": "calm"} for i in range(6)]
     found = volume.volume(context(events(*rows)))
     row = metric(found, "cohort_metrics", "cohort_distribution_changes")
-    assert (row.num, row.status) == (3, "WARN")
-    assert row.details == ("Significant changes 1: same: +20.0%; New cohorts 1: new; "
-                           "Missing cohorts 1: gone")
-    assert metric(found, "cohort_changes", "new_cohorts").status == "INFO"
-    assert metric(found, "cohort_shifts", "significant_changes").metric_value == "INFO"
-    kinds = {r.cohort: r.kind for r in volume.cohort_shift_rows(context(events(*rows))).collect()}
-    assert kinds == {"same": "changed", "new": "new", "gone": "missing", "calm": None}
+    assert (row.num, row.value, row.status) == (3, 3.0, "WARN")
+    by_kind = {(r.check_name, r.metric_name): (r.num, r.metric_value, r.status)
+               for r in found.filter("check_name in ('cohort_shifts', 'cohort_changes')").collect()}
+    assert by_kind == {("cohort_shifts", "significant_changes"): (1, "INFO", "INFO"),
+                       ("cohort_changes", "new_cohorts"): (1, "1", "INFO"),
+                       ("cohort_changes", "missing_cohorts"): (1, "1", "INFO")}
+    shifts = {r.cohort: (r.kind, r.entities_cur, r.entities_prev, r.change_pct)
+              for r in volume.cohort_shift_rows(context(events(*rows))).collect()}
+    assert shifts == {"same": ("changed", 6, 5, 20.0), "new": ("new", 1, 0, None),
+                      "gone": ("missing", 0, 1, -100.0), "calm": (None, 6, 6, 0.0)}
+
+
+def test_many_shifted_cohorts_fill_pages(events, context, monkeypatch):
+    rows = [{"cohort_id": f"new{i:03}"} for i in range(60)]
+    rows += [FEB | {"cohort_id": f"gone{i:03}"} for i in range(40)]
+    rows += [FEB | {"cohort_id": "calm"}, {"cohort_id": "calm"}]
+    one = volume.cohort_shifts(context(events(*rows))).collect()
+    monkeypatch.setattr(volume, "PAGE", 120)
+    for scope in ({}, {"scope": "range", "start": "2024-02"}):
+        pages = volume.cohort_shifts(context(events(*rows), **scope)).collect()
+        names = [n for r in pages for part in r.details.split("; ")
+                 for n in part.partition(": ")[2].split(", ")]
+        assert sorted(names) == sorted(r["cohort_id"] for r in rows if r["cohort_id"] != "calm")
+        first = [r for r in pages if r.metric_name == "cohort_distribution_changes"]
+        assert [(r.num, r.status) for r in first] == [(r.num, r.status) for r in one]
+        assert len(pages) > 4 and max(len(r.details) for r in pages) < 400
+    kinds = volume.cohort_shifts_by_kind(context(events(*rows))).collect()
+    assert sum(r.num for r in kinds if "part" not in r.metric_name) == 100
 
 
 def test_no_shift_row_without_change_or_previous(events, context):
