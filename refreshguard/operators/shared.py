@@ -8,12 +8,15 @@ therefore join ``left`` and read every column of a reduction.)
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import Context
+from ..sources.shared import stored
+from . import pairs
 
 
 def entity_days(ctx: Context) -> DataFrame:
@@ -35,21 +38,39 @@ def provider_ids(ctx: Context) -> DataFrame:
 
 
 class SharedFrames:
-    """The reductions of one context, each built when first asked for."""
+    """The reductions of one context, each built when first asked for.
 
-    def __init__(self, ctx: Context):
+    With ``keep`` a reduction is computed once, written to the shared folder and
+    read from there: the plans of the checks are small and start from small
+    tables, and the events are scanned once per reduction whatever the number
+    of checks and however Spark plans them.
+    """
+
+    def __init__(self, ctx: Context, keep: bool = False):
         self._ctx = ctx
+        self._keep = keep
+
+    def _kept(self, frame: DataFrame, name: str) -> DataFrame:
+        return stored(frame, name) if self._keep else frame
 
     @cached_property
     def days(self) -> DataFrame:
-        return entity_days(self._ctx)
+        return self._kept(entity_days(self._ctx), "days")
 
     @cached_property
     def providers(self) -> DataFrame:
-        return provider_ids(self._ctx)
+        return self._kept(provider_ids(self._ctx), "providers")
 
     @cached_property
     def entities(self) -> DataFrame:
         """Events per entity."""
         return (self.days.groupBy(*self._ctx.by, "entity")
                 .agg(F.sum("n").alias("n_events")))
+
+    def totals(self, roles: Sequence[str]) -> DataFrame:
+        """``pairs.entity_totals`` of the compared months."""
+        return self._kept(pairs.entity_totals(self._ctx, roles), "totals")
+
+    def ids(self, roles: Sequence[str]) -> DataFrame:
+        """``pairs.role_ids`` of the compared months."""
+        return self._kept(pairs.role_ids(self._ctx, roles), "ids")

@@ -247,11 +247,14 @@ def _shift_totals(ctx: Context, ids: DataFrame | None) -> DataFrame:
         F.ceil(F.coalesce(F.sum(F.when(named, F.length("text") + 2)), F.lit(0)) / PAGE)
         .cast("int").alias("pages"))
     position = F.coalesce(-F.abs("change_pct"), F.lit(0.0))
-    # One row a month, so it may be sent everywhere; outside a range one row in all.
     names = ["n_previous", *[f"n_{k}" for k in kinds]]
-    pages = F.broadcast(totals.withColumn("every", F.lit(0)))
-    examples = (rows.filter(named).withColumn("position", position)
-                .withColumn("every", F.lit(0)).join(pages, [*ctx.by, "every"])
+    shifted = rows.filter(named).withColumn("position", position)
+    if ctx.by:  # one row a month, so it may be sent everywhere
+        shifted = shifted.join(F.broadcast(totals), ctx.by)
+    else:  # one row in all, a scalar of the plan
+        one = totals.select(F.struct(*names, "pages")).scalar()
+        shifted = shifted.withColumn("one", one).select("*", "one.*").drop("one")
+    examples = (shifted
                 .withColumn("page", F.when(F.col("pages") > 1, F.pmod(
                     F.xxhash64("cohort"), F.col("pages")).cast("int")).otherwise(0)))
     item = F.struct("position", "cohort", "text")

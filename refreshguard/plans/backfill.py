@@ -37,7 +37,7 @@ def backfill_results(ctx: Context, start: str, end: str, run_id: str, run_start_
 
 def run_backfill(ctx: Context, start: str, end: str, target: str, run_id: str,
                  run_start_time: datetime, families: Iterable[str] = ("all",),
-                 fmt: str = "parquet") -> dict[tuple[str, str], str]:
-    """Append a backfill family by family; a failed family leaves ERROR rows."""
+                 fmt: str = "parquet", once: bool = False) -> dict[tuple[str, str], str]:
+    """Write a backfill; months that fail leave ERROR rows and the others their own."""
     return run_suite([over_months(ctx, start, end)], target, run_id, run_start_time, families,
-                     fmt=fmt)
+                     fmt=fmt, once=once)

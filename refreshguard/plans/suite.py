@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
@@ -12,12 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import OWN, Context
+from ..functions import months
 from ..functions.formats import RESULT_SCHEMA, to_results
 from ..functions.measures import METRIC_COLUMNS, METRIC_SCHEMA, rows_of
 from ..operators import (completeness, consistency, distribution, pairs, scan, temporal,
                          uniqueness, validity, volume)
 from ..operators.shared import SharedFrames
 from ..sources import history
+from ..sources.shared import stored
 
 log = logging.getLogger(__name__)
 
@@ -62,7 +65,7 @@ def select_families(names: Iterable[str] = ("all",)) -> list[str]:
 
 def error_row(ctx: Context, family: str, error: BaseException) -> DataFrame:
     """A metric row (one per month in a range) that stands for a failed family."""
-    text = f"Error executing check: {error}"
+    text = f"Error executing check: {error}"[:500]
     row = (family, "execution_status", "status", None, None, None, "ERROR", "FAIL", text)
     rows = ctx.spark.createDataFrame([row], METRIC_SCHEMA)
     if not ctx.by:
@@ -85,7 +88,7 @@ def _skips_comparison(ctx: Context) -> bool:
     return ctx.scope != "range" and ctx.previous is None
 
 
-def _comparison(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
+def _comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) -> list[DataFrame]:
     """Temporal and volume metrics from the same two reductions of the months."""
     if families == ["volume"]:
         return [volume.volume(ctx)]
@@ -94,17 +97,17 @@ def _comparison(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
     roles = volume.present_roles(ctx)
     structs = [m.as_struct(temporal.CATEGORY) for m in temporal.entity_measures(ctx)]
     structs += [m.as_struct(volume.CATEGORY) for m in volume.total_measures(ctx)]
-    ids = pairs.role_ids(ctx, [*roles, *pairs.present_roles(ctx, [pairs.DRUG])])
-    return [rows_of(pairs.entity_totals(ctx, roles), ctx.by, structs),
+    ids = shared.ids([*roles, *pairs.present_roles(ctx, [pairs.DRUG])])
+    return [rows_of(shared.totals(roles), ctx.by, structs),
             volume.id_metrics(ctx, ids), temporal.code_shifts(ctx, ids),
             temporal.code_shifts_by_count(ctx, ids)]
 
 
-def _parts(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
-    """The frames of some families; the checks among them share what they can."""
+def _parts(ctx: Context, families: Sequence[str], keep: bool = False) -> list[DataFrame]:
+    """The frames of some families; the checks among them share what they can, written first if ``keep``."""
     groups = [g for f in families if f in SCAN_CHECKS for g in SCAN_CHECKS[f](ctx)]
     parts = [scan.run_scan(ctx, *groups)] if any(g.measures for g in groups) else []
-    shared = SharedFrames(ctx)
+    shared = SharedFrames(ctx, keep)
     for family in families:
         _check_dimensions(ctx, family)
         parts += [check(ctx, shared) for check in PLAN_CHECKS.get(family, ())]
@@ -114,7 +117,7 @@ def _parts(ctx: Context, families: Sequence[str]) -> list[DataFrame]:
         parts.append(temporal.skipped_family(ctx))
         comparing.remove("temporal")
     if comparing:
-        parts += _comparison(ctx, comparing)
+        parts += _comparison(ctx, comparing, shared)
     return [_plain(ctx, p) for p in parts]
 
 
@@ -137,20 +140,21 @@ def family_frame(ctx: Context, family: str) -> DataFrame:
 
 
 def suite_metrics(ctx: Context, families: Iterable[str] = ("all",),
-                  extra: Mapping[str, Check] | None = None) -> DataFrame:
+                  extra: Mapping[str, Check] | None = None, keep: bool = False) -> DataFrame:
     """Metric rows of the selected families (and own checks) as one lazy frame.
 
     The single-pass checks of all families are one aggregation and the others
-    share their reductions.  A family that cannot even be planned becomes an
-    ERROR row; errors at run time are isolated by ``run_suite``.
+    share their reductions, which ``keep`` computes and writes at once.  A family that
+    cannot even be planned becomes an ERROR row; errors at run time are isolated by
+    ``run_suite``.
     """
     chosen = select_families(families)
     try:
-        parts = _parts(ctx, chosen)
+        parts = _parts(ctx, chosen, keep)
     except Exception:  # noqa: BLE001 - find out which families fail
         chosen, parts = _plannable(ctx, chosen)
         if chosen:
-            parts += _parts(ctx, chosen)
+            parts += _parts(ctx, chosen, keep)
     parts += [_plain(ctx, check(ctx)) for check in (extra or {}).values()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -166,54 +170,134 @@ def suite_results(contexts: Iterable[Context], run_id: str, run_start_time: date
 
 def run_suite(contexts: Iterable[Context], target: str, run_id: str, run_start_time: datetime,
               families: Iterable[str] = ("all",), signed: bool = False,
-              fmt: str = "parquet", persist: bool = False) -> dict[tuple[str, str], str]:
-    """Append all families of every table, such that one failure stays one.
+              fmt: str = "parquet", persist: bool = False, once: bool = False,
+              keep: bool = False) -> dict[tuple[str, str], str]:
+    """Write all families of every table, such that one failure stays one.
 
     The families are one plan that shares its reductions.  A frame is lazy and
-    fails when it is written; then each family is run by itself, the one that
-    fails is replaced by its ERROR row and the run goes on.  Returns the outcome per table and
-    family.  ``persist`` keeps the compared months in memory and on disk for
-    the length of the run: worth it if the events are costly to derive, not for
-    a columnar table, of which every family reads just a few columns.
+    fails when it is written; then ``isolated`` narrows the failure down to
+    families and months, whose rows become ERROR rows.  Returns the outcome per
+    table and family: done, failed, or partial where only some months failed.
+
+    Rows are appended, to a table or a path.  With ``once`` they are committed to
+    a path under the run's id: families that the run has finished already are not
+    run again, and a run that is repeated has its rows once.  ``persist`` keeps
+    the compared months in memory and on disk for the length of the run: worth
+    it if the events are costly to derive, not for a columnar table, of which every
+    family reads just a few columns.  ``keep`` writes the reductions of the events
+    first and plans every check over these small tables: for long ranges, where
+    one plan of everything is very large.
     """
     outcome = {}
     chosen = select_families(families)
     for ctx in contexts:
+        left = chosen
+        if once:
+            ready = history.finished(ctx.spark, target, run_id)
+            left = [f for f in chosen if (ctx.profile.name, f) not in ready]
+            outcome |= {(ctx.profile.name, f): "done" for f in chosen if f not in left}
+        if not left:
+            continue
         kept = ctx.compared().drop(OWN).persist(StorageLevel.MEMORY_AND_DISK) if (
             persist and ctx.scope != "all") else None
         if kept is not None:
             ctx = ctx.with_(events_table=kept, sample_rows=0)
-        outcome |= _run_families(ctx, chosen, target, run_id, run_start_time, signed, fmt)
+
+        def write(rows: DataFrame, ctx: Context = ctx, left: Sequence[str] = left) -> None:
+            rows = to_results(rows, run_id, run_start_time, ctx.profile.name, ctx.month, signed)
+            if once:
+                history.commit(rows, target, run_id, ctx.profile.name, left)
+            else:
+                history.append(rows, target, fmt)
+
+        outcome |= _run_families(ctx, left, write, keep)
         if kept is not None:
             kept.unpersist()
     return outcome
 
 
-def _run_families(ctx: Context, families: Sequence[str], target: str, run_id: str,
-                  run_start_time: datetime, signed: bool, fmt: str) -> dict[tuple[str, str], str]:
-    """One plan for all families; family by family only if that fails (and has written nothing)."""
-    outcome = {}
+@dataclass(frozen=True)
+class Piece:
+    """Computed metric rows of some families over the months of a context, or what failed there."""
+
+    families: Sequence[str]
+    rows: DataFrame
+    failed: bool = False
+
+
+def _computed(ctx: Context, families: Sequence[str]) -> Piece:
+    rows = reduce(DataFrame.unionByName, _parts(ctx, families))
+    return Piece(families, stored(rows, "metrics"))
+
+
+def halves(ctx: Context) -> list[Context]:
+    """The two halves of a range of months; a single month, or another scope, is itself."""
+    span = months.months_between(ctx.start, ctx.month) if ctx.by else 1
+    if span == 1:
+        return [ctx]
+    middle = months.shift(ctx.start, span // 2)
+    return [ctx.with_(month=months.shift(middle, -1)), ctx.with_(start=middle)]
+
+
+def isolated(ctx: Context, families: Sequence[str], by_family: bool = True) -> list[Piece]:
+    """The rows of the families over all months of the context, whatever fails.
+
+    A failing plan is first tried family by family.  Families that fail by
+    themselves are tried over each half of the months, and so on; a single month
+    that fails gives an ERROR row for each family that fails in it.  A month that
+    cannot be read thus costs about twice the logarithm of the range in smaller runs.
+    """
     try:
-        rows = reduce(DataFrame.unionByName, _parts(ctx, families))
-        history.append(to_results(rows, run_id, run_start_time, ctx.profile.name, ctx.month,
-                                  signed), target, fmt)
-        return {(ctx.profile.name, family): "done" for family in families}
-    except Exception as error:  # noqa: BLE001 - find out which family fails
-        log.warning("%s is run by family: %s", ctx.profile.name, error)
-    for family in families:
-        key = (ctx.profile.name, family)
-        try:
-            rows = family_frame(ctx, family)
-            history.append(to_results(rows, run_id, run_start_time, ctx.profile.name, ctx.month,
-                                      signed), target, fmt)
-            outcome[key] = "done"
-        except Exception as error:  # noqa: BLE001 - any failure becomes a row
-            log.warning("%s failed on %s: %s", family, ctx.profile.name, error)
-            history.append(to_results(error_row(ctx, family, error), run_id, run_start_time,
-                                      ctx.profile.name, ctx.month, signed), target, fmt)
-            outcome[key] = "failed"
-    return outcome
+        return [_computed(ctx, families)]
+    except Exception as error:  # noqa: BLE001 - find out what fails
+        log.warning("%s from %s to %s is narrowed down: %s", ctx.profile.name, ctx.start,
+                    ctx.month, error)
+        last = error
+    parts = halves(ctx)
+    pieces: list[Piece] = []
+    if len(families) == 1:
+        errors = {families[0]: last}
+    elif by_family or len(parts) == 1:
+        errors = {}
+        for family in families:
+            try:
+                pieces.append(_computed(ctx, [family]))
+            except Exception as error:  # noqa: BLE001 - any failure becomes a row
+                log.warning("%s failed on %s: %s", family, ctx.profile.name, error)
+                errors[family] = error
+    else:
+        errors = dict.fromkeys(families, last)
+    if len(parts) == 1:
+        return pieces + [Piece([f], _plain(ctx, error_row(ctx, f, e)), True)
+                         for f, e in errors.items()]
+    if errors:
+        for part in parts:
+            pieces += isolated(part, list(errors), False)
+    return pieces
+
+
+def _outcomes(name: str, pieces: Sequence[Piece]) -> dict[tuple[str, str], str]:
+    states: dict[str, set[bool]] = {}
+    for piece in pieces:
+        for family in piece.families:
+            states.setdefault(family, set()).add(piece.failed)
+    return {(name, f): "partial" if len(s) > 1 else "failed" if True in s else "done"
+            for f, s in states.items()}
+
+
+def _run_families(ctx: Context, families: Sequence[str], write: Callable[[DataFrame], None],
+                  keep: bool = False) -> dict[tuple[str, str], str]:
+    """One plan for all families; narrowed down only if that fails (and has written nothing)."""
+    name = ctx.profile.name
+    try:
+        write(reduce(DataFrame.unionByName, _parts(ctx, families, keep)))
+        return {(name, family): "done" for family in families}
+    except Exception as error:  # noqa: BLE001 - find out what fails
+        log.warning("%s is run piece by piece: %s", name, error)
+    pieces = isolated(ctx, families)
+    write(reduce(DataFrame.unionByName, [p.rows for p in pieces]))
+    return _outcomes(name, pieces)
 
 
-__all__ = ["COMPARING", "FAMILIES", "RESULT_SCHEMA", "error_row", "family_frame", "run_suite",
-           "select_families", "suite_metrics", "suite_results"]
+__all__ = ["COMPARING", "FAMILIES", "RESULT_SCHEMA", "Piece", "error_row", "family_frame",
+           "isolated", "run_suite", "select_families", "suite_metrics", "suite_results"]

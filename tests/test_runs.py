@@ -320,3 +320,91 @@ def test_no_cross_join_and_no_python(several):
         text = plan_of(frame)
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
             assert word not in text
+
+
+BAD = "2024-04"
+
+
+def unreadable(ctx, month=BAD):
+    """The context, with a month whose rows fail when any of their values is read."""
+    table = ctx.events_table
+    fail = f"trunc(kh_refresh_date, 'MM') = date'{month}-01'"
+    columns = [c if c == "kh_refresh_date" else
+               f"if({fail}, cast(raise_error('unreadable') as {t}), {c}) as {c}"
+               for c, t in table.dtypes]
+    return ctx.with_(events_table=table.selectExpr(*columns))
+
+
+def by_month(frame):
+    rows = {}
+    for r in frame.collect():
+        rows.setdefault(r.refresh_month, []).append(
+            (r.check_category, r.check_name, r.metric_name, r.metric_value, r.status))
+    return {m: sorted(v, key=repr) for m, v in rows.items()}
+
+
+def test_an_unreadable_month_costs_only_itself(several, spark, tmp_path):
+    """Each month of the range is what its own run gives, ERROR rows included."""
+    families = ["completeness", "uniqueness", "temporal"]
+    bad = unreadable(several())
+    target = str(tmp_path / "range")
+    outcome = backfill.run_backfill(bad, "2024-01", "2024-05", target, "r", START, families)
+    assert set(outcome.values()) == {"partial"}
+    found = by_month(history.read_history(spark, target))
+    assert sorted(found) == [f"2024-0{m}" for m in range(1, 6)]
+    for month in found:
+        alone = str(tmp_path / month)
+        backfill.run_backfill(bad, month, month, alone, "r", START, families)
+        assert by_month(history.read_history(spark, alone)) == {month: found[month]}
+    whole = str(tmp_path / "whole")
+    backfill.run_backfill(several(), "2024-01", "2024-05", whole, "r", START, families)
+    good = by_month(history.read_history(spark, whole))
+    assert sorted(m for m in good if good[m] == found[m]) == ["2024-01", "2024-02", "2024-03"]
+    errors = {m: {r[0] for r in rows if r[3] == "ERROR"} for m, rows in found.items()}
+    # May cannot be compared with April; its own counts are there.
+    assert errors == {"2024-01": set(), "2024-02": set(), "2024-03": set(), BAD: set(families),
+                      "2024-05": {"temporal"}}
+
+
+def test_a_run_committed_twice_has_its_rows_once(several, spark, tmp_path):
+    target = str(tmp_path / "history")
+    ctx = several(month="2024-02", previous="2024-01")
+    families = ["completeness", "uniqueness"]
+
+    def run(run_id, names, context=ctx):
+        return suite.run_suite([context], target, run_id, START, names, once=True)
+
+    def rows():
+        return sorted(map(tuple, history.read_committed(spark, target).collect()), key=repr)
+
+    assert set(run("r1", families).values()) == {"done"}
+    first = rows()
+    assert {r[4] for r in first} == set(families)
+    assert set(run("r1", families).values()) == {"done"} and rows() == first
+    run("r1", [*families, "validity"])
+    more = rows()
+    assert {r[4] for r in more} == {*families, "validity"} and set(first) < set(more)
+    run("r2", families)
+    assert len(rows()) == len(more) + len(first)
+    # A part that was begun and not finished is not read, and is written anew.
+    history._mark(spark, target, [("r1", "mx_events", "validity")], history.OPEN, {})
+    assert len(rows()) == 2 * len(first)
+    run("r1", ["validity"])
+    assert len(rows()) == len(more) + len(first)
+
+
+def test_committing_replaces_errors_of_an_earlier_attempt(several, spark, tmp_path):
+    target = str(tmp_path / "history")
+    ctx = several(month="2024-02", previous="2024-01")
+    results = to_results(suite.error_row(ctx, "uniqueness", ValueError("x")), "r", START,
+                         "mx_events", "2024-02")
+    history.commit(results, target, "r", "mx_events", ["uniqueness"])
+    assert history.read_committed(spark, target).count() == 1
+    good = to_results(suite.family_frame(ctx, "uniqueness"), "r", START, "mx_events", "2024-02")
+    history.commit(good, target, "r", "mx_events", ["uniqueness"])
+    found = history.read_committed(spark, target)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, good.collect()))
+    history.commit(good.limit(0), target, "r", "mx_events", ["uniqueness"])
+    assert history.read_committed(spark, target).count() == 0
+    assert history.finished(spark, target, "r") == {("mx_events", "uniqueness")}
+    assert history.finished(spark, str(tmp_path / "none"), "r") == set()
