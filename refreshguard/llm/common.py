@@ -8,12 +8,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCALE = 1 << 30
+#: What a Python worker holds of a table at once.  Executors run several workers beside their heap.
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send Arrow batches of a few MB at most; smaller settings stay."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        given = int(spark.conf.get(key, "0").lower().removesuffix("b") or 0)
+        if given <= 0 or given > most:
+            spark.conf.set(key, str(most))
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of the ids that no label may be learned from; a null id is one of them."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(True))

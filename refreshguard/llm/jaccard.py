@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
+from .common import small_batches
 from .components import components
 from .shingles import set_key, shingle_sets
 
@@ -53,7 +54,8 @@ MATCHES = np.array([1, 2, 3, 4, 6, 8, 12, 16])
 POSTING_COST = 1.0  # of one more shingle in a prefix, in verified pairs' worth of estimated meetings
 KEYS = 1_000_000  # documents to drop that are broadcast, by two numbers each; beyond it they are joined
 SIGNATURE = 16  # words of 64 bits
-SEEN = 1 << 20  # classes that a task remembers having posted
+HELD = 500_000  # shingles that verification keeps for the next pair
+SEEN = 1 << 17  # classes that a task remembers having posted
 
 
 # -- the order of shingles --------------------------------------------------
@@ -185,8 +187,10 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     found = words.toPandas()  # at most 2^bits / 64 rows
     bitmap = np.zeros((1 << bits) >> 6, dtype=np.int64)
     bitmap[found["word"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def pack(batches):
+        bitmap = shared.value
         seen: set[int] = set()
         for batch in batches:
             rows = []
@@ -209,13 +213,18 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def similar(texts_a: Iterator, texts_b: Iterator) -> list[bool]:
     """Whether each pair of packed texts reaches the similarity."""
     kept: dict[bytes, np.ndarray] = {}
+    room = HELD
 
     def shingles(packed: bytes) -> np.ndarray:
+        nonlocal room
         if packed not in kept:
-            if len(kept) > 256:
-                kept.clear()
             text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
-            kept[packed] = next(shingle_sets([text]))
+            found = next(shingle_sets([text]))
+            room -= len(found)
+            if room < 0:
+                kept.clear()
+                room = HELD - len(found)
+            kept[packed] = found
         return kept[packed]
 
     out = []
@@ -338,6 +347,7 @@ def grouped(docs: DataFrame) -> DataFrame:
 
     ``group`` names a component also where ids are null; the empty set has none.
     """
+    small_batches(docs.sparkSession)
     bits = min(MOST_BITS, max(LEAST_BITS, (16 * docs.count()).bit_length()))
     scanned = stored(survey(docs, bits), "survey")
     levels = order_levels(scanned.filter("block is not null").select("block", "counts"), bits)

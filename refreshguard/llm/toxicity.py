@@ -31,13 +31,14 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heapreplace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, held_out
+from .common import bounded_sample, held_out, small_batches
 
 #: Bounds of the sample that the model is fitted on.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
@@ -46,8 +47,8 @@ BUCKETS = 1 << 18
 CHAIN = 64
 CUT = 0.7
 STEPS, RIDGE, START = 40, 0.02, 3.0
-CHARS_AT_ONCE = 2_000_000
-WORDS_KEPT = 300_000
+CHARS_AT_ONCE = 500_000
+WORDS_KEPT = 150_000
 PREFIXES = (3, 4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = "score double, n_spans int, spans string"
@@ -167,14 +168,20 @@ def offending(words: list[set[str]], toxic: np.ndarray) -> set[str]:
     chosen = {a for a, d in common.items() if len(d) >= 0.03 * n_toxic and exclusive(a) >= 0.99}
     covered = set().union(*[common[a] for a in chosen])
     least = max(2, 0.005 * n_toxic)
-    order = sorted(common, key=lambda a: (-len(common[a]), -len(a), a))
-    while order:
-        best = max(order[:5000], key=lambda a: (len(common[a] - covered), len(a), a))
-        if len(common[best] - covered) < least:
+    # What a candidate adds can only shrink, so the first of the heap whose figure is fresh is the best.
+    heap = [(-len(d), -len(a), a) for a, d in common.items()]
+    heapify(heap)
+    while heap:
+        stale, length, best = heap[0]
+        adds = len(common[best] - covered)
+        if adds != -stale:
+            heapreplace(heap, (-adds, length, best))
+        elif adds < least:
             break
-        chosen.add(best)
-        covered |= common[best]
-        order.remove(best)
+        else:
+            heappop(heap)
+            chosen.add(best)
+            covered |= common[best]
     return chosen
 
 
@@ -288,9 +295,10 @@ class Odds(dict):
         return out
 
 
-def judged(model: Model, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, list]]:
+def judged(model: Model, texts: Iterable[str | None],
+           odds: Odds | None = None) -> Iterator[tuple[np.ndarray, list]]:
     """Per group of texts: their traits (two columns), and the P(toxic) of the tokens of each."""
-    odds = Odds(model.weights)
+    odds = Odds(model.weights) if odds is None else odds
     group: list = []
     size = 0
     for text in texts:
@@ -321,11 +329,11 @@ def _judged(model: Model, group: list[np.ndarray]) -> tuple[np.ndarray, list]:
     return traits, np.split(p, np.cumsum(counts)[:-1])
 
 
-def score(model: Model, texts: list[str | None]) -> pd.DataFrame:
+def score(model: Model, texts: list[str | None], odds: Odds | None = None) -> pd.DataFrame:
     """Score, number of spans and spans (``start:end``, comma-joined) of each text."""
     scores, counts, spans = [], [], []
     at = 0
-    for traits, marks in judged(model, texts):
+    for traits, marks in judged(model, texts, odds):
         if model.curve.any():
             z = traits @ model.curve[:2] + model.curve[2]
             scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
@@ -351,14 +359,16 @@ def scorer(model: Model):
     """The model as a column function of a text."""
     @F.pandas_udf(RESULT)
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        odds = Odds(model.weights)
         for texts in batches:
-            yield score(model, texts.where(texts.notna(), None).tolist())
+            yield score(model, texts.where(texts.notna(), None).tolist(), odds)
 
     return toxicity
 
 
 def toxicity_report(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: whether it is held out, its score, the decision and the offending spans."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", scorer(model)(F.col("text")).alias("t"))
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "t.score",
                        (F.col("t.score") >= CUT).cast("int").alias("predicted"), "t.n_spans",
@@ -367,4 +377,5 @@ def toxicity_report(docs: DataFrame, model: Model) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents below the cut, with their own columns."""
+    small_batches(docs.sparkSession)
     return docs.filter(scorer(model)(F.col("text"))["score"] < CUT)
