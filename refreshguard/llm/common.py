@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ def small_batches(spark: SparkSession) -> None:
     """Let the session send Arrow batches of a few MB at most; smaller settings stay."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{name}"
-        given = int(spark.conf.get(key, "0").lower().removesuffix("b") or 0)
+        number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(key).lower()).groups()
+        given = int(number) << 10 * " kmgt".index(unit or " ")
         if given <= 0 or given > most:
             spark.conf.set(key, str(most))
 
