@@ -1,22 +1,25 @@
-"""Language of a text by n-gram filters that hold a bit per language.
+"""Language of a text by n-gram filters that hold bits per language.
 
 Letters are lowered and everything else is one blank; n-grams are four
-characters.  A Bloom filter whose cells are bit masks, one bit a language,
-answers for an n-gram with the set of all languages that have it: the masks of
-its cells, joined by *and*.  A text is the counts of its n-grams per language
-(a population count per bit), corrected for the share of chance hits that each
-language's filter has by its load; the language with the most wins.
-
-An n-gram belongs to a language if it is common there: at least ``SHARE`` of its
-greatest relative frequency in any language, and seen twice.  The counts cover
-all labelled documents outside the held-out third; each task adds up its own
-n-grams before they are shuffled.  The filter has a fixed size and there are as
-many cells' words as 64 languages need.
-
-Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-equal texts are equal; without labelled rows every text is ``und``; among equal
-counts the first language by code point wins; a null ``doc_id`` counts as held
-out; further columns may have any name.
+characters.  A Bloom filter whose cells are bit masks answers for an n-gram with
+the set of all languages that have it: the masks of its cells, joined by *and*.
+Each language has two bits: one for all n-grams of its texts, and one for those
+that are common there (seen twice, and at least ``SHARE`` of the n-gram's greatest
+relative frequency in any language).  A text is the counts of its n-grams per bit
+(population counts), corrected for the share of chance hits that each bit has by
+its load.  The language with the most common n-grams wins; all of its n-grams, at
+the weight ``RARE``, decide where those say nothing.
+
+The counts cover all labelled documents outside the held-out third; each task
+adds up its own n-grams before they are shuffled, and the masks of the cells are
+put together on the executors.  Every n-gram is in the filter.  Its cells are four
+times the n-grams, up to ``MOST_CELLS``: beyond that more hits are chance, which the
+correction takes out.
+
+Defined cases: a null text, or one without a letter (numerals are none), is ``und``
+with score 0; equal texts are equal; without labelled rows every text is ``und``;
+among equal counts the first language by code point wins; a null ``doc_id`` counts
+as held out; further columns may have any name.
 """
 
 from __future__ import annotations
@@ -31,18 +34,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from .common import held_out
+from .common import held_out, small_batches
 
 N = 4
-CELLS = 1 << 20
+LEAST_CELLS, MOST_CELLS = 1 << 16, 1 << 22
 PROBES = 2
 SHARE = 0.3
-#: Most n-grams that a language puts into the filter, the most frequent ones.
-GRAMS = 40_000
+RARE = 0.05
 CHARS_AT_ONCE = 500_000
+LOT = 2_000_000  # n-grams held by a task
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
-_OTHER = re.compile(r"[\W\d_]+")
+#: Numerals that are word characters and neither letters nor decimal digits.
+_NUMERALS = "".join(c for c in map(chr, range(0x110000))
+                    if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMERALS)}]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 
@@ -72,45 +78,56 @@ def plain(text: str | None) -> str:
 
 @dataclass
 class Model:
+    """Bit k of a cell is language k's for all its n-grams, bit k + len(langs) for the common ones."""
+
     langs: list[str]
-    cells: np.ndarray  # (words, CELLS) of uint64 masks
-    chance: np.ndarray  # rate of false hits by language
+    cells: np.ndarray  # (words, cells) of uint64 masks
+    chance: np.ndarray  # rate of false hits by bit
 
 
-def _places(h: np.ndarray) -> list[np.ndarray]:
-    return [((h >> np.uint64(20 * k)) & np.uint64(CELLS - 1)).astype(np.int64)
+def _places(h: np.ndarray, cells: int) -> list[np.ndarray]:
+    return [((h >> np.uint64(24 * k)) & np.uint64(cells - 1)).astype(np.int64)
             for k in range(PROBES)]
 
 
-def build(langs: list[str], by_lang: list[np.ndarray]) -> Model:
-    """The filter of the n-grams of each language."""
-    cells = np.zeros((max(1, -(-len(langs) // 64)), CELLS), dtype=np.uint64)
-    for k, hashes in enumerate(by_lang):
-        bit = np.uint64(1 << (k % 64))
-        for place in _places(hashes.view(np.uint64)):
-            cells[k // 64, place] |= bit
-    load = np.array([((cells[k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean()
-                     for k in range(len(langs))])
+def _bit(cells: np.ndarray, k: int) -> np.ndarray:
+    return (cells[k // 64] >> np.uint64(k % 64)) & np.uint64(1)
+
+
+def model_of(langs: list[str], cells: np.ndarray) -> Model:
+    load = np.array([_bit(cells, k).mean() for k in range(2 * len(langs))])
     return Model(langs, cells, load ** PROBES)
 
 
+def languages_of(model: Model, gram: str) -> set[str]:
+    """All languages whose texts have the n-gram (and, by chance, some others)."""
+    places = _places(_gram_hashes(gram), model.cells.shape[1])
+    found = set()
+    for k, lang in enumerate(model.langs):
+        bits = _bit(model.cells, k)
+        if all(bits[p].all() for p in places):
+            found.add(lang)
+    return found
+
+
 def hits(model: Model, text: str) -> tuple[np.ndarray, int]:
-    """Of each language the n-grams of a text that its filter holds, and the n-grams in all."""
-    found, total = np.zeros(len(model.langs), dtype=np.int64), 0
+    """For each bit the n-grams of a text whose cells hold it, and the n-grams in all."""
+    width = 2 * len(model.langs)
+    found, total = np.zeros(width, dtype=np.int64), 0
     for h in grams(text):
-        places = _places(h)
+        places = _places(h, model.cells.shape[1])
         total += len(h)
         for word, masks in enumerate(model.cells):
             mask = masks[places[0]]
             for place in places[1:]:
                 mask = mask & masks[place]
-            few = model.langs[64 * word:64 * word + 64]
-            if len(few) <= 12:
-                values = np.bincount(mask.astype(np.int64), minlength=1 << len(few))
-                for k in range(len(few)):
+            here = min(64, width - 64 * word)
+            if here <= 12:
+                values = np.bincount(mask.astype(np.int64), minlength=1 << here)
+                for k in range(here):
                     found[64 * word + k] += values[(np.arange(len(values)) >> k) & 1 == 1].sum()
             else:
-                for k in range(len(few)):
+                for k in range(here):
                     found[64 * word + k] += int(((mask >> np.uint64(k)) & np.uint64(1)).sum())
     return found, total
 
@@ -121,8 +138,10 @@ def predict(model: Model, text: str | None) -> tuple[str, float]:
         return UNKNOWN, 0.0
     found, total = hits(model, text)
     true = np.maximum(found - total * model.chance, 0) / np.maximum(1 - model.chance, 1e-9)
-    best = int(true.argmax())
-    weight = (true / max(total, 1)) ** 4
+    n = len(model.langs)
+    evidence = true[n:] + RARE * true[:n]
+    best = int(evidence.argmax())
+    weight = (evidence / max(total, 1)) ** 4
     return model.langs[best], float(weight[best] / weight.sum()) if weight.sum() else 0.0
 
 
@@ -153,39 +172,47 @@ def count_grams(docs: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
-LOT = 6_000_000  # n-grams held by a task
-
-
 def train(docs: DataFrame) -> Model:
     """The filter from all labelled documents outside the held-out third."""
-    counts = stored(count_grams(docs.filter(~held_out(F.col("doc_id")))).filter("n >= 2"), "grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    rates = counts.join(F.broadcast(totals), "lang").select(
-        "lang", "gram", (F.col("n") / F.col("total")).alias("rate"))
-    best = rates.groupBy("gram").agg(F.max("rate").alias("top"))
-    own = rates.join(best, "gram").filter(F.col("rate") >= SHARE * F.col("top"))
-    # A histogram of the rates (by their logarithm) gives the rate of the last n-gram that has room.
-    level = F.floor(-F.log2("rate") * 64).cast("int")
-    kept = own.withColumn("level", level)
-    sizes = kept.groupBy("lang", "level").count().toPandas()
-    langs = sorted(sizes["lang"].unique().tolist())
-    limits = []
-    for lang in langs:
-        mine = sizes[sizes["lang"] == lang].sort_values("level")
-        room = mine["level"][mine["count"].cumsum() <= GRAMS]
-        limits.append((lang, int(room.max()) if len(room) else int(mine["level"].min())))
+    small_batches(docs.sparkSession)
+    counts = stored(count_grams(docs.filter(~held_out(F.col("doc_id")))), "grams")
+    # One row a language.
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).toPandas()
+    langs = sorted(totals["lang"])
     if not langs:
-        return build([], [])
+        return model_of([], np.zeros((1, LEAST_CELLS), dtype=np.uint64))
     spark = docs.sparkSession
-    top = kept.join(F.broadcast(spark.createDataFrame(limits, "lang string, last int")), "lang")
-    found = top.filter("level <= last").select("lang", "gram").toPandas()
-    return build(langs, [found["gram"][found["lang"] == x].to_numpy(np.int64) for x in langs])
+    numbered = spark.createDataFrame(
+        [(x, langs.index(x), t) for x, t in zip(totals["lang"], totals["total"].tolist())],
+        "lang string, k int, total long")
+    rates = counts.join(numbered, "lang").select(
+        "k", "gram", "n", (F.col("n") / F.col("total")).alias("rate"))
+    of_gram = rates.groupBy("gram").agg(
+        F.max("rate").alias("top"), F.collect_list(F.struct("k", "n", "rate")).alias("langs"))
+    distinct = counts.select("gram").distinct().count()
+    cells = min(MOST_CELLS, max(LEAST_CELLS, 1 << (4 * distinct - 1).bit_length()))
+    common = F.transform(
+        F.filter("langs", lambda x: (x["n"] >= 2) & (x["rate"] >= SHARE * F.col("top"))),
+        lambda x: x["k"] + len(langs))
+    bits = of_gram.select("gram", F.explode(F.concat(
+        F.transform("langs", lambda x: x["k"]), common)).alias("bit"))
+    places = F.array(*[F.shiftrightunsigned("gram", 24 * k).bitwiseAND(F.lit(cells - 1))
+                       for k in range(PROBES)])
+    masks = (bits.select(F.explode(places).alias("place"), F.floor(F.col("bit") / 64).alias("word"),
+                         F.expr("shiftleft(1L, bit % 64)").alias("mask"))
+             .groupBy("word", "place").agg(F.bit_or("mask").alias("mask")))
+    found = masks.toPandas()  # at most MOST_CELLS rows for 32 languages
+    table = np.zeros((-(-2 * len(langs) // 64), cells), dtype=np.uint64)
+    table[found["word"].to_numpy(np.int64), found["place"].to_numpy(np.int64)] = (
+        found["mask"].to_numpy(np.int64).view(np.uint64))
+    return model_of(langs, table)
 
 
 def language_report(docs: DataFrame, model: Model) -> DataFrame:
     """Per document whether it is held out, its language and the language's share of the evidence."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # the filter: CELLS words per 64 languages
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)  # at most MOST_CELLS words per 32 languages
 
     @F.pandas_udf(RESULT)
     def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -383,6 +383,32 @@ def test_small_sources_reach_their_limit(spark):
     assert found == {1000: 1030.0 - 30 - 60, 10: 30.0, 20: 60.0}
 
 
+def test_filters_return_every_language_of_an_ngram(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    model = langid.train(docs)
+    grams = defaultdict(set)
+    for r in docs.filter(~langid.held_out(docs.doc_id)).filter("lang is not null").collect():
+        text = langid.plain(r["text"])
+        for k in range(len(text) - langid.N + 1):
+            grams[text[k:k + langid.N]].add(r["lang"])
+    some = random.Random(4).sample(sorted(grams), 2000)
+    found = {g: langid.languages_of(model, g) for g in some}
+    assert all(grams[g] <= found[g] for g in some)
+    extra = sum(len(found[g] - grams[g]) for g in some)
+    expected = sum(model.chance[model.langs.index(x)]
+                   for g in some for x in set(model.langs) - grams[g])
+    assert extra <= 1.5 * expected + 30
+    assert model.cells.shape[1] < langid.MOST_CELLS
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    model = langid.train(docs)
+    for text in ("½ ²", "①②", "٣٤ 12", "_ - !", "Ⅷ", "", None):
+        assert langid.predict(model, text) == ("und", 0.0), text
+    assert langid.predict(model, "der und die ½")[0] != "und"
+
+
 def test_languages_held_out(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = langid.language_report(docs, langid.train(docs)).join(
