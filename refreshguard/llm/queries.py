@@ -14,7 +14,7 @@ def op1_spaced_seed_decontamination(spark, sf):
 
 def op2_secret_markov(spark, sf):
     docs = table(spark, sf, "documents")
-    return secrets.secret_report(docs, secrets.train(secrets.labelled_strings(docs)))
+    return secrets.secret_report(docs, *secrets.fitted(docs))
 
 
 def op3_site_style_tree(spark, sf):

@@ -62,6 +62,29 @@ def test_secret_formats(documents, texts, spark):
     assert sum(r["n_markov"] for r in rows.values()) < 5
 
 
+NAMES_WITH_DIGITS = """com_example_project_v2_module 2024-01-15T10-30-00_backup_log
+user_account_backup_20240115 chapter12-section34-paragraph56 invoice-2023-10-17-customer-copy
+/usr/local/lib/python3/site-packages release-notes-version-4-2-1-final MAX_RETRY_COUNT_PER_HOST_32
+getElementsByTagName2AndClass utf-8-encoding-with-bom-2023 IMG_20240312_174522_holiday_beach
+node-17-us-east-1-production-cluster http2-push-promise-handler-v10""".split()
+
+
+def test_names_with_digits_are_no_secrets(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model, cut = secrets.fitted(docs)
+    choose = random.Random(1)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    keys = ["".join(choose.choices(letters, k=k)) for k in (20, 24, 32, 40) for _ in range(10)
+            for letters in (upper + upper.lower() + digits, upper + upper.lower() + digits + "+/",
+                            "ABCDEF" + digits)]
+    keys = [k for k in keys if set(k) & set(digits) and set(k) & set(upper)]
+    rows = [(i, f"see {v} there") for i, v in enumerate([*NAMES_WITH_DIGITS, *keys])]
+    found = {r["doc_id"]: r["n_markov"] for r in secrets.secret_report(
+        spark.createDataFrame(rows, "doc_id long, text string"), model, cut).collect()}
+    assert not any(found[i] for i in range(len(NAMES_WITH_DIGITS)))
+    assert sum(found[i] for i in range(len(NAMES_WITH_DIGITS), len(rows))) >= 0.85 * len(keys)
+
+
 def test_personal_data(documents, texts, spark):
     def luhn(s):
         d = [int(c) for c in re.sub(r"\D", "", s)]
