@@ -16,8 +16,8 @@ Graphs are built on vectors brought to one length by an extra coordinate, for
 which the nearest by angle are those with the largest product.
 
 Defined cases: vectors that are null, empty, zero, or hold null or not finite
-numbers take no part, nor do vectors of another length than most; rows with a
-null ``vec_id`` take no part; repeated rows count once; with fewer candidates
+numbers take no part; a vector shorter than the longest counts as followed by
+zeros; rows with a null ``vec_id`` take no part; repeated rows count once; with fewer candidates
 all are returned; ties go to the smaller id; an empty table gives an empty
 result; further columns may have any name.
 """
@@ -214,15 +214,17 @@ class Graph:
 
 
 def clean(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, v): usable vectors, as arrays of double of the most frequent length."""
+    """(vec_id, v): usable vectors, as arrays of double, short ones followed by zeros."""
     v = F.col("v")
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"),
                              F.col("embedding").cast("array<double>").alias("v")).filter(
         F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists(v, lambda x: x != 0))
-    size = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.filter(F.size("v") == (size["d"] if size else 0))
+    longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    padding = F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("v"))
+    return rows.select("vec_id", F.when(F.size("v") < longest, F.concat("v", padding))
+                       .otherwise(F.col("v")).alias("v"))
 
 
 def nodes(rows: DataFrame) -> DataFrame:
@@ -267,7 +269,8 @@ def search_shards(found: DataFrame, queries: DataFrame, shards: int) -> DataFram
                     for k in range(0, len(part), BATCH):
                         yield _answers(graph, x, ids, part.iloc[k:k + BATCH])
 
-    dealt = placed.unionByName(asked).repartition(shards, "shard").sortWithinPartitions(
+    # By its number, not by a hash of it, so that each task has one shard.
+    dealt = placed.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions(
         "shard", "kind")
     return dealt.mapInPandas(answer, "query_id long, vec_id long, score double")
 

@@ -355,8 +355,11 @@ def test_loser_tree_merges():
         assert merged == sorted((x for r in runs for x in r), key=warc.order)
 
 
-def test_neighbours(spark):
-    vectors = spark.read.parquet(f"{TINY}/embeddings.parquet")
+@pytest.mark.parametrize("folder,shard", [(TINY, hnsw.SHARD), (SMALL, 60)])
+def test_neighbours(spark, monkeypatch, folder, shard):
+    """Against all inner products, in one shard and in nine."""
+    monkeypatch.setattr(hnsw, "SHARD", shard)
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
     table = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in vectors.collect()}
     ids = np.array(sorted(table))
     x = np.array([table[i] for i in ids])
@@ -372,6 +375,15 @@ def test_neighbours(spark):
     assert np.mean(recall) >= 0.95
 
 
+def test_each_task_has_one_shard(spark):
+    shards = 9
+    rows = hnsw.nodes(hnsw.clean(spark.read.parquet(f"{SMALL}/embeddings.parquet")))
+    numbered = rows.selectExpr(f"cast(pmod(xxhash64(v, 3), {shards}) as int) as shard")
+    dealt = numbered.repartitionById(shards, "shard").selectExpr(
+        "shard", "spark_partition_id() as part").distinct().collect()
+    assert len(dealt) == len({r["part"] for r in dealt}) == shards
+
+
 def test_targets_of_a_mix(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = mixing.mix_report(docs).toPandas().merge(
