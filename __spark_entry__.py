@@ -19,8 +19,8 @@ from refreshguard import MEDICAL, PHARMACY, Context, Thresholds
 from refreshguard.functions import months
 from refreshguard.functions.formats import to_results
 
-from refreshguard.operators import (completeness, consistency, distribution, scan, snapshots,
-                                    temporal, uniqueness, validity, volume)
+from refreshguard.operators import (completeness, consistency, distribution, generic, scan,
+                                    snapshots, temporal, uniqueness, validity, volume)
 from refreshguard.operators.topk import share_rows
 from refreshguard.plans import backfill, suite
 from refreshguard.plans.probe import schema_probe
@@ -40,6 +40,18 @@ RUN_ID = "run-1998-03"
 RUN_START = datetime(2024, 1, 1, 12, 0, 0)
 EARLIER_ID, EARLIER_START = "run-1998-02", datetime(2023, 12, 1, 12, 0, 0)
 EMPTY_MONTH = "1994-01"
+UNREADABLE = "1997-05"
+HISTORY_FAMILIES = ["completeness", "uniqueness", "validity"]
+OWN_CHECKS = {
+    "nulls": generic.null_percent(["patient_id", "procedure_code"], limit=5.0),
+    "rules": generic.predicate_percent({"late_service": "service_date > kh_refresh_date",
+                                        "no_units": "units <= 0"}),
+    "units": generic.allowed_values("unit_type", ["UN", "ml"], "FAIL"),
+    "keys": generic.foreign_key_missing("billing_npi", "providers", "npi"),
+    "enrolled": generic.interval_unmatched("enroll", "start_date", "end_date"),
+    "cohorts": generic.top_share_rows("cohort_id", 3),
+    "moved": generic.month_change("several_units", "units > 1", 0.3),
+}
 
 
 # -- inputs ---------------------------------------------------------------
@@ -167,6 +179,58 @@ def _suite(spark, sf, profiles=(MEDICAL, PHARMACY)):
     return out
 
 
+def _all_months(spark, sf):
+    """Every family over every month of both tables, planned over stored reductions."""
+    out = None
+    for profile in (MEDICAL, PHARMACY):
+        rows = _rows(suite.suite_metrics(_months(spark, sf, profile), keep=True), category=True)
+        rows = rows.withColumn("events_table_name", F.lit(profile.name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _custom(spark, sf):
+    return _rows(suite.suite_metrics(_all(spark, sf), [], OWN_CHECKS), category=True)
+
+
+def _signed(spark, sf):
+    """The changes of all counts in the notation with a sign."""
+    rows = to_results(volume.changes(_months(spark, sf)), RUN_ID, RUN_START, MEDICAL.name,
+                      signed=True)
+    return rows.select("refresh_month", "check_name", "metric_name", "metric_value", "status")
+
+
+def _error_rows(spark, sf):
+    """A family whose dimension is not there, beside one that runs."""
+    ctx = _all(spark, sf)
+    bare = {name: ctx.dimensions[name] for name in ctx.dimensions if name != "geo"}
+    return _rows(suite.suite_metrics(ctx.with_(dimensions=bare), ["uniqueness", "distribution"]),
+                 category=True)
+
+
+def _unreadable(spark, sf):
+    """A backfill over all months, in one of which every value but the refresh date fails."""
+    ctx = _all(spark, sf)
+    fail = f"trunc(kh_refresh_date, 'MM') = date'{UNREADABLE}-01'"
+    columns = [c if c == "kh_refresh_date" else
+               f"if({fail}, cast(raise_error('unreadable') as {t}), {c}) as {c}"
+               for c, t in ctx.events_table.dtypes]
+    target = shared_folder(spark, "results")
+    backfill.run_backfill(ctx.with_(events_table=ctx.events_table.selectExpr(*columns)),
+                          cv.FIRST_MONTH, cv.LAST_MONTH, target, RUN_ID, RUN_START,
+                          HISTORY_FAMILIES)
+    return _result_columns(history.read_history(spark, target))
+
+
+def _rerun(spark, sf):
+    """Both tables over all months, the run made twice under one id."""
+    target = shared_folder(spark, "results")
+    for families in (HISTORY_FAMILIES[:2], HISTORY_FAMILIES):
+        suite.run_suite([_months(spark, sf, p) for p in (MEDICAL, PHARMACY)], target, RUN_ID,
+                        RUN_START, families, once=True)
+    return _result_columns(history.read_committed(spark, target))
+
+
 def _first_month(spark, sf):
     """The first month has nothing before it: comparisons are skipped, volume is counted."""
     ctx = _month(spark, sf, month=cv.FIRST_MONTH, previous=None)
@@ -252,9 +316,9 @@ def _cohorts(spark, sf):
                        F.round("share", 4).alias("share"))
 
 
-def _demo_check(part):
+def _demo_check(part, **changes):
     return lambda spark, sf: _rows(distribution.demo_distribution(
-        _all(spark, sf), only=(part,), as_of=cv.AGE_AS_OF))
+        _all(spark, sf, **changes), only=(part,), as_of=cv.AGE_AS_OF))
 
 
 def _by_month(frame: DataFrame) -> DataFrame:
@@ -324,6 +388,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "month_backfill": _backfill,
         "run_suite": _suite,
         "suite_first_month": _first_month,
+        "suite_all_months": _all_months,
+        "custom_checks": _custom,
+        "signed_results": _signed,
+        "error_rows": _error_rows,
+        "backfill_unreadable_month": _unreadable,
+        "rerun_counts_once": _rerun,
         "schema_probe": _probe,
         "latest_per_key": _latest,
         "age_bucket": _ages,
@@ -360,6 +430,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "demographic_stability": _monthly(consistency.demographic_stability),
         "missing_entities": _check(consistency.missing_entities),
         "missing_entities_exact": _check(consistency.missing_entities, snapshot="exact"),
+        "missing_entities_every": _check(consistency.missing_entities, snapshot="every"),
         "outside_enrollment_pct": _check(consistency.outside_enrollment),
         "outside_enrollment_events": _check(consistency.outside_enrollment_events),
         "after_death_pct": _check(consistency.after_death, metric="_percent"),
@@ -370,6 +441,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gender_distribution": _demo_check("gender"),
         "age_distribution": _demo_check("age"),
         "event_demo_distribution": _demo_check("events"),
+        "gender_distribution_every": _demo_check("gender", snapshot="every"),
+        "age_distribution_every": _demo_check("age", snapshot="every"),
+        "event_demo_distribution_every": _demo_check("events", snapshot="every"),
         "state_distribution": _regions,
         "event_state_distribution": _event_regions,
         "provider_distribution": _providers,
@@ -489,6 +563,18 @@ def oracle_sql() -> dict[str, str]:
                      ["completeness", "validity"]),
         _literal_run(month, RUN_ID, ["completeness", "validity"])])
     backfill_body = oq.suite_body(span)
+    every = oq.Scope(oq.MX, every=True)
+    every_age = oq.Scope(oq.MX, every=True, age_year=cv.AGE_AS_OF.year)
+    own_body = oq.custom_checks(mx)
+    whole_parts, history_parts = [], []
+    for scope in (span, oq.Scope(oq.RX, "range")):
+        body = oq.suite_body(scope)
+        whole_parts.append(f"select '{scope.table['table']}' as events_table_name, "
+                           f"strftime(m, '%Y-%m') as refresh_month, check_category, check_name, "
+                           f"metric_name, num, den, value, status from ({scope.ctes(body)} {body})")
+        history_parts.append(_literal_run(scope, RUN_ID, HISTORY_FAMILIES))
+    broken = f"date '{UNREADABLE}-01'"
+    failed = ", ".join(f"('{f}')" for f in HISTORY_FAMILIES)
 
     def valid(name, scope=mx):
         return check(scope, oq.validity, name)
@@ -516,6 +602,25 @@ def oracle_sql() -> dict[str, str]:
                              f"select 'temporal', 'execution_status', 'status', cast(null as bigint), "
                              f"cast(null as bigint), cast(null as double), 'INFO' where not exists "
                              f"(select 1 from ({events}) where kh_refresh_date < {first})",
+        "suite_all_months": " union all ".join(whole_parts),
+        "custom_checks": mx.ctes(own_body) + "select check_category, check_name, metric_name, num, "
+                         f"den, value, status from ({own_body})",
+        "signed_results": "select refresh_month, check_name, metric_name, case when den > 0 then "
+                          "printf('%+.2f%%', round(cast(num - den as double) / den * 100, 2)) else "
+                          "'N/A' end as metric_value, status from ("
+                          + check(span, oq.volume_totals, metric="change_percentage") + ")",
+        "error_rows": "select * from (" + mx.ctes() + "select check_category, check_name, "
+                      "metric_name, num, den, value, status from (" + oq.suite_body(
+                          mx, ["uniqueness"]) + ")) union all select 'distribution', "
+                      "'execution_status', 'status', null, null, null, 'FAIL' from (select 1 from "
+                      f"({events}) limit 1)",
+        "backfill_unreadable_month": f"select * from ({_literal_run(span, RUN_ID, HISTORY_FAMILIES)}"
+                                     f") where refresh_month <> '{UNREADABLE}' union all select "
+                                     f"'{RUN_ID}', 'mx_events', '{UNREADABLE}', family, "
+                                     "'execution_status', 'status', null, 'FAIL' from (values "
+                                     f"{failed}) t(family) where exists (select 1 from ({events}) "
+                                     f"where date_trunc('month', kh_refresh_date) = {broken})",
+        "rerun_counts_once": " union all ".join(history_parts),
         "schema_probe": _probe_sql(),
         "latest_per_key": f"select patient_id, kh_refresh_date, patient_gender, patient_yob from "
                           f"(select *, row_number() over (partition by patient_id order by "
@@ -553,6 +658,10 @@ def oracle_sql() -> dict[str, str]:
         "demographic_stability": check(span, oq.stability),
         "missing_entities": check(mx, oq.missing_entities),
         "missing_entities_exact": check(oq.Scope(oq.MX, exact=True), oq.missing_entities),
+        "missing_entities_every": check(every, oq.missing_entities),
+        "gender_distribution_every": check(every, oq.gender),
+        "age_distribution_every": check(every_age, oq.age),
+        "event_demo_distribution_every": check(every_age, oq.event_demo),
         "outside_enrollment_pct": check(mx, oq.outside_enrollment),
         "outside_enrollment_events": check(mx, oq.outside_events),
         "after_death_pct": check(mx, oq.deaths, metric="_percent"),

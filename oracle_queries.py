@@ -56,6 +56,7 @@ class Scope:
     old_year: int = 1900
     age_year: int = cv.AS_OF.year
     exact: bool = False
+    every: bool = False          # all snapshots of a dimension, whatever the month
 
     def ctes(self, body: str = "") -> str:
         """The CTEs a text mentions, in order."""
@@ -74,7 +75,7 @@ class Scope:
         parts = [f"src as ({cv.oracle_view(name)})", f"spine as ({spine})", f"ev as ({ev})",
                  f"em as (select {own} as m, * from src)"]
         seen = ("d.kh_refresh_date >= s.m and d.kh_refresh_date < s.m + interval 1 month"
-                if self.exact else "d.kh_refresh_date < s.m + interval 1 month")
+                if self.exact else "true" if self.every else "d.kh_refresh_date < s.m + interval 1 month")
         for d in DIMENSIONS:
             if f"{d}_m" in body:
                 parts.append(f"{d}_m as (select s.m, d.* from ({cv.oracle_view(d)}) d "
@@ -654,6 +655,53 @@ def suite_body(s: Scope, families=tuple(FAMILIES)) -> str:
     return " union all ".join(f"select * from {p}" for p in parts)
 
 
+# -- checks of one's own -----------------------------------------------------
+
+def custom_checks(s: Scope) -> str:
+    """The own checks that the entry registers, over all blocks."""
+    shares = {"patient_id_null_percentage": "patient_id is null",
+              "procedure_code_null_percentage": "procedure_code is null",
+              "late_service_percent": "service_date > kh_refresh_date",
+              "no_units_percent": "units <= 0",
+              "unit_type_allowed_percent": "upper(unit_type) not in ('UN', 'ML')"}
+    names = {"late_service_percent": ("late_service", "WARN", 0),
+             "no_units_percent": ("no_units", "WARN", 0),
+             "unit_type_allowed_percent": ("unit_type_allowed", "FAIL", 0)}
+    counts = ", ".join(f"count(*) filter (where {c}) as a{k}" for k, c in enumerate(shares.values()))
+    rows = []
+    for k, metric in enumerate(shares):
+        check, word, limit = names.get(metric, ("null_percent", "WARN", 5))
+        value = pct(f"a{k}", "n")
+        rows.append(row("custom", check, metric, f"a{k}", "n", value, bad(f"{value} > {limit}", word)))
+    known = "exists (select 1 from providers_m d where d.npi = i.id)"
+    inside = ("exists (select 1 from patient_enroll_m d where d.patient_id = e.patient_id and "
+              "e.service_date between d.start_date and d.end_date)")
+    outside = pct("x", "n")
+    moved = chg("c", "p")
+    parts = [
+        block(f"select m, count(*) as n, {counts} from ev group by m", rows),
+        block(f"select m, count(*) as n, count(*) filter (where not {known}) as x from (select "
+              "distinct m, billing_npi as id from ev where billing_npi is not null) i group by m",
+              [row("custom", "billing_npi_in_providers", "missing_percent", "x", "n", outside,
+                   bad(f"{outside} > 0", "WARN"))]),
+        block(f"select m, count(*) as n, count(*) filter (where not {inside}) as x from ev e "
+              "group by m",
+              [row("custom", "outside_enroll", "outside_percent", "x", "n", outside,
+                   bad(f"{outside} > 0", "WARN"))]),
+        "(select m, 'custom' as check_category, 'cohort_id_top' as check_name, k as metric_name, "
+        "n as num, cast(null as bigint) as den, round(cast(n as double) / t * 100, 4) as value, "
+        "'INFO' as status from (select m, cohort_id as k, count(*) as n, "
+        "sum(count(*)) over (partition by m) as t from ev where cohort_id is not null "
+        "group by m, cohort_id qualify row_number() over (partition by m order by n desc, k) <= 3))",
+        block(f"select s.m, count(*) filter (where e.m = s.m and units > 1) as c, count(*) filter "
+              "(where e.m = s.m - interval 1 month and units > 1) as p from em e, spine s group by "
+              "s.m", [row("custom", "several_units", "change_percentage", "c", "p", moved,
+                          f"case when p = 0 then 'INFO' when abs({moved}) / 100 <= 0.3 then 'PASS' "
+                          "else 'WARN' end")]),
+    ]
+    return " union all ".join(f"select * from {p}" for p in parts)
+
+
 def metrics(s: Scope, makers, where: str = "") -> str:
     """A query's metric rows; by month in a range."""
     body = " union all ".join(f"select * from {p}" for make in makers for p in make(s))

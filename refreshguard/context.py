@@ -45,7 +45,7 @@ class Context:
     def __post_init__(self):
         if self.scope not in ("month", "all", "range"):
             raise ValueError(f"unknown scope: {self.scope}")
-        if self.snapshot not in ("upto", "exact"):
+        if self.snapshot not in ("upto", "exact", "every"):
             raise ValueError(f"unknown snapshot rule: {self.snapshot}")
         if self.scope == "range" and self.start is None:
             raise ValueError("a range needs its start month")
@@ -131,20 +131,23 @@ class Context:
 
     @property
     def accumulates(self) -> bool:
-        """Whether every month of a range sees all snapshots up to it."""
-        return self.scope == "range" and self.snapshot == "upto"
+        """Whether a month of a range sees snapshots of other months."""
+        return self.scope == "range" and self.snapshot != "exact"
 
     def dimension(self, name: str, *columns: str) -> DataFrame:
         """The snapshots of a dimension that the scope can see.
 
         ``exact`` keeps the snapshot of the month itself, ``upto`` every
-        snapshot not later than it.  In a range the rows carry a month: their
-        own one, which for ``upto`` is the first month that sees the row.
+        snapshot not later than it, ``every`` all there are, for events of every
+        refresh.  In a range the rows carry a month: their own one, which for
+        ``upto`` and ``every`` is the first month that sees the row.
         """
         refresh_name = self.names.refresh_date
         refresh = F.col(refresh_name)
         table = self.dimensions[name].select(refresh_name, *columns)
-        if self.snapshot == "exact":
+        if self.snapshot == "every":
+            seen = F.lit(True)
+        elif self.snapshot == "exact":
             seen = months.in_months(refresh, self.start or self.month, self.month)
         else:
             seen = months.before_month_end(refresh, self.month)
@@ -152,22 +155,12 @@ class Context:
         if self.scope != "range":
             return table
         own = months.month_start(refresh)
-        if self.snapshot == "upto":
+        if self.snapshot == "every":
+            own = F.lit(months.first_day(self.start))
+        elif self.snapshot == "upto":
             own = F.greatest(own, F.lit(months.first_day(self.start)))
         return table.withColumn(MONTH, own)
 
-    def repeat_for_months(self, rows: DataFrame) -> DataFrame:
-        """Rows of ``dimension`` once for every month that sees them.
-
-        Only a range with ``upto`` snapshots repeats anything, each row at most
-        for the length of the range.
-        """
-        if not self.accumulates:
-            return rows
-        last = F.lit(months.first_day(self.month))
-        return rows.withColumn(MONTH, F.explode(F.sequence(
-            F.col(MONTH), last, F.expr("interval 1 month"))))
-
     def spine(self) -> DataFrame:
         """One row per month of the range."""
         count = months.months_between(self.start, self.month)

@@ -15,11 +15,17 @@ events the entity has.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..context import Context
+from ..context import MONTH, Context
+from ..functions import months
+
+#: Months whose running totals are kept side by side.
+MONTHS = 120
 
 
 def edge_days(intervals: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,12 +72,77 @@ def calendar(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
             .withColumn("covering", F.sum("opened").over(so_far)))
 
 
+def _index(ctx: Context, column: str) -> str:
+    """The place of a month in the range, from 0."""
+    first = months.first_day(ctx.start)
+    return f"(year({column}) * 12 + month({column}) - {first.year * 12 + first.month})"
+
+
+def blocks(ctx: Context) -> list[Context]:
+    """A range in parts of at most ``MONTHS`` months."""
+    count = months.months_between(ctx.start, ctx.month)
+    if count <= MONTHS:
+        return [ctx]
+    starts = [months.shift(ctx.start, k) for k in range(0, count, MONTHS)]
+    ends = [*[months.shift(s, -1) for s in starts[1:]], ctx.month]
+    return [ctx.with_(start=a, month=b) for a, b in zip(starts, ends)]
+
+
+def accumulated(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Day rows of all months of a range in which an interval counts from its own month on.
+
+    One line per entity for all months: an event knows the place ``at`` of its
+    month, an edge that of the first month which sees it.  Running totals are kept
+    for each place by itself, as an array of differences; ``covering`` of an event
+    is their sum up to its month.  ``before`` of an edge are the events so far, by
+    month.  No row is repeated for the months that see it.
+    """
+    region = ["region"] if "region" in intervals.columns else []
+    count = months.months_between(ctx.start, ctx.month)
+    at = f"{_index(ctx, MONTH)} as at"
+    events = days.selectExpr("entity", "day", *(f"cast(null as string) as {r}" for r in region),
+                             "true as is_event", "n", "0L as opened", at)
+    edges = edge_days(intervals, [MONTH, "entity", *region]).selectExpr(
+        "entity", "day", *region, "false as is_event", "0L as n", "opened", at)
+    so_far = (W.partitionBy("entity").orderBy("day", "is_event")
+              .rowsBetween(W.unboundedPreceding, W.currentRow))
+
+    def totals(value):
+        return F.array(*[F.sum(F.expr(f"if(at = {k}, {value}, 0L)")).over(so_far)
+                         for k in range(count)])
+
+    found = events.unionByName(edges).withColumn("open", totals("opened"))
+    if region:
+        found = found.withColumn("before", totals("n"))
+    return found.withColumn("covering", F.expr(
+        "aggregate(slice(open, 1, at + 1), 0L, (total, x) -> total + x)")).drop("open")
+
+
+def _of_blocks(ctx: Context, days: DataFrame, intervals: DataFrame, count) -> DataFrame:
+    """``count`` of the day rows of each block, with the month again."""
+    parts = []
+    for part in blocks(ctx):
+        first = F.lit(months.first_day(part.start))
+        own = days.filter((F.col(MONTH) >= first)
+                          & (F.col(MONTH) <= F.lit(months.first_day(part.month))))
+        seen = (intervals.filter(F.col(MONTH) <= F.lit(months.first_day(part.month)))
+                .withColumn(MONTH, F.greatest(MONTH, first)))
+        rows = count(accumulated(part, own, seen))
+        parts.append(rows.withColumn(MONTH, F.add_months(first, F.col("at").cast("int"))).drop("at"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def uncovered(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
     """``n`` events and ``n_outside`` of them that no interval contains."""
+    sums = [F.expr("coalesce(sum(n), 0) as n"),
+            F.expr("coalesce(sum(if(covering = 0, n, 0)), 0) as n_outside")]
+    if ctx.accumulates:
+        return ctx.complete(_of_blocks(
+            ctx, days, intervals,
+            lambda rows: rows.filter("is_event").groupBy("at").agg(*sums)).select(
+                MONTH, "n", "n_outside"))
     found = calendar(ctx, days, intervals).filter("is_event")
-    return ctx.complete(found.groupBy(*ctx.by).agg(
-        F.expr("coalesce(sum(n), 0) as n"),
-        F.expr("coalesce(sum(if(covering = 0, n, 0)), 0) as n_outside")))
+    return ctx.complete(found.groupBy(*ctx.by).agg(*sums))
 
 
 def region_counts(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFrame:
@@ -80,6 +151,15 @@ def region_counts(ctx: Context, days: DataFrame, intervals: DataFrame) -> DataFr
     An event in several intervals counts once for each; one in none counts for
     the NULL region.
     """
+    if ctx.accumulates:
+        # What an edge adds is told apart by month behind the window, in its own task.
+        shares = ("inline(if(is_event, array(named_struct('at', at, 'm', if(covering = 0, n, 0L))), "
+                  "transform(sequence(at, size(before) - 1), "
+                  "k -> named_struct('at', k, 'm', -opened * before[k]))))")
+        found = _of_blocks(ctx, days, intervals, lambda rows: (
+            rows.selectExpr("region", shares).filter("m <> 0")
+            .groupBy("at", "region").agg(F.sum("m").alias("n"))))
+        return found.select(MONTH, "region", "n").filter("n > 0")
     rows = F.expr("sum(case when not is_event then -opened * events_before "
                   "when covering = 0 then n else 0 end) as n")
     return (calendar(ctx, days, intervals).groupBy(*ctx.by, "region").agg(rows)

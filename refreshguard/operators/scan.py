@@ -21,11 +21,13 @@ ROWS = "n"
 @dataclass
 class ScanChecks:
     category: str
+    prefix: str = ""
     conditions: dict[str, str] = field(default_factory=dict)
     measures: list[Measure] = field(default_factory=list)
 
     def count_if(self, name: str, condition: str) -> str:
         """Register a conditional count; the result is its column."""
+        name = self.prefix + name
         self.conditions[name] = condition
         return name
 

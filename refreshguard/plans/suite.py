@@ -16,7 +16,7 @@ from ..context import OWN, Context
 from ..functions import months
 from ..functions.formats import RESULT_SCHEMA, to_results
 from ..functions.measures import METRIC_COLUMNS, METRIC_SCHEMA, rows_of
-from ..operators import (completeness, consistency, distribution, pairs, scan, temporal,
+from ..operators import (completeness, consistency, distribution, generic, pairs, scan, temporal,
                          uniqueness, validity, volume)
 from ..operators.shared import SharedFrames
 from ..sources import history
@@ -103,9 +103,16 @@ def _comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) ->
             temporal.code_shifts_by_count(ctx, ids)]
 
 
-def _parts(ctx: Context, families: Sequence[str], keep: bool = False) -> list[DataFrame]:
-    """The frames of some families; the checks among them share what they can, written first if ``keep``."""
+def _parts(ctx: Context, families: Sequence[str], keep: bool = False,
+           own: Sequence[Check] = ()) -> list[DataFrame]:
+    """The frames of some families; the checks among them share what they can, written first if ``keep``.
+
+    The family ``custom`` is the checks ``own``.
+    """
+    own = own if generic.CATEGORY in families else ()
     groups = [g for f in families if f in SCAN_CHECKS for g in SCAN_CHECKS[f](ctx)]
+    groups += [c.group(ctx, f"own{k}_") for k, c in enumerate(own)
+               if isinstance(c, generic.ScanBlock)]
     parts = [scan.run_scan(ctx, *groups)] if any(g.measures for g in groups) else []
     shared = SharedFrames(ctx, keep)
     for family in families:
@@ -118,15 +125,17 @@ def _parts(ctx: Context, families: Sequence[str], keep: bool = False) -> list[Da
         comparing.remove("temporal")
     if comparing:
         parts += _comparison(ctx, comparing, shared)
+    parts += generic.own_frames(ctx, own, shared)
     return [_plain(ctx, p) for p in parts]
 
 
-def _plannable(ctx: Context, families: Sequence[str]) -> tuple[list[str], list[DataFrame]]:
+def _plannable(ctx: Context, families: Sequence[str],
+               own: Sequence[Check] = ()) -> tuple[list[str], list[DataFrame]]:
     """Families that can be planned, and ERROR rows for those that cannot."""
     good, failed = [], []
     for family in families:
         try:
-            _parts(ctx, [family])
+            _parts(ctx, [family], own=own)
             good.append(family)
         except Exception as error:  # noqa: BLE001 - any failure becomes a row
             log.warning("%s could not be planned: %s", family, error)
@@ -145,17 +154,17 @@ def suite_metrics(ctx: Context, families: Iterable[str] = ("all",),
 
     The single-pass checks of all families are one aggregation and the others
     share their reductions, which ``keep`` computes and writes at once.  A family that
-    cannot even be planned becomes an ERROR row; errors at run time are isolated by
+    cannot even be planned becomes an ERROR row, own checks like a family of theirs; errors at run time are isolated by
     ``run_suite``.
     """
-    chosen = select_families(families)
+    own = list((extra or {}).values())
+    chosen = select_families(families) + ([generic.CATEGORY] if own else [])
     try:
-        parts = _parts(ctx, chosen, keep)
+        parts = _parts(ctx, chosen, keep, own)
     except Exception:  # noqa: BLE001 - find out which families fail
-        chosen, parts = _plannable(ctx, chosen)
+        chosen, parts = _plannable(ctx, chosen, own)
         if chosen:
-            parts += _parts(ctx, chosen, keep)
-    parts += [_plain(ctx, check(ctx)) for check in (extra or {}).values()]
+            parts += _parts(ctx, chosen, keep, own)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -171,7 +180,8 @@ def suite_results(contexts: Iterable[Context], run_id: str, run_start_time: date
 def run_suite(contexts: Iterable[Context], target: str, run_id: str, run_start_time: datetime,
               families: Iterable[str] = ("all",), signed: bool = False,
               fmt: str = "parquet", persist: bool = False, once: bool = False,
-              keep: bool = False) -> dict[tuple[str, str], str]:
+              keep: bool = False,
+              extra: Mapping[str, Check] | None = None) -> dict[tuple[str, str], str]:
     """Write all families of every table, such that one failure stays one.
 
     The families are one plan that shares its reductions.  A frame is lazy and
@@ -186,10 +196,12 @@ def run_suite(contexts: Iterable[Context], target: str, run_id: str, run_start_t
     it if the events are costly to derive, not for a columnar table, of which every
     family reads just a few columns.  ``keep`` writes the reductions of the events
     first and plans every check over these small tables: for long ranges, where
-    one plan of everything is very large.
+    one plan of everything is very large.  ``extra`` are own checks, the family
+    ``custom``.
     """
     outcome = {}
-    chosen = select_families(families)
+    own = list((extra or {}).values())
+    chosen = select_families(families) + ([generic.CATEGORY] if own else [])
     for ctx in contexts:
         left = chosen
         if once:
@@ -210,7 +222,7 @@ def run_suite(contexts: Iterable[Context], target: str, run_id: str, run_start_t
             else:
                 history.append(rows, target, fmt)
 
-        outcome |= _run_families(ctx, left, write, keep)
+        outcome |= _run_families(ctx, left, write, keep, own)
         if kept is not None:
             kept.unpersist()
     return outcome
@@ -225,8 +237,8 @@ class Piece:
     failed: bool = False
 
 
-def _computed(ctx: Context, families: Sequence[str]) -> Piece:
-    rows = reduce(DataFrame.unionByName, _parts(ctx, families))
+def _computed(ctx: Context, families: Sequence[str], own: Sequence[Check]) -> Piece:
+    rows = reduce(DataFrame.unionByName, _parts(ctx, families, own=own))
     return Piece(families, stored(rows, "metrics"))
 
 
@@ -239,7 +251,8 @@ def halves(ctx: Context) -> list[Context]:
     return [ctx.with_(month=months.shift(middle, -1)), ctx.with_(start=middle)]
 
 
-def isolated(ctx: Context, families: Sequence[str], by_family: bool = True) -> list[Piece]:
+def isolated(ctx: Context, families: Sequence[str], own: Sequence[Check] = (),
+             by_family: bool = True) -> list[Piece]:
     """The rows of the families over all months of the context, whatever fails.
 
     A failing plan is first tried family by family.  Families that fail by
@@ -248,7 +261,7 @@ def isolated(ctx: Context, families: Sequence[str], by_family: bool = True) -> l
     cannot be read thus costs about twice the logarithm of the range in smaller runs.
     """
     try:
-        return [_computed(ctx, families)]
+        return [_computed(ctx, families, own)]
     except Exception as error:  # noqa: BLE001 - find out what fails
         log.warning("%s from %s to %s is narrowed down: %s", ctx.profile.name, ctx.start,
                     ctx.month, error)
@@ -261,7 +274,7 @@ def isolated(ctx: Context, families: Sequence[str], by_family: bool = True) -> l
         errors = {}
         for family in families:
             try:
-                pieces.append(_computed(ctx, [family]))
+                pieces.append(_computed(ctx, [family], own))
             except Exception as error:  # noqa: BLE001 - any failure becomes a row
                 log.warning("%s failed on %s: %s", family, ctx.profile.name, error)
                 errors[family] = error
@@ -272,7 +285,7 @@ def isolated(ctx: Context, families: Sequence[str], by_family: bool = True) -> l
                          for f, e in errors.items()]
     if errors:
         for part in parts:
-            pieces += isolated(part, list(errors), False)
+            pieces += isolated(part, list(errors), own, False)
     return pieces
 
 
@@ -286,15 +299,16 @@ def _outcomes(name: str, pieces: Sequence[Piece]) -> dict[tuple[str, str], str]:
 
 
 def _run_families(ctx: Context, families: Sequence[str], write: Callable[[DataFrame], None],
-                  keep: bool = False) -> dict[tuple[str, str], str]:
+                  keep: bool = False,
+                  own: Sequence[Check] = ()) -> dict[tuple[str, str], str]:
     """One plan for all families; narrowed down only if that fails (and has written nothing)."""
     name = ctx.profile.name
     try:
-        write(reduce(DataFrame.unionByName, _parts(ctx, families, keep)))
+        write(reduce(DataFrame.unionByName, _parts(ctx, families, keep, own)))
         return {(name, family): "done" for family in families}
     except Exception as error:  # noqa: BLE001 - find out what fails
         log.warning("%s is run piece by piece: %s", name, error)
-    pieces = isolated(ctx, families)
+    pieces = isolated(ctx, families, own)
     write(reduce(DataFrame.unionByName, [p.rows for p in pieces]))
     return _outcomes(name, pieces)
 

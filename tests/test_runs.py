@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from refreshguard.functions import months
 from refreshguard.functions.formats import RESULT_SCHEMA, new_run, to_results
-from refreshguard.operators import generic
+from refreshguard.operators import generic, intervals, snapshots
 from refreshguard.operators.intervals import merge
 from refreshguard.operators.joins import join_intervals
-from refreshguard.operators.shared import SharedFrames
+from refreshguard.operators.shared import SharedFrames, entity_days
 from refreshguard.plans import backfill, suite
 from refreshguard.sources import history, tables
 
@@ -259,6 +259,37 @@ def test_own_checks(several, metric):
     same = metric(consistency.outside_enrollment(ctx), "enrollment_periods",
                   "outside_enrollment_percent")
     assert (outside.num, outside.den) == (same.num, same.den)
+    alone = [r for check in checks.values() for r in check(ctx).collect()]
+    together = found.filter("check_category = 'custom'").collect()
+    assert sorted(map(tuple, alone), key=repr) == sorted(map(tuple, together), key=repr)
+
+
+def event_scans(frame):
+    """How often a plan reads the events, reused exchanges not counted."""
+    plan = plan_of(frame)
+    return sum("medical_event_id" in line for line in plan.split("\n") if "ExistingRDD" in line)
+
+
+def test_own_checks_share_the_passes_of_the_suite(several):
+    ctx = several(month="2024-02", previous="2024-01")
+    scans = {"nulls": generic.null_percent(["ndc11"]),
+             "rules": generic.predicate_percent({"no_units": "units <= 0", "null_ndc11": "true"}),
+             "allowed": generic.allowed_values("mx_cohort", ["u"])}
+    changes = {n: generic.month_change(n, f"units > {k}", 0.1) for k, n in enumerate("abc")}
+    assert event_scans(suite.suite_metrics(ctx, ["validity"], scans)) == 1
+    assert event_scans(suite.suite_metrics(ctx, [], changes)) == 1
+    assert event_scans(suite.suite_metrics(ctx, ["validity"], scans | changes)) == 2
+
+
+def test_stored_reductions_give_the_same_rows_from_fewer_scans(several):
+    ctx = backfill.over_months(several(), "2024-01", "2024-05")
+    families = ["consistency", "distribution", "temporal", "volume"]
+    lazy, kept = (suite.suite_metrics(ctx, families, keep=k) for k in (False, True))
+    assert plain(lazy, "month") == plain(kept, "month")
+    assert event_scans(kept) < event_scans(lazy)
+    # Left to the final plan: dates in order, two joins of event ids, and cohorts; plans as first made
+    # show a reused part each time.
+    assert event_scans(kept) <= 6
 
 
 # -- joins -------------------------------------------------------------------------
@@ -272,9 +303,9 @@ def test_a_hot_entity_meets_its_intervals(several, spark):
                                    ).withColumn("kh_refresh_date", F.lit(day("2024-03-01")))
     spans = [(1, day("2024-03-03"), day("2024-03-09")), (1, day("2024-03-05"), day("2024-03-12")),
              (2, day("2024-03-20"), day("2024-03-19"))]
-    intervals = spark.createDataFrame(spans, "entity long, first_day date, last_day date")
+    table = spark.createDataFrame(spans, "entity long, first_day date, last_day date")
     ctx = several(month="2024-03", previous=None).with_(events_table=events)
-    out = join_intervals(ctx, SharedFrames(ctx), intervals, "left_anti")
+    out = join_intervals(ctx, SharedFrames(ctx), table, "left_anti")
     inside = {i for i, p, d in rows if any(p == e and a <= d <= b for e, a, b in spans)}
     assert sorted(r.event_id for r in out.collect()) == sorted({r[0] for r in rows} - inside)
 
@@ -293,6 +324,28 @@ def test_merged_intervals_cover_the_same_days(spark):
     assert sorted(days(map(tuple, merged))) == sorted(set(days(rows)))
 
 
+@pytest.mark.parametrize("block", [120, 2])
+def test_intervals_of_months_are_not_repeated(several, monkeypatch, block):
+    """Each month is what it is alone; the rows before the window are those of a single month's day and edge rows."""
+    monkeypatch.setattr(intervals, "MONTHS", block)
+    ctx = backfill.over_months(several(), "2024-01", "2024-05")
+    days, regions = entity_days(ctx), snapshots.regions(ctx)
+    together = intervals.region_counts(ctx, days, regions).collect()
+    outside = {str(r.month)[:7]: (r.n, r.n_outside) for r in
+               intervals.uncovered(ctx, days, snapshots.enrollment(ctx)).collect()}
+    for month in ("2024-01", "2024-02", "2024-03", "2024-04", "2024-05"):
+        alone = several(month=month, previous=None)
+        mine = intervals.region_counts(alone, entity_days(alone), snapshots.regions(alone))
+        assert sorted((r.region or "", r.n) for r in mine.collect()) == sorted(
+            (r.region or "", r.n) for r in together if str(r.month)[:7] == month)
+        one = intervals.uncovered(alone, entity_days(alone), snapshots.enrollment(alone)).first()
+        assert outside[month] == (one.n, one.n_outside)
+    if block == 120:
+        rows = intervals.accumulated(ctx, days, regions).count()
+        assert rows == days.count() + intervals.edge_days(
+            regions, ["month", "entity", "region"]).count()
+
+
 # -- plans -------------------------------------------------------------------------
 
 def plan_of(frame):
