@@ -11,7 +11,8 @@ Two kinds of evidence stand beside the tree, as it needs several pages of a host
 and cannot tell unique adverts from content: what an element is (navigation,
 form, script, ...) or is called (class, id, role), and the ``article`` or
 ``main`` element of a page, whose text is kept but for the named parts in it and
-its branches of an importance below ``REPEATED``.  That cut is stricter, and
+its branches of an importance below ``REPEATED``.  Comments, adverts, notices and
+teasers that say so by their name go wherever they stand, also as paragraphs and articles.  That cut is stricter, and
 articles that say the same count once: copies of a page repeat nothing.
 
 Spark adds up the nodes (host, path, text hash) with partial sums before they
@@ -67,8 +68,18 @@ NAMES = frozenset(
     "cookiebanner cookieconsent cookienotice adcontainer adbanner leftsidebar rightsidebar "
     "sidebarleft sidebarright relatedposts relatedarticles socialshare sharebuttons socialmedia "
     "newslettersignup searchform searchbox loginform commentform commentsection".split())
+#: Reader comments, adverts, notices and teasers by a name that says nothing else but where they stand;
+#: such a name also holds for a paragraph, and for an article in the branch.
+ASIDE = frozenset(
+    "ad ads advert adverts advertisement sponsored sponsor promo notice notices cookie cookies consent "
+    "newsletter subscribe share sharing comment comments reply replies respond disqus discussion "
+    "related recommended recommendations teaser teasers".split())
+PLACES = frozenset("area list section post block box container wrapper wrap thread reader readers user "
+                   "body content inner item items entry text site page article bar buttons posts "
+                   "articles stories more".split())
 # Whose own name says nothing, as it is the name of what they say.
 SPEAKING = frozenset("html body article main h1 h2 h3 h4 h5 h6 p".split())
+PLAIN = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
           "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -96,10 +107,16 @@ class _Open(NamedTuple):
     named: bool  # by a name
 
 
-def _names(attributes: str) -> tuple[str, bool, bool]:
+def _aside(name: str) -> bool:
+    """Whether all parts of a name are of ``ASIDE`` or ``PLACES``, some of ``ASIDE``: not ``has-comments``."""
+    parts = set(PIECES.findall(name))
+    return not parts.isdisjoint(ASIDE) and parts <= ASIDE | PLACES
+
+
+def _names(attributes: str) -> tuple[str, bool, bool, list[str]]:
     """The class and id of an element, without digits, whether one of them (whole, but for its
-    hyphens) is a name of no content, and whether the element is hidden."""
-    own, named, hidden = [], False, False
+    hyphens) is a name of no content, whether the element is hidden, and the names."""
+    own, named, hidden, names = [], False, False, []
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden":
@@ -107,7 +124,8 @@ def _names(attributes: str) -> tuple[str, bool, bool]:
         elif name in ("class", "id", "role"):
             named |= not NAMES.isdisjoint(value.replace("-", "").replace("_", "").split())
             own += PIECES.findall(value)
-    return ".".join(own), named, hidden
+            names += value.split()
+    return ".".join(own), named, hidden, names
 
 
 def blocks(page: str) -> list[Block]:
@@ -153,12 +171,15 @@ def blocks(page: str) -> list[Block]:
             stack.pop()
         if tag in VOID:
             continue
-        own, named, hidden = _names(m[3] or m[6] or "")
+        own, named, hidden, names = _names(m[3] or m[6] or "")
         top = stack[-1]
         main = top.main or tag in ("article", "main")
         # A heading's own header, inside the article, is a part of it.
         noise = top.noise or hidden and tag not in ("html", "body", "article", "main") \
             or tag in NOISE and not (tag == "header" and top.main)
+        # An article is a comment by its whole name only; headings are called after what they say.
+        noise = noise or tag not in PLAIN and any(
+            n in ASIDE if tag == "article" else _aside(n) for n in names)
         # The name of a wrapper says nothing of an article in it.
         named = tag not in ("article", "main") and (top.named or named and tag not in SPEAKING)
         path = zlib.crc32(f"{tag}.{own}".encode(), top.path)
@@ -183,7 +204,7 @@ def _tokens(page: str) -> Iterator[re.Match]:
 def main_text(page: str | None, low: set[int]) -> str:
     """The kept blocks of a page, joined by line breaks."""
     found = blocks(page) if page else []
-    if any(b.main for b in found):
+    if any(b.main and not b.noise for b in found):
         kept = [b for b in found if b.main and not b.noise and b.path not in low]
     else:
         kept = [b for b in found if not b.noise and b.path not in low]

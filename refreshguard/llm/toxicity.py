@@ -169,13 +169,15 @@ def offending(words: list[set[str]], toxic: np.ndarray) -> set[str]:
     covered = set().union(*[common[a] for a in chosen])
     least = max(2, 0.005 * n_toxic)
     # What a candidate adds can only shrink, so the first of the heap whose figure is fresh is the best.
-    heap = [(-len(d), -len(a), a) for a, d in common.items()]
+    # Of candidates that add as much the longer one, then the last by alphabet, comes first.
+    heap = [(-len(common[a]), k, a) for k, a in enumerate(
+        sorted(common, key=lambda a: (len(a), a), reverse=True))]
     heapify(heap)
     while heap:
-        stale, length, best = heap[0]
+        stale, place, best = heap[0]
         adds = len(common[best] - covered)
         if adds != -stale:
-            heapreplace(heap, (-adds, length, best))
+            heapreplace(heap, (-adds, place, best))
         elif adds < least:
             break
         else:

@@ -325,6 +325,29 @@ def test_names_drop_their_own_branch_only():
     assert text('<article>a<div class="comments"><p>x</p></div></article>') == "a"
 
 
+def test_comments_adverts_and_notices_within_articles():
+    body = "<h1>Title</h1><p>First.</p>{}<p>Last.</p>"
+    whole = "Title\nFirst.\nLast."
+    for part in ('<div class="comments-area"><p>reader says</p></div>',
+                 '<div class="post-comments">reader says</div>', '<p class="advert">buy</p>',
+                 '<p class="notice">we use things</p>', '<div id="Comment-List-2">x</div>',
+                 '<section class="comments"><article>reader says</article></section>',
+                 '<article class="comment">reader says</article>',
+                 '<section class="related-stories"><article>Other story</article></section>'):
+        assert htmltext.main_text(f"<article>{body.format(part)}</article>", set()) == whole, part
+        outside = f"<body><article>{body.format('')}</article>{part}</body>"
+        assert htmltext.main_text(outside, set()) == whole, part
+    for part in ('<div class="has-comments">kept</div>', '<p class="comments-open">kept</p>',
+                 '<h2 class="notice">kept</h2>', '<div class="ad-free">kept</div>',
+                 '<div class="address-list">kept</div>'):
+        assert "kept" in htmltext.main_text(f"<article>{body.format(part)}</article>", set()), part
+    page = f'<body class="comments"><div class="with-ads"><article>{body.format("")}</article></div>'
+    assert htmltext.main_text(page, set()) == whole
+    # Comments that are the only articles are no main text.
+    page = '<div><p>The text.</p></div><section class="comments"><article>reader</article></section>'
+    assert htmltext.main_text(page, set()) == "The text."
+
+
 def test_archive_round_trip(spark):
     pages = spark.read.parquet(f"{TINY}/pages.parquet")
     rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
