@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCALE = 1 << 30
+#: Rows of a few numbers and names that may be broadcast.
+SENT = 200_000
 #: What a Python worker holds of a table at once.  Executors run several workers beside their heap.
 BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 
@@ -17,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sent(frame: DataFrame, rows: int = SENT) -> DataFrame:
+    """The frame, broadcast if it has at most so many (narrow) rows; a larger one is left to a shuffle."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let the session send Arrow batches of a few MB at most; smaller settings stay."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
+from .common import sent, small_batches
 
 PAGES = 5  # of a host, before its tree says anything
 LOW = 0.25  # importance below which a branch goes
@@ -254,13 +255,14 @@ def style_tree(pages: DataFrame) -> DataFrame:
         "host", "path", "main", F.col("m").alias("seen"),
         F.when(F.col("m") > 1, 1 - F.col("logs") / F.col("n") / F.log("m")).otherwise(1.0)
         .alias("said"))
-    return said.join(built, ["host", "path", "main"]).join(F.broadcast(sites), "host").filter(
+    return said.join(built, ["host", "path", "main"]).join(sent(sites), "host").filter(
         (F.col("pages") >= PAGES) & (F.col("seen") >= PAGES)).select(
         "host", "path", "main", ((1 - FADE) * F.col("built") + FADE * F.col("said")).alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each page."""
+    small_batches(pages.sparkSession)
     cut = F.when(F.col("main"), REPEATED).otherwise(LOW)
     low = stored(style_tree(pages).filter(F.col("importance") < cut).select("host", "path"), "nodes")
     by_host = low.groupBy("host").agg(F.collect_list("path").alias("low"))

@@ -14,8 +14,9 @@ of blocks from the source's permuted order, next to the blocks of the shards
 before it, so the draws are disjoint; a hash orders the rows of a shard.
 
 Everything is column functions.  Texts are not shuffled: the tables that meet
-the documents have at most ``BLOCKS`` rows per source and pass.  A source with a
-third of all rows is spread over its blocks.
+the documents have a row per block and pass; they are broadcast if they are small.
+A source with a third of all rows is spread over its blocks, of ``BLOCK_ROWS`` rows
+or less on average.
 
 Defined cases: a null text has size 0; null is a source of its own, after all
 others; sources of size 0 have target 0 and take nothing; repeated rows fall
@@ -30,10 +31,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
+from .common import sent
 
 WEIGHTS = (1, 2, 3)
 MOST = 3  # times that a document may be taken
-BLOCKS = 128
+BLOCKS, BLOCK_ROWS = 128, 100_000  # blocks of a source: so many, or more, of so many rows on average
 FILLERS = 3  # single documents that follow a cut
 LEVELS = 3  # of the splitting tree: 8 shards
 SEED = 17
@@ -50,11 +52,16 @@ def _key(text: Column, doc_id: Column) -> Column:
     return F.xxhash64(doc_id.cast("string"), F.coalesce(text, F.lit("")), F.lit(SEED))
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def blocks_of(docs: DataFrame) -> int:
+    """Blocks that keep what a cut divides, a block, small however many rows one source has."""
+    return max(BLOCKS, -(-docs.count() // BLOCK_ROWS))
+
+
+def sized(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """(doc_id, source, size, block, key) of each row."""
     key = _key(F.col("text"), F.col("doc_id"))
     return docs.select("doc_id", "source", size(F.col("text")).alias("size"), key.alias("key")) \
-        .withColumn("block", F.pmod("key", F.lit(BLOCKS)))
+        .withColumn("block", F.pmod("key", F.lit(blocks)))
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -96,7 +103,7 @@ def plan_blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     blocks = stored(rows.groupBy("source", "block").agg(F.sum("size").alias("words")), "blocks")
     sources = stored(targets(blocks.groupBy("source").agg(
         F.sum("words").alias("source_size"))), "targets")
-    joined = blocks.alias("b").join(F.broadcast(sources).alias("s"),
+    joined = blocks.alias("b").join(sent(sources).alias("s"),
                                     F.col("b.source").eqNullSafe(F.col("s.source")))
     order = Window.partitionBy("source").orderBy(F.xxhash64("block", F.lit(SEED)), "block")
     passes = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -124,8 +131,8 @@ def plan_blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _by_block(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Rows with what is known of their block; there are at most ``BLOCKS`` of these per source."""
-    r, b = rows.alias("r"), F.broadcast(blocks).alias("b")
+    """Rows with what is known of their block."""
+    r, b = rows.alias("r"), sent(blocks).alias("b")
     known = [f"b.{c}" for c in blocks.columns if c not in rows.columns]
     return r.join(b, F.col("r.source").eqNullSafe(F.col("b.source"))
                   & (F.col("r.block") == F.col("b.block"))).select("r.*", *known)
@@ -146,15 +153,15 @@ def _fillers(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     found = None
     for _ in range(FILLERS):
         g = gaps.alias("g")
-        fits = free.alias("f").join(F.broadcast(g), F.col("f.source").eqNullSafe(F.col("g.source"))
+        fits = free.alias("f").join(sent(g), F.col("f.source").eqNullSafe(F.col("g.source"))
                                     & (F.col("words") <= F.col("gap"))).groupBy("f.source").agg(
             F.max(F.struct("words", "key", "block")).alias("best"))
         new = stored(fits.select("source", "best.block", F.col("best.key").alias("only"),
                                  F.col("best.words").alias("got")), "fillers")
-        gaps = gaps.alias("g").join(F.broadcast(new).alias("n"),
+        gaps = gaps.alias("g").join(sent(new).alias("n"),
                                     F.col("g.source").eqNullSafe(F.col("n.source"))).select(
             "g.source", (F.col("gap") - F.col("got")).alias("gap"))
-        free = free.join(F.broadcast(new.select("block", "only")),
+        free = free.join(sent(new.select("block", "only")),
                          (F.col("key") == F.col("only")) & (free["block"] == new["block"]),
                          "left_anti")
         new = new.select("source", "block", "only")
@@ -213,13 +220,13 @@ def _block_plan(plan: DataFrame, fillers: DataFrame) -> DataFrame:
 
 def _taken(rows: DataFrame, sources: DataFrame, takes: DataFrame) -> DataFrame:
     """The rows with source_size, target, shards (of each take) and taken."""
-    out = rows.alias("r").join(F.broadcast(sources).alias("s"),
+    out = rows.alias("r").join(sent(sources).alias("s"),
                                F.col("r.source").eqNullSafe(F.col("s.source"))).select(
         "r.*", "s.source_size", "s.target")
     mine = F.filter("takes", lambda t: F.when(t["only"].isNotNull(), t["only"] == F.col("key"))
                     .otherwise(t["cut"].isNull() | (F.col("key") <= t["cut"])))
     out = out.alias("r").join(
-        F.broadcast(takes).alias("b"), F.col("r.source").eqNullSafe(F.col("b.source"))
+        sent(takes).alias("b"), F.col("r.source").eqNullSafe(F.col("b.source"))
         & (F.col("r.block") == F.col("b.block")), "left").select(
         "r.*", F.coalesce(F.transform(mine, lambda t: t["shard"]),
                           F.array().cast("array<int>")).alias("shards"))
@@ -228,7 +235,7 @@ def _taken(rows: DataFrame, sources: DataFrame, takes: DataFrame) -> DataFrame:
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """Per document its size, its source's size and target, the words taken and their shards."""
-    rows = stored(sized(docs), "sized")
+    rows = stored(sized(docs, blocks_of(docs)), "sized")
     sources, plan, fillers = plan_blocks(rows)
     out = _taken(rows, sources, stored(_block_plan(plan, fillers), "takes"))
     return out.select("doc_id", "size", "source_size", "target", "taken",
@@ -237,12 +244,13 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def _with_takes(docs: DataFrame) -> DataFrame:
     """(doc, size, source_size, target, taken, key, shards): whole rows beside their part in the mix."""
-    rows = stored(sized(docs), "sized")
+    blocks = blocks_of(docs)
+    rows = stored(sized(docs, blocks), "sized")
     sources, plan, fillers = plan_blocks(rows)
     key = _key(docs["text"], docs["doc_id"])
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
                         docs["source"].alias("source"), size(docs["text"]).alias("size"),
-                        key.alias("key")).withColumn("block", F.pmod("key", F.lit(BLOCKS)))
+                        key.alias("key")).withColumn("block", F.pmod("key", F.lit(blocks)))
     return _taken(whole, sources, stored(_block_plan(plan, fillers), "takes"))
 
 

@@ -460,6 +460,38 @@ def test_targets_of_a_mix(spark):
         str(k) for k in range(8)}
 
 
+def test_more_blocks_for_more_rows(spark, monkeypatch):
+    """Blocks follow the rows, tables beyond the bound are joined, and the targets are met as before."""
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    few = {r["doc_id"]: (r["source_size"], r["target"]) for r in mixing.mix_report(docs).collect()}
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(mixing, "BLOCKS", 2)
+    monkeypatch.setattr(mixing, "sent", lambda frame: frame)
+    assert mixing.blocks_of(docs) == -(-docs.count() // 10)
+    rows = mixing.mix_report(docs).collect()
+    assert {r["doc_id"]: (r["source_size"], r["target"]) for r in rows} == few
+    taken, largest = defaultdict(int), defaultdict(int)
+    for r in rows:
+        assert r["taken"] <= 3 * r["size"]
+        source = r["source_size"], r["target"]
+        taken[source] += r["taken"]
+        largest[source] = max(largest[source], r["size"])
+    for source, words in taken.items():  # a source misses less than its largest document
+        assert source[1] - largest[source] <= words <= source[1]
+
+
+def test_shards_hold_each_take_once(spark, tmp_path):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    mixing.write_shards(docs, str(tmp_path / "mix"))
+    wanted = defaultdict(list)
+    for r in mixing.mix_report(docs).filter("taken > 0").collect():
+        wanted[r["doc_id"]] += [int(x) for x in r["shards"].split(",")]
+    found = defaultdict(list)
+    for r in spark.read.parquet(str(tmp_path / "mix")).collect():
+        found[r["doc_id"]].append(int(r["shard"]))
+    assert {i: sorted(x) for i, x in found.items()} == {i: sorted(x) for i, x in wanted.items()}
+
+
 def test_small_sources_reach_their_limit(spark):
     rows = [(k, "w " * 10, s) for k, s in enumerate(["a"] * 100 + ["b"] + [None] * 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
