@@ -22,7 +22,7 @@ from refreshguard.functions.formats import to_results
 from refreshguard.operators import (completeness, consistency, distribution, generic, scan,
                                     snapshots, temporal, uniqueness, validity, volume)
 from refreshguard.operators.topk import share_rows
-from refreshguard.plans import backfill, suite
+from refreshguard.plans import backfill, state, suite
 from refreshguard.plans.probe import schema_probe
 from refreshguard.sources import history, tables
 from refreshguard.sources.shared import shared_folder
@@ -189,6 +189,19 @@ def _all_months(spark, sf):
     return out
 
 
+def _month_state(spark, sf):
+    """The comparing families of both tables for every month, from the kept state of the months."""
+    out = None
+    for profile in (MEDICAL, PHARMACY):
+        ctx = _months(spark, sf, profile)
+        path = shared_folder(spark, "state")
+        state.save(ctx, path)
+        rows = _rows(state.compare(ctx, path), category=True)
+        rows = rows.withColumn("events_table_name", F.lit(profile.name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _custom(spark, sf):
     return _rows(suite.suite_metrics(_all(spark, sf), [], OWN_CHECKS), category=True)
 
@@ -389,6 +402,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_suite": _suite,
         "suite_first_month": _first_month,
         "suite_all_months": _all_months,
+        "month_state": _month_state,
         "custom_checks": _custom,
         "signed_results": _signed,
         "error_rows": _error_rows,
@@ -566,12 +580,16 @@ def oracle_sql() -> dict[str, str]:
     every = oq.Scope(oq.MX, every=True)
     every_age = oq.Scope(oq.MX, every=True, age_year=cv.AGE_AS_OF.year)
     own_body = oq.custom_checks(mx)
-    whole_parts, history_parts = [], []
+    whole_parts, history_parts, state_parts = [], [], []
     for scope in (span, oq.Scope(oq.RX, "range")):
         body = oq.suite_body(scope)
         whole_parts.append(f"select '{scope.table['table']}' as events_table_name, "
                            f"strftime(m, '%Y-%m') as refresh_month, check_category, check_name, "
                            f"metric_name, num, den, value, status from ({scope.ctes(body)} {body})")
+        body = oq.suite_body(scope, list(suite.COMPARING))
+        state_parts.append(f"select '{scope.table['table']}' as events_table_name, "
+                           f"strftime(m, '%Y-%m') as refresh_month, check_category, check_name, "
+                           f"metric_name, num, den, value, status from ({scope.ctes(body)} {body})")
         history_parts.append(_literal_run(scope, RUN_ID, HISTORY_FAMILIES))
     broken = f"date '{UNREADABLE}-01'"
     failed = ", ".join(f"('{f}')" for f in HISTORY_FAMILIES)
@@ -603,6 +621,7 @@ def oracle_sql() -> dict[str, str]:
                              f"cast(null as bigint), cast(null as double), 'INFO' where not exists "
                              f"(select 1 from ({events}) where kh_refresh_date < {first})",
         "suite_all_months": " union all ".join(whole_parts),
+        "month_state": " union all ".join(state_parts),
         "custom_checks": mx.ctes(own_body) + "select check_category, check_name, metric_name, num, "
                          f"den, value, status from ({own_body})",
         "signed_results": "select refresh_month, check_name, metric_name, case when den > 0 then "

@@ -28,15 +28,26 @@ def present_roles(ctx: Context, wanted: Sequence[str]) -> list[str]:
     return [r for r in wanted if ctx.has(role_column(ctx, r))]
 
 
-def entity_totals(ctx: Context, roles: Sequence[str] = ()) -> DataFrame:
+def entity_months(ctx: Context, roles: Sequence[str], events: DataFrame) -> DataFrame:
+    """Per month and entity its rows and whether it has each role."""
+    return (events.withColumn("entity", F.col(ctx.profile.entity)).groupBy(OWN, "entity").agg(
+        F.count("*").alias("n"),
+        *[F.expr(f"max({role_column(ctx, r)} is not null) as has_{r}") for r in roles]))
+
+
+def entity_totals(ctx: Context, roles: Sequence[str] = (),
+                  rows: DataFrame | None = None) -> DataFrame:
     """One wide row: what both months have, from one ``groupBy(entity)``.
 
+    ``rows`` are those of ``entity_months`` for the compared months, if there are such.
+
     Rows, entities, entities with each role, and entities that are in both
     months or only in the current one.  Columns ending in ``_any`` count the
     NULL entity as one that was never seen before; the others ignore it.
     """
-    per_entity = ["count_if(in_cur) as rows_cur", "count_if(in_prev) as rows_prev",
-                  "max(in_cur) as cur", "max(in_prev) as prev"]
+    number = "count_if({0})" if rows is None else "sum(if({0}, n, 0))"
+    per_entity = [f"{number.format('in_cur')} as rows_cur",
+                  f"{number.format('in_prev')} as rows_prev", "max(in_cur) as cur", "max(in_prev) as prev"]
     known = "entity is not null"
     wide = ["coalesce(sum(rows_cur), 0) as records_cur",
             "coalesce(sum(rows_prev), 0) as records_prev",
@@ -49,16 +60,28 @@ def entity_totals(ctx: Context, roles: Sequence[str] = ()) -> DataFrame:
     for role in roles:
         for month in ("cur", "prev"):
             name = f"{role}_entities_{month}"
-            per_entity.append(
-                f"max(in_{month} and {role_column(ctx, role)} is not null) as {name}")
+            has = f"{role_column(ctx, role)} is not null" if rows is None else f"has_{role}"
+            per_entity.append(f"max(in_{month} and {has}) as {name}")
             wide.append(f"count_if({name} and {known}) as {name}")
-    seen = (ctx.paired().withColumn("entity", F.col(ctx.profile.entity))
-            .groupBy(*ctx.by, "entity").agg(*[F.expr(e) for e in per_entity]))
+    paired = (ctx.paired().withColumn("entity", F.col(ctx.profile.entity)) if rows is None
+              else ctx.pair(rows))
+    seen = (paired.groupBy(*ctx.by, "entity").agg(*[F.expr(e) for e in per_entity]))
     return ctx.complete(seen.groupBy(*ctx.by).agg(*[F.expr(e) for e in wide]))
 
 
+def triples(ctx: Context, roles: Sequence[str], events: DataFrame,
+            by_entity: Sequence[str] = COUNTED_BY_ENTITY) -> DataFrame:
+    """Distinct (month, role, id, entity); roles outside ``by_entity`` have no entity."""
+    entity = ctx.profile.entity
+    items = ", ".join(
+        f"named_struct('role', '{r}', 'id', cast({role_column(ctx, r)} as string), 'entity', "
+        f"{entity if r in by_entity else f'if(false, {entity}, null)'})" for r in roles)
+    return (events.selectExpr(OWN, f"inline(array({items}))").filter("id is not null").distinct())
+
+
 def role_ids(ctx: Context, roles: Sequence[str],
-             by_entity: Sequence[str] = COUNTED_BY_ENTITY) -> DataFrame:
+             by_entity: Sequence[str] = COUNTED_BY_ENTITY,
+             rows: DataFrame | None = None) -> DataFrame:
     """Ids per role: in which months they occur and how many entities they have.
 
     Roles outside ``by_entity`` are only counted, so their entity is dropped
@@ -66,16 +89,12 @@ def role_ids(ctx: Context, roles: Sequence[str],
     dominant id over all tasks; the second level sums what is left map-side.
 
     ``role_no`` repeats the role as an aggregate: a filter on it stays above
-    the shuffle, which several users can then share.
+    the shuffle, which several users can then share.  ``rows`` are those of ``triples`` for the
+    compared months, if there are such.
     """
-    entity = ctx.profile.entity
-    items = ", ".join(
-        f"named_struct('role', '{r}', 'id', cast({role_column(ctx, r)} as string), 'entity', "
-        f"{entity if r in by_entity else f'if(false, {entity}, null)'})" for r in roles)
-    triples = (ctx.compared().selectExpr(OWN, f"inline(array({items}))")
-               .filter("id is not null").distinct())
+    rows = triples(ctx, roles, ctx.compared(), by_entity) if rows is None else rows
     numbers = " ".join(f"when '{r}' then {ROLE_NAMES.index(r)}" for r in roles)
-    return ctx.pair(triples).groupBy(*ctx.by, "role", "id").agg(*[F.expr(e) for e in (
+    return ctx.pair(rows).groupBy(*ctx.by, "role", "id").agg(*[F.expr(e) for e in (
         "max(in_cur) as in_cur", "max(in_prev) as in_prev",
         "count_if(in_cur and entity is not null) as entities_cur",
         "count_if(in_prev and entity is not null) as entities_prev",

@@ -90,9 +90,9 @@ def _skips_comparison(ctx: Context) -> bool:
 
 def _comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) -> list[DataFrame]:
     """Temporal and volume metrics from the same two reductions of the months."""
-    if families == ["volume"]:
+    if type(shared) is SharedFrames and families == ["volume"]:
         return [volume.volume(ctx)]
-    if families == ["temporal"]:
+    if type(shared) is SharedFrames and families == ["temporal"]:
         return [temporal.temporal(ctx)]
     roles = volume.present_roles(ctx)
     structs = [m.as_struct(temporal.CATEGORY) for m in temporal.entity_measures(ctx)]
@@ -103,6 +103,11 @@ def _comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) ->
             temporal.code_shifts_by_count(ctx, ids)]
 
 
+def comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) -> list[DataFrame]:
+    """The frames of the comparing families over given reductions."""
+    return [_plain(ctx, p) for p in _comparison(ctx, families, shared)]
+
+
 def _parts(ctx: Context, families: Sequence[str], keep: bool = False,
            own: Sequence[Check] = ()) -> list[DataFrame]:
     """The frames of some families; the checks among them share what they can, written first if ``keep``.
@@ -313,5 +318,5 @@ def _run_families(ctx: Context, families: Sequence[str], write: Callable[[DataFr
     return _outcomes(name, pieces)
 
 
-__all__ = ["COMPARING", "FAMILIES", "RESULT_SCHEMA", "Piece", "error_row", "family_frame",
+__all__ = ["COMPARING", "FAMILIES", "RESULT_SCHEMA", "Piece", "comparison", "error_row", "family_frame",
            "isolated", "run_suite", "select_families", "suite_metrics", "suite_results"]

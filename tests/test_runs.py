@@ -15,7 +15,7 @@ from refreshguard.operators import generic, intervals, snapshots
 from refreshguard.operators.intervals import merge
 from refreshguard.operators.joins import join_intervals
 from refreshguard.operators.shared import SharedFrames, entity_days
-from refreshguard.plans import backfill, suite
+from refreshguard.plans import backfill, state, suite
 from refreshguard.sources import history, tables
 
 START = datetime(2024, 5, 1, 10, 0, 0)
@@ -375,6 +375,27 @@ def test_no_cross_join_and_no_python(several):
             assert word not in text
 
 
+def test_months_kept_as_state_compare_like_a_backfill(several, spark, tmp_path):
+    path = str(tmp_path / "state")
+    together = backfill.backfill_metrics(several(), "2024-01", "2024-05", suite.COMPARING).cache()
+    for month in ("2024-01", "2024-02", "2024-03", "2024-04", "2024-05"):
+        # Only the month's own events are there; the month before is known by its state alone.
+        ctx = several(month=month, previous=months.shift(month, -1))
+        ctx = ctx.with_(events_table=ctx.events().cache())
+        mine = state.advance(ctx, path)
+        assert event_scans(mine) == 0
+        assert plain(mine) == plain(together.filter(months.label(together.month) == month)), month
+    whole = str(tmp_path / "whole")
+    ctx = backfill.over_months(several(), "2024-01", "2024-05")
+    state.save(ctx, whole)
+    first = plain(state.compare(ctx, whole), "month")
+    assert first == plain(together, "month")
+    state.save(several(month="2024-02"), whole)  # the same month again
+    assert plain(state.compare(ctx, whole), "month") == first
+    with pytest.raises(ValueError, match="by month"):
+        state.save(several(scope="all"), whole)
+
+
 BAD = "2024-04"
 
 
