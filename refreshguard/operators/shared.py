@@ -50,6 +50,11 @@ class SharedFrames:
         self._ctx = ctx
         self._keep = keep
 
+    @property
+    def lazy(self) -> bool:
+        """Whether reductions are parts of a plan still."""
+        return not self._keep
+
     def _kept(self, frame: DataFrame, name: str) -> DataFrame:
         return stored(frame, name) if self._keep else frame
 

@@ -51,7 +51,7 @@ class StateFrames(SharedFrames):
     """The reductions of a comparison, read from the state."""
 
     def __init__(self, ctx: Context, path: str):
-        super().__init__(ctx)
+        super().__init__(ctx, keep=True)
         self._path = path
 
     def _read(self, name: str) -> DataFrame:

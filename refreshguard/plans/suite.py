@@ -90,17 +90,20 @@ def _skips_comparison(ctx: Context) -> bool:
 
 def _comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) -> list[DataFrame]:
     """Temporal and volume metrics from the same two reductions of the months."""
-    if type(shared) is SharedFrames and families == ["volume"]:
+    if shared.lazy and families == ["volume"]:
         return [volume.volume(ctx)]
-    if type(shared) is SharedFrames and families == ["temporal"]:
+    if shared.lazy and families == ["temporal"]:
         return [temporal.temporal(ctx)]
     roles = volume.present_roles(ctx)
-    structs = [m.as_struct(temporal.CATEGORY) for m in temporal.entity_measures(ctx)]
-    structs += [m.as_struct(volume.CATEGORY) for m in volume.total_measures(ctx)]
     ids = shared.ids([*roles, *pairs.present_roles(ctx, [pairs.DRUG])])
-    return [rows_of(shared.totals(roles), ctx.by, structs),
-            volume.id_metrics(ctx, ids), temporal.code_shifts(ctx, ids),
-            temporal.code_shifts_by_count(ctx, ids)]
+    structs, frames = [], []
+    if "temporal" in families:
+        structs += [m.as_struct(temporal.CATEGORY) for m in temporal.entity_measures(ctx)]
+        frames += [temporal.code_shifts(ctx, ids), temporal.code_shifts_by_count(ctx, ids)]
+    if "volume" in families:
+        structs += [m.as_struct(volume.CATEGORY) for m in volume.total_measures(ctx)]
+        frames.append(volume.id_metrics(ctx, ids))
+    return [rows_of(shared.totals(roles), ctx.by, structs), *frames]
 
 
 def comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) -> list[DataFrame]:
@@ -108,18 +111,18 @@ def comparison(ctx: Context, families: Sequence[str], shared: SharedFrames) -> l
     return [_plain(ctx, p) for p in _comparison(ctx, families, shared)]
 
 
-def _parts(ctx: Context, families: Sequence[str], keep: bool = False,
-           own: Sequence[Check] = ()) -> list[DataFrame]:
+def _parts(ctx: Context, families: Sequence[str], keep: bool = False, own: Sequence[Check] = (),
+           shared: SharedFrames | None = None) -> list[DataFrame]:
     """The frames of some families; the checks among them share what they can, written first if ``keep``.
 
-    The family ``custom`` is the checks ``own``.
+    The family ``custom`` is the checks ``own``; reductions that are ``shared`` already are used.
     """
     own = own if generic.CATEGORY in families else ()
     groups = [g for f in families if f in SCAN_CHECKS for g in SCAN_CHECKS[f](ctx)]
     groups += [c.group(ctx, f"own{k}_") for k, c in enumerate(own)
                if isinstance(c, generic.ScanBlock)]
     parts = [scan.run_scan(ctx, *groups)] if any(g.measures for g in groups) else []
-    shared = SharedFrames(ctx, keep)
+    shared = SharedFrames(ctx, keep) if shared is None else shared
     for family in families:
         _check_dimensions(ctx, family)
         parts += [check(ctx, shared) for check in PLAN_CHECKS.get(family, ())]
@@ -242,8 +245,9 @@ class Piece:
     failed: bool = False
 
 
-def _computed(ctx: Context, families: Sequence[str], own: Sequence[Check]) -> Piece:
-    rows = reduce(DataFrame.unionByName, _parts(ctx, families, own=own))
+def _computed(ctx: Context, families: Sequence[str], own: Sequence[Check],
+              shared: SharedFrames | None = None) -> Piece:
+    rows = reduce(DataFrame.unionByName, _parts(ctx, families, own=own, shared=shared))
     return Piece(families, stored(rows, "metrics"))
 
 
@@ -257,34 +261,37 @@ def halves(ctx: Context) -> list[Context]:
 
 
 def isolated(ctx: Context, families: Sequence[str], own: Sequence[Check] = (),
-             by_family: bool = True) -> list[Piece]:
+             by_family: bool = True, failed: Exception | None = None) -> list[Piece]:
     """The rows of the families over all months of the context, whatever fails.
 
-    A failing plan is first tried family by family.  Families that fail by
+    A failing plan is first tried family by family, over reductions that are written once, so the
+    good families cost no second scan each.  Families that fail by
     themselves are tried over each half of the months, and so on; a single month
     that fails gives an ERROR row for each family that fails in it.  A month that
     cannot be read thus costs about twice the logarithm of the range in smaller runs.
+    ``failed`` is how all of it together has failed already.
     """
-    try:
-        return [_computed(ctx, families, own)]
-    except Exception as error:  # noqa: BLE001 - find out what fails
-        log.warning("%s from %s to %s is narrowed down: %s", ctx.profile.name, ctx.start,
-                    ctx.month, error)
-        last = error
+    if failed is None:
+        try:
+            return [_computed(ctx, families, own)]
+        except Exception as error:  # noqa: BLE001 - find out what fails
+            failed = error
+    log.warning("%s from %s to %s is narrowed down: %s", ctx.profile.name, ctx.start, ctx.month,
+                failed)
     parts = halves(ctx)
     pieces: list[Piece] = []
     if len(families) == 1:
-        errors = {families[0]: last}
+        errors = {families[0]: failed}
     elif by_family or len(parts) == 1:
-        errors = {}
+        errors, shared = {}, SharedFrames(ctx, keep=True)
         for family in families:
             try:
-                pieces.append(_computed(ctx, [family], own))
+                pieces.append(_computed(ctx, [family], own, shared))
             except Exception as error:  # noqa: BLE001 - any failure becomes a row
                 log.warning("%s failed on %s: %s", family, ctx.profile.name, error)
                 errors[family] = error
     else:
-        errors = dict.fromkeys(families, last)
+        errors = dict.fromkeys(families, failed)
     if len(parts) == 1:
         return pieces + [Piece([f], _plain(ctx, error_row(ctx, f, e)), True)
                          for f, e in errors.items()]
@@ -312,8 +319,7 @@ def _run_families(ctx: Context, families: Sequence[str], write: Callable[[DataFr
         write(reduce(DataFrame.unionByName, _parts(ctx, families, keep, own)))
         return {(name, family): "done" for family in families}
     except Exception as error:  # noqa: BLE001 - find out what fails
-        log.warning("%s is run piece by piece: %s", name, error)
-    pieces = isolated(ctx, families, own)
+        pieces = isolated(ctx, families, own, failed=error)
     write(reduce(DataFrame.unionByName, [p.rows for p in pieces]))
     return _outcomes(name, pieces)
 
