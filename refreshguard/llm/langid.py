@@ -42,13 +42,14 @@ PROBES = 2
 SHARE = 0.3
 RARE = 0.05
 CHARS_AT_ONCE = 500_000
-LOT = 2_000_000  # n-grams held by a task
+LOT = 3_000_000  # n-grams held by a task
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
-#: Numerals that are word characters and neither letters nor decimal digits.
-_NUMERALS = "".join(c for c in map(chr, range(0x110000))
-                    if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMERALS)}]+")
+#: Numerals that are word characters and neither letters nor decimal digits; a set by itself is looked up fast.
+_NUMERAL = re.compile("[" + re.escape("".join(
+    c for c in map(chr, range(0x110000))
+    if c.isnumeric() and not c.isalpha() and not c.isdecimal())) + "]")
+_OTHER = re.compile(r"[\W\d_]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 
@@ -72,6 +73,8 @@ def grams(text: str) -> Iterator[np.ndarray]:
 
 def plain(text: str | None) -> str:
     """Letters in lower case with one blank between and around words; empty without a letter."""
+    if text and not text.isascii():
+        text = _NUMERAL.sub(" ", text)
     words = _OTHER.sub(" ", text.lower()).strip() if text else ""
     return f" {words} " if words else ""
 
