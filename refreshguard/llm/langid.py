@@ -45,10 +45,14 @@ CHARS_AT_ONCE = 500_000
 LOT = 3_000_000  # n-grams held by a task
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
-#: Numerals that are word characters and neither letters nor decimal digits; a set by itself is looked up fast.
-_NUMERAL = re.compile("[" + re.escape("".join(
-    c for c in map(chr, range(0x110000))
-    if c.isnumeric() and not c.isalpha() and not c.isdecimal())) + "]")
+def _numeral(c: str) -> bool:
+    """A word character that is neither a letter nor a decimal digit."""
+    return c.isnumeric() and not c.isalpha() and not c.isdecimal()
+
+
+# A set of characters below 2^16 is looked up in a table; the few above are judged one by one.
+_NUMERAL = re.compile("[" + re.escape("".join(filter(_numeral, map(chr, range(1 << 16))))) + "]")
+_HIGH = re.compile("[\U00010000-\U0010ffff]")
 _OTHER = re.compile(r"[\W\d_]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
@@ -74,7 +78,7 @@ def grams(text: str) -> Iterator[np.ndarray]:
 def plain(text: str | None) -> str:
     """Letters in lower case with one blank between and around words; empty without a letter."""
     if text and not text.isascii():
-        text = _NUMERAL.sub(" ", text)
+        text = _HIGH.sub(lambda m: " " if _numeral(m[0]) else m[0], _NUMERAL.sub(" ", text))
     words = _OTHER.sub(" ", text.lower()).strip() if text else ""
     return f" {words} " if words else ""
 
