@@ -79,25 +79,36 @@ def triples(ctx: Context, roles: Sequence[str], events: DataFrame,
     return (events.selectExpr(OWN, f"inline(array({items}))").filter("id is not null").distinct())
 
 
+def id_months(ctx: Context, roles: Sequence[str], events: DataFrame,
+              by_entity: Sequence[str] = COUNTED_BY_ENTITY) -> DataFrame:
+    """Per month, role and id its distinct entities.
+
+    Roles outside ``by_entity`` are only counted, so their entity is dropped
+    before the shuffle.  Distinct (month, role, id, entity) rows spread a
+    dominant id over all tasks; the second level sums what is left map-side.
+    """
+    return (triples(ctx, roles, events, by_entity).groupBy(OWN, "role", "id")
+            .agg(F.count("entity").alias("entities")))
+
+
 def role_ids(ctx: Context, roles: Sequence[str],
              by_entity: Sequence[str] = COUNTED_BY_ENTITY,
              rows: DataFrame | None = None) -> DataFrame:
     """Ids per role: in which months they occur and how many entities they have.
 
-    Roles outside ``by_entity`` are only counted, so their entity is dropped
-    before the shuffle.  Distinct (month, role, id, entity) rows spread a
-    dominant id over all tasks; the second level sums what is left map-side.
+    Each month is counted by itself; only its counts stand beside those of the
+    month after, so what is paired has a row per id and month, not per entity.
 
     ``role_no`` repeats the role as an aggregate: a filter on it stays above
-    the shuffle, which several users can then share.  ``rows`` are those of ``triples`` for the
+    the shuffle, which several users can then share.  ``rows`` are those of ``id_months`` for the
     compared months, if there are such.
     """
-    rows = triples(ctx, roles, ctx.compared(), by_entity) if rows is None else rows
+    rows = id_months(ctx, roles, ctx.compared(), by_entity) if rows is None else rows
     numbers = " ".join(f"when '{r}' then {ROLE_NAMES.index(r)}" for r in roles)
     return ctx.pair(rows).groupBy(*ctx.by, "role", "id").agg(*[F.expr(e) for e in (
         "max(in_cur) as in_cur", "max(in_prev) as in_prev",
-        "count_if(in_cur and entity is not null) as entities_cur",
-        "count_if(in_prev and entity is not null) as entities_prev",
+        "sum(if(in_cur, entities, 0)) as entities_cur",
+        "sum(if(in_prev, entities, 0)) as entities_prev",
         f"max(case role {numbers} end) as role_no")])
 
 

@@ -1,7 +1,7 @@
 """Month state: what comparisons need of a month, kept, so that a new month reads only its own events.
 
 Two tables below a path, a folder for each month: ``entities`` has a row per
-entity (its rows, and which roles it has), ``ids`` one per role, id and entity.  A
+entity (its rows, and which roles it has), ``ids`` one per role and id (its entities).  A
 month written again takes the place of what it was.  A comparison reads the state
 of the months that it compares, already reduced; events of the previous month
 are not touched, be it re-delivered, archived or gone.
@@ -44,7 +44,7 @@ def save(ctx: Context, path: str) -> None:
     roles = _roles(ctx)
     _write(pairs.entity_months(ctx, roles, own), f"{path}/{ENTITIES}")
     if roles:
-        _write(pairs.triples(ctx, roles, own), f"{path}/{IDS}")
+        _write(pairs.id_months(ctx, roles, own), f"{path}/{IDS}")
 
 
 class StateFrames(SharedFrames):
@@ -68,7 +68,7 @@ class StateFrames(SharedFrames):
 
     def ids(self, roles: Sequence[str]) -> DataFrame:
         rows = self._read(IDS).filter(F.col("role").isin(list(roles)))
-        return pairs.role_ids(self._ctx, roles, rows=rows)
+        return self._kept(pairs.role_ids(self._ctx, roles, rows=rows), "ids")
 
 
 def compare(ctx: Context, path: str, families: Sequence[str] = suite.COMPARING) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from refreshguard.functions import months
 from refreshguard.functions.formats import RESULT_SCHEMA, new_run, to_results
-from refreshguard.operators import generic, intervals, snapshots
+from refreshguard.operators import generic, intervals, pairs, snapshots
 from refreshguard.operators.intervals import merge
 from refreshguard.operators.joins import join_intervals
 from refreshguard.operators.shared import SharedFrames, entity_days
@@ -482,3 +482,17 @@ def test_committing_replaces_errors_of_an_earlier_attempt(several, spark, tmp_pa
     assert history.read_committed(spark, target).count() == 0
     assert history.finished(spark, target, "r") == {("mx_events", "uniqueness")}
     assert history.finished(spark, str(tmp_path / "none"), "r") == set()
+
+
+def test_ids_are_counted_by_month_before_they_are_paired(several, spark, tmp_path):
+    """State has a row per month, role and id, and what is paired carries no entity."""
+    path = str(tmp_path / "state")
+    ctx = backfill.over_months(several(), "2024-01", "2024-05")
+    state.save(ctx, path)
+    ids = spark.read.parquet(f"{path}/{state.IDS}")
+    assert ids.groupBy("own", "role", "id").count().filter("count > 1").isEmpty()
+    roles = ["provider", "cohort"]
+    lines = plan_of(pairs.role_ids(ctx, roles)).split("\n")
+    twice = next(k for k, line in enumerate(lines) if "Generate inline(array(" in line
+                 and "in_prev" in line)
+    assert any("HashAggregate" in line and "count(entity" in line for line in lines[twice:])
