@@ -223,7 +223,7 @@ def _error_rows(spark, sf):
 
 def _unreadable(spark, sf):
     """A backfill over all months, in one of which every value but the refresh date fails."""
-    ctx = _all(spark, sf)
+    ctx = cv.kept(_all(spark, sf))
     fail = f"trunc(kh_refresh_date, 'MM') = date'{UNREADABLE}-01'"
     columns = [c if c == "kh_refresh_date" else
                f"if({fail}, cast(raise_error('unreadable') as {t}), {c}) as {c}"

@@ -16,6 +16,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from refreshguard import MEDICAL, PHARMACY, Context, TableProfile
+from refreshguard.sources.shared import stored
 
 MONTH = "1998-03"
 PREVIOUS = "1998-02"
@@ -160,4 +161,12 @@ def context(spark: SparkSession, sf_dir: str, profile: TableProfile = MEDICAL,
                    dimensions=Dimensions(spark, sf_dir), **settings)
 
 
-__all__ = ["MEDICAL", "PHARMACY", "context", "oracle_view", "view"]
+def kept(ctx: Context) -> Context:
+    """The context over its event table written once, for runs of many passes.
+
+    The view joins two or three tables, which Spark would shuffle again for every pass.
+    """
+    return ctx.with_(events_table=stored(ctx.events_table, "events"))
+
+
+__all__ = ["MEDICAL", "PHARMACY", "context", "kept", "oracle_view", "view"]

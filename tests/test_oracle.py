@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+import claim_views as cv
 
 DATA = "/root/testdata/sf0.001"
 SLOW = {"month_backfill", "run_suite", "combine_results", "result_append", "latest_run_view"}
@@ -39,3 +40,13 @@ def test_entry(spark):
         "completeness", "consistency", "uniqueness", "distribution", "temporal", "validity",
         "volume"}
     assert {r.status for r in rows} <= {"PASS", "FAIL", "WARN", "INFO"}
+
+
+def test_runs_of_many_passes_join_the_events_once(spark):
+    ctx = cv.context(spark, DATA)
+    kept = cv.kept(ctx)
+    plan = kept.events_table._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert kept.events_table.schema == ctx.events_table.schema
+    assert kept.events_table.exceptAll(ctx.events_table).isEmpty()
+    assert kept.events_table.count() == ctx.events_table.count()
