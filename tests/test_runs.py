@@ -496,3 +496,20 @@ def test_ids_are_counted_by_month_before_they_are_paired(several, spark, tmp_pat
     twice = next(k for k, line in enumerate(lines) if "Generate inline(array(" in line
                  and "in_prev" in line)
     assert any("HashAggregate" in line and "count(entity" in line for line in lines[twice:])
+
+
+def test_a_backfill_over_stored_reductions_gives_the_same_rows(several):
+    lazy = backfill.backfill_metrics(several(), "2024-01", "2024-05", suite.COMPARING)
+    kept = backfill.backfill_metrics(several(), "2024-01", "2024-05", suite.COMPARING, keep=True)
+    assert plain(kept, "month") == plain(lazy, "month")
+    assert event_scans(kept) < event_scans(lazy)
+
+
+def test_days_of_long_ranges_carry_few_totals(several):
+    ctx = backfill.over_months(several(), "2020-01", "2026-08")
+    parts = intervals.blocks(ctx)
+    assert max(months.months_between(p.start, p.month) for p in parts) <= 16
+    assert sum(months.months_between(p.start, p.month) for p in parts) == 80
+    # All blocks start from one reduction of the events.
+    rows = intervals.uncovered(ctx, entity_days(ctx), snapshots.enrollment(ctx))
+    assert event_scans(rows) == 1
