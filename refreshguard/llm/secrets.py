@@ -7,14 +7,15 @@ a threshold are reported beside the fixed formats.
 
 Random strings are the values in the fixed formats that have a letter, and the
 digest of each as base64 and as upper-case digits.  Ordinary ones are the words of the texts, and what people
-make of words that stand together: names with dates, versions, numbers and times,
-paths and slugs, so that a digit by itself is no evidence.  Two thirds of them,
+make of several words: names with dates, versions, numbers and times,
+paths and slugs, so that a digit by itself is no evidence.  The words of all texts are
+counted once; names are made of each different word and weigh as much as it.  Two thirds of them,
 by hash, fit the models; the last third gives the threshold, above which one of
-``1 / RARELY`` ordinary strings would be.
+``1 / RARELY`` ordinary strings would be.  All documents are read for both.
 
 Everything is column functions.  Texts never leave their row and nothing is
-shuffled but the transition counts of the training sample, at most two values
-per pair of characters and task.
+shuffled but the transition counts, at most two values per pair of characters
+and task, and counts of the words that occur and of log ratios.
 
 Defined cases: a null text is an empty one; an empty text has no span; equal
 rows give equal results; an empty table gives an empty result; only ``doc_id``
@@ -26,11 +27,11 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from .common import bounded_sample, join_spans
+from .common import join_spans
 
 # The formats, in the order of the report, and the least length of each.
 KINDS = ["assign", "access", "hex", "markov"]
@@ -47,12 +48,11 @@ STATES = len(ALPHABET) + 1  # state 0: the start of a string, or a foreign chara
 #: A whole run of 20 or more such characters with a digit in it.
 CANDIDATE = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{20})"
              r"[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+")
-IDENTIFIER, PART = r"[A-Za-z][A-Za-z_-]{3,}", r"[A-Za-z]{2,}"
-LINE = 1 << 30  # more than an array holds
+WORD, PART = r"[A-Za-z][A-Za-z_-]+", r"[A-Za-z]{2,}"
+IDENTIFIER = 4  # the least length of a word that is an identifier by itself
+NAMES, TOGETHER = 2, 2_000  # names made of each word; words among which it finds its partners
 UNIT = 1000  # log ratios are kept as thousandths
 
-#: Bounds of the labelled sample: documents searched for fixed formats, and documents read for words.
-SECRET_ROWS, WORD_ROWS = 20_000, 500
 #: Log odds that a candidate has to overcome at least: one secret in about 20,000 long strings.
 THRESHOLD = 10.0
 #: The share of ordinary strings kept out of the fit that may pass the threshold; a margin comes on top.
@@ -103,75 +103,84 @@ def _state(char: Column) -> Column:
     return F.instr(F.lit(ALPHABET), char)
 
 
-def _states(value: Column) -> Column:
-    """The states of a string's characters, the start state first."""
-    return F.concat(F.array(F.lit(0)), F.transform(
-        F.sequence(F.lit(1), F.length(value)),
-        lambda i: F.when(F.length(value) > 0, F.instr(F.lit(ALPHABET), F.substr(value, i, F.lit(1))))))
-
-
-def composed(words: Column) -> Column:
-    """Identifiers made of each three neighbouring words, with dates, versions and numbers in them.
+def composed(a: Column, b: Column, c: Column, h: Column) -> Column:
+    """An identifier made of three words, with dates, versions and numbers in it.
 
     The form and the numbers are chosen by a hash of the words.
     """
-    def one(a, b, c):
-        h = F.xxhash64(a, b, c)
-
-        def number(most, place):
-            return F.pmod(F.shiftright(h, place), F.lit(most))
-
-        def digits(most, place, width):
-            return F.lpad(number(most, place).cast("string"), width, "0")
-
-        year = (1990 + number(40, 4)).cast("string")
-        month = F.lpad((1 + number(12, 10)).cast("string"), 2, "0")
-        day = F.lpad((1 + number(28, 16)).cast("string"), 2, "0")
-        n, m = number(100, 22).cast("string"), number(1000, 30).cast("string")
-        time = F.concat_ws("-", digits(24, 36, 2), digits(60, 42, 2), digits(60, 48, 2))
-        date = F.concat_ws("-", year, month, day)
-        forms = [
-            F.concat_ws("_", a, b, c, F.concat(year, month, day)),
-            F.concat_ws("-", a, b, date, c),
-            F.concat_ws("-", F.concat(a, n), F.concat(b, m), c),
-            F.concat_ws("_", F.lit("com"), a, b, F.concat(F.lit("v"), n), c),
-            F.concat_ws("_", F.concat(date, F.lit("T"), time), a, b),
-            F.concat_ws("/", F.lit(""), a, b, F.concat(F.lit("v"), n), F.concat(c, m)),
-            F.concat(a, F.initcap(b), F.initcap(c), n),
-            F.concat(F.upper(F.concat_ws("_", a, b, c)), F.lit("_"), m),
-            F.concat_ws("_", F.concat(year, month, day), a, b, digits(10_000, 40, 4)),
-            F.concat_ws("=", F.concat_ws("-", a, b), digits(10_000_000, 24, 7)),
-        ]
-        return F.element_at(F.array(*forms), (F.pmod(h, F.lit(len(forms))) + 1).cast("int"))
-
-    # Zipped with itself two places on, so that the words are found once.
-    three = F.arrays_zip(words.alias("a"), F.slice(words, 2, LINE).alias("b"),
-                         F.slice(words, 3, LINE).alias("c"))
-    return F.transform(F.filter(three, lambda x: x["c"].isNotNull()),
-                       lambda x: one(x["a"], x["b"], x["c"]))
-
-
-def labelled_strings(docs: DataFrame, secret_rows: int = SECRET_ROWS,
-                     word_rows: int = WORD_ROWS) -> DataFrame:
-    """(value, random): secrets and ordinary strings, from about so many documents each."""
-    def texts(rows):
-        return bounded_sample(docs, F.col("doc_id"), rows).select(
-            F.coalesce("text", F.lit("")).alias("text"))
-
-    spans = base_spans(texts(secret_rows))
-    found = spans.select(F.explode(F.array_distinct(F.transform(
+    def number(most, place):
+        return F.pmod(F.shiftright(h, place), F.lit(most))
+
+    def digits(most, place, width):
+        return F.lpad(number(most, place).cast("string"), width, "0")
+
+    year = (1990 + number(40, 4)).cast("string")
+    month = F.lpad((1 + number(12, 10)).cast("string"), 2, "0")
+    day = F.lpad((1 + number(28, 16)).cast("string"), 2, "0")
+    n, m = number(100, 22).cast("string"), number(1000, 30).cast("string")
+    time = F.concat_ws("-", digits(24, 36, 2), digits(60, 42, 2), digits(60, 48, 2))
+    date = F.concat_ws("-", year, month, day)
+    forms = [
+        F.concat_ws("_", a, b, c, F.concat(year, month, day)),
+        F.concat_ws("-", a, b, date, c),
+        F.concat_ws("-", F.concat(a, n), F.concat(b, m), c),
+        F.concat_ws("_", F.lit("com"), a, b, F.concat(F.lit("v"), n), c),
+        F.concat_ws("_", F.concat(date, F.lit("T"), time), a, b),
+        F.concat_ws("/", F.lit(""), a, b, F.concat(F.lit("v"), n), F.concat(c, m)),
+        F.concat(a, F.initcap(b), F.initcap(c), n),
+        F.concat(F.upper(F.concat_ws("_", a, b, c)), F.lit("_"), m),
+        F.concat_ws("_", F.concat(year, month, day), a, b, digits(10_000, 40, 4)),
+        F.concat_ws("=", F.concat_ws("-", a, b), digits(10_000_000, 24, 7)),
+    ]
+    form, picked = F.pmod(h, F.lit(len(forms))), F.when(F.lit(False), "")
+    for k, value in enumerate(forms):  # only the chosen one is made
+        picked = picked.when(form == k, value)
+    return picked
+
+
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """(value, n): the runs of letters and joining signs of all texts and how often each stands, counted once."""
+    words = texts.select(F.explode(F.regexp_extract_all(
+        F.col("text"), F.lit(WORD), F.lit(0))).alias("value"))
+    return stored(words.groupBy("value").agg(F.count("*").alias("n")), "words")
+
+
+def composed_names(words: DataFrame) -> DataFrame:
+    """(value, n): identifiers of each word with others that are about as frequent, as often as the word.
+
+    Words are dealt out by hash, so that frequencies are compared among ``TOGETHER`` words at most or so.
+    """
+    parts = words.select("n", F.explode(F.regexp_extract_all("value", F.lit(PART), F.lit(0))).alias("a"))
+    parts = parts.groupBy("a").agg(F.sum("n").alias("n"))
+    groups = math.ceil(max(parts.count(), 1) / TOGETHER)
+    near = Window.partitionBy("at").orderBy("n", "a")
+
+    def partner(k):
+        return F.coalesce(F.lead("a", k).over(near), F.lag("a", k).over(near))
+
+    rows = parts.withColumn("at", F.pmod(F.xxhash64("a"), F.lit(groups))).select(
+        "a", "n", *[partner(k).alias(f"p{k}") for k in range(1, 2 * NAMES + 1)])
+    three = rows.select("a", "n", F.inline(F.array(*[F.struct(
+        F.col(f"p{k}").alias("b"), F.col(f"p{k + NAMES}").alias("c")) for k in range(1, NAMES + 1)])))
+    hashed = three.filter("b is not null and c is not null").withColumn("h", F.xxhash64("a", "b", "c"))
+    # Made as a row of its own, or each filter on it would make it again.
+    return hashed.select(F.explode(F.array(composed(*map(F.col, "abch")))).alias("value"), "n").filter(
+        ~_keyed(F.col("value")))
+
+
+def labelled_strings(docs: DataFrame) -> DataFrame:
+    """(value, random, n): the secrets and the ordinary strings of all documents, and how often each stands."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    found = base_spans(texts).select(F.explode(F.array_distinct(F.transform(
         F.concat("assign", "access", "hex"), lambda x: x["value"]))).alias("value"))
     # Numbers in the hexadecimal format say nothing about letters.
     secret = found.filter(F.col("value").rlike("[A-Za-z]")).select(F.explode(F.array(
         "value", F.rtrim(F.base64(F.unhex(F.sha2("value", 256))), F.lit("=")),
         F.upper(F.left(F.sha2("value", 256), F.lit(40))))).alias("value"))
-    plain = texts(word_rows)
-    words = plain.select(F.explode(F.regexp_extract_all(
-        F.col("text"), F.lit(IDENTIFIER), F.lit(0))).alias("value"))
-    names = plain.select(F.explode(composed(F.regexp_extract_all(
-        F.col("text"), F.lit(PART), F.lit(0)))).alias("value")).filter(~_keyed(F.col("value")))
-    return secret.withColumn("random", F.lit(1)).unionByName(
-        words.unionByName(names).withColumn("random", F.lit(0)))
+    words = vocabulary(texts)
+    ordinary = words.filter(F.length("value") >= IDENTIFIER).unionByName(composed_names(words))
+    return secret.select("value", F.lit(1).alias("random"), F.lit(1).cast("long").alias("n")).unionByName(
+        ordinary.select("value", F.lit(0).alias("random"), "n"))
 
 
 def _keyed(value: Column) -> Column:
@@ -185,17 +194,30 @@ def fold(value: Column) -> Column:
 
 
 def fitted(docs: DataFrame) -> tuple[list[int], float]:
-    """The model and the threshold from the labelled strings of some documents."""
+    """The model and the threshold from the labelled strings of all documents."""
     samples = stored(labelled_strings(docs), "strings")
     model = train(samples.filter(fold(F.col("value")) < 2))
     return model, threshold(samples.filter(fold(F.col("value")) == 2), model)
 
 
+def _pairs(samples: DataFrame) -> DataFrame:
+    """A row for each place ``i`` of ``v``, a string behind a character that stands for its start."""
+    return samples.filter(F.length("value") > 0).select(
+        "*", F.concat(F.lit(GROUPS[0]), "value").alias("v"),
+        F.explode(F.sequence(F.lit(1), F.length("value"))).alias("i"))
+
+
 def threshold(samples: DataFrame, model: list[int]) -> float:
     """Above it are no more than ``RARELY`` of the ordinary strings that could be candidates."""
     ordinary = samples.filter((F.col("random") == 0) & (F.length("value") >= 20)
                               & F.col("value").rlike("[0-9]"))
-    top = ordinary.agg(F.percentile(log_ratio(F.col("value"), model), 1 - RARELY)).first()[0]
+    # The sum of log_ratio() by rows, as long as there are many strings; then one row for each thousandth.
+    weights = F.from_json(F.lit(json.dumps(model)), "array<int>")
+    pair = [_state(F.substr("v", F.col("i") + k, F.lit(1))) for k in (0, 1)]
+    summed = _pairs(ordinary).groupBy("value", "n").agg(
+        F.sum(F.get(weights, pair[0] * STATES + pair[1])).alias("ratio"))
+    ratios = summed.groupBy("ratio").agg(F.sum("n").alias("n"))
+    top = ratios.agg(F.percentile("ratio", 1 - RARELY, F.col("n"))).first()[0]
     return THRESHOLD if top is None else max(THRESHOLD, top / UNIT + MARGIN)
 
 
@@ -204,16 +226,14 @@ def train(samples: DataFrame) -> list[int]:
 
     Half of a probability is that of the two characters, half that of their kinds
     (lower case, upper case, digits, signs), shared out evenly: letters that the
-    sample's own words never put together are no evidence by themselves.  Without
+    texts' own words never put together are no evidence by themselves.  Without
     samples both models are equal.  The result has one entry per pair of states,
     whatever the size of the input.
     """
-    states = _states(F.col("value"))
-    pairs = samples.filter(F.length("value") > 0).select("random", states.alias("s")).select(
-        "random", F.explode(F.arrays_zip(
-            F.slice("s", 1, F.size("s") - 1).alias("a"),
-            F.slice("s", 2, F.size("s") - 1).alias("b"))).alias("p"))
-    counts = pairs.groupBy("random", "p.a", "p.b").count().collect()
+    counts = _pairs(samples).groupBy("random", F.substr("v", F.col("i"), F.lit(2)).alias("pair")).agg(
+        F.sum("n").alias("n")).groupBy(
+        "random", *[_state(F.substr("pair", F.lit(k), F.lit(1))).alias(c) for k, c in ((1, "a"), (2, "b"))]).agg(
+        F.sum("n").alias("count")).collect()
     n = [[[0] * STATES for _ in range(STATES)] for _ in range(2)]
     kinds = [[[1.0] * len(GROUPS) for _ in GROUPS] for _ in range(2)]
     of = [next(k for k, g in enumerate(GROUPS) if c in g) for c in "\0" + ALPHABET]

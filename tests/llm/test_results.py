@@ -85,6 +85,20 @@ def test_names_with_digits_are_no_secrets(spark):
     assert sum(found[i] for i in range(len(NAMES_WITH_DIGITS), len(rows))) >= 0.85 * len(keys)
 
 
+def test_every_document_is_learnt_from(spark):
+    """More documents than a sample of words would hold, each with a word and a secret of its own."""
+    def word(i):
+        return "".join(chr(97 + int(c)) for c in f"{i:06d}")
+
+    rows = [(i, f"{word(i)} token={word(i).upper()}ABCDEF{i:06d}") for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.labelled_strings(docs).collect()
+    assert {word(i) for i in range(2_000)} <= {r["value"] for r in found if r["random"] == 0}
+    assert {t.split("=")[1] for _, t in rows} <= {r["value"] for r in found if r["random"] == 1}
+    twice = secrets.labelled_strings(docs.unionByName(docs))
+    assert {r["n"] for r in twice.filter(f"value = '{word(5)}'").collect()} == {2}
+
+
 def test_personal_data(documents, texts, spark):
     def luhn(s):
         d = [int(c) for c in re.sub(r"\D", "", s)]
