@@ -8,15 +8,15 @@ context; Platt's curve makes their margin a probability, and a threshold per
 kind, set where the precision on rows kept out of the fit reaches 0.98, selects
 what is reported and redacted.
 
-The trees are fitted to a bounded sample of candidates (``SAMPLE_ROWS``
-documents, ``CANDIDATES`` candidates, a quarter for each kind) that are labelled where a rule decides:
+The trees, the curve and the thresholds are fitted to the candidates of all documents, each value once
+in each form; a kind of more than ``SHARE`` candidates weighs as much as so many.  They are labelled where a rule decides:
 numbers of digits, and for phone numbers the spans of the fixed format, with and
 without their country code.  IP addresses and card numbers of the fixed format are
 written in other ways, with spaced, bracketed or spelt dots and with other signs
 between the groups, beside the same numbers as a version, score or order number.
 Check digits and octets are no traits: they refuse candidates, the trees judge the rest.  Each of these is also
 rewritten as a national number beside a word such as 'phone', so that the trees
-see numbers without a plus in their context even if the sample has none, and
+see numbers without a plus in their context even if the texts have none, and
 once as groups of digits without such a word, as a counter-example.  Mail
 addresses are rewritten in the forms that hide them, with a host that a text
 speaks of as counter-example, and ' at ' without a dotted host is none.  What no
@@ -24,7 +24,7 @@ rule decides is not used for the fit, and candidates that a rule refuses are not
 every search is linear in the length of the text.
 
 Defined cases: a null text is an empty one and, when redacting, stays null; an
-empty text has no span; equal texts have equal spans; an empty sample adds
+empty text has no span; equal texts have equal spans; a table without candidates adds
 nothing to the fixed formats; further columns may have any name.
 """
 
@@ -36,7 +36,6 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -45,11 +44,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from .boosting import Boosted, boost, calibrate
-from .common import bounded_sample, small_batches
+from .boosting import BLOCK, Boosted, boost_blocks, calibrate, quantiles, valued
+from .common import small_batches
 
-#: Bounds of the sample that the trees are fitted to.
-SAMPLE_ROWS, CANDIDATES = 10_000, 10_000
+#: A kind of more candidates than this has the weight of so many, as ' at ' in prose outnumbers all others.
+SHARE = 2_500
+FINE = 100  # margins are multiples of 1 / FINE
+LARGEST = 1_000.0  # larger traits are one value to the cuts
 PRECISION, LEAST = 0.98, 0.95
 
 # The kinds in the order of the report, and their formats.
@@ -78,7 +79,6 @@ HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\x20
 DOT = re.compile(r"\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\x20dot\x20", re.I)
 HINTS = [("mail", "e-mail", "contact"), ("ip", "host", "addr", "server"),
          ("card", "visa", "credit", "pay")]
-FOLDS = 3 << 32  # added to a hash of 32 bits, it makes another one of the same fold
 RESULT = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
           "redacted string")
 
@@ -313,6 +313,14 @@ def rewritten(value: str, turn: int) -> list[tuple[str, Span, int]]:
 NOTHING = Fixed([])  # candidates that are judged touch no span of the fixed formats
 
 
+def stepped(margin: np.ndarray) -> np.ndarray:
+    return np.rint(np.clip(margin, -30, 30) * FINE) / FINE
+
+
+def probability(margin: np.ndarray, slope: float, offset: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(slope * margin + offset, -30, 30)))
+
+
 @dataclass
 class Model:
     trees: Boosted
@@ -328,7 +336,7 @@ class Model:
         if not free:
             return []
         margin = self.trees.margin(np.array([traits(text, c) for c in free]))
-        p = 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
+        p = probability(stepped(margin), self.slope, self.offset)
         good = sorted(((q, c) for q, c in zip(p, free) if q >= self.thresholds[c[1]]),
                       key=lambda x: (-x[0], x[1]))
         out: list[tuple[int, int, int]] = []  # apart from each other, by start: (start, end, kind)
@@ -340,31 +348,81 @@ class Model:
         return [(start, kind, end) for start, end, kind in out]
 
 
-def fit(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Model:
-    """Trees from folds 0 and 1, the curve and the thresholds from fold 2."""
-    own, rest = fold < 2, fold == 2
-    none = [2.0] * len(KINDS)
-    if not len(y) or y[own].min(initial=1) == y[own].max(initial=0) or not rest.any():
-        return Model(Boosted(), 1.0, 0.0, none)
-    trees = boost(x[own], y[own])
-    margin = trees.margin(x[rest])
-    slope, offset = calibrate(margin, y[rest])
-    p = 1 / (1 + np.exp(-np.clip(slope * margin + offset, -30, 30)))
-    thresholds = []
+def thresholds(found: pd.DataFrame, slope: float, offset: float) -> list[float]:
+    """Per kind the middle between the last margin of (kind, margin, y, n) down to which the precision is
+    ``PRECISION`` and the next one; 2, that none has, if there is no such margin."""
+    out = []
     for kind in range(len(KINDS)):
-        mine = x[rest][:, 0] == kind
-        q, right = p[mine], y[rest][mine]
-        order = np.argsort(-q, kind="stable")
-        precision = np.cumsum(right[order]) / np.arange(1, mine.sum() + 1)
-        enough = np.flatnonzero(precision >= PRECISION)
-        thresholds.append(max(LEAST, float(q[order][enough[-1]])) if len(enough) else 2.0)
-    return Model(trees, slope, offset, thresholds)
+        mine = found[found["kind"] == kind].sort_values("margin", ascending=False)
+        steps = mine.assign(right=mine["n"] * mine["y"]).groupby("margin", sort=False)[["n", "right"]].sum().cumsum()
+        enough = np.flatnonzero(steps["right"] >= PRECISION * steps["n"])
+        if not len(enough):
+            out.append(2.0)
+            continue
+        between = steps.index.to_numpy(float)[enough[-1]:][:2].mean()
+        out.append(max(LEAST, float(probability(between, slope, offset))))
+    return out
 
 
-def train(docs: DataFrame) -> Model:
-    """A model from the candidates of about ``SAMPLE_ROWS`` documents, found on the executors."""
+def fit(found: DataFrame) -> Model:
+    """Trees from folds 0 and 1 of (fold, x, y), the curve and the thresholds from fold 2."""
+    kind = F.col("x")[0].cast("int")
+    sizes = found.groupBy("fold", kind.alias("kind"), "y").count().toPandas()
+    of = sizes.groupby("kind")["count"].sum()
+    weights = [min(1.0, SHARE / of.get(k, 1)) for k in range(len(KINDS))]
+    sizes["w"] = sizes["count"] * sizes["kind"].map(dict(enumerate(weights)))
+    own = sizes[sizes["fold"] < 2]
+    if own["y"].nunique() < 2 or not (sizes["fold"] == 2).any():
+        return Model(Boosted(), 1.0, 0.0, [2.0] * len(KINDS))
+    values = found.filter("fold < 2").select(kind.alias("kind"), F.posexplode("x").alias("f", "v")).groupBy(
+        "kind", "f", F.least("v", F.lit(LARGEST)).alias("v")).count().toPandas()
+    values["w"] = values["count"] * values["kind"].map(dict(enumerate(weights)))
+    totals = values.groupby(["f", "v"])["w"].sum().reset_index()
+    cuts = [quantiles(t["v"].to_numpy(), t["w"].to_numpy()) for _, t in totals.groupby("f")]
+
+    def packed(batches):
+        held: list[tuple] = []
+
+        def block():
+            x = np.array([r[0] for r in held])
+            codes = np.column_stack([np.searchsorted(c, x[:, f]) for f, c in enumerate(cuts)])
+            return pd.DataFrame([(codes.astype(np.uint8).tobytes(),
+                                  np.array([r[1] for r in held], np.uint8).tobytes(),
+                                  x[:, 0].astype(np.uint8).tobytes())], columns=["codes", "y", "kind"])
+
+        for batch in batches:
+            held += zip(batch["x"], batch["y"])
+            if len(held) >= BLOCK:
+                yield block()
+                held = []
+        if held:
+            yield block()
+
+    blocks = stored(found.filter("fold < 2").select("x", "y").mapInPandas(
+        packed, "codes binary, y binary, kind binary"), "blocks")
+    few = own["count"].sum() <= BLOCK
+    share = (own["w"] * own["y"]).sum() / own["w"].sum()
+    trees = valued(boost_blocks([tuple(map(bytes, r)) for r in blocks.collect()] if few else blocks, share, weights,
+                         [len(c) for c in cuts]), cuts)
+
+    def judged(batches):
+        for batch in batches:
+            if len(batch):
+                x = np.array(batch["x"].tolist())
+                yield pd.DataFrame({"kind": x[:, 0].astype(int), "margin": stepped(trees.margin(x)),
+                                    "y": batch["y"]})
+
+    rest = found.filter("fold = 2").select("x", "y").mapInPandas(judged, "kind int, margin double, y int")
+    rest = rest.groupBy("kind", "margin", "y").agg(F.count("*").alias("n")).toPandas().sort_values(
+        ["kind", "margin", "y"])
+    slope, offset = calibrate(rest["margin"].to_numpy(), rest["y"].to_numpy(float), (
+        rest["n"] * rest["kind"].map(dict(enumerate(weights)))).to_numpy(float))
+    return Model(trees, slope, offset, thresholds(rest, slope, offset))
+
+
+def labelled_candidates(docs: DataFrame) -> DataFrame:
+    """(fold, x, y): the traits and labels of the candidates of all documents, each value once in each form."""
     small_batches(docs.sparkSession)
-    width = len(traits("0000000", (0, 3, 7)))
 
     def labelled(batches):
         for batch in batches:
@@ -375,33 +433,25 @@ def train(docs: DataFrame) -> Model:
                 for c in candidates(text) if text else ():
                     y = known(text, c, spans)
                     if y >= 0:
-                        crc = zlib.crc32(text[c[0]:c[2]].encode())
                         # A value is another one for each kind, but in the same fold.
-                        rows.append((crc + c[1] * FOLDS, traits(text, c), y))
+                        rows.append((c[1], text[c[0]:c[2]], traits(text, c), y))
                 for a, kind, b in fixed:
                     crc = zlib.crc32(text[a:b].encode())
                     new = (disguised(text[a:b], crc) if kind == 0 else rewritten(text[a:b], crc)
                            if kind == 3 else respelled(text[a:b], kind, crc))
-                    rows += [(crc + k * FOLDS, traits(*of), y)
+                    rows += [(k, text[a:b], traits(*of), y)
                              for k, (*of, y) in enumerate(new, len(KINDS))]
-            yield pd.DataFrame(rows, columns=["crc", "x", "y"])
-
-    picked = bounded_sample(docs.select("doc_id", "text"), F.col("doc_id"), SAMPLE_ROWS)
-    found = stored(picked.select("text").mapInPandas(labelled, "crc long, x array<double>, y int"),
-                   "candidates")
-    # A value counts once: copies of a document must not outgrow the bound.
-    found = found.groupBy("crc").agg(F.min(F.struct("x", "y")).alias("r")).select(
-        "crc", "r.x", "r.y")
-    # Each kind has its share of the bound, as ' at ' in prose outnumbers all others.
-    kinds = [bounded_sample(found.filter(F.col("x")[0] == k), F.col("crc"), CANDIDATES // len(KINDS))
-             for k in range(len(KINDS))]
-    rows = reduce(DataFrame.unionByName, kinds).toPandas()
-    if not len(rows):
-        return fit(np.zeros((0, width)), np.zeros(0), np.zeros(0))
-    rows["x"] = [tuple(v) for v in rows["x"]]
-    rows = rows.sort_values(["crc", "x"])
-    return fit(np.array(rows["x"].tolist()), rows["y"].to_numpy(float),
-               rows["crc"].to_numpy() % 3)
+            yield pd.DataFrame(rows, columns=["form", "value", "x", "y"])
+
+    found = docs.select("text").mapInPandas(labelled, "form int, value string, x array<double>, y int")
+    # A value counts once in each form, however many copies of a document there are.
+    found = found.groupBy("form", "value").agg(F.min(F.struct("x", "y")).alias("r"))
+    return found.select((F.crc32("value") % 3).cast("int").alias("fold"), "r.x", "r.y")
+
+
+def train(docs: DataFrame) -> Model:
+    """A model from the candidates of all documents, found and summed up on the executors."""
+    return fit(stored(labelled_candidates(docs), "candidates"))
 
 
 def redacted(text: str, spans: list[Span]) -> str:

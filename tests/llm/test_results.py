@@ -13,6 +13,7 @@ import pytest
 
 from refreshguard.llm import (decontam, hnsw, htmltext, jaccard, langid, mixing, pii, secrets,
                               toxicity, warc)
+from refreshguard.llm import boosting
 from refreshguard.llm.boosting import boost
 from refreshguard.llm.components import components
 from refreshguard.llm.shingles import shingle_sets
@@ -203,6 +204,29 @@ def test_boosted_trees_learn_a_rule():
     assert ((model.margin(x[1500:]) > 0) == y[1500:]).mean() > 0.97
 
 
+def test_trees_do_not_depend_on_the_blocks(spark):
+    """The same examples at hand, and dealt out over blocks of a table, give the same trees and probabilities."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 20, size=(3000, 3)).astype(float)
+    y = ((x[:, 0] > 9) & (x[:, 2] < 15)).astype(float)
+    cuts = [boosting.quantiles(*np.unique(c, return_counts=True)) for c in x.T]
+    codes = np.column_stack([np.searchsorted(c, x[:, f]) for f, c in enumerate(cuts)]).astype(np.uint8)
+    rows = [(codes[k:k + 300].tobytes(), y[k:k + 300].astype(np.uint8).tobytes(), bytes(300))
+            for k in range(0, 3000, 300)]
+    blocks = spark.createDataFrame([tuple(map(bytearray, r)) for r in rows], "codes binary, y binary, kind binary")
+    apart = boosting.boost_blocks(blocks, y.mean(), [1.0], [len(c) for c in cuts], rounds=3)
+    whole = boost(x, y, rounds=3)
+    assert (boosting.valued(apart, cuts).margin(x) == whole.margin(x)).all()
+
+
+def test_candidates_of_every_document_are_learnt_from(spark):
+    """More numbers than a share, and more documents than a sample would hold."""
+    rows = [(i, f"call +1 555 {i:07d} now") for i in range(12_000)]
+    found = pii.labelled_candidates(spark.createDataFrame(rows, "doc_id long, text string"))
+    called = found.filter("x[0] = 3 and x[2] = 11 and y = 1")  # the whole number, country code and all
+    assert called.count() >= 12_000
+
+
 def brute_components(texts):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
