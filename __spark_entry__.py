@@ -142,7 +142,7 @@ def _two_runs(spark, sf) -> list[DataFrame]:
     runs = []
     for run_id, start, month in ((EARLIER_ID, EARLIER_START, cv.PREVIOUS),
                                  (RUN_ID, RUN_START, cv.MONTH)):
-        ctx = _month(spark, sf, month=month)
+        ctx = cv.month_context(spark, sf, month=month)
         runs.append(to_results(suite.suite_metrics(ctx, ["completeness", "validity"]), run_id,
                                start, ctx.profile.name, month))
     return runs
@@ -174,7 +174,8 @@ def _backfill(spark, sf):
 def _suite(spark, sf, profiles=(MEDICAL, PHARMACY)):
     out = None
     for profile in profiles:
-        rows = _rows(suite.suite_metrics(_month(spark, sf, profile)), category=True)
+        ctx = cv.kept(cv.month_context(spark, sf, profile))
+        rows = _rows(suite.suite_metrics(ctx), category=True)
         rows = rows.withColumn("events_table_name", F.lit(profile.name))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -248,7 +249,7 @@ def _rerun(spark, sf):
 
 def _first_month(spark, sf):
     """The first month has nothing before it: comparisons are skipped, volume is counted."""
-    ctx = _month(spark, sf, month=cv.FIRST_MONTH, previous=None)
+    ctx = cv.kept(cv.month_context(spark, sf, month=cv.FIRST_MONTH, previous=None))
     return _rows(suite.suite_metrics(ctx, ["temporal", "volume"]), category=True)
 
 

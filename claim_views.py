@@ -14,8 +14,11 @@ from datetime import date
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from refreshguard import MEDICAL, PHARMACY, Context, TableProfile
+from refreshguard.context import OWN
+from refreshguard.functions import months
 from refreshguard.sources.shared import stored
 
 MONTH = "1998-03"
@@ -125,9 +128,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
+    """A view over the tables, some of which may be ``given``."""
     text = VIEWS[name]
-    used = {s: _table(spark, sf_dir, s) for s in SOURCES if f"{{{s}}}" in text}
+    used = {s: given[s] if s in given else _table(spark, sf_dir, s)
+            for s in SOURCES if f"{{{s}}}" in text}
     return spark.sql(text, **used)
 
 
@@ -161,12 +166,37 @@ def context(spark: SparkSession, sf_dir: str, profile: TableProfile = MEDICAL,
                    dimensions=Dimensions(spark, sf_dir), **settings)
 
 
-def kept(ctx: Context) -> Context:
-    """The context over its event table written once, for runs of many passes.
+def month_context(spark: SparkSession, sf_dir: str, profile: TableProfile = MEDICAL,
+                  **changes) -> Context:
+    """The context of one refresh, over the events of its month and of the month before.
 
-    The view joins two or three tables, which Spark would shuffle again for every pass.
+    The orders of these months are written first.  Spark then knows their size and sends them to
+    the line items; by the size of all orders it would shuffle all line items for one month.
     """
-    return ctx.with_(events_table=stored(ctx.events_table, "events"))
+    ctx = context(spark, sf_dir, profile, scope="month", **changes)
+    refresh = F.col("o_orderdate").cast("date")
+    wanted = months.in_months(refresh, ctx.month)
+    if ctx.previous:
+        wanted = wanted | months.in_months(refresh, ctx.previous)
+    text = VIEWS[profile.name]
+    orders = _table(spark, sf_dir, "orders")
+    orders = orders.filter(wanted).select(*[c for c in orders.columns if c in text])
+    return ctx.with_(events_table=view(spark, sf_dir, profile.name,
+                                       orders=stored(orders, "orders")))
+
+
+def kept(ctx: Context, *columns: str) -> Context:
+    """The context over its events written once, for runs of many passes; some columns or all.
+
+    The view joins two or three tables, which Spark would shuffle again for every pass.  Of a
+    context of months only the compared ones are written.
+    """
+    sampled = {}
+    rows = ctx.events_table
+    if ctx.scope != "all":
+        rows, sampled = ctx.compared().drop(OWN), {"sample_rows": 0}
+    rows = rows.select(*columns) if columns else rows
+    return ctx.with_(events_table=stored(rows, "events"), **sampled)
 
 
-__all__ = ["MEDICAL", "PHARMACY", "context", "kept", "oracle_view", "view"]
+__all__ = ["MEDICAL", "PHARMACY", "context", "kept", "month_context", "oracle_view", "view"]
