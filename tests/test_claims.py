@@ -45,3 +45,13 @@ def test_the_orders_of_a_month_are_sent_to_the_line_items(spark):
 @pytest.mark.parametrize("name", ["run_suite", "suite_first_month"])
 def test_a_monthly_run_joins_its_events_once(spark, name):
     assert "l_orderkey" not in plan_of(entry.queries()[name](spark, DATA))
+
+
+def test_a_run_made_twice_joins_its_events_once(spark, monkeypatch):
+    made, run = [], entry.suite.run_suite
+    monkeypatch.setattr(entry.suite, "run_suite", lambda contexts, *rest, **more: (
+        made.extend(contexts), run(contexts, *rest, **more))[1])
+    entry.queries()["rerun_counts_once"](spark, DATA)
+    assert len(made) == 4
+    assert not any("l_orderkey" in plan_of(ctx.events_table) for ctx in made)
+    assert made[:2] == made[2:]
