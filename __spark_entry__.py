@@ -52,6 +52,9 @@ OWN_CHECKS = {
     "cohorts": generic.top_share_rows("cohort_id", 3),
     "moved": generic.month_change("several_units", "units > 1", 0.3),
 }
+#: What they read of the events.
+OWN_COLUMNS = ("patient_id", "kh_refresh_date", "service_date", "procedure_code", "units",
+               "unit_type", "billing_npi", "cohort_id")
 
 
 # -- inputs ---------------------------------------------------------------
@@ -206,7 +209,8 @@ def _month_state(spark, sf):
 
 
 def _custom(spark, sf):
-    return _rows(suite.suite_metrics(_all(spark, sf), [], OWN_CHECKS), category=True)
+    ctx = cv.kept(_all(spark, sf), *OWN_COLUMNS)
+    return _rows(suite.suite_metrics(ctx, [], OWN_CHECKS), category=True)
 
 
 def _signed(spark, sf):
