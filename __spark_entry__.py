@@ -125,11 +125,18 @@ def _stored_value():
     return F.round(F.expr("try_cast(metric_value as double)"), 4).alias("value")
 
 
+def _columns_of_counts(profile) -> list[str]:
+    """What completeness and uniqueness read of the events."""
+    return list(dict.fromkeys([profile.event_id, *profile.required, *profile.optional,
+                               *profile.duplicate_key, *(profile.code_with_type or ())]))
+
+
 def _two_tables(spark, sf) -> DataFrame:
     """Completeness and uniqueness of both tables, and a frame that does not fit."""
     parts = []
     for profile in (MEDICAL, PHARMACY):
         ctx = _all(spark, sf, profile)
+        ctx = cv.kept(ctx, *ctx.present(_columns_of_counts(profile)))
         for family in ("completeness", "uniqueness"):
             parts.append(to_results(suite.family_frame(ctx, family), RUN_ID, RUN_START,
                                     profile.name, cv.MONTH))

@@ -42,7 +42,7 @@ def test_the_orders_of_a_month_are_sent_to_the_line_items(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@pytest.mark.parametrize("name", ["run_suite", "suite_first_month", "custom_checks"])
+@pytest.mark.parametrize("name", ["run_suite", "suite_first_month", "custom_checks", "combine_results"])
 def test_a_run_joins_its_events_once(spark, name):
     assert "l_orderkey" not in plan_of(entry.queries()[name](spark, DATA))
 
