@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from refreshguard.functions import months
 from refreshguard.functions.formats import RESULT_SCHEMA, new_run, to_results
-from refreshguard.operators import generic, intervals, pairs, snapshots
+from refreshguard.operators import consistency, generic, intervals, marks, pairs, snapshots
 from refreshguard.operators.intervals import merge
 from refreshguard.operators.joins import join_intervals
 from refreshguard.operators.shared import SharedFrames, entity_days
@@ -510,3 +510,108 @@ def test_days_of_long_ranges_carry_few_totals(several):
     parts = intervals.blocks(ctx)
     assert max(months.months_between(p.start, p.month) for p in parts) <= 16
     assert sum(months.months_between(p.start, p.month) for p in parts) == 80
+
+
+@pytest.fixture(scope="module")
+def marked(spark, several):
+    """Days and intervals of odd kinds over three months, and what each event meets."""
+    rng = random.Random(11)
+    labels = ("2024-01", "2024-02", "2024-03")
+
+    def some_day():
+        return day("2024-01-01") + timedelta(days=rng.randint(0, 30))
+
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, 1, 1, 1, 2, 3]),
+             rng.choice([None, *(some_day() for _ in range(9))]),
+             day(f"{rng.choice(labels)}-05")) for _ in range(240)]
+    events = spark.createDataFrame(
+        rows, "medical_event_id long, patient_id long, service_date date, kh_refresh_date date")
+    spans = [(rng.choice([None, 1, 1, 2]), some_day(), some_day(), rng.choice(["A", "B", None]))
+             for _ in range(12)]
+    # Snapshots that say the same again, twice in one of them, and one that is later than all months.
+    geo = [(p, day(f"2024-{m:02d}-0{k}"), a, b, r) for m in (2, 3, 4) for k in (1, 2)
+           for p, a, b, r in spans if rng.random() < 0.6]
+    dims = {"geo": geo, "enroll": [g[:4] for g in geo[::3]],
+            "mortality": [(p, day(f"2024-{m:02d}-02"), some_day()) for p in (1, 2) for m in (1, 3)]}
+    base = several()
+    tables = {name: spark.createDataFrame(dims[name], base.dimensions[name].schema)
+              if name in dims else table for name, table in base.dimensions.items()}
+    ctx = backfill.over_months(base.with_(events_table=events, dimensions=tables), *labels[::2])
+    return ctx, rows, dims, labels
+
+
+def seen_in(table, label):
+    """The complete, not reversed intervals that a month sees: entity, first and last day, region."""
+    return [(r[0], r[2], r[3], *r[4:]) for r in table if f"{r[1]}"[:7] <= label and r[0] is not None
+            and None not in r[2:] and r[2] <= r[3]]
+
+
+def test_marked_days_say_what_pairs_of_events_and_intervals_say(marked):
+    ctx, rows, dims, labels = marked
+    shared = SharedFrames(ctx, True, [marks.ENROLLED, marks.REGIONS])
+    outside = {f"{r.month}"[:7]: (r.n, r.n_outside) for r in shared.uncovered().collect()}
+    regions = {(f"{r.month}"[:7], r.region): r.n for r in shared.region_counts().collect()}
+    ids = {f"{r.month}"[:7]: r.n for r in shared.marked_ids(marks.ENROLLED).collect()}
+    region_ids = {(f"{r.month}"[:7], r.region): r.n for r in shared.marked_ids(marks.REGIONS).collect()}
+    places, place_ids = {}, {}
+    for label in labels:
+        mine = [r for r in rows if f"{r[3]}"[:7] == label]
+        enrolled, geo = seen_in(dims["enroll"], label), seen_in(dims["geo"], label)
+
+        def holding(table, r):
+            return [s for s in table if r[2] is not None and s[0] == r[1] and s[1] <= r[2] <= s[2]]
+
+        off = [r for r in mine if not holding(enrolled, r)]
+        assert outside[label] == (len(mine), len(off))
+        assert ids[label] == len({r[0] for r in off})
+        for r in mine:
+            for region in [s[3] for s in holding(geo, r)] or [None]:
+                places[label, region] = places.get((label, region), 0) + 1
+                if region:
+                    place_ids.setdefault((label, region), set()).add(r[0])
+    assert regions == places
+    assert region_ids == {k: len(v) for k, v in place_ids.items()}
+
+
+def test_marks_of_one_dimension_are_those_of_both(marked):
+    ctx = marked[0]
+    both, alone = SharedFrames(ctx, True, [marks.ENROLLED, marks.REGIONS]), SharedFrames(ctx, True)
+    for kind in (marks.ENROLLED, marks.REGIONS):
+        for found in ("marks", "marked_ids"):
+            mine, theirs = (getattr(s, found)(kind).collect() for s in (both, alone))
+            assert sorted(map(repr, mine)) == sorted(map(repr, theirs))
+
+
+def test_a_death_counts_until_the_next_one(marked, several):
+    ctx, rows, dims, labels = marked
+    found = {(f"{r.month}"[:7], r.metric_name): (r.num, r.den)
+             for r in consistency.after_death(ctx, grace_days=3).collect()}
+    for label in labels:
+        latest = {}
+        for p, refresh, death in sorted(dims["mortality"]):
+            if f"{refresh}"[:7] <= label:
+                latest[p] = death
+        dead = [(r[2], latest[r[1]]) for r in rows if f"{r[3]}"[:7] == label and r[1] in latest]
+        late = sum(d is not None and d > e + timedelta(days=3) for d, e in dead)
+        after = sum(d is not None and d > e for d, e in dead)
+        assert found[label, "after_death_percent"] == (late, len(dead))
+        assert found[label, "after_death_count"] == (after, len(dead))
+
+
+def test_stored_reductions_carry_no_totals_of_months(several):
+    """Days are shuffled by entity once for the intervals, without a running total for each month."""
+    ctx = backfill.over_months(several(), "2024-01", "2024-05")
+    kept = suite.suite_metrics(ctx, ["consistency", "distribution"], keep=True)
+    assert "slice(" not in plan_of(kept)
+    assert event_scans(kept) <= 3  # dates in order, and cohorts, which a plan as first made shows twice
+
+
+def test_a_broken_dimension_costs_only_its_family(several, spark, tmp_path):
+    """Marks of both dimensions are one pass; it fails, and each family is tried by itself."""
+    ctx = backfill.over_months(several(), "2024-01", "2024-02")
+    broken = ctx.dimensions["geo"].withColumn(
+        "patient_state", F.expr("cast(raise_error('unreadable') as string)"))
+    ctx = ctx.with_(dimensions={**ctx.dimensions, "geo": broken})
+    outcome = suite.run_suite([ctx], str(tmp_path / "out"), "r", START,
+                              ["consistency", "distribution"], keep=True)
+    assert outcome == {("mx_events", "consistency"): "done", ("mx_events", "distribution"): "failed"}
